@@ -30,11 +30,12 @@ def _blank(c: Column) -> Column:
 def offer_request_reject(user_id: Column, scooter_id: Column,
                          corrupt: Column | None = None) -> Column:
     """first failing check in order body -> user_id -> scooter_id, else null."""
-    out = F.when(F.lit(False), F.lit(None).cast("string"))
-    if corrupt is not None:
-        out = F.when(corrupt, F.lit("INVALID_BODY"))
-    return (out.when(_blank(user_id), F.lit("USER_ID_REQUIRED"))
-            .when(_blank(scooter_id), F.lit("SCOOTER_ID_REQUIRED")))
+    checks = [] if corrupt is None else [(corrupt, "INVALID_BODY")]
+    checks += [(_blank(user_id), "USER_ID_REQUIRED"), (_blank(scooter_id), "SCOOTER_ID_REQUIRED")]
+    out = F.when(checks[0][0], F.lit(checks[0][1]))
+    for cond, code in checks[1:]:
+        out = out.when(cond, F.lit(code))
+    return out
 
 
 def enrich_offer_requests(requests: DataFrame, scooters: DataFrame, zones: DataFrame,
@@ -69,12 +70,14 @@ def enrich_offer_requests(requests: DataFrame, scooters: DataFrame, zones: DataF
 
 def price_offer_requests(requests: DataFrame, scooters: DataFrame, zones: DataFrame,
                          users: DataFrame, configs: DataFrame | None = None,
-                         ts_col: str = "ts") -> DataFrame:
+                         ts_col: str = "ts", with_lookup_zone: bool = False) -> DataFrame:
     """Price every offer request (flagship): one output row per request.
 
     Columns: request_id, user_id, scooter_id, requested_at, outcome,
     http_status, zone_id, price_per_minute, price_unlock, deposit, offer_id,
     expires_at.  Prices and ids are null unless ``outcome = 'CREATED'``.
+    ``with_lookup_zone`` adds ``lookup_zone_id``: the zone looked up for the
+    request (the scooter's zone, whether or not the zone was found).
     """
     spark = requests.sparkSession
     cfg = resolve_configs(configs, spark)
@@ -103,4 +106,5 @@ def price_offer_requests(requests: DataFrame, scooters: DataFrame, zones: DataFr
                 F.when(ok, pricing.offer_id(F.col("user_id"), F.col("scooter_id"), ts))
                 .alias("offer_id"),
                 F.when(ok, pricing.offer_expiry(ts)).alias("expires_at"),
+                *([F.col("zone_id").alias("lookup_zone_id")] if with_lookup_zone else []),
             ))

@@ -79,10 +79,28 @@ CONFIG = ("SELECT CAST(1.2 AS DOUBLE) AS surge, CAST(0.7 AS DOUBLE) AS low_charg
           "28 AS low_charge_threshold_percent, 5 AS incomplete_ride_threshold_seconds")
 
 
-def with_standins(*names: str, extra: dict[str, str] | None = None) -> str:
+def with_standins(*names: str, extra: dict[str, str] | None = None,
+                  recursive: bool = False) -> str:
     parts = [f"{n} AS ({STANDINS[n]})" for n in names]
     parts += [f"{k} AS ({v})" for k, v in (extra or {}).items()]
-    return "WITH " + ",\n".join(parts) + "\n"
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n"
+
+
+def chain_ctes(name: str, src: str, keys: list[str], ts: str, order: list[str],
+               ttl_seconds: int) -> dict[str, str]:
+    """Sequential TTL chain as a recursive CTE: row n is an anchor iff
+    ts >= anchor(n-1) + ttl; returns CTEs ``{name}_b`` and ``{name}``."""
+    kl = ", ".join(keys)
+    ol = ", ".join([ts] + order)
+    on = " AND ".join([f"b.{k} = c.{k}" for k in keys] + ["b._rn = c._rn + 1"])
+    carry = ", ".join(f"b.{c}" for c in keys + order)
+    cond = f"b.{ts} >= c._anchor + INTERVAL {int(ttl_seconds)} SECOND"
+    return {
+        f"{name}_b": f"SELECT {kl}, {', '.join(order)}, {ts}, row_number() OVER (PARTITION BY {kl} ORDER BY {ol}) AS _rn FROM {src}",
+        name: (f"SELECT {kl}, {', '.join(order)}, {ts}, _rn, {ts} AS _anchor, true AS _is_anchor FROM {name}_b WHERE _rn = 1 "
+               f"UNION ALL SELECT {carry}, b.{ts}, b._rn, CASE WHEN {cond} THEN b.{ts} ELSE c._anchor END, {cond} "
+               f"FROM {name} c JOIN {name}_b b ON {on}"),
+    }
 
 
 def _price_sql(surge="cfg.surge", disc="cfg.low_charge_discount",
@@ -124,6 +142,64 @@ SELECT request_id, user_id, scooter_id, ts AS requested_at, outcome,
        CASE WHEN outcome = 'CREATED' THEN ts + INTERVAL 300 SECOND END AS expires_at
 FROM priced"""
 
+_CREATION = {
+    "cfg": CONFIG,
+    "priced": PRICED_REQUESTS,
+    **chain_ctes("offer_chain", "priced WHERE outcome = 'CREATED'", ["user_id", "scooter_id"], "ts",
+                 ["request_id"], 300),
+    "flagged": """SELECT p.*, coalesce(c._is_anchor, false) AS is_anchor FROM priced p
+        LEFT JOIN offer_chain c ON p.request_id = c.request_id""",
+    "cov": """SELECT *, max(CASE WHEN is_anchor THEN ts END) OVER (PARTITION BY user_id, scooter_id ORDER BY ts, request_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS anchor_ts FROM flagged""",
+    "created": f"""SELECT c.*, (c.outcome NOT IN ('INVALID_BODY', 'USER_ID_REQUIRED', 'SCOOTER_ID_REQUIRED')
+            AND c.anchor_ts IS NOT NULL AND c.ts < c.anchor_ts + INTERVAL 300 SECOND AND NOT c.is_anchor) AS reused,
+            a.zone_id AS a_zone, a.ppm AS a_ppm, a.unlock AS a_unlock, a.dep AS a_dep
+        FROM cov c LEFT JOIN (SELECT * FROM flagged WHERE is_anchor) a
+          ON c.user_id = a.user_id AND c.scooter_id = a.scooter_id AND c.anchor_ts = a.ts""",
+    "offer_out": f"""SELECT request_id, user_id, scooter_id, ts AS requested_at,
+            CASE WHEN reused THEN 'REUSED' WHEN is_anchor THEN 'CREATED' ELSE outcome END AS outcome,
+            CASE WHEN reused THEN a_zone WHEN is_anchor THEN zone_id END AS zone_id,
+            CASE WHEN reused THEN a_ppm WHEN is_anchor THEN ppm END AS price_per_minute,
+            CASE WHEN reused THEN a_unlock WHEN is_anchor THEN unlock END AS price_unlock,
+            CASE WHEN reused THEN a_dep WHEN is_anchor THEN dep END AS deposit,
+            CASE WHEN reused OR is_anchor THEN sha256(user_id || ':' || scooter_id || ':' || CAST(epoch_us(CASE WHEN reused THEN anchor_ts ELSE ts END) AS VARCHAR)) END AS offer_id,
+            CASE WHEN reused THEN anchor_ts + INTERVAL 300 SECOND WHEN is_anchor THEN ts + INTERVAL 300 SECOND END AS expires_at,
+            is_anchor AS is_new_offer,
+            CASE WHEN NOT reused THEN zone_id END AS lookup_zone_id
+        FROM created""",
+}
+
+OFFER_CREATION = with_standins("users", "zones", "scooters", "offer_requests", extra=_CREATION,
+                               recursive=True) + f"""
+SELECT *, {OFFER_STATUS_SQL} AS http_status FROM offer_out"""
+
+TTL_CHAIN_USER_6H = with_standins("offer_requests", extra={
+    **chain_ctes("ch", "offer_requests", ["user_id"], "ts", ["request_id"], 6 * 3600)},
+    recursive=True) + """
+SELECT r.request_id, r.user_id, r.ts, c._is_anchor AS is_anchor,
+       max(CASE WHEN c._is_anchor THEN r.ts END) OVER (PARTITION BY r.user_id ORDER BY r.ts, r.request_id
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS anchor_ts,
+       true AS covered
+FROM offer_requests r JOIN ch c ON r.request_id = c.request_id"""
+
+ZONE_CACHE_REPLAY = with_standins("users", "zones", "scooters", "offer_requests", extra={
+    **_CREATION,
+    "lookups": "SELECT * FROM offer_out WHERE is_new_offer OR outcome = 'ZONE_UNAVAILABLE'",
+    **chain_ctes("zch", "lookups WHERE outcome = 'CREATED'", ["lookup_zone_id"], "requested_at",
+                 ["request_id"], 600),
+    "zflag": """SELECT l.*, coalesce(z._is_anchor, false) AS is_anchor,
+        max(CASE WHEN z._is_anchor THEN l.requested_at END) OVER (PARTITION BY l.lookup_zone_id
+            ORDER BY l.requested_at, l.request_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS anchor_ts
+        FROM lookups l LEFT JOIN zch z ON l.request_id = z.request_id"""}, recursive=True) + """
+SELECT request_id, lookup_zone_id AS zone_id, requested_at,
+       CASE WHEN is_anchor THEN 'FETCH'
+            WHEN anchor_ts IS NOT NULL AND requested_at < anchor_ts + INTERVAL 600 SECOND THEN 'HIT'
+            ELSE 'UNAVAILABLE' END AS cache_result
+FROM zflag"""
+
 ORACLE: dict[str, str] = {
     "offer_pricing": OFFER_PRICING,
+    "offer_creation": OFFER_CREATION,
+    "ttl_chain_user_6h": TTL_CHAIN_USER_6H,
+    "zone_cache_replay": ZONE_CACHE_REPLAY,
 }

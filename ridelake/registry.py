@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators import enrich
+from .operators import enrich, offers, ttl
 from .sources import standins as si
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,28 @@ def offer_pricing(spark: SparkSession, sf_dir: str) -> DataFrame:
         si.zones(spark, sf_dir), si.users(spark, sf_dir))
 
 
+def offer_creation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offer endpoint replay: F01, T01 reuse per (user, scooter) for 5 min, J01-J04, E07."""
+    return offers.create_offers(
+        si.offer_requests(spark, sf_dir), si.scooters(spark, sf_dir),
+        si.zones(spark, sf_dir), si.users(spark, sf_dir))
+
+
+def ttl_chain_user_6h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T01 engine on every offer request, keyed by user with a 6 h TTL."""
+    r = si.offer_requests(spark, sf_dir)
+    out = ttl.ttl_chain(r, ["user_id"], "ts", ["request_id"], 6 * 3600)
+    return out.select("request_id", "user_id", "ts", "is_anchor", "anchor_ts", "covered")
+
+
+def zone_cache_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tariff-zone cache replay (10 min TTL per zone) over offer creation."""
+    return offers.zone_cache_replay(offer_creation(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "offer_pricing": offer_pricing,
+    "offer_creation": offer_creation,
+    "ttl_chain_user_6h": ttl_chain_user_6h,
+    "zone_cache_replay": zone_cache_replay,
 }
