@@ -197,7 +197,56 @@ SELECT request_id, lookup_zone_id AS zone_id, requested_at,
             ELSE 'UNAVAILABLE' END AS cache_result
 FROM zflag"""
 
+TB = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate"
+
+_ADMISSION = {
+    "j": """SELECT r.*, o.id AS o_id, o.user_id AS owner, o.expires_at, o.scooter_id AS o_scooter,
+        o.price_per_minute AS o_ppm, o.price_unlock AS o_unlock, o.deposit AS o_dep
+        FROM order_requests r LEFT JOIN offers o ON r.offer_id = o.id""",
+    "v": """SELECT *, CASE WHEN coalesce(order_id, '') = '' THEN 'ORDER_ID_REQUIRED'
+            WHEN coalesce(offer_id, '') = '' THEN 'OFFER_ID_REQUIRED'
+            WHEN coalesce(user_id, '') = '' THEN 'USER_ID_REQUIRED' END AS rej,
+        CASE WHEN o_id IS NULL THEN 'OFFER_NOT_FOUND' WHEN requested_at > expires_at THEN 'OFFER_EXPIRED'
+            WHEN user_id <> owner THEN 'INVALID_USER' END AS ochk FROM j""",
+    "w": "SELECT *, rej IS NULL AND ochk IS NULL AS valid FROM v",
+    "r1": f"""SELECT *, valid AND row_number() OVER (PARTITION BY offer_id, valid ORDER BY requested_at, {TB}) = 1 AS first
+        FROM w""",
+    "c1": "SELECT *, first AND hold_success AS created FROM r1",
+    "d1": f"""SELECT *, coalesce(max(CASE WHEN created THEN 1 ELSE 0 END) OVER (PARTITION BY order_id ORDER BY requested_at, {TB}
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 1 AS dup FROM c1""",
+    "admitted": """SELECT *, CASE WHEN rej IS NOT NULL THEN rej WHEN dup THEN 'DUPLICATE' WHEN ochk IS NOT NULL THEN ochk
+        WHEN NOT first THEN 'OFFER_ALREADY_USED' WHEN NOT hold_success THEN 'PAYMENT_HOLD_FAILED' ELSE 'CREATED' END AS outcome
+        FROM d1""",
+}
+
+ORDER_STATUS_SQL = ("CAST(CASE WHEN outcome IN ('CREATED', 'DUPLICATE') THEN 201 "
+                    "WHEN outcome IN ('PAYMENT_HOLD_FAILED', 'PERSIST_FAILED') THEN 500 ELSE 400 END AS INTEGER)")
+
+ORDER_ADMISSION = with_standins("order_requests", "offers", extra=_ADMISSION) + f"""
+SELECT order_id, offer_id, user_id, requested_at, hold_success, {TB}, outcome, {ORDER_STATUS_SQL} AS http_status
+FROM admitted"""
+
+ADMISSION_SUMMARY = with_standins("order_requests", "offers", extra=_ADMISSION) + """
+SELECT outcome, count(*) AS requests FROM admitted GROUP BY outcome"""
+
+ADMITTED_ORDERS = with_standins("order_requests", "offers", extra=_ADMISSION) + """
+SELECT order_id AS id, user_id, o_scooter AS scooter_id, offer_id, coalesce(o_ppm, 0) AS price_per_minute,
+       coalesce(o_unlock, 0) AS price_unlock, coalesce(o_dep, 0) AS deposit, coalesce(o_unlock, 0) AS total_amount,
+       'ACTIVE' AS status, requested_at AS start_time, CAST(NULL AS TIMESTAMP) AS finish_time,
+       CAST(NULL AS INTEGER) AS duration_seconds, requested_at AS created_at, requested_at AS updated_at
+FROM admitted WHERE outcome = 'CREATED'"""
+
+HOLD_LEDGER = with_standins("order_requests", "offers", extra=_ADMISSION) + """
+SELECT 'txn-' || order_id AS id, order_id, user_id, 'HOLD' AS transaction_type, coalesce(o_dep, 0) AS amount,
+       'SUCCESS' AS status, CAST(NULL AS VARCHAR) AS external_transaction_id, CAST(NULL AS VARCHAR) AS error_message,
+       requested_at AS created_at
+FROM admitted WHERE outcome = 'CREATED'"""
+
 ORACLE: dict[str, str] = {
+    "order_admission": ORDER_ADMISSION,
+    "admission_summary": ADMISSION_SUMMARY,
+    "admitted_orders": ADMITTED_ORDERS,
+    "hold_ledger": HOLD_LEDGER,
     "offer_pricing": OFFER_PRICING,
     "offer_creation": OFFER_CREATION,
     "ttl_chain_user_6h": TTL_CHAIN_USER_6H,

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators import enrich, offers, ttl
+from .operators import admission, enrich, offers, ttl
 from .sources import standins as si
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,7 +42,38 @@ def zone_cache_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offers.zone_cache_replay(offer_creation(spark, sf_dir))
 
 
+def _admitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return admission.admit_orders(si.order_requests(spark, sf_dir), si.offers(spark, sf_dir),
+                                  si.ORDER_REQUEST_TIEBREAK)
+
+
+def order_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcome of every order request (F02, W02, F09, F04, F05, W01, hold)."""
+    return _admitted(spark, sf_dir).select(
+        "order_id", "offer_id", "user_id", "requested_at", "hold_success",
+        *si.ORDER_REQUEST_TIEBREAK, "outcome", "http_status")
+
+
+def admission_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T03 outcome counts."""
+    return admission.admission_summary(_admitted(spark, sf_dir))
+
+
+def admitted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order rows written for admitted requests."""
+    return admission.created_orders(_admitted(spark, sf_dir))
+
+
+def hold_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """HOLD ledger rows written with each admitted order."""
+    return admission.hold_ledger_rows(_admitted(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
+    "order_admission": order_admission,
+    "admission_summary": admission_summary,
+    "admitted_orders": admitted_orders,
+    "hold_ledger": hold_ledger,
     "offer_pricing": offer_pricing,
     "offer_creation": offer_creation,
     "ttl_chain_user_6h": ttl_chain_user_6h,
