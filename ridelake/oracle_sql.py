@@ -49,16 +49,20 @@ SELECT 'order-' || CAST(o_orderkey AS VARCHAR) AS id, 'user-' || CAST(o_custkey
        CAST(100 + o_orderkey % 5 AS INTEGER) AS deposit,
        CASE o_orderstatus WHEN 'O' THEN 'ACTIVE' WHEN 'F' THEN 'FINISHED' ELSE 'PAYMENT_FAILED' END AS status,
        o_orderdate AS start_time, o_orderdate AS created_at,
-       CAST(CASE WHEN o_orderstatus = 'O' THEN NULL ELSE (o_orderkey * 37) % 3600 END AS INTEGER) AS duration_seconds
+       CAST(CASE WHEN o_orderstatus = 'O' THEN NULL ELSE (o_orderkey * 37) % 3600 END AS INTEGER) AS duration_seconds,
+       CASE WHEN o_orderstatus = 'O' THEN NULL ELSE o_orderdate + INTERVAL 1 SECOND * ((o_orderkey * 37) % 3600) END AS finish_time,
+       CAST(40 + o_orderkey % 8 AS INTEGER) AS total_amount, o_orderdate AS updated_at
 FROM orders""",
     "finish_requests": """
-SELECT 'order-' || CAST(l_orderkey AS VARCHAR) AS order_id, l_shipdate AS requested_at,
+SELECT 'order-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber % 2 AS VARCHAR) AS order_id, l_shipdate AS requested_at,
        l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate
 FROM lineitem""",
     "payment_outcomes": """
-SELECT 'order-' || CAST(o_orderkey AS VARCHAR) AS order_id, 'charge' AS op, o_orderstatus <> 'P' AS success FROM orders
+SELECT 'order-' || CAST(o_orderkey AS VARCHAR) || '-' || CAST(b AS VARCHAR) AS order_id, 'charge' AS op, o_orderstatus <> 'P' AS success
+FROM orders, (VALUES (0), (1)) t(b)
 UNION ALL
-SELECT 'order-' || CAST(o_orderkey AS VARCHAR) AS order_id, 'unhold' AS op, o_orderpriority <> '5-LOW' AS success FROM orders""",
+SELECT 'order-' || CAST(o_orderkey AS VARCHAR) || '-' || CAST(b AS VARCHAR) AS order_id, 'unhold' AS op, o_orderpriority <> '5-LOW' AS success
+FROM orders, (VALUES (0), (1)) t(b)""",
     "order_reads": """
 SELECT 'order-' || CAST(l_orderkey AS VARCHAR) AS order_id, o_orderdate + INTERVAL 7 MINUTE * l_linenumber AS ts,
        l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate
@@ -242,7 +246,94 @@ SELECT 'txn-' || order_id AS id, order_id, user_id, 'HOLD' AS transaction_type,
        requested_at AS created_at
 FROM admitted WHERE outcome = 'CREATED'"""
 
+_ORD = """SELECT order_id AS id, user_id, o_scooter AS scooter_id, offer_id, coalesce(o_ppm, 0) AS price_per_minute,
+       coalesce(o_unlock, 0) AS price_unlock, coalesce(o_dep, 0) AS deposit, coalesce(o_unlock, 0) AS total_amount,
+       'ACTIVE' AS status, requested_at AS start_time, CAST(NULL AS TIMESTAMP) AS finish_time,
+       CAST(NULL AS INTEGER) AS duration_seconds, requested_at AS created_at, requested_at AS updated_at
+       FROM admitted WHERE outcome = 'CREATED'"""
+
+_HOLD = """SELECT 'txn-' || order_id AS id, order_id, user_id, 'HOLD' AS transaction_type, coalesce(o_dep, 0) AS amount,
+       'SUCCESS' AS status, CAST(NULL AS VARCHAR) AS external_transaction_id, CAST(NULL AS VARCHAR) AS error_message,
+       requested_at AS created_at FROM admitted WHERE outcome = 'CREATED'"""
+
+_FINISH = {
+    **_ADMISSION,
+    "ord": _ORD,
+    "fj": """SELECT f.*, o.id AS o_id, o.user_id AS o_user, o.status AS o_status, o.start_time AS o_start,
+        o.created_at AS o_created, o.price_per_minute AS f_ppm, o.price_unlock AS f_unlock, o.deposit AS f_dep
+        FROM finish_requests f LEFT JOIN ord o ON f.order_id = o.id""",
+    "fr": """SELECT *, CASE WHEN coalesce(order_id, '') = '' THEN 'ORDER_ID_REQUIRED'
+        WHEN o_id IS NULL OR requested_at < o_created THEN 'ORDER_NOT_FOUND'
+        WHEN o_status <> 'ACTIVE' THEN 'ORDER_NOT_ACTIVE' END AS frej FROM fj""",
+    "fw": f"""SELECT *, frej IS NULL AND row_number() OVER (PARTITION BY order_id, frej IS NULL
+        ORDER BY requested_at, {TB}) = 1 AS win FROM fr""",
+    "pay": """SELECT order_id, max(CASE WHEN op = 'charge' THEN CAST(success AS INTEGER) END) = 1 AS charge_ok,
+        max(CASE WHEN op = 'unhold' THEN CAST(success AS INTEGER) END) = 1 AS unhold_result
+        FROM payment_outcomes GROUP BY order_id""",
+    "fb": """SELECT fw.*, coalesce(p.charge_ok, false) AS c_ok,
+        coalesce(p.charge_ok, false) AND coalesce(p.unhold_result, false) AS u_ok,
+        CAST(greatest(0, (epoch_us(requested_at) - epoch_us(o_start)) // 1000000) AS INTEGER) AS secs
+        FROM fw LEFT JOIN pay p ON fw.order_id = p.order_id""",
+    "finished": f"""SELECT order_id, requested_at, {TB},
+        CASE WHEN frej IS NOT NULL THEN frej WHEN NOT win THEN 'ORDER_NOT_ACTIVE'
+             WHEN c_ok THEN 'FINISHED' ELSE 'PAYMENT_FAILED' END AS outcome,
+        CASE WHEN win THEN secs END AS duration_seconds,
+        CASE WHEN win THEN CAST(CASE WHEN secs < 5 THEN 0 ELSE coalesce(f_unlock, 0) + ((secs + 59) // 60) * coalesce(f_ppm, 0) END AS INTEGER) END AS total_amount,
+        CASE WHEN win THEN c_ok END AS charge_ok, CASE WHEN win THEN u_ok END AS unhold_ok,
+        o_user AS order_user_id, f_dep AS order_deposit
+        FROM fb""",
+    "fledger": """SELECT 'txn-clear-' || order_id AS id, order_id, order_user_id AS user_id, 'CLEAR' AS transaction_type,
+            total_amount AS amount, CASE WHEN charge_ok THEN 'SUCCESS' ELSE 'FAILED' END AS status,
+            '' AS external_transaction_id, CAST(NULL AS VARCHAR) AS error_message, requested_at AS created_at
+        FROM finished WHERE outcome IN ('FINISHED', 'PAYMENT_FAILED')
+        UNION ALL
+        SELECT 'txn-refund-' || order_id, order_id, order_user_id, 'REFUND', coalesce(order_deposit, 0),
+            CASE WHEN unhold_ok THEN 'SUCCESS' ELSE 'FAILED' END, '', CAST(NULL AS VARCHAR), requested_at
+        FROM finished WHERE outcome IN ('FINISHED', 'PAYMENT_FAILED')""",
+}
+
+FINISH_STATUS_SQL = ("CAST(CASE outcome WHEN 'FINISHED' THEN 200 WHEN 'PAYMENT_FAILED' THEN 200 "
+                     "WHEN 'ORDER_NOT_ACTIVE' THEN 409 ELSE 400 END AS INTEGER)")
+_FIN_SRC = ("order_requests", "offers", "finish_requests", "payment_outcomes")
+
+FINISH_OUTCOMES = with_standins(*_FIN_SRC, extra=_FINISH) + f"""
+SELECT *, {FINISH_STATUS_SQL} AS http_status FROM finished"""
+
+FINISH_LEDGER = with_standins(*_FIN_SRC, extra=_FINISH) + "SELECT * FROM fledger"
+
+ORDERS_AFTER_FINISH = with_standins(*_FIN_SRC, extra=_FINISH) + """
+SELECT o.id, o.user_id, o.scooter_id, o.offer_id, o.price_per_minute, o.price_unlock, o.deposit,
+       CASE WHEN f.order_id IS NOT NULL THEN f.total_amount ELSE o.total_amount END AS total_amount,
+       CASE WHEN f.order_id IS NOT NULL THEN f.outcome ELSE o.status END AS status,
+       o.start_time, CASE WHEN f.order_id IS NOT NULL THEN f.requested_at ELSE o.finish_time END AS finish_time,
+       CASE WHEN f.order_id IS NOT NULL THEN f.duration_seconds ELSE o.duration_seconds END AS duration_seconds,
+       o.created_at, CASE WHEN f.order_id IS NOT NULL THEN f.requested_at ELSE o.updated_at END AS updated_at
+FROM ord o LEFT JOIN (SELECT * FROM finished WHERE outcome IN ('FINISHED', 'PAYMENT_FAILED')) f ON o.id = f.order_id"""
+
+LEDGER_ROLLUP = with_standins(*_FIN_SRC, extra={**_FINISH, "hold": _HOLD,
+                                                "ledger": "SELECT * FROM hold UNION ALL SELECT * FROM fledger"}) + """
+SELECT order_id,
+  CAST(sum(CASE WHEN transaction_type = 'HOLD' THEN amount END) AS BIGINT) AS hold_amount,
+  max(CASE WHEN transaction_type = 'HOLD' THEN status END) AS hold_status,
+  CAST(sum(CASE WHEN transaction_type = 'CLEAR' THEN amount END) AS BIGINT) AS clear_amount,
+  max(CASE WHEN transaction_type = 'CLEAR' THEN status END) AS clear_status,
+  CAST(sum(CASE WHEN transaction_type = 'REFUND' THEN amount END) AS BIGINT) AS refund_amount,
+  max(CASE WHEN transaction_type = 'REFUND' THEN status END) AS refund_status
+FROM ledger GROUP BY order_id"""
+
+RIDE_BILLING_SUMMARY = with_standins("rides") + """
+SELECT status, count(*) AS rides,
+  CAST(sum(CASE WHEN duration_seconds IS NULL THEN price_unlock WHEN duration_seconds < 5 THEN 0
+                ELSE price_unlock + ((duration_seconds + 59) // 60) * price_per_minute END) AS BIGINT) AS billed_total,
+  CAST(sum(CASE WHEN duration_seconds IS NOT NULL AND duration_seconds < 5 THEN 1 ELSE 0 END) AS BIGINT) AS short_rides
+FROM rides GROUP BY status"""
+
 ORACLE: dict[str, str] = {
+    "finish_outcomes": FINISH_OUTCOMES,
+    "finish_ledger": FINISH_LEDGER,
+    "orders_after_finish": ORDERS_AFTER_FINISH,
+    "ledger_rollup": LEDGER_ROLLUP,
+    "ride_billing_summary": RIDE_BILLING_SUMMARY,
     "order_admission": ORDER_ADMISSION,
     "admission_summary": ADMISSION_SUMMARY,
     "admitted_orders": ADMITTED_ORDERS,

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators import admission, enrich, offers, ttl
+from .operators import admission, enrich, finish, offers, ttl
 from .sources import standins as si
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,7 +69,53 @@ def hold_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return admission.hold_ledger_rows(_admitted(spark, sf_dir))
 
 
+def _finished(spark: SparkSession, sf_dir: str):
+    orders = admission.created_orders(_admitted(spark, sf_dir))
+    done = finish.finish_rides(orders, si.finish_requests(spark, sf_dir),
+                               si.payment_outcomes(spark, sf_dir), si.ORDER_REQUEST_TIEBREAK)
+    return orders, done
+
+
+def finish_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcome of every finish call on admitted orders."""
+    return _finished(spark, sf_dir)[1]
+
+
+def finish_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CLEAR and REFUND rows of billed finishes."""
+    return finish.finish_ledger(_finished(spark, sf_dir)[1])
+
+
+def orders_after_finish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders snapshot after applying finishes (upsert by rewrite)."""
+    orders, done = _finished(spark, sf_dir)
+    return finish.apply_finish(orders, done)
+
+
+def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    admitted = _admitted(spark, sf_dir)
+    orders = admission.created_orders(admitted)
+    done = finish.finish_rides(orders, si.finish_requests(spark, sf_dir),
+                               si.payment_outcomes(spark, sf_dir), si.ORDER_REQUEST_TIEBREAK)
+    return admission.hold_ledger_rows(admitted).unionByName(finish.finish_ledger(done))
+
+
+def ledger_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-order pivot of HOLD, CLEAR and REFUND amounts and statuses."""
+    return finish.ledger_rollup(_ledger(spark, sf_dir))
+
+
+def ride_billing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E08-E10 over the rides fact: rides, billed total and short rides per status."""
+    return finish.ride_billing_summary(si.rides(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
+    "finish_outcomes": finish_outcomes,
+    "finish_ledger": finish_ledger,
+    "orders_after_finish": orders_after_finish,
+    "ledger_rollup": ledger_rollup,
+    "ride_billing_summary": ride_billing_summary,
     "order_admission": order_admission,
     "admission_summary": admission_summary,
     "admitted_orders": admitted_orders,

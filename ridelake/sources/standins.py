@@ -122,23 +122,36 @@ def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("created_at"),
         F.when(F.col("o_orderstatus") == "O", F.lit(None))
         .otherwise((k * 37) % 3600).cast("int").alias("duration_seconds"),
+        F.when(F.col("o_orderstatus") == "O", F.lit(None).cast("timestamp_ntz"))
+        .otherwise(F.col("o_orderdate") + F.make_dt_interval(
+            F.lit(0), F.lit(0), F.lit(0), ((k * 37) % 3600).cast("decimal(18,6)")))
+        .alias("finish_time"),
+        (40 + k % 8).cast("int").alias("total_amount"),
+        F.col("o_orderdate").alias("updated_at"),
     )
 
 
+def _order_suffix_id(k: Column, line: Column) -> Column:
+    return F.concat(F.lit("order-"), k.cast("string"), F.lit("-"), (line % 2).cast("string"))
+
+
 def finish_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Finish calls: one per line item, at the ship time, naming ``order-<key>``."""
+    """Finish calls: one per line item at its ship time, naming the order id the
+    same line item's order request used."""
     li = read_table(spark, sf_dir, "lineitem")
     return li.select(
-        _sid("order-", F.col("l_orderkey")).alias("order_id"),
+        _order_suffix_id(F.col("l_orderkey"), F.col("l_linenumber")).alias("order_id"),
         F.col("l_shipdate").alias("requested_at"),
         *ORDER_REQUEST_TIEBREAK,
     )
 
 
 def payment_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S09 feed: charge and unhold results per order."""
-    o = read_table(spark, sf_dir, "orders")
-    oid = _sid("order-", F.col("o_orderkey"))
+    """S09 feed: charge and unhold results for both order ids of an order key."""
+    o = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus", "o_orderpriority",
+        F.explode(F.array(F.lit(0), F.lit(1))).alias("_b"))
+    oid = _order_suffix_id(F.col("o_orderkey"), F.col("_b"))
     charge = o.select(oid.alias("order_id"), F.lit("charge").alias("op"),
                       (F.col("o_orderstatus") != "P").alias("success"))
     unhold = o.select(oid.alias("order_id"), F.lit("unhold").alias("op"),
