@@ -328,7 +328,169 @@ SELECT status, count(*) AS rides,
   CAST(sum(CASE WHEN duration_seconds IS NOT NULL AND duration_seconds < 5 THEN 1 ELSE 0 END) AS BIGINT) AS short_rides
 FROM rides GROUP BY status"""
 
+def rfc3339_sql(ts: str) -> str:
+    frac = f"regexp_replace(lpad(CAST(epoch_us({ts}) % 1000000 AS VARCHAR), 6, '0'), '0+$', '')"
+    return (f"(strftime({ts}, '%Y-%m-%dT%H:%M:%S') || CASE WHEN {frac} = '' THEN '' ELSE '.' || {frac} END || 'Z')")
+
+
+def _js(c: str) -> str:
+    return f"('\"' || replace(replace({c}, '\\', '\\\\'), '\"', '\\\"') || '\"')"
+
+
+def order_json_sql(p: str = "") -> str:
+    def opt(name, v):
+        return f"CASE WHEN {v} IS NULL THEN NULL ELSE '\"{name}\":' || CAST({v} AS VARCHAR) END"
+
+    def req(name, v):
+        return f"'\"{name}\":' || coalesce({v}, 'null')"
+    parts = [
+        req("current_amount", f"CAST({p}current_amount AS VARCHAR)"), opt("deposit", f"{p}deposit"),
+        req("duration_seconds", f"CAST({p}duration_seconds AS VARCHAR)"),
+        req("finish_time", f"CASE WHEN {p}finish_time IS NOT NULL THEN {_js(rfc3339_sql(p + 'finish_time'))} END"),
+        req("id", _js(f"{p}id")), req("offer_id", _js(f"{p}offer_id")),
+        opt("price_per_minute", f"{p}price_per_minute"), opt("price_unlock", f"{p}price_unlock"),
+        req("scooter_id", _js(f"{p}scooter_id")), req("start_time", _js(rfc3339_sql(p + "start_time"))),
+        req("status", _js(f"{p}status")), req("user_id", _js(f"{p}user_id")),
+    ]
+    return "'{' || concat_ws(',', " + ", ".join(parts) + ") || '}'"
+
+
+RIDES_AS_OF = "TIMESTAMP '1998-01-01 00:00:00'"
+ORDER_DOC_COLS = ("id, user_id, scooter_id, offer_id, price_per_minute, price_unlock, deposit, "
+                  "total_amount AS current_amount, status, start_time, finish_time, duration_seconds")
+
+ORDER_LOOKUP = with_standins("rides", "request_log") + f"""
+SELECT q.path, q.order_id AS requested_id, o.*,
+       CASE WHEN coalesce(q.order_id, '') = '' THEN 'ORDER_ID_REQUIRED' WHEN o.id IS NULL THEN 'NOT_FOUND' ELSE 'FOUND' END AS outcome,
+       CAST(CASE WHEN coalesce(q.order_id, '') = '' THEN 400 WHEN o.id IS NULL THEN 404 ELSE 200 END AS INTEGER) AS http_status
+FROM (SELECT path, regexp_extract(path, '^/orders/([^/]+)', 1) AS order_id FROM request_log WHERE method = 'GET') q
+LEFT JOIN (SELECT {ORDER_DOC_COLS} FROM rides) o ON q.order_id = o.id"""
+
+USER_HISTORY = with_standins("rides") + """
+SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY created_at, id) AS seq FROM rides
+WHERE created_at >= TIMESTAMP '1996-01-01 00:00:00' AND created_at < TIMESTAMP '1997-01-01 00:00:00'"""
+
+LATEST_ORDER_PER_OFFER = with_standins(*_FIN_SRC, extra={**_FINISH}) + """
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY offer_id ORDER BY created_at DESC, id DESC) AS rn
+FROM ord) WHERE rn = 1"""
+
+EXPIRED_ORDERS = with_standins("rides") + f"""
+SELECT {ORDER_DOC_COLS}, created_at FROM rides WHERE created_at < {RIDES_AS_OF} - INTERVAL 24 HOUR"""
+
+CLEANUP_AUDIT_LOG = with_standins("rides", extra={
+    "exp": f"SELECT {ORDER_DOC_COLS} FROM rides WHERE created_at < {RIDES_AS_OF} - INTERVAL 24 HOUR",
+    "doc": f"SELECT *, {order_json_sql()} AS order_data FROM exp"}) + f"""
+SELECT 'order_deleted' AS event, id AS order_id, user_id, status, order_data,
+  '{{"level":"info","event":"order_deleted","order_id":' || {_js('id')} || ',"user_id":' || {_js('user_id')}
+  || ',"status":' || {_js('status')} || ',"order_data":' || order_data || ',"time":"1998-01-01T00:00:00Z"'
+  || ',"message":"Deleting old order"}}' AS log_line
+FROM doc"""
+
+_WORLD = {**_FINISH, "hold": _HOLD,
+          "ledger": "SELECT * FROM hold UNION ALL SELECT * FROM fledger",
+          "snap": """SELECT o.id, o.user_id, o.scooter_id, o.offer_id, o.price_per_minute, o.price_unlock, o.deposit,
+       CASE WHEN f.order_id IS NOT NULL THEN f.total_amount ELSE o.total_amount END AS total_amount,
+       CASE WHEN f.order_id IS NOT NULL THEN f.outcome ELSE o.status END AS status,
+       o.start_time, CASE WHEN f.order_id IS NOT NULL THEN f.requested_at ELSE o.finish_time END AS finish_time,
+       CASE WHEN f.order_id IS NOT NULL THEN f.duration_seconds ELSE o.duration_seconds END AS duration_seconds,
+       o.created_at, CASE WHEN f.order_id IS NOT NULL THEN f.requested_at ELSE o.updated_at END AS updated_at
+       FROM ord o LEFT JOIN (SELECT * FROM finished WHERE outcome IN ('FINISHED', 'PAYMENT_FAILED')) f ON o.id = f.order_id""",
+          "gone": f"SELECT id FROM snap WHERE created_at < {RIDES_AS_OF} - INTERVAL 24 HOUR"}
+
+CLEANUP_SUMMARY = with_standins(*_FIN_SRC, extra=_WORLD) + f"""
+SELECT {RIDES_AS_OF} AS as_of, 24 AS older_than_hours,
+  (SELECT count(*) FROM gone) AS orders_deleted,
+  (SELECT count(*) FROM ledger WHERE order_id IN (SELECT id FROM gone)) AS ledger_rows_deleted,
+  CASE WHEN (SELECT count(*) FROM gone) = 0 THEN 'NO_OLD_ORDERS' ELSE 'DELETED' END AS result"""
+
+ORDERS_AFTER_CLEANUP = with_standins(*_FIN_SRC, extra=_WORLD) + """
+SELECT * FROM snap WHERE id NOT IN (SELECT id FROM gone)"""
+
+LEDGER_AFTER_CLEANUP = with_standins(*_FIN_SRC, extra=_WORLD) + """
+SELECT * FROM ledger WHERE order_id NOT IN (SELECT id FROM gone)"""
+
+CASCADE_ORPHANS = with_standins(*_FIN_SRC, extra=_WORLD) + """
+SELECT * FROM ledger WHERE order_id NOT IN (SELECT id FROM snap WHERE id NOT IN (SELECT id FROM gone))"""
+
+RIDE_STATUS_VIEW = with_standins("rides", "scooters") + """
+SELECT r.id, r.user_id, r.scooter_id, r.start_time, s.charge AS scooter_charge,
+  CAST(greatest(0, (epoch_us(TIMESTAMP '2001-09-01 00:00:00') - epoch_us(r.start_time)) // 1000000) AS INTEGER) AS elapsed_seconds,
+  CAST(CASE WHEN greatest(0, (epoch_us(TIMESTAMP '2001-09-01 00:00:00') - epoch_us(r.start_time)) // 1000000) < 5 THEN 0
+       ELSE r.price_unlock + ((greatest(0, (epoch_us(TIMESTAMP '2001-09-01 00:00:00') - epoch_us(r.start_time)) // 1000000) + 59) // 60)
+            * r.price_per_minute END AS INTEGER) AS running_cost
+FROM rides r LEFT JOIN scooters s ON r.scooter_id = s.id WHERE r.status = 'ACTIVE'"""
+
+ORDER_SHARD_MAP = with_standins("rides") + """
+SELECT id AS order_id, user_id, CAST(('0x' || substr(md5(user_id), 1, 8))::BIGINT % 64 AS INTEGER) AS shard FROM rides"""
+
+ROUTE_SQL = """CASE WHEN method = 'POST' AND path = '/offers' THEN 'create_offer'
+  WHEN method = 'POST' AND path = '/orders' THEN 'create_order'
+  WHEN method = 'GET' AND regexp_matches(path, '^/orders/[^/]+$') THEN 'get_order'
+  WHEN method = 'POST' AND regexp_matches(path, '^/orders/[^/]+/finish$') THEN 'finish_order' ELSE 'other' END"""
+
+LOG_DROP_COUNTS = with_standins("request_log") + """
+SELECT CASE WHEN event = 'request_complete' THEN 'kept' ELSE 'not_request_complete' END AS reason, count(*) AS lines
+FROM request_log GROUP BY 1"""
+
+PANEL_RPS = with_standins("request_log", extra={"rc": "SELECT * FROM request_log WHERE event = 'request_complete'",
+  "tagged": """SELECT 'total' AS panel, ts FROM rc
+    UNION ALL SELECT 'offers', ts FROM rc WHERE path LIKE '%/offers%'
+    UNION ALL SELECT 'orders_post', ts FROM rc WHERE path LIKE '%/orders%' AND method = 'POST'
+    UNION ALL SELECT 'orders_get', ts FROM rc WHERE path LIKE '%/orders/%' AND method = 'GET'
+    UNION ALL SELECT 'finish', ts FROM rc WHERE path LIKE '%/orders/%' AND path LIKE '%finish%' AND method = 'POST'"""}) + """
+SELECT panel, date_trunc('minute', ts) AS minute, count(*) / 60.0 AS rps FROM tagged GROUP BY 1, 2"""
+
+ENDPOINT_LATENCY = with_standins("request_log") + f"""
+SELECT {ROUTE_SQL} AS route,
+  round(quantile_cont(duration_ms, 0.5), 6) AS p50, round(quantile_cont(duration_ms, 0.95), 6) AS p95,
+  round(quantile_cont(duration_ms, 0.99), 6) AS p99
+FROM request_log WHERE event = 'request_complete' GROUP BY 1"""
+
+ENDPOINT_ERROR_RATE = with_standins("request_log") + f"""
+SELECT {ROUTE_SQL} AS route, count(*) AS requests, CAST(sum(CASE WHEN status_code >= 400 THEN 1 ELSE 0 END) AS BIGINT) AS errors,
+  CAST(sum(CASE WHEN status_code >= 400 THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS error_rate
+FROM request_log WHERE event = 'request_complete' GROUP BY 1"""
+
+ERROR_RATE_ALERTS = with_standins("request_log", extra={"pm": """SELECT date_trunc('minute', ts) AS minute, count(*) AS requests,
+    CAST(sum(CASE WHEN status_code >= 400 THEN 1 ELSE 0 END) AS BIGINT) AS errors,
+    CAST(sum(CASE WHEN status_code >= 400 THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS error_rate
+    FROM request_log WHERE event = 'request_complete' GROUP BY 1""",
+  "lagged": """SELECT *, lag(minute) OVER (ORDER BY minute) AS pmin, lag(error_rate) OVER (ORDER BY minute) AS prate FROM pm"""}) + """
+SELECT minute, requests, errors, error_rate FROM lagged
+WHERE error_rate > 0.05 AND prate > 0.05 AND pmin = minute - INTERVAL 1 MINUTE"""
+
+LOG_TAIL = with_standins("request_log") + """
+SELECT ts, method, path, status_code, duration_ms, event_id FROM request_log WHERE event = 'request_complete'
+ORDER BY ts DESC, event_id DESC LIMIT 1000"""
+
+REQUEST_COMPLETE_RECORDS = with_standins("request_log") + f"""
+SELECT ts, method, path, status_code, duration_ms, {ROUTE_SQL} AS route,
+  CASE WHEN status_code >= 400 THEN 'error' ELSE 'info' END AS level,
+  CASE WHEN status_code >= 500 THEN 'HTTP request failed' WHEN status_code >= 400 THEN 'HTTP request client error'
+       ELSE 'HTTP request completed' END AS message,
+  CASE WHEN status_code >= 400 THEN status_code END AS error_code,
+  nullif(regexp_extract(path, '^/orders/([^/]+)', 1), '') AS path_order_id, user_id
+FROM request_log WHERE event = 'request_complete'"""
+
 ORACLE: dict[str, str] = {
+    "log_drop_counts": LOG_DROP_COUNTS,
+    "panel_rps": PANEL_RPS,
+    "endpoint_latency": ENDPOINT_LATENCY,
+    "endpoint_error_rate": ENDPOINT_ERROR_RATE,
+    "error_rate_alerts": ERROR_RATE_ALERTS,
+    "log_tail": LOG_TAIL,
+    "request_complete_records": REQUEST_COMPLETE_RECORDS,
+    "order_lookup": ORDER_LOOKUP,
+    "user_order_history": USER_HISTORY,
+    "latest_order_per_offer": LATEST_ORDER_PER_OFFER,
+    "expired_orders": EXPIRED_ORDERS,
+    "cleanup_audit_log": CLEANUP_AUDIT_LOG,
+    "cleanup_summary": CLEANUP_SUMMARY,
+    "orders_after_cleanup": ORDERS_AFTER_CLEANUP,
+    "ledger_after_cleanup": LEDGER_AFTER_CLEANUP,
+    "cascade_orphans": CASCADE_ORPHANS,
+    "ride_status_view": RIDE_STATUS_VIEW,
+    "order_shard_map": ORDER_SHARD_MAP,
     "finish_outcomes": FINISH_OUTCOMES,
     "finish_ledger": FINISH_LEDGER,
     "orders_after_finish": ORDERS_AFTER_FINISH,

@@ -10,7 +10,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators import admission, enrich, finish, offers, ttl
+from pyspark.sql import functions as F
+
+from .functions import logfmt
+from .operators import admission, enrich, finish, logs, lookup, offers, retention, ttl
 from .sources import standins as si
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,7 +113,144 @@ def ride_billing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish.ride_billing_summary(si.rides(spark, sf_dir))
 
 
+RIDES_AS_OF = "1998-01-01 00:00:00"
+
+
+def order_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every GET /orders/{id} of the request log resolved against orders."""
+    log = si.request_log(spark, sf_dir).where(F.col("method") == "GET")
+    ids = log.select("path", logfmt.path_order_id(F.col("path")).alias("requested_id"))
+    return lookup.lookup_orders(ids, si.rides(spark, sf_dir), id_col="requested_id")
+
+
+def user_order_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of 1996 numbered per user."""
+    return lookup.user_history(si.rides(spark, sf_dir), "1996-01-01 00:00:00",
+                               "1997-01-01 00:00:00")
+
+
+def latest_order_per_offer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest admitted order per offer."""
+    return lookup.latest_order_per_offer(admission.created_orders(_admitted(spark, sf_dir)))
+
+
+def expired_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders older than 24 h at the as-of time, oldest first."""
+    return lookup.expired_orders(si.rides(spark, sf_dir), RIDES_AS_OF)
+
+
+def cleanup_audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """order_deleted audit lines of a cleanup run."""
+    return retention.audit_lines(lookup.expired_orders(si.rides(spark, sf_dir), RIDES_AS_OF),
+                                 RIDES_AS_OF)
+
+
+def _cleanup(spark: SparkSession, sf_dir: str) -> dict:
+    orders, done = _finished(spark, sf_dir)
+    snap = finish.apply_finish(orders, done)
+    return retention.cleanup(snap, _ledger(spark, sf_dir), RIDES_AS_OF)
+
+
+def cleanup_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One cleanup run over the order world: counts deleted."""
+    return _cleanup(spark, sf_dir)["summary"]
+
+
+def orders_after_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders snapshot without the removed orders (anti join)."""
+    return _cleanup(spark, sf_dir)["orders"]
+
+
+def ledger_after_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger snapshot with the cascade applied."""
+    return _cleanup(spark, sf_dir)["ledger"]
+
+
+def cascade_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger rows left without an order if the cascade were skipped."""
+    c = _cleanup(spark, sf_dir)
+    return lookup.orphan_ledger_rows(_ledger(spark, sf_dir), c["orders"])
+
+
+def ride_status_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Active rides with scooter charge and running cost at an as-of time."""
+    return lookup.ride_status_view(si.rides(spark, sf_dir), si.scooters(spark, sf_dir),
+                                   "2001-09-01 00:00:00")
+
+
+def order_shard_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order id -> shard (64 shards by user)."""
+    return lookup.order_shard_map(si.rides(spark, sf_dir), 64)
+
+
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded request_complete records of the raw log (F12 filter, then from_json)."""
+    raw = si.request_log(spark, sf_dir).select("ts", "event_id", "log_line")
+    return logs.parse_request_complete(raw).withColumn(
+        "route", logfmt.route(F.col("method"), F.col("path")))
+
+
+def log_drop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lines kept vs dropped by the request_complete filter."""
+    return logs.drop_counts(si.request_log(spark, sf_dir))
+
+
+def panel_rps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-minute RPS of the five dashboard panels."""
+    return logs.panel_rps(si.request_log(spark, sf_dir))
+
+
+def endpoint_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact p50/p95/p99 latency per route."""
+    q = logs.latency_quantiles(_records(spark, sf_dir), ["route"])
+    return q.select("route", *[F.round(c, 6).alias(c) for c in ("p50", "p95", "p99")])
+
+
+def endpoint_error_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error share per route."""
+    return logs.error_rates(_records(spark, sf_dir), ["route"])
+
+
+def error_rate_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minutes closing two adjacent minutes with error rate > 5 %."""
+    return logs.error_rate_alerts(_records(spark, sf_dir))
+
+
+def log_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest 1000 request_complete records."""
+    return logs.tail(_records(spark, sf_dir), 1000, tiebreak="event_id").select(
+        "ts", "method", "path", "status_code", "duration_ms", "event_id")
+
+
+def request_complete_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded request_complete records with derived fields."""
+    r = _records(spark, sf_dir)
+    st = F.col("status_code")
+    return r.select("ts", "method", "path", "status_code", "duration_ms", "route",
+                    logfmt.log_level(st).alias("level"), logfmt.log_message(st).alias("message"),
+                    logfmt.error_code(st).alias("error_code"),
+                    logfmt.path_order_id(F.col("path")).alias("path_order_id"), "user_id")
+
+
 QUERIES: dict[str, Query] = {
+    "log_drop_counts": log_drop_counts,
+    "panel_rps": panel_rps,
+    "endpoint_latency": endpoint_latency,
+    "endpoint_error_rate": endpoint_error_rate,
+    "error_rate_alerts": error_rate_alerts,
+    "log_tail": log_tail,
+    "request_complete_records": request_complete_records,
+    "order_lookup": order_lookup,
+    "user_order_history": user_order_history,
+    "latest_order_per_offer": latest_order_per_offer,
+    "expired_orders": expired_orders,
+    "cleanup_audit_log": cleanup_audit_log,
+    "cleanup_summary": cleanup_summary,
+    "orders_after_cleanup": orders_after_cleanup,
+    "ledger_after_cleanup": ledger_after_cleanup,
+    "cascade_orphans": cascade_orphans,
+    "ride_status_view": ride_status_view,
+    "order_shard_map": order_shard_map,
     "finish_outcomes": finish_outcomes,
     "finish_ledger": finish_ledger,
     "orders_after_finish": orders_after_finish,
