@@ -64,7 +64,7 @@ UNION ALL
 SELECT 'order-' || CAST(o_orderkey AS VARCHAR) || '-' || CAST(b AS VARCHAR) AS order_id, 'unhold' AS op, o_orderpriority <> '5-LOW' AS success
 FROM orders, (VALUES (0), (1)) t(b)""",
     "order_reads": """
-SELECT 'order-' || CAST(l_orderkey AS VARCHAR) AS order_id, o_orderdate + INTERVAL 7 MINUTE * l_linenumber AS ts,
+SELECT 'order-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber % 2 AS VARCHAR) AS order_id, o_orderdate + INTERVAL 7 MINUTE * l_linenumber AS ts,
        l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "request_log": f"""
@@ -91,7 +91,7 @@ def with_standins(*names: str, extra: dict[str, str] | None = None,
 
 
 def chain_ctes(name: str, src: str, keys: list[str], ts: str, order: list[str],
-               ttl_seconds: int) -> dict[str, str]:
+               ttl_seconds: int, force: str | None = None) -> dict[str, str]:
     """Sequential TTL chain as a recursive CTE: row n is an anchor iff
     ts >= anchor(n-1) + ttl; returns CTEs ``{name}_b`` and ``{name}``."""
     kl = ", ".join(keys)
@@ -99,6 +99,10 @@ def chain_ctes(name: str, src: str, keys: list[str], ts: str, order: list[str],
     on = " AND ".join([f"b.{k} = c.{k}" for k in keys] + ["b._rn = c._rn + 1"])
     carry = ", ".join(f"b.{c}" for c in keys + order)
     cond = f"b.{ts} >= c._anchor + INTERVAL {int(ttl_seconds)} SECOND"
+    if force:
+        cond = f"(b.{force} OR {cond})"
+        order = order + [force]
+        carry = carry + f", b.{force}"
     return {
         f"{name}_b": f"SELECT {kl}, {', '.join(order)}, {ts}, row_number() OVER (PARTITION BY {kl} ORDER BY {ol}) AS _rn FROM {src}",
         name: (f"SELECT {kl}, {', '.join(order)}, {ts}, _rn, {ts} AS _anchor, true AS _is_anchor FROM {name}_b WHERE _rn = 1 "
@@ -472,7 +476,130 @@ SELECT ts, method, path, status_code, duration_ms, {ROUTE_SQL} AS route,
   nullif(regexp_extract(path, '^/orders/([^/]+)', 1), '') AS path_order_id, user_id
 FROM request_log WHERE event = 'request_complete'"""
 
+def _violations(table: str, checks: dict[str, str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{k}' AS rule, CAST(coalesce(sum(CASE WHEN {v} THEN 1 ELSE 0 END), 0) AS BIGINT) AS violations FROM {table}"
+        for k, v in checks.items())
+
+
+def _dups(table: str, key: str, name: str) -> str:
+    return (f"SELECT '{name}' AS rule, (SELECT count(*) FROM (SELECT {key} FROM {table} GROUP BY {key} "
+            f"HAVING count(*) > 1)) AS violations")
+
+
+_ORDER_NN = ["id", "user_id", "scooter_id", "offer_id", "price_per_minute", "price_unlock", "deposit",
+             "total_amount", "status", "start_time", "created_at", "updated_at"]
+_TXN_NN = ["id", "order_id", "user_id", "transaction_type", "amount", "status", "created_at"]
+_ORDER_LEN = {"id": 255, "user_id": 255, "scooter_id": 255, "offer_id": 255, "status": 50}
+_TXN_LEN = {"id": 255, "order_id": 255, "user_id": 255, "transaction_type": 50, "status": 50,
+            "external_transaction_id": 255}
+
+CONSTRAINT_VIOLATIONS = with_standins(*_FIN_SRC, extra=_WORLD) + " UNION ALL ".join([
+    _violations("snap", {**{f"orders.{c}.not_null": f"{c} IS NULL" for c in _ORDER_NN},
+                         **{f"orders.{c}.length": f"length({c}) > {n}" for c, n in _ORDER_LEN.items()},
+                         "orders.status.domain": "status NOT IN ('ACTIVE', 'FINISHED', 'CANCELLED', 'PAYMENT_FAILED')"}),
+    _dups("snap", "id", "orders.id.unique"),
+    _violations("ledger", {**{f"ledger.{c}.not_null": f"{c} IS NULL" for c in _TXN_NN},
+                           **{f"ledger.{c}.length": f"length({c}) > {n}" for c, n in _TXN_LEN.items()},
+                           "ledger.transaction_type.domain": "transaction_type NOT IN ('HOLD', 'CLEAR', 'REFUND')",
+                           "ledger.status.domain": "status NOT IN ('SUCCESS', 'FAILED', 'PENDING')"}),
+    _dups("ledger", "id", "ledger.id.unique")])
+
+_SAVED = """SELECT offer_id AS id, user_id, scooter_id, zone_id, price_per_minute, price_unlock, deposit,
+    requested_at AS created_at, expires_at FROM offer_out WHERE is_new_offer"""
+
+OFFER_CONTRACT_CHECKS = with_standins("users", "zones", "scooters", "offer_requests",
+                                      extra={**_CREATION, "saved": _SAVED}, recursive=True) + " UNION ALL ".join([
+    _violations("saved", {**{f"offer.{c}.required": f"{c} IS NULL" for c in
+                             ["id", "user_id", "scooter_id", "zone_id", "price_per_minute", "price_unlock",
+                              "deposit", "expires_at"]},
+                          **{f"offer.{c}.non_negative": f"{c} < 0" for c in
+                             ("price_per_minute", "price_unlock", "deposit")},
+                          "offer.ttl": "abs(date_diff('second', created_at, expires_at) - 300) > 10"}),
+    _dups("saved", "id", "offer.id.unique")])
+
+ORDER_CONTRACT_CHECKS = with_standins(*_FIN_SRC, extra={**_WORLD, "oj": """SELECT s.*, o.id AS of_id,
+    o.price_per_minute AS of_ppm, o.price_unlock AS of_unlock, o.deposit AS of_dep
+    FROM snap s LEFT JOIN offers o ON s.offer_id = o.id"""}) + " UNION ALL ".join([
+    _violations("oj", {
+        "order.status.valid": "status NOT IN ('ACTIVE', 'FINISHED', 'CANCELLED', 'PAYMENT_FAILED')",
+        "order.finished.fields": "status IN ('FINISHED', 'PAYMENT_FAILED') AND (finish_time IS NULL OR duration_seconds IS NULL)",
+        "order.finished.total": """status IN ('FINISHED', 'PAYMENT_FAILED') AND total_amount <> CAST(CASE WHEN duration_seconds < 5 THEN 0
+            ELSE coalesce(price_unlock, 0) + ((duration_seconds + 59) // 60) * coalesce(price_per_minute, 0) END AS INTEGER)""",
+        "order.prices_match_offer": "of_id IS NOT NULL AND (price_per_minute <> of_ppm OR price_unlock <> of_unlock OR deposit <> of_dep)"}),
+    _dups("snap", "offer_id", "order.one_per_offer")])
+
+LEDGER_INVARIANTS = with_standins(*_FIN_SRC, extra=_WORLD) + """
+SELECT 'hold_without_order' AS rule, (SELECT count(*) FROM ledger WHERE transaction_type = 'HOLD' AND status = 'SUCCESS'
+    AND order_id NOT IN (SELECT id FROM snap)) AS violations
+UNION ALL SELECT 'charged_twice', (SELECT count(*) FROM (SELECT order_id FROM ledger WHERE transaction_type = 'CLEAR'
+    AND status = 'SUCCESS' GROUP BY order_id HAVING count(*) > 1))
+UNION ALL SELECT 'finished_without_refund', (SELECT count(*) FROM snap WHERE status = 'FINISHED' AND id NOT IN
+    (SELECT order_id FROM ledger WHERE transaction_type = 'REFUND' AND status = 'SUCCESS'))"""
+
+SCENARIO_REPORT = with_standins("order_requests", "offers", extra=_ADMISSION) + """
+SELECT CAST(sum(CASE WHEN outcome = 'CREATED' THEN 1 ELSE 0 END) AS BIGINT) AS successes,
+  CAST(sum(CASE WHEN outcome <> 'CREATED' THEN 1 ELSE 0 END) AS BIGINT) AS failures, count(*) AS total,
+  round(count(*) * 1e6 / CAST(epoch_us(max(requested_at)) - epoch_us(min(requested_at)) AS DOUBLE), 6) AS throughput_per_sec,
+  round(coalesce(sum(CASE WHEN outcome = 'CREATED' THEN 1 ELSE 0 END) * 100.0 / count(*), 0.0), 6) AS success_pct
+FROM admitted"""
+
+PER_USER_OUTCOMES = with_standins("order_requests", "offers", extra=_ADMISSION) + """
+SELECT user_id, CAST(sum(CASE WHEN outcome = 'CREATED' THEN 1 ELSE 0 END) AS BIGINT) AS successes,
+  CAST(sum(CASE WHEN outcome <> 'CREATED' THEN 1 ELSE 0 END) AS BIGINT) AS failures
+FROM admitted GROUP BY user_id"""
+
+BUSINESS_COUNTERS = with_standins("users", "zones", "scooters", "offer_requests", *_FIN_SRC,
+                                  extra={**_CREATION, **_WORLD}, recursive=True) + """
+SELECT (SELECT count(*) FROM offer_out WHERE is_new_offer) AS offers_created,
+  (SELECT count(*) FROM admitted WHERE outcome = 'CREATED') AS orders_created,
+  (SELECT count(*) FROM snap WHERE status = 'ACTIVE') AS active_rides,
+  (SELECT count(*) FROM admitted WHERE outcome = 'PAYMENT_HOLD_FAILED') + (SELECT count(*) FROM snap WHERE status = 'PAYMENT_FAILED') AS payment_errors,
+  (SELECT CAST(coalesce(sum(amount), 0) AS BIGINT) FROM ledger WHERE transaction_type = 'CLEAR' AND status = 'SUCCESS') AS revenue"""
+
+CONVERSION_RATE = with_standins("order_requests", "offers", extra={**_ADMISSION, "ord": _ORD}) + """
+SELECT count(*) AS offers, count(u.offer_id) AS converted, CAST(count(u.offer_id) AS DOUBLE) / count(*) AS conversion_rate
+FROM (SELECT DISTINCT id FROM offers) o LEFT JOIN (SELECT DISTINCT offer_id FROM ord) u ON o.id = u.offer_id"""
+
+_CACHE = {
+    **_FINISH,
+    "ev0": f"""SELECT order_id, requested_at AS ts, {TB}, 0 AS kind FROM admitted WHERE outcome = 'CREATED'
+        UNION ALL SELECT order_id, requested_at, {TB}, 1 FROM finished WHERE outcome IN ('FINISHED', 'PAYMENT_FAILED')
+        UNION ALL SELECT order_id, ts, {TB}, 2 FROM order_reads""",
+    "ev": """SELECT e.*, o.id IS NOT NULL AND o.created_at <= e.ts AS ex, e.kind < 2 AS forced
+        FROM ev0 e LEFT JOIN ord o ON e.order_id = o.id""",
+    **chain_ctes("cch", "ev WHERE forced OR (kind = 2 AND ex)", ["order_id"], "ts",
+                 ["kind", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"],
+                 1800, force="forced"),
+    "cflag": f"""SELECT e.*, coalesce(c._is_anchor, false) AS is_anchor,
+        max(CASE WHEN c._is_anchor THEN e.ts END) OVER (PARTITION BY e.order_id ORDER BY e.ts, e.kind, {', '.join('e.' + c for c in TB.split(', '))}
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS anchor_ts
+        FROM ev e LEFT JOIN cch c ON e.order_id = c.order_id AND e.kind = c.kind AND e.ts = c.ts
+          AND e.l_orderkey = c.l_orderkey AND e.l_linenumber = c.l_linenumber AND e.l_partkey = c.l_partkey
+          AND e.l_suppkey = c.l_suppkey AND e.l_extendedprice = c.l_extendedprice AND e.l_shipdate = c.l_shipdate""",
+    "replay": f"""SELECT order_id, ts, {TB}, CASE WHEN NOT ex THEN 'ABSENT' WHEN is_anchor THEN 'MISS'
+        WHEN anchor_ts IS NOT NULL AND ts < anchor_ts + INTERVAL 1800 SECOND THEN 'HIT' ELSE 'MISS' END AS cache_result
+        FROM cflag WHERE kind = 2""",
+}
+_CACHE_SRC = _FIN_SRC + ("order_reads",)
+
+ORDER_CACHE_REPLAY = with_standins(*_CACHE_SRC, extra=_CACHE, recursive=True) + "SELECT * FROM replay"
+
+CACHE_HIT_RATE = with_standins(*_CACHE_SRC, extra=_CACHE, recursive=True) + """
+SELECT count(*) AS reads, CAST(sum(CASE WHEN cache_result = 'HIT' THEN 1 ELSE 0 END) AS BIGINT) AS hits,
+  CAST(sum(CASE WHEN cache_result = 'HIT' THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS hit_rate FROM replay"""
+
 ORACLE: dict[str, str] = {
+    "constraint_violations": CONSTRAINT_VIOLATIONS,
+    "offer_contract_checks": OFFER_CONTRACT_CHECKS,
+    "order_contract_checks": ORDER_CONTRACT_CHECKS,
+    "ledger_invariants": LEDGER_INVARIANTS,
+    "scenario_report": SCENARIO_REPORT,
+    "per_user_outcomes": PER_USER_OUTCOMES,
+    "business_counters": BUSINESS_COUNTERS,
+    "conversion_rate": CONVERSION_RATE,
+    "order_cache_replay": ORDER_CACHE_REPLAY,
+    "cache_hit_rate": CACHE_HIT_RATE,
     "log_drop_counts": LOG_DROP_COUNTS,
     "panel_rps": PANEL_RPS,
     "endpoint_latency": ENDPOINT_LATENCY,

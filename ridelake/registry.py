@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import logfmt
-from .operators import admission, enrich, finish, logs, lookup, offers, retention, ttl
+from .operators import (admission, enrich, finish, logs, lookup, metrics, offers, quality,
+                        retention, ttl)
 from .sources import standins as si
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -232,7 +233,99 @@ def request_complete_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                     logfmt.path_order_id(F.col("path")).alias("path_order_id"), "user_id")
 
 
+def _world(spark: SparkSession, sf_dir: str):
+    """Orders snapshot after finishes and the full ledger (HOLD + CLEAR + REFUND)."""
+    admitted = _admitted(spark, sf_dir)
+    orders = admission.created_orders(admitted)
+    done = finish.finish_rides(orders, si.finish_requests(spark, sf_dir),
+                               si.payment_outcomes(spark, sf_dir), si.ORDER_REQUEST_TIEBREAK)
+    ledger = admission.hold_ledger_rows(admitted).unionByName(finish.finish_ledger(done))
+    return admitted, orders, done, finish.apply_finish(orders, done), ledger
+
+
+def constraint_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NOT NULL, length, domain and key checks on orders and ledger."""
+    _, _, _, snap, ledger = _world(spark, sf_dir)
+    return quality.order_constraints(snap).unionByName(quality.ledger_constraints(ledger))
+
+
+def offer_contract_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q01/Q02/Q04 on the offers saved by offer creation."""
+    return quality.offer_contract(offers.saved_offers(offer_creation(spark, sf_dir)))
+
+
+def order_contract_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q03/Q05/Q06/Q07 on the orders snapshot against the offers."""
+    _, _, _, snap, _ = _world(spark, sf_dir)
+    return quality.order_contract(snap, si.offers(spark, sf_dir))
+
+
+def ledger_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q08/Q09/Q10 ledger reconciliation."""
+    _, _, _, snap, ledger = _world(spark, sf_dir)
+    return quality.ledger_invariants(snap, ledger)
+
+
+def _attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _admitted(spark, sf_dir).select(
+        "user_id", F.col("requested_at").alias("ts"),
+        (F.col("outcome") == "CREATED").alias("success"))
+
+
+def scenario_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Successes, failures, throughput and success % of order attempts."""
+    return metrics.scenario_report(_attempts(spark, sf_dir))
+
+
+def per_user_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order attempt successes and failures per user."""
+    return metrics.per_user_outcomes(_attempts(spark, sf_dir))
+
+
+def business_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offers, orders, active rides, payment errors, revenue."""
+    admitted, _, _, snap, ledger = _world(spark, sf_dir)
+    return metrics.business_counters(offer_creation(spark, sf_dir), admitted, snap, ledger)
+
+
+def conversion_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: offers that became orders."""
+    orders = admission.created_orders(_admitted(spark, sf_dir))
+    offs = si.offers(spark, sf_dir).select(F.col("id").alias("offer_id"))
+    return metrics.conversion_rate(offs, orders)
+
+
+def _cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    admitted, orders, done, _, _ = _world(spark, sf_dir)
+    tb = si.ORDER_REQUEST_TIEBREAK
+    creates = admitted.where(F.col("outcome") == "CREATED").select(
+        "order_id", F.col("requested_at").alias("ts"), *tb)
+    fins = done.where(F.col("outcome").isin("FINISHED", "PAYMENT_FAILED")).select(
+        "order_id", F.col("requested_at").alias("ts"), *tb)
+    return metrics.order_cache_replay(creates, si.order_reads(spark, sf_dir), fins, orders, tb)
+
+
+def order_cache_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """HIT / MISS / ABSENT of every order read under a 30 min read-through cache."""
+    return _cache(spark, sf_dir)
+
+
+def cache_hit_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cache hit rate of the replay."""
+    return metrics.cache_hit_rate(_cache(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
+    "constraint_violations": constraint_violations,
+    "offer_contract_checks": offer_contract_checks,
+    "order_contract_checks": order_contract_checks,
+    "ledger_invariants": ledger_invariants,
+    "scenario_report": scenario_report,
+    "per_user_outcomes": per_user_outcomes,
+    "business_counters": business_counters,
+    "conversion_rate": conversion_rate,
+    "order_cache_replay": order_cache_replay,
+    "cache_hit_rate": cache_hit_rate,
     "log_drop_counts": log_drop_counts,
     "panel_rps": panel_rps,
     "endpoint_latency": endpoint_latency,
