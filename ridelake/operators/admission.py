@@ -13,9 +13,9 @@ the requests are served in ``(requested_at, tiebreak)`` order:
 5. ``PAYMENT_HOLD_FAILED``, ``PERSIST_FAILED`` (hold taken, order not stored:
    an UNHOLD compensation is emitted, T04), else ``CREATED``.
 
-Skew: the first claim per offer and the created marker per order id are
-computed with aggregations (map-side partial aggregation) and joined back, so
-a hot offer or order id never forces its rows through one window task.
+Skew: the first claim per offer is one aggregation (map-side partial
+aggregation) joined back to the requests, so a hot offer never forces its rows
+through one window task; the duplicate test reads the same first-claim row.
 
 When a client reuses one ``order_id`` across several offers, rules 2 and 4
 depend on each other.  Such order ids are detected, the offers they connect
@@ -67,18 +67,18 @@ def admit_orders(requests: DataFrame, offers: DataFrame, tiebreak: list[str],
          .withColumn("_valid", F.col("_reject").isNull() & F.col("_ocheck").isNull())
          .withColumn("_hold_ok", hold_ok).withColumn("_persist_ok", persist_ok))
 
-    # First valid claim per offer, by aggregation
+    # First valid claim per offer, by one aggregation (map-side partial).
+    # W02 follows from the same row: outside conflict components an order id
+    # names a single offer, so the only row that can have created it is that
+    # offer's first claim -- created when its hold (and persist) succeeded.
     first = (j.where("_valid").groupBy(F.col("offer_id").alias("_f_offer"))
-             .agg(F.min("_k").alias("_f_key")))
+             .agg(F.min(F.struct(F.col("_k").alias("k"), F.col("order_id").alias("order_id"),
+                                 (F.col("_hold_ok") & F.col("_persist_ok")).alias("ok")))
+                  .alias("_f")))
     j = j.join(first, j["offer_id"] == first["_f_offer"], "left").drop("_f_offer")
-    j = j.withColumn("_first", F.col("_valid") & (F.col("_k") == F.col("_f_key")))
-    j = j.withColumn("_created", F.col("_first") & F.col("_hold_ok") & F.col("_persist_ok"))
-
-    # Order id already created strictly earlier
-    made = (j.where("_created").groupBy(F.col("order_id").alias("_c_order"))
-            .agg(F.min("_k").alias("_c_key")))
-    j = j.join(made, j["order_id"] == made["_c_order"], "left").drop("_c_order")
-    dup = F.col("_c_key").isNotNull() & (F.col("_c_key") < F.col("_k"))
+    j = j.withColumn("_first", F.col("_valid") & (F.col("_k") == F.col("_f.k")))
+    dup = (F.col("_f.ok") & (F.col("_f.order_id") == F.col("order_id"))
+           & (F.col("_f.k") < F.col("_k")))
 
     outcome = (F.when(F.col("_reject").isNotNull(), F.col("_reject"))
                .when(dup, "DUPLICATE")
@@ -102,20 +102,21 @@ def _finish(out: DataFrame) -> DataFrame:
             .withColumnRenamed("_o_unlock", "offer_price_unlock")
             .withColumnRenamed("_o_deposit", "offer_deposit")
             .drop("_o_id", "_o_owner", "_o_expires", "_k", "_reject", "_ocheck", "_valid",
-                  "_hold_ok", "_persist_ok", "_f_key", "_first", "_created", "_c_key"))
+                  "_hold_ok", "_persist_ok", "_f", "_first"))
 
 
 def _conflicting_offers(requests: DataFrame) -> DataFrame | None:
     """Offers linked through an order id that names more than one offer,
     labelled by connected component (``_comp`` = smallest offer id)."""
-    pairs = (requests.where(~_blank(F.col("order_id")) & ~_blank(F.col("offer_id")))
-             .select("order_id", "offer_id").distinct())
-    multi = (pairs.groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"))
-             .where("_n > 1").select("order_id"))
+    named = requests.where(~_blank(F.col("order_id")) & ~_blank(F.col("offer_id")))
+    multi = (named.groupBy("order_id")
+             .agg(F.min("offer_id").alias("_lo"), F.max("offer_id").alias("_hi"))
+             .where(F.col("_lo") != F.col("_hi")).select("order_id"))
     if multi.limit(1).count() == 0:
         return None
     ensure_checkpoint_dir(requests.sparkSession)
-    edges = pairs.join(multi, "order_id").checkpoint(eager=True)
+    edges = (named.join(multi, "order_id", "left_semi").select("order_id", "offer_id")
+             .distinct().checkpoint(eager=True))
     # min-label propagation over the bipartite order_id -- offer_id graph
     label = edges.select("offer_id").distinct().withColumn("_comp", F.col("offer_id"))
     while True:

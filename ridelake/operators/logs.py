@@ -42,9 +42,20 @@ def read_container_logs(spark, path: str, streaming: bool = False) -> DataFrame:
                       env["time"].alias("envelope_time"))
 
 
+_REGEX_META = set("\\^$.|?*+()[]{}")
+
+
+def line_match(line: Column, pattern: str) -> Column:
+    """``|~ pattern``: a regex search; a pattern without regex metacharacters is
+    a plain substring test (same result, no regex engine)."""
+    if any(ch in _REGEX_META for ch in pattern):
+        return line.rlike(pattern)
+    return line.contains(pattern)
+
+
 def line_filter(line: Column, patterns: list[str]) -> Column:
     """every pattern must match (``|~ a |~ b``)."""
-    return reduce(lambda a, b: a & b, [line.rlike(p) for p in patterns])
+    return reduce(lambda a, b: a & b, [line_match(line, p) for p in patterns])
 
 
 def keep_request_complete(logs: DataFrame, line_col: str = "log_line") -> DataFrame:
@@ -78,14 +89,18 @@ def panel_rps(logs: DataFrame, ts: str = "ts", line_col: str = "log_line",
     """Per panel and minute, matching lines / 60.  One pass: each line
     is tagged with every panel it matches (explode of a short array), then one
     aggregation over (panel, minute)."""
-    panels = panels or PANELS
-    tags = F.array(*[F.when(line_filter(F.col(line_col), pats), F.lit(name))
-                     for name, pats in panels.items()])
     t = logs.select(F.window(F.col(ts), "1 minute").start.alias("minute"),
-                    F.explode(F.array_compact(tags)).alias("panel"))
+                    F.explode(panel_tags(F.col(line_col), panels)).alias("panel"))
     return t.groupBy("panel", "minute").agg((F.count(F.lit(1)) / F.lit(60.0)).alias("rps"))
 
 
+def panel_tags(line: Column, panels: dict[str, list[str]] | None = None) -> Column:
+    """Names of the panels whose line filters a log line passes."""
+    panels = panels or PANELS
+    return F.array_compact(F.array(*[F.when(line_filter(line, pats), F.lit(name))
+                                     for name, pats in panels.items()]))
+
+
 def latency_quantiles(logs: DataFrame, group_cols: list[str], value: str = "duration_ms",
                       probs=(0.5, 0.95, 0.99)) -> DataFrame:
     """Exact p50/p95/p99 per group (linear interpolation), distributed."""

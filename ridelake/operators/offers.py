@@ -33,22 +33,34 @@ def create_offers(requests: DataFrame, scooters: DataFrame, zones: DataFrame,
                   users: DataFrame, configs: DataFrame | None = None,
                   ttl_seconds: int = pricing.OFFER_TTL_SECONDS,
                   keys: tuple[str, ...] = ("user_id", "scooter_id"),
-                  bucket_seconds: int = 3600) -> DataFrame:
+                  bucket_seconds: int = 3600,
+                  prior_anchors: DataFrame | None = None) -> DataFrame:
     """One row per request: outcome (CREATED, REUSED or a reject), the offer
-    returned (id, prices, expiry) and ``is_new_offer``."""
+    returned (id, prices, expiry) and ``is_new_offer``.
+
+    ``prior_anchors`` (same columns as the output) carries the live offers of
+    earlier batches (streaming): they take part in the chain as forced
+    anchors and are not returned."""
     priced = price_offer_requests(requests, scooters, zones, users, configs,
-                                  with_lookup_zone=True)
+                                  with_lookup_zone=True).withColumn("_prior", F.lit(False))
+    if prior_anchors is not None:
+        prior = prior_anchors.select(
+            F.lit("").alias("request_id"), "user_id", "scooter_id", "requested_at",
+            F.lit("CREATED").alias("outcome"), F.lit(201).alias("http_status"), "zone_id",
+            "price_per_minute", "price_unlock", "deposit", "offer_id", "expires_at",
+            F.col("zone_id").alias("lookup_zone_id"), F.lit(True).alias("_prior"))
+        priced = priced.unionByName(prior)
     valid = ~F.col("outcome").isin(*VALIDATION_REJECTS)
     chained = ttl_chain(priced, list(keys), "requested_at", ["request_id"], ttl_seconds,
                         eligible=valid & (F.col("outcome") == "CREATED"),
-                        bucket_seconds=bucket_seconds)
+                        force=F.col("_prior"), bucket_seconds=bucket_seconds)
     reused = valid & F.col("covered") & ~F.col("is_anchor")
     anchors = chained.where(F.col("is_anchor")).select(
         *keys, F.col("requested_at").alias("anchor_ts"),
         *[F.col(c).alias(f"_a_{c}") for c in
           ("zone_id", "price_per_minute", "price_unlock", "deposit", "offer_id",
            "expires_at")])
-    j = chained.join(anchors, list(keys) + ["anchor_ts"], "left")
+    j = chained.join(anchors, list(keys) + ["anchor_ts"], "left").where(~F.col("_prior"))
     outcome = (F.when(reused, F.lit("REUSED"))
                .when(F.col("is_anchor"), F.lit("CREATED")).otherwise(F.col("outcome")))
 

@@ -589,7 +589,67 @@ CACHE_HIT_RATE = with_standins(*_CACHE_SRC, extra=_CACHE, recursive=True) + """
 SELECT count(*) AS reads, CAST(sum(CASE WHEN cache_result = 'HIT' THEN 1 ELSE 0 END) AS BIGINT) AS hits,
   CAST(sum(CASE WHEN cache_result = 'HIT' THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS hit_rate FROM replay"""
 
+_ARCH_ORDER_COLS = ("id, user_id, scooter_id, offer_id, price_per_minute, price_unlock, deposit, total_amount, status, "
+                    "start_time, finish_time, duration_seconds, created_at, updated_at")
+_LEDGER_ONLY = "order_id, transaction_type, amount, external_transaction_id, error_message"
+
+
+def _archive_union(orders: str, ledger: str) -> str:
+    return f"""SELECT 'order' AS type, {_ARCH_ORDER_COLS}, CAST(NULL AS VARCHAR) AS order_id, CAST(NULL AS VARCHAR) AS transaction_type,
+        CAST(NULL AS INTEGER) AS amount, CAST(NULL AS VARCHAR) AS external_transaction_id, CAST(NULL AS VARCHAR) AS error_message,
+        created_at AS order_created_at FROM {orders}
+      UNION ALL
+      SELECT 'transaction', l.id, l.user_id, NULL, NULL, NULL, NULL, NULL, NULL, l.status, NULL, NULL, NULL, l.created_at, NULL,
+        l.order_id, l.transaction_type, l.amount, l.external_transaction_id, l.error_message, o.created_at
+      FROM {ledger} l JOIN {orders} o ON l.order_id = o.id"""
+
+
+def _hour_cols(c: str) -> str:
+    return (f"strftime({c}, '%Y') AS yyyy, strftime({c}, '%m') AS mm, strftime({c}, '%d') AS dd, "
+            f"strftime({c}, '%H') AS hh")
+
+
+ARCHIVE_RECORDS = with_standins(*_FIN_SRC, extra={**_WORLD, "arch": _archive_union("snap", "ledger")}) + f"""
+SELECT *, {_hour_cols('order_created_at')} FROM arch"""
+
+_HIST = {**_WORLD,
+         "hot_o": "SELECT * FROM snap WHERE id NOT IN (SELECT id FROM gone)",
+         "hot_l": "SELECT * FROM ledger WHERE order_id NOT IN (SELECT id FROM gone)",
+         "cold": _archive_union("(SELECT * FROM snap WHERE id IN (SELECT id FROM gone))", "ledger"),
+         "h_o": f"""SELECT {_ARCH_ORDER_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY hot DESC) AS rn FROM (
+             SELECT {_ARCH_ORDER_COLS}, 1 AS hot FROM hot_o UNION ALL SELECT {_ARCH_ORDER_COLS}, 0 FROM cold WHERE type = 'order')
+             WHERE created_at >= TIMESTAMP '1997-06-01 00:00:00' AND created_at < TIMESTAMP '1998-01-01 00:00:00') WHERE rn = 1""",
+         "h_l": """SELECT id, order_id, user_id, transaction_type, amount, status, external_transaction_id, error_message, created_at
+             FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY hot DESC) AS rn FROM (
+             SELECT *, 1 AS hot FROM hot_l UNION ALL
+             SELECT id, order_id, user_id, transaction_type, amount, status, external_transaction_id, error_message, created_at, 0
+             FROM cold WHERE type = 'transaction') WHERE order_id IN (SELECT id FROM h_o)) WHERE rn = 1"""}
+
+HOT_COLD_HISTORY = with_standins(*_FIN_SRC, extra=_HIST) + f"""
+SELECT 'order' AS type, {_ARCH_ORDER_COLS}, CAST(NULL AS VARCHAR) AS order_id, CAST(NULL AS VARCHAR) AS transaction_type,
+  CAST(NULL AS INTEGER) AS amount, CAST(NULL AS VARCHAR) AS external_transaction_id, CAST(NULL AS VARCHAR) AS error_message FROM h_o
+UNION ALL
+SELECT 'transaction', id, user_id, NULL, NULL, NULL, NULL, NULL, NULL, status, NULL, NULL, NULL, created_at, NULL,
+  order_id, transaction_type, amount, external_transaction_id, error_message FROM h_l"""
+
+PAYMENT_RETRY_WORKLIST = with_standins(*_FIN_SRC, extra=_WORLD) + """
+SELECT id AS order_id, user_id, 'CLEAR' AS retry_op, total_amount AS amount FROM snap
+WHERE status = 'PAYMENT_FAILED' AND id NOT IN (SELECT order_id FROM ledger WHERE transaction_type = 'CLEAR' AND status = 'SUCCESS')
+UNION ALL
+SELECT id, user_id, 'REFUND', deposit FROM snap
+WHERE status = 'PAYMENT_FAILED' AND id NOT IN (SELECT order_id FROM ledger WHERE transaction_type = 'CLEAR' AND status = 'SUCCESS')"""
+
+STREAM_ORDER_INTAKE = with_standins("order_requests") + """
+SELECT order_id, CAST(1 AS BIGINT) AS emitted FROM (SELECT DISTINCT order_id FROM order_requests)"""
+
 ORACLE: dict[str, str] = {
+    "archive_records": ARCHIVE_RECORDS,
+    "hot_cold_history": HOT_COLD_HISTORY,
+    "payment_retry_worklist": PAYMENT_RETRY_WORKLIST,
+    "stream_panel_rps": PANEL_RPS,
+    "stream_order_intake": STREAM_ORDER_INTAKE,
+    "stream_offer_pricing": OFFER_PRICING,
+    "stream_offer_creation": OFFER_CREATION,
     "constraint_violations": CONSTRAINT_VIOLATIONS,
     "offer_contract_checks": OFFER_CONTRACT_CHECKS,
     "order_contract_checks": ORDER_CONTRACT_CHECKS,

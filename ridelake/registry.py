@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import logfmt
-from .operators import (admission, enrich, finish, logs, lookup, metrics, offers, quality,
-                        retention, ttl)
+from .operators import (admission, archive, enrich, finish, logs, lookup, metrics, offers,
+                        quality, retention, ttl)
+from .streaming import jobs
 from .sources import standins as si
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -315,7 +316,65 @@ def cache_hit_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.cache_hit_rate(_cache(spark, sf_dir))
 
 
+def archive_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tagged order + transaction archive records with hour partitions."""
+    _, _, _, snap, ledger = _world(spark, sf_dir)
+    return archive.archive_records(snap, ledger)
+
+
+def hot_cold_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History of Jun-Dec 1997 merged from the hot tables left by a
+    cleanup and the archive records of the removed orders (hot wins)."""
+    _, _, _, snap, ledger = _world(spark, sf_dir)
+    c = retention.cleanup(snap, ledger, RIDES_AS_OF)
+    cold_orders = snap.join(c["expired"].select(F.col("id").alias("_x")),
+                            snap["id"] == F.col("_x"), "left_semi")
+    cold = archive.archive_records(cold_orders, ledger)
+    return archive.hot_cold_history(c["orders"], c["ledger"], cold,
+                                    "1997-06-01 00:00:00", "1998-01-01 00:00:00")
+
+
+def payment_retry_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CLEAR and REFUND retries for PAYMENT_FAILED orders."""
+    _, _, _, snap, ledger = _world(spark, sf_dir)
+    return archive.payment_retry_worklist(snap, ledger)
+
+
+def stream_panel_rps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Panel RPS computed by a watermarked streaming aggregation."""
+    return jobs.stream_panel_rps(jobs.table_stream(spark, sf_dir, "events"))
+
+
+def stream_order_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming intake with order_id repeats collapsed within the horizon."""
+    li = jobs.table_stream(spark, sf_dir, "lineitem")
+    req = si.order_requests_from_lineitem(li, si.read_table(spark, sf_dir, "orders"))
+    kept = jobs.stream_order_intake(req)
+    return kept.groupBy("order_id").agg(F.count(F.lit(1)).alias("emitted"))
+
+
+def stream_offer_pricing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming offer enrichment and pricing (stream-static joins)."""
+    req = si.offer_requests_from_events(jobs.table_stream(spark, sf_dir, "events"))
+    return jobs.stream_offer_pricing(req, si.scooters(spark, sf_dir), si.zones(spark, sf_dir),
+                                     si.users(spark, sf_dir))
+
+
+def stream_offer_creation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T01 streaming: offer creation with reuse carried across micro-batches."""
+    req = si.offer_requests_from_events(jobs.table_stream(spark, sf_dir, "events"))
+    return jobs.stream_offer_creation(req, si.scooters(spark, sf_dir), si.zones(spark, sf_dir),
+                                      si.users(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
+    "archive_records": archive_records,
+    "hot_cold_history": hot_cold_history,
+    "payment_retry_worklist": payment_retry_worklist,
+    "stream_panel_rps": stream_panel_rps,
+    "stream_order_intake": stream_order_intake,
+    "stream_offer_pricing": stream_offer_pricing,
+    "stream_offer_creation": stream_offer_creation,
     "constraint_violations": constraint_violations,
     "offer_contract_checks": offer_contract_checks,
     "order_contract_checks": order_contract_checks,

@@ -55,7 +55,11 @@ def scooters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def offer_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_table(spark, sf_dir, "events")
+    return offer_requests_from_events(read_table(spark, sf_dir, "events", spread=True))
+
+
+def offer_requests_from_events(e: DataFrame) -> DataFrame:
+    """Offer requests from an events frame (batch or streaming)."""
     return e.where(F.col("event_type").isin("view", "click")).select(
         _sid("req-", F.col("event_id")).alias("request_id"),
         _sid("user-", F.col("user_id")).alias("user_id"),
@@ -65,7 +69,7 @@ def offer_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
+    o = read_table(spark, sf_dir, "orders", spread=True)
     k = F.col("o_orderkey")
     return o.where(k % 50 != 49).select(
         _sid("offer-", k).alias("id"),
@@ -85,8 +89,13 @@ ORDER_REQUEST_TIEBREAK = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"
 
 
 def order_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return order_requests_from_lineitem(read_table(spark, sf_dir, "lineitem", spread=True),
+                                        read_table(spark, sf_dir, "orders", spread=True))
+
+
+def order_requests_from_lineitem(li: DataFrame, orders: DataFrame) -> DataFrame:
+    """Order requests from line items (batch or streaming) and static orders."""
+    o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     return j.select(
         F.when(F.col("l_partkey") % 97 == 0, F.lit(""))
@@ -105,7 +114,7 @@ def order_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders fact (ride rows) with a recorded duration for closed rides."""
-    o = read_table(spark, sf_dir, "orders")
+    o = read_table(spark, sf_dir, "orders", spread=True)
     k = F.col("o_orderkey")
     status = (F.when(F.col("o_orderstatus") == "O", "ACTIVE")
               .when(F.col("o_orderstatus") == "F", "FINISHED").otherwise("PAYMENT_FAILED"))
@@ -138,7 +147,7 @@ def _order_suffix_id(k: Column, line: Column) -> Column:
 def finish_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Finish calls: one per line item at its ship time, naming the order id the
     same line item's order request used."""
-    li = read_table(spark, sf_dir, "lineitem")
+    li = read_table(spark, sf_dir, "lineitem", spread=True)
     return li.select(
         _order_suffix_id(F.col("l_orderkey"), F.col("l_linenumber")).alias("order_id"),
         F.col("l_shipdate").alias("requested_at"),
@@ -148,7 +157,7 @@ def finish_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def payment_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S09 feed: charge and unhold results for both order ids of an order key."""
-    o = read_table(spark, sf_dir, "orders").select(
+    o = read_table(spark, sf_dir, "orders", spread=True).select(
         "o_orderkey", "o_orderstatus", "o_orderpriority",
         F.explode(F.array(F.lit(0), F.lit(1))).alias("_b"))
     oid = _order_suffix_id(F.col("o_orderkey"), F.col("_b"))
@@ -161,9 +170,9 @@ def payment_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order reads: one GET per line item, spaced 7 minutes per line number."""
-    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *[
+    li = read_table(spark, sf_dir, "lineitem", spread=True).select("l_orderkey", "l_linenumber", *[
         c for c in ORDER_REQUEST_TIEBREAK if c not in ("l_orderkey", "l_linenumber")])
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    o = read_table(spark, sf_dir, "orders", spread=True).select("o_orderkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     return j.select(
         _order_suffix_id(F.col("l_orderkey"), F.col("l_linenumber")).alias("order_id"),
@@ -176,7 +185,11 @@ def order_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw service log lines (one JSON record per line) from ``events``."""
-    e = read_table(spark, sf_dir, "events")
+    return request_log_from_events(read_table(spark, sf_dir, "events", spread=True))
+
+
+def request_log_from_events(e: DataFrame) -> DataFrame:
+    """Service log lines from an events frame (batch or streaming)."""
     k = _k(F.col("props"))
     et = F.col("event_type")
     method = F.when(et == "view", "GET").otherwise("POST")

@@ -16,9 +16,20 @@ DEFAULT_CONFIG = {
 }
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver test table (``{sf_dir}/{name}.parquet``)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """One driver test table (``{sf_dir}/{name}.parquet``).
+
+    ``spread``: a fact table whose scan yields fewer splits than the cluster's
+    parallelism (one small file with a single row group) is spread round-robin
+    over ``defaultParallelism`` tasks, so the work before the first shuffle is
+    not single-threaded.  Large inputs already have enough splits and are left
+    untouched (no extra shuffle)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread:
+        par = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < max(2, par // 2):
+            df = df.repartition(par)
+    return df
 
 
 def read_orders(spark: SparkSession, path: str) -> DataFrame:
