@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 
 from ..functions import pricing
 from ..functions.status import ORDER_CREATE_STATUS, status_code
+from ..plans.materialize import materialize
 from ..session import ensure_checkpoint_dir
 
 
@@ -115,8 +116,8 @@ def _conflicting_offers(requests: DataFrame) -> DataFrame | None:
     if multi.limit(1).count() == 0:
         return None
     ensure_checkpoint_dir(requests.sparkSession)
-    edges = (named.join(multi, "order_id", "left_semi").select("order_id", "offer_id")
-             .distinct().checkpoint(eager=True))
+    edges = materialize(named.join(multi, "order_id", "left_semi").select("order_id", "offer_id")
+                        .distinct(), "admission-edges")
     # min-label propagation over the bipartite order_id -- offer_id graph
     label = edges.select("offer_id").distinct().withColumn("_comp", F.col("offer_id"))
     while True:
@@ -124,9 +125,9 @@ def _conflicting_offers(requests: DataFrame) -> DataFrame | None:
                     .agg(F.min("_comp").alias("_comp")))
         new = (edges.join(by_order, "order_id").groupBy("offer_id")
                .agg(F.min("_comp").alias("_new")))
-        merged = label.join(new, "offer_id").select(
+        merged = materialize(label.join(new, "offer_id").select(
             "offer_id", F.least("_comp", "_new").alias("_comp"),
-            (F.col("_new") < F.col("_comp")).alias("_chg")).checkpoint(eager=True)
+            (F.col("_new") < F.col("_comp")).alias("_chg")), "admission-labels")
         label = merged.select("offer_id", "_comp")
         if merged.where("_chg").limit(1).count() == 0:
             return label
@@ -142,7 +143,7 @@ def _replay_conflicts(out: DataFrame, labels: DataFrame, tiebreak, ts) -> DataFr
                       out["offer_id"] == F.col("_l_offer"), "left").drop("_l_offer")
     plain = marked.where(F.col("_comp").isNull()).drop("_comp")
     hot = marked.where(F.col("_comp").isNotNull()).withColumn("_rid", F.monotonically_increasing_id())
-    hot = hot.checkpoint(eager=True)
+    hot = materialize(hot, "admission-conflicts")
     schema = T.StructType([T.StructField("_rid", T.LongType()),
                            T.StructField("_outcome", T.StringType())])
 

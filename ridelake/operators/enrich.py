@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import pricing
 from ..functions.status import OFFER_STATUS, status_code
-from ..plans.broadcast import broadcast_if_small
+from ..plans.broadcast import broadcast_all_if_small
 from ..sources.tables import resolve_configs
 
 
@@ -46,16 +46,15 @@ def enrich_offer_requests(requests: DataFrame, scooters: DataFrame, zones: DataF
     ``zone_price_per_minute``, ``zone_price_unlock``, ``zone_default_deposit``,
     ``has_subscription`` and ``trusted`` (profile miss -> false, false).
     """
-    s = broadcast_if_small(scooters.select(
-        F.col("id").alias("_s_id"), F.col("zone_id").alias("_s_zone"),
-        F.col("charge").alias("_s_charge")))
-    z = broadcast_if_small(zones.select(
-        F.col("id").alias("_z_id"), F.col("price_per_minute").alias("zone_price_per_minute"),
-        F.col("price_unlock").alias("zone_price_unlock"),
-        F.col("default_deposit").alias("zone_default_deposit")))
-    u = broadcast_if_small(users.select(
-        F.col("id").alias("_u_id"), F.col("has_subscription").alias("_u_sub"),
-        F.col("trusted").alias("_u_trusted")))
+    s, z, u = broadcast_all_if_small([
+        scooters.select(F.col("id").alias("_s_id"), F.col("zone_id").alias("_s_zone"),
+                        F.col("charge").alias("_s_charge")),
+        zones.select(F.col("id").alias("_z_id"),
+                     F.col("price_per_minute").alias("zone_price_per_minute"),
+                     F.col("price_unlock").alias("zone_price_unlock"),
+                     F.col("default_deposit").alias("zone_default_deposit")),
+        users.select(F.col("id").alias("_u_id"), F.col("has_subscription").alias("_u_sub"),
+                     F.col("trusted").alias("_u_trusted"))])
     j = (requests.join(s, requests["scooter_id"] == s["_s_id"], "left")
          .join(z, F.col("_s_zone") == z["_z_id"], "left")
          .join(u, requests["user_id"] == u["_u_id"], "left"))

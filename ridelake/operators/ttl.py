@@ -18,11 +18,13 @@ Scalable form, with no key's rows ever gathered into one task or one array:
    that is forced, or first) must be an anchor.  Running counts of these
    starts cut every key into independent segments.
 3. A segment spanning less than ``ttl`` has exactly one anchor, its first row.
-4. Longer ("dense") segments are solved exactly by pointer doubling: each row
-   points to the first row at least ``ttl`` later (found with bucketed
-   running counts), the anchors are the path from the segment's first row,
-   and the path is collected in log2(n) rounds of joins.  Each round's
-   intermediate is checkpointed to the shared checkpoint folder.
+4. Longer ("dense") segments are solved exactly.  Up to ``FOLD_MAX_ROWS``
+   rows, the segment is sorted into one array and folded with ``aggregate``
+   (JVM-side, one pass).  Beyond that, by pointer doubling: each row points
+   to the first row at least ``ttl`` later (found with bucketed running
+   counts), the anchors are the path from the segment's first row, and the
+   path is collected in log2(n) rounds of joins, each round's intermediate
+   written to the shared checkpoint folder (lineage cut).
 """
 
 from __future__ import annotations
@@ -31,9 +33,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.pricing import epoch_micros
+from ..plans.materialize import materialize
 from ..session import ensure_checkpoint_dir
 
 DEFAULT_BUCKET_SECONDS = 3600
+# Dense segments up to this many rows are solved by folding one sorted array
+# (bounded memory per group); longer ones by pointer doubling.
+FOLD_MAX_ROWS = 2048
 
 
 def _w(parts, order):
@@ -66,45 +72,56 @@ def ttl_chain(df: DataFrame, keys: list[str], ts: str, order_cols: list[str],
     chain = base.where(F.col("_t_el") | F.col("_t_force")).select(
         *keys, "_t_b", "_t_us", *order_cols, "_t_force")
 
-    # 1. previous chain row: inside the bucket by window, across buckets via summary
+    # 1. one window pass inside (key, bucket): gap to the previous row, and a
+    #    running count of the starts it forces (the bucket's first row is
+    #    settled from the summary below)
     w_b = _w(kb, order)
-    c1 = (chain.withColumn("_t_prev", F.lag("_t_us").over(w_b))
-          .withColumn("_t_rnb", F.row_number().over(w_b)))
-    summ = chain.groupBy(*kb).agg(F.max("_t_us").alias("_t_bmax"))
-    summ = summ.withColumn("_t_pbmax", F.lag("_t_bmax").over(_w(keys, [F.col("_t_b")])))
-    c1 = c1.join(summ.select(*kb, "_t_pbmax"), kb, "left")
-    prev = F.when(F.col("_t_rnb") == 1, F.col("_t_pbmax")).otherwise(F.col("_t_prev"))
-    start = (F.col("_t_force") | prev.isNull() | (F.col("_t_us") - prev >= F.lit(ttl_us)))
-    c1 = c1.withColumn("_t_start", start).drop("_t_prev", "_t_pbmax", "_t_rnb")
-
-    # 2. segment number = starts so far (earlier buckets + running count inside bucket)
-    c2 = c1.withColumn("_t_cs", F.sum(F.col("_t_start").cast("long")).over(
-        w_b.rowsBetween(Window.unboundedPreceding, 0)))
-    s2 = c1.groupBy(*kb).agg(F.sum(F.col("_t_start").cast("long")).alias("_t_bst"))
-    s2 = s2.withColumn("_t_before", F.coalesce(F.sum("_t_bst").over(
-        _w(keys, [F.col("_t_b")]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    c2 = (c2.join(s2.select(*kb, "_t_before"), kb, "left")
-          .withColumn("_t_seg", F.col("_t_before") + F.col("_t_cs"))
-          .drop("_t_cs", "_t_before"))
-
-    # cut lineage once rows are segmented: everything below reads this
-    # materialised frame (reliable checkpoint in the shared folder)
-    ensure_checkpoint_dir(df.sparkSession)
-    c2 = c2.checkpoint(eager=True)
+    prev_in = F.lag("_t_us").over(w_b)
+    c1 = (chain.withColumn("_t_rnb", F.row_number().over(w_b))
+          .withColumn("_t_gap", F.col("_t_us") - prev_in))
+    inner = (F.col("_t_rnb") > 1) & (F.col("_t_force") | (F.col("_t_gap") >= F.lit(ttl_us)))
+    c1 = c1.withColumn("_t_inner", inner).withColumn(
+        "_t_cs", F.sum(F.col("_t_inner").cast("long")).over(
+            w_b.rowsBetween(Window.unboundedPreceding, 0)))
+
+    # 2. one row per (key, bucket): boundary facts; one small window per key
+    #    decides whether each bucket's first row starts a segment and how many
+    #    starts precede the bucket
+    summ = c1.groupBy(*kb).agg(
+        F.max("_t_us").alias("_t_bmax"), F.min("_t_us").alias("_t_bmin"),
+        F.max(F.when(F.col("_t_rnb") == 1, F.col("_t_force"))).alias("_t_ff"),
+        F.sum(F.col("_t_inner").cast("long")).alias("_t_bin"))
+    wk = _w(keys, [F.col("_t_b")])
+    pb = F.lag("_t_bmax").over(wk)
+    summ = summ.withColumn("_t_fst", (F.col("_t_ff") | pb.isNull()
+                                      | (F.col("_t_bmin") - pb >= F.lit(ttl_us))).cast("long"))
+    summ = summ.withColumn("_t_before", F.coalesce(F.sum(F.col("_t_fst") + F.col("_t_bin")).over(
+        wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    c2 = (c1.join(summ.select(*kb, "_t_fst", "_t_before"), kb, "left")
+          .withColumn("_t_start", F.when(F.col("_t_rnb") == 1, F.col("_t_fst") == 1)
+                      .otherwise(F.col("_t_inner")))
+          .withColumn("_t_seg", F.col("_t_before") + F.col("_t_fst") + F.col("_t_cs"))
+          .select(*keys, "_t_b", "_t_us", *order_cols, "_t_start", "_t_seg"))
+
+    # cut lineage once rows are segmented: everything below reads this table
+    c2 = materialize(c2, "ttl-segments")
 
     # 3. segment extent decides easy vs dense
     ks = keys + ["_t_seg"]
     ext = c2.groupBy(*ks).agg(
-        (F.max("_t_us") - F.min("_t_us") >= F.lit(ttl_us)).alias("_t_dense"))
+        (F.max("_t_us") - F.min("_t_us") >= F.lit(ttl_us)).alias("_t_dense"),
+        F.count(F.lit(1)).alias("_t_n"))
     c3 = c2.join(ext, ks, "left")
     easy = c3.where(~F.col("_t_dense")).select(*ident, F.col("_t_start").alias("_t_anchor"))
-    dense = c3.where(F.col("_t_dense")).drop("_t_dense")
+    dense = c3.where(F.col("_t_dense"))
 
-    # 4. dense segments: exact anchors by pointer doubling
-    flags = easy
-    if dense.limit(1).count() > 0:
-        flags = flags.unionByName(_dense_anchors(dense, keys, order_cols, ttl_us, b_us, ident))
-    flags = flags.checkpoint(eager=True)
+    # 4. dense segments: a bounded segment is folded in one pass; longer ones
+    #    are solved exactly by pointer doubling
+    small = dense.where(F.col("_t_n") <= F.lit(FOLD_MAX_ROWS))
+    flags = easy.unionByName(_fold_anchors(small, ks, ident, order_cols, ttl_us))
+    large = dense.where(F.col("_t_n") > F.lit(FOLD_MAX_ROWS)).drop("_t_dense", "_t_n")
+    if large.limit(1).count() > 0:
+        flags = flags.unionByName(_dense_anchors(large, keys, order_cols, ttl_us, b_us, ident))
 
     # 5. coverage for every row (chain rows and observers) from the latest anchor
     allrows = base.join(flags, ident, "left").withColumn(
@@ -124,6 +141,30 @@ def ttl_chain(df: DataFrame, keys: list[str], ts: str, order_cols: list[str],
             .drop("_t_in", "_t_plast", "_t_us", "_t_b", "_t_el", "_t_force"))
 
 
+def _fold_anchors(small: DataFrame, ks: list[str], ident: list[str], order_cols: list[str],
+                  ttl_us: int) -> DataFrame:
+    """Exact anchors of bounded dense segments: sort the segment's rows into
+    one array (at most ``FOLD_MAX_ROWS``) and fold it with ``aggregate``,
+    keeping the last anchor time and the anchors' row identities."""
+    row = F.struct(F.col("_t_us").alias("_t_us"), *[F.col(c) for c in order_cols],
+                   F.struct(*[F.col(c) for c in ident]).alias("_id"))
+    seg = small.groupBy(*ks).agg(F.array_sort(F.collect_list(row)).alias("_rows"))
+    id_type = small.select(F.struct(*[F.col(c) for c in ident]).alias("_id")).schema[0].dataType
+    init = F.struct(F.lit(None).cast("long").alias("last"),
+                    F.array().cast(f"array<{id_type.simpleString()}>").alias("ids"))
+
+    def step(acc, x):
+        new = acc["last"].isNull() | (x["_t_us"] >= acc["last"] + F.lit(ttl_us))
+        return F.when(new, F.struct(x["_t_us"].alias("last"),
+                                    F.array_append(acc["ids"], x["_id"]).alias("ids"))) \
+            .otherwise(acc)
+
+    anchors = seg.select(F.explode(F.aggregate("_rows", init, step)["ids"]).alias("_a"))
+    anchors = anchors.select("_a.*").withColumn("_t_anchor", F.lit(True))
+    return (small.select(*ident).join(anchors, ident, "left")
+            .select(*ident, F.coalesce(F.col("_t_anchor"), F.lit(False)).alias("_t_anchor")))
+
+
 def _dense_anchors(dense: DataFrame, keys, order_cols, ttl_us: int, b_us: int,
                    ident: list[str]) -> DataFrame:
     """Anchors of segments spanning at least one TTL, by pointer doubling."""
@@ -163,22 +204,22 @@ def _dense_anchors(dense: DataFrame, keys, order_cols, ttl_us: int, b_us: int,
             .select(*ks, F.col("_t_src").alias("_t_pos"),
                     F.when(F.col("_t_pre") + F.col("_t_cntb") < F.col("_t_tot"),
                            F.col("_t_pre") + F.col("_t_cntb")).alias("_t_to")))
-    jump = jump.checkpoint(eager=True)
-    reached = jump.where(F.col("_t_pos") == 0).select(*ks, "_t_pos").checkpoint(eager=True)
+    jump = materialize(jump, "ttl-jump")
+    reached = materialize(jump.where(F.col("_t_pos") == 0).select(*ks, "_t_pos"), "ttl-path")
     while True:
-        # reached = {J^m(first) : m < 2^k}; jump = J^(2^k)
-        new = (reached.join(jump, ks + ["_t_pos"])
-               .where(F.col("_t_to").isNotNull())
-               .select(*ks, F.col("_t_to").alias("_t_pos"))).checkpoint(eager=True)
+        # reached = {J^m(first) : m < 2^k}; jump = J^(2^k); each round doubles k
+        new = materialize(reached.join(jump, ks + ["_t_pos"])
+                          .where(F.col("_t_to").isNotNull())
+                          .select(*ks, F.col("_t_to").alias("_t_pos")), "ttl-path")
         if new.limit(1).count() == 0:
             break
-        reached = reached.unionByName(new).checkpoint(eager=True)
+        reached = materialize(reached.unionByName(new), "ttl-path")
         a, b = jump.alias("a"), jump.alias("b")
         cond = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in ks] + [
             F.col("a._t_to") == F.col("b._t_pos")]
-        jump = (a.join(b, cond, "left")
-                .select(*[F.col(f"a.{k}").alias(k) for k in ks], F.col("a._t_pos"),
-                        F.col("b._t_to").alias("_t_to"))).checkpoint(eager=True)
+        jump = materialize(a.join(b, cond, "left")
+                           .select(*[F.col(f"a.{k}").alias(k) for k in ks], F.col("a._t_pos"),
+                                   F.col("b._t_to").alias("_t_to")), "ttl-jump")
     flagged = reached.withColumn("_t_anchor", F.lit(True))
     return (d.join(flagged, ks + ["_t_pos"], "left")
             .select(*ident, F.coalesce(F.col("_t_anchor"), F.lit(False)).alias("_t_anchor")))

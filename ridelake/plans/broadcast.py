@@ -25,3 +25,17 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` when it provably holds at most ``max_rows`` rows."""
     return F.broadcast(df) if has_at_most(df, max_rows) else df
+
+
+def broadcast_all_if_small(dfs: list[DataFrame], max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
+                           ) -> list[DataFrame]:
+    """Probe several sides in one job: each side contributes at most
+    ``max_rows + 1`` rows tagged with its index, counted per tag."""
+    probe = None
+    for i, df in enumerate(dfs):
+        part = df.limit(max_rows + 1).select(F.lit(i).alias("_side"))
+        probe = part if probe is None else probe.unionByName(part)
+    counts = {r["_side"]: r["n"] for r in
+              probe.groupBy("_side").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [F.broadcast(df) if counts.get(i, 0) <= max_rows else df
+            for i, df in enumerate(dfs)]

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.broadcast import broadcast_if_small
+from ..plans.materialize import materialize
 from ..session import ensure_checkpoint_dir
 
 _LOCAL_BITS = (1 << 33) - 1
@@ -28,10 +29,9 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value: str, probs: lis
     ensure_checkpoint_dir(df.sparkSession)
     d = df.select(*group_cols, F.col(value).cast("double").alias("_v")).where(
         F.col("_v").isNotNull())
-    s = (d.orderBy(*group_cols, "_v")
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_mid", F.monotonically_increasing_id())
-         .checkpoint(eager=True))
+    s = materialize(d.orderBy(*group_cols, "_v")
+                    .withColumn("_pid", F.spark_partition_id())
+                    .withColumn("_mid", F.monotonically_increasing_id()), "quantile-sorted")
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

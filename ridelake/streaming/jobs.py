@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..operators import logs
 from ..operators.enrich import price_offer_requests
 from ..operators.offers import create_offers
+from ..plans.materialize import materialize
 from ..session import scratch_dir
 from ..sources import standins
 
@@ -109,8 +110,8 @@ def stream_offer_creation(requests: DataFrame, scooters: DataFrame, zones: DataF
 
     def sink(batch, out, bid):
         prior = spark.read.parquet(latest["path"]) if latest["path"] else None
-        res = create_offers(batch, scooters, zones, users, configs, ttl_seconds,
-                            prior_anchors=prior).checkpoint(eager=True)
+        res = materialize(create_offers(batch, scooters, zones, users, configs, ttl_seconds,
+                                        prior_anchors=prior), "stream-offers")
         _write_batch(res, out, bid)
         new = res.where("is_new_offer").drop("is_new_offer")
         cand = new if prior is None else prior.unionByName(new)

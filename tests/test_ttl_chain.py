@@ -72,3 +72,15 @@ def test_observers_never_anchor(spark):
     got = _run(spark, rows, 300, 3600)
     assert got[("k", 1)] == (False, None, False)
     assert got[("k", 3)][2] is True and got[("k", 4)][2] is False
+
+
+def test_pointer_doubling_path(spark, monkeypatch):
+    # force long dense segments through pointer doubling instead of the fold
+    import ridelake.operators.ttl as ttl_mod
+    monkeypatch.setattr(ttl_mod, "FOLD_MAX_ROWS", 16)
+    rng = random.Random(3)
+    rows, t = [], T0
+    for i in range(300):
+        t = t + dt.timedelta(seconds=rng.randint(1, 90))
+        rows.append((rng.choice(["x", "y"]), t, i, rng.random() < 0.9, rng.random() < 0.02))
+    assert _run(spark, rows, 300, 900) == replay(rows, 300)
