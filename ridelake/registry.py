@@ -98,11 +98,7 @@ def orders_after_finish(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    admitted = _admitted(spark, sf_dir)
-    orders = admission.created_orders(admitted)
-    done = finish.finish_rides(orders, si.finish_requests(spark, sf_dir),
-                               si.payment_outcomes(spark, sf_dir), si.ORDER_REQUEST_TIEBREAK)
-    return admission.hold_ledger_rows(admitted).unionByName(finish.finish_ledger(done))
+    return _world(spark, sf_dir)[4]
 
 
 def ledger_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,9 +144,10 @@ def cleanup_audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cleanup(spark: SparkSession, sf_dir: str) -> dict:
-    orders, done = _finished(spark, sf_dir)
-    snap = finish.apply_finish(orders, done)
-    return retention.cleanup(snap, _ledger(spark, sf_dir), RIDES_AS_OF)
+    _, _, _, snap, ledger = _world(spark, sf_dir)
+    out = retention.cleanup(snap, ledger, RIDES_AS_OF)
+    out["full_ledger"] = ledger
+    return out
 
 
 def cleanup_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,7 +168,7 @@ def ledger_after_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cascade_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledger rows left without an order if the cascade were skipped."""
     c = _cleanup(spark, sf_dir)
-    return lookup.orphan_ledger_rows(_ledger(spark, sf_dir), c["orders"])
+    return lookup.orphan_ledger_rows(c["full_ledger"], c["orders"])
 
 
 def ride_status_view(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,19 +16,26 @@ DEFAULT_CONFIG = {
 }
 
 
+# The key each fact table is spread on (unique or nearly so,
+# and the key of its first join where there is one).
+SPREAD_KEYS = {"events": "event_id", "lineitem": "l_orderkey", "orders": "o_orderkey"}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """One driver test table (``{sf_dir}/{name}.parquet``).
 
     ``spread``: a fact table whose scan yields fewer splits than the cluster's
-    parallelism (one small file with a single row group) is spread round-robin
-    over ``defaultParallelism`` tasks, so the work before the first shuffle is
-    not single-threaded.  Large inputs already have enough splits and are left
-    untouched (no extra shuffle)."""
+    parallelism (one small file with a single row group) is hash-partitioned on
+    its key over ``defaultParallelism`` tasks, so the work before the first
+    shuffle is not single-threaded (hash, not round-robin: no sort is needed
+    for a deterministic retry, and a later join on the key reuses it).  Large
+    inputs already have enough splits and are left untouched."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if spread:
         par = spark.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() < max(2, par // 2):
-            df = df.repartition(par)
+            key = SPREAD_KEYS.get(name)
+            df = df.repartition(par, key) if key else df.repartition(par)
     return df
 
 
