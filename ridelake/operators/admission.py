@@ -133,8 +133,9 @@ def _conflicting_offers(requests: DataFrame) -> DataFrame | None:
             return label
 
 
-_REPLAY_FIELDS = ["order_id", "offer_id", "user_id", "_o_id", "_o_owner", "_o_expires",
-                  "_hold_ok", "_persist_ok"]
+_REPLAY_FIELDS = {"order_id": "order_id", "offer_id": "offer_id", "user_id": "user_id",
+                  "_o_id": "found_offer", "_o_owner": "owner", "_o_expires": "expires_at",
+                  "_hold_ok": "hold_ok", "_persist_ok": "persist_ok"}
 
 
 def _replay_conflicts(out: DataFrame, labels: DataFrame, tiebreak, ts) -> DataFrame:
@@ -144,13 +145,13 @@ def _replay_conflicts(out: DataFrame, labels: DataFrame, tiebreak, ts) -> DataFr
     plain = marked.where(F.col("_comp").isNull()).drop("_comp")
     hot = marked.where(F.col("_comp").isNotNull()).withColumn("_rid", F.monotonically_increasing_id())
     hot = materialize(hot, "admission-conflicts")
-    schema = T.StructType([T.StructField("_rid", T.LongType()),
-                           T.StructField("_outcome", T.StringType())])
+    schema = T.StructType([T.StructField("rid", T.LongType()),
+                           T.StructField("outcome", T.StringType())])
+    order = ["sort_ts"] + [f"tb{i}" for i in range(len(tiebreak))] + ["rid"]
 
     def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_sort_ts"] + [f"_tb{i}" for i in range(len(tiebreak))] + ["_rid"])
         created, used, res = set(), set(), []
-        for r in pdf.itertuples(index=False):
+        for r in pdf.sort_values(order).itertuples(index=False):
             if not r.order_id:
                 o = "ORDER_ID_REQUIRED"
             elif not r.offer_id:
@@ -159,31 +160,34 @@ def _replay_conflicts(out: DataFrame, labels: DataFrame, tiebreak, ts) -> DataFr
                 o = "USER_ID_REQUIRED"
             elif r.order_id in created:
                 o = "DUPLICATE"
-            elif r._o_id is None or pd.isna(r._o_id):
+            elif r.found_offer is None or pd.isna(r.found_offer):
                 o = "OFFER_NOT_FOUND"
-            elif r._sort_ts > r._o_expires:
+            elif r.sort_ts > r.expires_at:
                 o = "OFFER_EXPIRED"
-            elif r.user_id != r._o_owner:
+            elif r.user_id != r.owner:
                 o = "INVALID_USER"
             elif r.offer_id in used:
                 o = "OFFER_ALREADY_USED"
             else:
                 used.add(r.offer_id)
-                if not r._hold_ok:
+                if not r.hold_ok:
                     o = "PAYMENT_HOLD_FAILED"
-                elif not r._persist_ok:
+                elif not r.persist_ok:
                     o = "PERSIST_FAILED"
                 else:
                     o = "CREATED"
                     created.add(r.order_id)
-            res.append((r._rid, o))
-        return pd.DataFrame(res, columns=["_rid", "_outcome"])
+            res.append((r.rid, o))
+        return pd.DataFrame(res, columns=["rid", "outcome"])
 
-    cols = hot.select("_rid", "_comp", *_REPLAY_FIELDS, F.col(ts).alias("_sort_ts"),
-                      *[F.col(c).alias(f"_tb{i}") for i, c in enumerate(tiebreak)])
+    cols = hot.select(F.col("_rid").alias("rid"), "_comp",
+                      *[F.col(k).alias(v) for k, v in _REPLAY_FIELDS.items()],
+                      F.col(ts).alias("sort_ts"),
+                      *[F.col(c).alias(f"tb{i}") for i, c in enumerate(tiebreak)])
     replayed = cols.groupBy("_comp").applyInPandas(replay, schema)
-    fixed = (hot.join(replayed, "_rid").withColumn("outcome", F.col("_outcome"))
-             .drop("_outcome", "_rid", "_comp"))
+    fixed = (hot.join(replayed.withColumnRenamed("rid", "_rid")
+                      .withColumnRenamed("outcome", "_outcome"), "_rid")
+             .withColumn("outcome", F.col("_outcome")).drop("_outcome", "_rid", "_comp"))
     return plain.unionByName(fixed)
 
 

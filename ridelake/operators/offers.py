@@ -1,4 +1,4 @@
-"""Offer creation over a request log (T01, T02, T10 batch form, J09, K05).
+"""Offer creation over a request log (T01, T02, T10 batch form, T14, J09, K05).
 
 ``create_offers`` answers every offer request the way the offer endpoint
 would, replayed set-at-a-time:
@@ -34,13 +34,20 @@ def create_offers(requests: DataFrame, scooters: DataFrame, zones: DataFrame,
                   ttl_seconds: int = pricing.OFFER_TTL_SECONDS,
                   keys: tuple[str, ...] = ("user_id", "scooter_id"),
                   bucket_seconds: int = 3600,
-                  prior_anchors: DataFrame | None = None) -> DataFrame:
+                  prior_anchors: DataFrame | None = None,
+                  claims: DataFrame | None = None,
+                  min_remaining_seconds: int = 0) -> DataFrame:
     """One row per request: outcome (CREATED, REUSED or a reject), the offer
     returned (id, prices, expiry) and ``is_new_offer``.
 
     ``prior_anchors`` (same columns as the output) carries the live offers of
     earlier batches (streaming): they take part in the chain as forced
-    anchors and are not returned."""
+    anchors and are not returned.
+
+    T14 (strict reuse): with ``min_remaining_seconds`` an offer is reused
+    only while more than that much of its TTL remains, and with ``claims``
+    (``offer_id``, ``claimed_at``) a claimed offer is no longer reused from
+    its first claim on -- the next request creates a new offer."""
     priced = price_offer_requests(requests, scooters, zones, users, configs,
                                   with_lookup_zone=True).withColumn("_prior", F.lit(False))
     if prior_anchors is not None:
@@ -51,9 +58,20 @@ def create_offers(requests: DataFrame, scooters: DataFrame, zones: DataFrame,
             F.col("zone_id").alias("lookup_zone_id"), F.lit(True).alias("_prior"))
         priced = priced.unionByName(prior)
     valid = ~F.col("outcome").isin(*VALIDATION_REJECTS)
+    end = None
+    if claims is not None or min_remaining_seconds:
+        reuse_secs = max(int(ttl_seconds) - int(min_remaining_seconds), 0)
+        end = F.col("requested_at") + F.make_dt_interval(
+            F.lit(0), F.lit(0), F.lit(0), F.lit(reuse_secs).cast("decimal(18,6)"))
+        if claims is not None:
+            first = claims.groupBy(F.col("offer_id").alias("_c_offer")).agg(
+                F.min("claimed_at").alias("_c_at"))
+            priced = priced.join(first, priced["offer_id"] == first["_c_offer"], "left") \
+                .drop("_c_offer")
+            end = F.least(end, F.coalesce(F.col("_c_at"), end))
     chained = ttl_chain(priced, list(keys), "requested_at", ["request_id"], ttl_seconds,
                         eligible=valid & (F.col("outcome") == "CREATED"),
-                        force=F.col("_prior"), bucket_seconds=bucket_seconds)
+                        force=F.col("_prior"), bucket_seconds=bucket_seconds, end=end)
     reused = valid & F.col("covered") & ~F.col("is_anchor")
     anchors = chained.where(F.col("is_anchor")).select(
         *keys, F.col("requested_at").alias("anchor_ts"),

@@ -49,10 +49,14 @@ def _w(parts, order):
 def ttl_chain(df: DataFrame, keys: list[str], ts: str, order_cols: list[str],
               ttl_seconds: int, eligible: Column | None = None,
               force: Column | None = None,
-              bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+              bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+              end: Column | None = None) -> DataFrame:
     """Mark anchors and coverage of a TTL chain.
 
     ``(keys, ts, order_cols)`` must identify a row (it is the chain order).
+    ``end`` optionally gives, per row, the instant its TTL ends should it
+    become an anchor (clamped to ``[ts, ts + ttl]``; default ``ts + ttl``),
+    e.g. an offer that stops being reusable once it is claimed.
     Returns ``df`` plus ``is_anchor`` (bool), ``anchor_ts`` (ts of the latest
     anchor at or before the row, or null) and ``covered``
     (``anchor_ts`` not null and ``ts < anchor_ts + ttl``).
@@ -65,12 +69,15 @@ def ttl_chain(df: DataFrame, keys: list[str], ts: str, order_cols: list[str],
                         else F.lit(True))
             .withColumn("_t_force", F.coalesce(force, F.lit(False)) if force is not None
                         else F.lit(False)))
+    full = F.col("_t_us") + F.lit(ttl_us)
+    base = base.withColumn("_t_end", full if end is None else F.least(
+        F.greatest(F.coalesce(epoch_micros(end), full), F.col("_t_us")), full))
     ident = keys + ["_t_us"] + order_cols
     order = [F.col("_t_us")] + [F.col(c) for c in order_cols]
     kb = keys + ["_t_b"]
 
     chain = base.where(F.col("_t_el") | F.col("_t_force")).select(
-        *keys, "_t_b", "_t_us", *order_cols, "_t_force")
+        *keys, "_t_b", "_t_us", *order_cols, "_t_force", "_t_end")
 
     # 1. one window pass inside (key, bucket): gap to the previous row, and a
     #    running count of the starts it forces (the bucket's first row is
@@ -101,15 +108,17 @@ def ttl_chain(df: DataFrame, keys: list[str], ts: str, order_cols: list[str],
           .withColumn("_t_start", F.when(F.col("_t_rnb") == 1, F.col("_t_fst") == 1)
                       .otherwise(F.col("_t_inner")))
           .withColumn("_t_seg", F.col("_t_before") + F.col("_t_fst") + F.col("_t_cs"))
-          .select(*keys, "_t_b", "_t_us", *order_cols, "_t_start", "_t_seg"))
+          .select(*keys, "_t_b", "_t_us", *order_cols, "_t_start", "_t_seg", "_t_end"))
 
     # cut lineage once rows are segmented: everything below reads this table
     c2 = materialize(c2, "ttl-segments")
 
     # 3. segment extent decides easy vs dense
     ks = keys + ["_t_seg"]
+    # with per-row ends a short segment may still hold several anchors
+    span_dense = F.max("_t_us") - F.min("_t_us") >= F.lit(ttl_us)
     ext = c2.groupBy(*ks).agg(
-        (F.max("_t_us") - F.min("_t_us") >= F.lit(ttl_us)).alias("_t_dense"),
+        (span_dense if end is None else F.count(F.lit(1)) > 1).alias("_t_dense"),
         F.count(F.lit(1)).alias("_t_n"))
     c3 = c2.join(ext, ks, "left")
     easy = c3.where(~F.col("_t_dense")).select(*ident, F.col("_t_start").alias("_t_anchor"))
@@ -126,36 +135,40 @@ def ttl_chain(df: DataFrame, keys: list[str], ts: str, order_cols: list[str],
     # 5. coverage for every row (chain rows and observers) from the latest anchor
     allrows = base.join(flags, ident, "left").withColumn(
         "is_anchor", F.coalesce(F.col("_t_anchor"), F.lit(False))).drop("_t_anchor")
-    anc_ts = F.when(F.col("is_anchor"), F.col(ts))
-    cov = allrows.withColumn("_t_in", F.max(anc_ts).over(
+    anc = F.when(F.col("is_anchor"), F.struct(F.col("_t_us").alias("us"),
+                                              F.col("_t_end").alias("end"),
+                                              F.col(ts).alias("ts")))
+    cov = allrows.withColumn("_t_in", F.max(anc).over(
         w_b.rowsBetween(Window.unboundedPreceding, 0)))
-    s3 = allrows.groupBy(*kb).agg(F.max(anc_ts).alias("_t_blast"))
+    s3 = allrows.groupBy(*kb).agg(F.max(anc).alias("_t_blast"))
     s3 = s3.withColumn("_t_plast", F.max("_t_blast").over(
         _w(keys, [F.col("_t_b")]).rowsBetween(Window.unboundedPreceding, -1)))
     cov = cov.join(s3.select(*kb, "_t_plast"), kb, "left")
-    ttl_iv = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
-                                F.lit(int(ttl_seconds)).cast("decimal(18,6)"))
-    return (cov.withColumn("anchor_ts", F.coalesce(F.col("_t_in"), F.col("_t_plast")))
-            .withColumn("covered", F.col("anchor_ts").isNotNull()
-                        & (F.col(ts) < F.col("anchor_ts") + ttl_iv))
-            .drop("_t_in", "_t_plast", "_t_us", "_t_b", "_t_el", "_t_force"))
+    last = F.coalesce(F.col("_t_in"), F.col("_t_plast"))
+    return (cov.withColumn("_t_last", last)
+            .withColumn("anchor_ts", F.col("_t_last.ts"))
+            .withColumn("covered", F.col("_t_last").isNotNull()
+                        & (F.col("_t_us") < F.col("_t_last.end")))
+            .drop("_t_in", "_t_plast", "_t_last", "_t_us", "_t_b", "_t_el", "_t_force",
+                  "_t_end"))
 
 
 def _fold_anchors(small: DataFrame, ks: list[str], ident: list[str], order_cols: list[str],
                   ttl_us: int) -> DataFrame:
     """Exact anchors of bounded dense segments: sort the segment's rows into
     one array (at most ``FOLD_MAX_ROWS``) and fold it with ``aggregate``,
-    keeping the last anchor time and the anchors' row identities."""
+    keeping the current anchor's end and the anchors' row identities."""
     row = F.struct(F.col("_t_us").alias("_t_us"), *[F.col(c) for c in order_cols],
+                   F.col("_t_end").alias("_t_end"),
                    F.struct(*[F.col(c) for c in ident]).alias("_id"))
     seg = small.groupBy(*ks).agg(F.array_sort(F.collect_list(row)).alias("_rows"))
     id_type = small.select(F.struct(*[F.col(c) for c in ident]).alias("_id")).schema[0].dataType
-    init = F.struct(F.lit(None).cast("long").alias("last"),
+    init = F.struct(F.lit(None).cast("long").alias("end"),
                     F.array().cast(f"array<{id_type.simpleString()}>").alias("ids"))
 
     def step(acc, x):
-        new = acc["last"].isNull() | (x["_t_us"] >= acc["last"] + F.lit(ttl_us))
-        return F.when(new, F.struct(x["_t_us"].alias("last"),
+        new = acc["end"].isNull() | (x["_t_us"] >= acc["end"])
+        return F.when(new, F.struct(x["_t_end"].alias("end"),
                                     F.array_append(acc["ids"], x["_id"]).alias("ids"))) \
             .otherwise(acc)
 
@@ -175,10 +188,9 @@ def _dense_anchors(dense: DataFrame, keys, order_cols, ttl_us: int, b_us: int,
     # position inside the segment = rows in earlier buckets + rank inside bucket
     d = dense.withColumn("_t_rk", F.row_number().over(_w(ksb, order)) - 1)
     cnt = d.groupBy(*ksb).agg(F.count(F.lit(1)).alias("_t_n"))
-    # probe = the instant one TTL after a row; its successor is the first row at
+    # probe = the instant a row's TTL ends; its successor is the first row at
     # or after the probe, whose position = segment rows strictly before it
-    probes = d.select(*ks, "_t_rk", "_t_b",
-                      (F.col("_t_us") + F.lit(ttl_us)).alias("_t_p"))
+    probes = d.select(*ks, "_t_rk", "_t_b", F.col("_t_end").alias("_t_p"))
     probes = probes.select(*ks, F.col("_t_b").alias("_t_sb"), "_t_rk", "_t_p",
                            F.floor(F.col("_t_p") / F.lit(b_us)).cast("long").alias("_t_b"))
     buckets = (cnt.unionByName(probes.select(*ksb).distinct().withColumn("_t_n", F.lit(0)))
@@ -201,9 +213,10 @@ def _dense_anchors(dense: DataFrame, keys, order_cols, ttl_us: int, b_us: int,
     jump = (u.where(F.col("_t_isp") == -1)
             .join(pre, ksb, "left")
             .join(total, ks)
+            .withColumn("_t_nx", F.greatest(F.col("_t_pre") + F.col("_t_cntb"),
+                                            F.col("_t_src") + 1))
             .select(*ks, F.col("_t_src").alias("_t_pos"),
-                    F.when(F.col("_t_pre") + F.col("_t_cntb") < F.col("_t_tot"),
-                           F.col("_t_pre") + F.col("_t_cntb")).alias("_t_to")))
+                    F.when(F.col("_t_nx") < F.col("_t_tot"), F.col("_t_nx")).alias("_t_to")))
     jump = materialize(jump, "ttl-jump")
     reached = materialize(jump.where(F.col("_t_pos") == 0).select(*ks, "_t_pos"), "ttl-path")
     while True:

@@ -97,3 +97,30 @@ def test_offer_pricing_outcomes(spark):
     assert out["r5"].outcome == "SCOOTER_NOT_FOUND" and out["r5"].http_status == 400
     assert out["r6"].outcome == "ZONE_UNAVAILABLE" and out["r6"].http_status == 503
     assert out["r1"].offer_id is not None and out["r5"].offer_id is None
+
+
+def test_strict_reuse_claims_and_min_remaining(spark):
+    import datetime as dt
+    from ridelake.operators.offers import create_offers
+    t0 = dt.datetime(2024, 1, 1)
+    req = spark.createDataFrame(
+        [("r1", "user-1", "scooter-1", t0), ("r2", "user-1", "scooter-1", t0 + dt.timedelta(seconds=60)),
+         ("r3", "user-1", "scooter-1", t0 + dt.timedelta(seconds=120)),
+         ("r4", "user-1", "scooter-1", t0 + dt.timedelta(seconds=200)),
+         ("r5", "user-1", "scooter-1", t0 + dt.timedelta(seconds=260))],
+        "request_id string, user_id string, scooter_id string, ts timestamp_ntz")
+    scooters = spark.createDataFrame([("scooter-1", "zone-1", 85)], "id string, zone_id string, charge int")
+    zones = spark.createDataFrame([("zone-1", 7, 50, 200)],
+                                  "id string, price_per_minute int, price_unlock int, default_deposit int")
+    users = spark.createDataFrame([("user-1", False, False)],
+                                  "id string, has_subscription boolean, trusted boolean")
+    plain = {r.request_id: r.outcome for r in create_offers(req, scooters, zones, users).collect()}
+    assert plain == {"r1": "CREATED", "r2": "REUSED", "r3": "REUSED", "r4": "REUSED", "r5": "REUSED"}
+    # r1's offer claimed at +90 s: r3 starts a new offer; 60 s minimum remaining
+    first = create_offers(req, scooters, zones, users).where("request_id = 'r1'").first().offer_id
+    claims = spark.createDataFrame([(first, t0 + dt.timedelta(seconds=90))],
+                                   "offer_id string, claimed_at timestamp_ntz")
+    strict = {r.request_id: r.outcome for r in create_offers(
+        req, scooters, zones, users, claims=claims, min_remaining_seconds=60).collect()}
+    assert strict == {"r1": "CREATED", "r2": "REUSED", "r3": "CREATED", "r4": "REUSED",
+                      "r5": "REUSED"}

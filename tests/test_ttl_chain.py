@@ -10,24 +10,32 @@ from ridelake.operators.ttl import ttl_chain
 T0 = dt.datetime(2024, 1, 1)
 
 
-def replay(rows, ttl):
-    """Test-only model: rows (key, ts, seq, eligible, force) in order."""
+def replay(rows, ttl, ends=None):
+    """Test-only model: rows (key, ts, seq, eligible, force) in order; ``ends``
+    optionally maps seq -> the instant that row's TTL ends if it anchors."""
     out, last = {}, {}
     for key, ts, seq, el, force in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
         a = last.get(key)
-        covered_before = a is not None and ts < a + dt.timedelta(seconds=ttl)
+        covered_before = a is not None and ts < a[1]
         anchor = force or (el and not covered_before)
         if anchor:
-            last[key] = ts
+            full = ts + dt.timedelta(seconds=ttl)
+            end = min(max((ends or {}).get(seq, full), ts), full)
+            last[key] = (ts, end)
         a = last.get(key)
-        out[(key, seq)] = (anchor, a, a is not None and ts < a + dt.timedelta(seconds=ttl))
+        out[(key, seq)] = (anchor, a[0] if a else None, a is not None and ts < a[1])
     return out
 
 
-def _run(spark, rows, ttl, bucket):
+def _run(spark, rows, ttl, bucket, ends=None):
     df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, seq long, el boolean, fo boolean")
+    end = None
+    if ends is not None:
+        e = spark.createDataFrame(list(ends.items()), "seq long, e timestamp_ntz")
+        df = df.join(e, "seq", "left")
+        end = F.col("e")
     res = ttl_chain(df, ["k"], "ts", ["seq"], ttl, eligible=F.col("el"), force=F.col("fo"),
-                    bucket_seconds=bucket)
+                    bucket_seconds=bucket, end=end)
     return {(r.k, r.seq): (r.is_anchor, r.anchor_ts, r.covered) for r in res.collect()}
 
 
@@ -84,3 +92,19 @@ def test_pointer_doubling_path(spark, monkeypatch):
         t = t + dt.timedelta(seconds=rng.randint(1, 90))
         rows.append((rng.choice(["x", "y"]), t, i, rng.random() < 0.9, rng.random() < 0.02))
     assert _run(spark, rows, 300, 900) == replay(rows, 300)
+
+
+def test_per_row_end(spark, monkeypatch):
+    # anchors whose TTL ends early (e.g. a claimed offer), both solvers
+    import ridelake.operators.ttl as ttl_mod
+    rng = random.Random(9)
+    rows, ends, t = [], {}, T0
+    for i in range(250):
+        t = t + dt.timedelta(seconds=rng.randint(0, 60))
+        rows.append((rng.choice(["x", "y"]), t, i, rng.random() < 0.9, False))
+        if rng.random() < 0.4:
+            ends[i] = t + dt.timedelta(seconds=rng.randint(0, 200))
+    want = replay(rows, 300, ends)
+    assert _run(spark, rows, 300, 600, ends) == want
+    monkeypatch.setattr(ttl_mod, "FOLD_MAX_ROWS", 8)
+    assert _run(spark, rows, 300, 600, ends) == want
