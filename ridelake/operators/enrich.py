@@ -107,3 +107,43 @@ def price_offer_requests(requests: DataFrame, scooters: DataFrame, zones: DataFr
                 F.when(ok, pricing.offer_expiry(ts)).alias("expires_at"),
                 *([F.col("zone_id").alias("lookup_zone_id")] if with_lookup_zone else []),
             ))
+
+
+def price_offer_requests_versioned(requests: DataFrame, scooters: DataFrame,
+                                   zone_fetches: DataFrame, users: DataFrame,
+                                   config_polls: DataFrame, zone_ttl_seconds: int = 600,
+                                   ts_col: str = "ts") -> DataFrame:
+    """Offer pricing against versioned dimensions (J05, J06, T13): the tariff
+    of the request's zone as of the request (latest successful fetch, at most
+    ``zone_ttl_seconds`` old, else ``ZONE_UNAVAILABLE``) and the config as of
+    the request (last good poll, defaults before the first)."""
+    from .versions import config_snapshots, configs_as_of, zones_as_of
+
+    s, u = broadcast_all_if_small([
+        scooters.select(F.col("id").alias("_s_id"), F.col("zone_id").alias("zone_id"),
+                        F.col("charge").alias("charge")),
+        users.select(F.col("id").alias("_u_id"), F.col("has_subscription").alias("_u_sub"),
+                     F.col("trusted").alias("_u_trusted"))])
+    j = (requests.join(s, requests["scooter_id"] == s["_s_id"], "left")
+         .join(u, requests["user_id"] == u["_u_id"], "left"))
+    j = zones_as_of(j, zone_fetches, zone_ttl_seconds, ts=ts_col)
+    j = configs_as_of(j, config_snapshots(config_polls), ts=ts_col)
+    reject = offer_request_reject(F.col("user_id"), F.col("scooter_id"))
+    outcome = (F.when(reject.isNotNull(), reject)
+               .when(F.col("_s_id").isNull(), F.lit("SCOOTER_NOT_FOUND"))
+               .when(~F.col("zone_available"), F.lit("ZONE_UNAVAILABLE"))
+               .otherwise(F.lit("CREATED")))
+    prices = pricing.price_columns(
+        F.col("price_per_minute"), F.col("price_unlock"), F.col("default_deposit"),
+        F.col("surge"), F.col("low_charge_discount"), F.col("low_charge_threshold_percent"),
+        F.col("charge"), F.coalesce(F.col("_u_sub"), F.lit(False)),
+        F.coalesce(F.col("_u_trusted"), F.lit(False)))
+    ok = F.col("outcome") == "CREATED"
+    ts = F.col(ts_col)
+    return (j.withColumn("outcome", outcome)
+            .select("request_id", "user_id", "scooter_id", ts.alias("requested_at"), "outcome",
+                    status_code(F.col("outcome"), OFFER_STATUS).alias("http_status"),
+                    F.when(ok, F.col("zone_id")).alias("zone_id"),
+                    *[F.when(ok, c).alias(n) for n, c in prices.items()],
+                    F.when(ok, F.col("zone_fetched_at")).alias("tariff_fetched_at"),
+                    F.when(ok, F.col("surge")).alias("surge")))

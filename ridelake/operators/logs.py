@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -120,19 +120,37 @@ def error_rate_alerts(logs: DataFrame, ts: str = "ts", status: str = "status_cod
                       bound: float = ERROR_RATE_BOUND, minutes: int = ERROR_RATE_MINUTES
                       ) -> DataFrame:
     """Minutes ending a run of ``minutes`` adjacent minutes whose error
-    rate exceeds ``bound``.  The per-minute table is small (one row per minute),
-    so its window runs on one partition."""
+    rate exceeds ``bound``.  Adjacency is an equi-join of the breaching
+    minutes with themselves shifted by k minutes (no global ordering)."""
     per_min = error_rates(logs.withColumn("minute", F.window(F.col(ts), "1 minute").start),
                           ["minute"], status)
-    per_min = per_min.withColumn("breach", F.col("error_rate") > F.lit(bound))
-    w = Window.orderBy("minute")
-    cond = F.col("breach")
+    breach = per_min.where(F.col("error_rate") > F.lit(bound))
+    out = breach
     for k in range(1, minutes):
-        prev_min = F.lag("minute", k).over(w)
-        cond = cond & F.lag("breach", k).over(w) & (
-            prev_min == F.col("minute") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(k)))
-    return per_min.withColumn("alert", F.coalesce(cond, F.lit(False))).where("alert").select(
-        "minute", "requests", "errors", "error_rate")
+        prev = breach.select((F.col("minute") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(k)))
+                             .alias("minute"))
+        out = out.join(prev, "minute", "left_semi")
+    return out.select("minute", "requests", "errors", "error_rate")
+
+
+def minute_p99(logs: DataFrame, ts: str = "ts", value: str = "duration_ms",
+               bound_ms: float = P99_BOUND_MS) -> DataFrame:
+    """A14 input: exact p99 latency of every minute and whether it breaches
+    ``bound_ms`` (``alert``)."""
+    per_min = logs.withColumn("minute", F.window(F.col(ts), "1 minute").start)
+    q = exact_quantiles(per_min, ["minute"], value, [0.99], names=["p99"])
+    return q.withColumn("alert", F.col("p99") > F.lit(bound_ms))
+
+
+def latency_alerts(logs: DataFrame, ts: str = "ts", value: str = "duration_ms",
+                   bound_ms: float = P99_BOUND_MS) -> DataFrame:
+    """Minutes whose exact p99 latency exceeds ``bound_ms``."""
+    return minute_p99(logs, ts, value, bound_ms).where("alert")
+
+
+def hit_rate_alert(hit_rate: DataFrame, bound: float = HIT_RATE_BOUND) -> DataFrame:
+    """The cache hit-rate row when it is below ``bound``."""
+    return hit_rate.where(F.col("hit_rate") < F.lit(bound))
 
 
 def tail(logs: DataFrame, n: int = 1000, ts: str = "ts", tiebreak: str | None = None
@@ -151,7 +169,7 @@ def enriched_records(logs: DataFrame, req_body: str, resp_body: str, status: str
     resp = logfmt.response_keys(F.col(resp_body))
     keys = logfmt.merged_keys(req, resp)
     st = F.col(status)
-    return logs.select(
+    return logs.drop("user_id", "order_id", "offer_id", "scooter_id", "duration_ms").select(
         "*", keys.alias("_keys"),
         logfmt.log_level(st).alias("level"), logfmt.log_message(st).alias("message"),
         logfmt.error_code(st).alias("error_code"),

@@ -67,6 +67,18 @@ FROM orders, (VALUES (0), (1)) t(b)""",
 SELECT 'order-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber % 2 AS VARCHAR) AS order_id, o_orderdate + INTERVAL 7 MINUTE * l_linenumber AS ts,
        l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "zone_fetches": f"""
+SELECT f.zone_id, f.fetched_at, f.success AND z.id IS NOT NULL AS success, z.price_per_minute, z.price_unlock, z.default_deposit
+FROM (SELECT 'zone-' || CAST(CAST({K} AS INTEGER) % 25 AS VARCHAR) AS zone_id, ts AS fetched_at,
+             event_type <> 'error' AS success FROM events WHERE event_type IN ('signup', 'purchase', 'error')) f
+LEFT JOIN (SELECT 'zone-' || CAST(n_nationkey AS VARCHAR) AS id, CAST(5 + n_nationkey % 6 AS INTEGER) AS price_per_minute,
+       CAST(40 + 5 * (n_nationkey % 8) AS INTEGER) AS price_unlock, CAST(150 + 50 * n_regionkey AS INTEGER) AS default_deposit
+       FROM nation WHERE n_nationkey <> 24) z ON f.zone_id = z.id""",
+    "config_polls": f"""
+SELECT ts AS polled_at, value >= 20 AS success, 1.0 + CAST(CAST({K} AS INTEGER) % 5 AS DOUBLE) / 10.0 AS surge,
+       CAST(0.7 AS DOUBLE) AS low_charge_discount, CAST(20 + CAST({K} AS INTEGER) % 15 AS INTEGER) AS low_charge_threshold_percent,
+       5 AS incomplete_ride_threshold_seconds
+FROM events WHERE event_type = 'purchase'""",
     "request_log": f"""
 SELECT ts, CASE event_type WHEN 'view' THEN 'GET' ELSE 'POST' END AS method,
        CASE event_type WHEN 'view' THEN '/orders/order-' || {K} WHEN 'click' THEN '/offers'
@@ -74,7 +86,17 @@ SELECT ts, CASE event_type WHEN 'view' THEN 'GET' ELSE 'POST' END AS method,
        CAST(CASE event_type WHEN 'error' THEN 500 WHEN 'view' THEN 200 WHEN 'purchase' THEN 200 ELSE 201 END AS INTEGER) AS status_code,
        value AS duration_ms, event_id,
        CASE WHEN event_id % 10 = 0 THEN 'request_start' ELSE 'request_complete' END AS event,
-       'user-' || CAST(user_id AS VARCHAR) AS user_id
+       'user-' || CAST(user_id AS VARCHAR) AS user_id,
+       CASE event_type WHEN 'click' THEN '{{"user_id":"user-' || CAST(user_id AS VARCHAR) || '","scooter_id":"scooter-' || {K} || '"'
+              || CASE WHEN event_id % 3 = 0 THEN ',"note":"' || repeat('x', CAST(CAST(floor(value * 10) AS BIGINT) % 1400 AS INTEGER)) || '"' ELSE '' END || '}}'
+            WHEN 'signup' THEN '{{"order_id":"order-' || {K} || '","offer_id":"offer-' || {K} || '","user_id":"user-' || CAST(user_id AS VARCHAR) || '"}}'
+       END AS request_body,
+       CASE event_type WHEN 'click' THEN '{{"id":"offer-' || CAST(event_id AS VARCHAR) || '","user_id":"user-' || CAST(user_id AS VARCHAR) || '","expires_at":"2024-01-01T00:05:00Z"}}'
+            WHEN 'signup' THEN '{{"id":"order-' || {K} || '","offer_id":"offer-' || {K} || '","user_id":"user-' || CAST(user_id AS VARCHAR) || '","status":"ACTIVE"}}'
+            WHEN 'view' THEN '{{"id":"order-' || {K} || '","status":"FINISHED"}}'
+            WHEN 'purchase' THEN '{{"id":"x-' || CAST(event_id AS VARCHAR) || '","order_id":"order-' || {K} || '","status":"FINISHED"}}'
+            ELSE 'Internal server error ' || repeat('x', CAST(event_id % 900 AS INTEGER)) END AS response_body,
+       CAST(floor(value * 1000000) AS BIGINT) AS duration_ns
 FROM events""",
 }
 
@@ -642,7 +664,64 @@ WHERE status = 'PAYMENT_FAILED' AND id NOT IN (SELECT order_id FROM ledger WHERE
 STREAM_ORDER_INTAKE = with_standins("order_requests") + """
 SELECT order_id, CAST(1 AS BIGINT) AS emitted FROM (SELECT DISTINCT order_id FROM order_requests)"""
 
+OFFER_PRICING_VERSIONED = with_standins("users", "scooters", "offer_requests", "zone_fetches", "config_polls", extra={
+    "rq": """SELECT r.*, s.id AS s_id, s.zone_id, s.charge, u.has_subscription, u.trusted
+        FROM offer_requests r LEFT JOIN scooters s ON r.scooter_id = s.id LEFT JOIN users u ON r.user_id = u.id""",
+    "zq": """SELECT rq.*, f.fetched_at, f.price_per_minute AS zppm, f.price_unlock AS zunlock, f.default_deposit AS zdep
+        FROM rq ASOF LEFT JOIN (SELECT * FROM zone_fetches WHERE success) f ON rq.zone_id = f.zone_id AND rq.ts >= f.fetched_at""",
+    "cq": """SELECT zq.*, coalesce(c.surge, 1.2) AS surge, coalesce(c.low_charge_discount, 0.7) AS disc,
+            coalesce(c.low_charge_threshold_percent, 28) AS thr
+        FROM zq ASOF LEFT JOIN (SELECT * FROM config_polls WHERE success) c ON zq.ts >= c.polled_at""",
+    "pq": """SELECT *, CASE WHEN coalesce(user_id, '') = '' THEN 'USER_ID_REQUIRED'
+            WHEN coalesce(scooter_id, '') = '' THEN 'SCOOTER_ID_REQUIRED' WHEN s_id IS NULL THEN 'SCOOTER_NOT_FOUND'
+            WHEN fetched_at IS NULL OR ts >= fetched_at + INTERVAL 600 SECOND THEN 'ZONE_UNAVAILABLE' ELSE 'CREATED' END AS outcome
+        FROM cq"""}) + f"""
+SELECT request_id, user_id, scooter_id, ts AS requested_at, outcome, {OFFER_STATUS_SQL} AS http_status,
+  CASE WHEN outcome = 'CREATED' THEN zone_id END AS zone_id,
+  CASE WHEN outcome = 'CREATED' THEN greatest(CAST(round(CASE WHEN charge >= 0 AND thr > 0 AND charge < thr
+      THEN (CAST(zppm AS DOUBLE) * (CASE WHEN surge <= 0 THEN 1.0 ELSE surge END)) * (CASE WHEN disc <= 0 THEN 1.0 ELSE disc END)
+      ELSE CAST(zppm AS DOUBLE) * (CASE WHEN surge <= 0 THEN 1.0 ELSE surge END) END) AS INTEGER), 0) END AS price_per_minute,
+  CASE WHEN outcome = 'CREATED' THEN CAST(greatest(CASE WHEN coalesce(has_subscription, false) THEN 0 ELSE zunlock END, 0) AS INTEGER) END AS price_unlock,
+  CASE WHEN outcome = 'CREATED' THEN CAST(greatest(CASE WHEN coalesce(trusted, false) THEN 0 ELSE zdep END, 0) AS INTEGER) END AS deposit,
+  CASE WHEN outcome = 'CREATED' THEN fetched_at END AS tariff_fetched_at,
+  CASE WHEN outcome = 'CREATED' THEN surge END AS surge
+FROM pq"""
+
+def _jk(body: str, key: str) -> str:
+    return f"CASE WHEN json_valid({body}) THEN nullif(json_extract_string({body}, '$.{key}'), '') END"
+
+
+REQUEST_RECORDS_ENRICHED = with_standins("request_log", extra={"k": f"""SELECT *,
+    {_jk('request_body', 'user_id')} AS rq_user, {_jk('request_body', 'order_id')} AS rq_order,
+    {_jk('request_body', 'offer_id')} AS rq_offer, {_jk('request_body', 'scooter_id')} AS rq_scooter,
+    {_jk('response_body', 'id')} AS rs_id, {_jk('response_body', 'order_id')} AS rs_oid,
+    CASE WHEN json_valid(response_body) THEN json_exists(response_body, '$.expires_at') END AS rs_offer,
+    {_jk('response_body', 'user_id')} AS rs_user, {_jk('response_body', 'status')} AS rs_status
+    FROM request_log WHERE event_id % 10 <> 0"""}) + """
+SELECT event_id,
+  coalesce(rs_user, rq_user) AS user_id,
+  coalesce(CASE WHEN rs_id IS NOT NULL THEN CASE WHEN rs_oid IS NOT NULL THEN rs_oid WHEN NOT rs_offer THEN rs_id END END, rq_order) AS order_id,
+  coalesce(CASE WHEN rs_id IS NOT NULL AND rs_oid IS NULL AND rs_offer THEN rs_id END, rq_offer) AS offer_id,
+  rq_scooter AS scooter_id, rs_status AS order_status,
+  CASE WHEN status_code >= 400 THEN 'error' ELSE 'info' END AS level,
+  CASE WHEN status_code >= 500 THEN 'HTTP request failed' WHEN status_code >= 400 THEN 'HTTP request client error'
+       ELSE 'HTTP request completed' END AS message,
+  CASE WHEN status_code >= 400 THEN status_code END AS error_code,
+  CASE WHEN status_code >= 400 THEN CASE WHEN length(response_body) > 500 THEN left(response_body, 500) || '...(truncated)'
+       ELSE response_body END END AS error_response,
+  CASE WHEN length(request_body) > 1000 THEN left(request_body, 1000) || '...(truncated)' ELSE request_body END AS request_body_logged,
+  duration_ns / 1e6 AS duration_ms
+FROM k"""
+
+MINUTE_LATENCY_P99 = with_standins("request_log") + """
+SELECT minute, round(p99, 6) AS p99, p99 > 1000.0 AS alert FROM (
+  SELECT date_trunc('minute', ts) AS minute, quantile_cont(duration_ms, 0.99) AS p99
+  FROM request_log WHERE event = 'request_complete' GROUP BY 1)"""
+
 ORACLE: dict[str, str] = {
+    "minute_latency_p99": MINUTE_LATENCY_P99,
+    "request_records_enriched": REQUEST_RECORDS_ENRICHED,
+    "offer_pricing_versioned": OFFER_PRICING_VERSIONED,
     "archive_records": ARCHIVE_RECORDS,
     "hot_cold_history": HOT_COLD_HISTORY,
     "payment_retry_worklist": PAYMENT_RETRY_WORKLIST,

@@ -364,7 +364,33 @@ def stream_offer_creation(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       si.users(spark, sf_dir))
 
 
+def offer_pricing_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offer pricing with the zone tariff and config as of each request."""
+    return enrich.price_offer_requests_versioned(
+        si.offer_requests(spark, sf_dir), si.scooters(spark, sf_dir),
+        si.zone_fetches(spark, sf_dir), si.users(spark, sf_dir), si.config_polls(spark, sf_dir))
+
+
+def request_records_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """request_complete records rebuilt from bodies: merged
+    business keys, level/message/error code, truncated bodies, duration."""
+    log = si.request_log(spark, sf_dir).where(F.col("event_id") % 10 != 0)
+    r = logs.enriched_records(log, "request_body", "response_body", "status_code", "duration_ns")
+    return r.select("event_id", "user_id", "order_id", "offer_id", "scooter_id", "order_status",
+                    "level", "message", "error_code", "error_response", "request_body_logged",
+                    F.col("duration_ms"))
+
+
+def minute_latency_p99(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact p99 latency of every minute and the p99 > 1 s alert flag."""
+    q = logs.minute_p99(_records(spark, sf_dir))
+    return q.select("minute", F.round("p99", 6).alias("p99"), "alert")
+
+
 QUERIES: dict[str, Query] = {
+    "minute_latency_p99": minute_latency_p99,
+    "request_records_enriched": request_records_enriched,
+    "offer_pricing_versioned": offer_pricing_versioned,
     "archive_records": archive_records,
     "hot_cold_history": hot_cold_history,
     "payment_retry_worklist": payment_retry_worklist,

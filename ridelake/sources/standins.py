@@ -168,6 +168,33 @@ def payment_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return charge.unionByName(unhold)
 
 
+def zone_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tariff-zone fetch log: signup/purchase/error events are fetches of zone
+    ``k % 25``; an error event is a failed fetch.  Tariffs come from ``zones``."""
+    e = read_table(spark, sf_dir, "events", spread=True).where(
+        F.col("event_type").isin("signup", "purchase", "error"))
+    f = e.select(_sid("zone-", _k(F.col("props")).cast("int") % 25).alias("zone_id"),
+                 F.col("ts").alias("fetched_at"),
+                 (F.col("event_type") != "error").alias("success"))
+    z = zones(spark, sf_dir)
+    return f.join(z, f["zone_id"] == z["id"], "left").select(
+        "zone_id", "fetched_at", (F.col("success") & F.col("id").isNotNull()).alias("success"),
+        "price_per_minute", "price_unlock", "default_deposit")
+
+
+def config_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Config poll log: one poll per purchase event; a poll fails when the
+    event value is below 20; surge and threshold vary with ``k``."""
+    e = read_table(spark, sf_dir, "events", spread=True).where(F.col("event_type") == "purchase")
+    k = _k(F.col("props")).cast("int")
+    return e.select(
+        F.col("ts").alias("polled_at"), (F.col("value") >= 20).alias("success"),
+        (F.lit(1.0) + (k % 5).cast("double") / F.lit(10.0)).alias("surge"),
+        F.lit(0.7).alias("low_charge_discount"),
+        (20 + k % 15).cast("int").alias("low_charge_threshold_percent"),
+        F.lit(5).alias("incomplete_ride_threshold_seconds"))
+
+
 def order_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order reads: one GET per line item, spaced 7 minutes per line number."""
     li = read_table(spark, sf_dir, "lineitem", spread=True).select("l_orderkey", "l_linenumber", *[
@@ -211,8 +238,30 @@ def request_log_from_events(e: DataFrame) -> DataFrame:
     line = F.when(status >= 400, F.concat(F.regexp_replace(line, r"\}$", ""),
                                           F.lit(',"level":"error","error_code":'),
                                           status.cast("string"), F.lit("}"))).otherwise(line)
+    user = _sid("user-", F.col("user_id"))
+    pad = F.when(F.col("event_id") % 3 == 0,
+                 F.concat(F.lit(',"note":"'),
+                          F.repeat(F.lit("x"), (F.floor(F.col("value") * 10) % 1400).cast("int")),
+                          F.lit('"'))).otherwise(F.lit(""))
+    req_body = (F.when(et == "click", F.concat(F.lit('{"user_id":"'), user, F.lit('","scooter_id":"scooter-'),
+                                               k, F.lit('"'), pad, F.lit("}")))
+                .when(et == "signup", F.concat(F.lit('{"order_id":"order-'), k, F.lit('","offer_id":"offer-'),
+                                               k, F.lit('","user_id":"'), user, F.lit('"}'))))
+    resp_body = (F.when(et == "click", F.concat(F.lit('{"id":"offer-'), F.col("event_id").cast("string"),
+                                                F.lit('","user_id":"'), user,
+                                                F.lit('","expires_at":"2024-01-01T00:05:00Z"}')))
+                 .when(et == "signup", F.concat(F.lit('{"id":"order-'), k, F.lit('","offer_id":"offer-'), k,
+                                                F.lit('","user_id":"'), user, F.lit('","status":"ACTIVE"}')))
+                 .when(et == "view", F.concat(F.lit('{"id":"order-'), k, F.lit('","status":"FINISHED"}')))
+                 .when(et == "purchase", F.concat(F.lit('{"id":"x-'), F.col("event_id").cast("string"),
+                                                  F.lit('","order_id":"order-'), k,
+                                                  F.lit('","status":"FINISHED"}')))
+                 .otherwise(F.concat(F.lit("Internal server error "),
+                                     F.repeat(F.lit("x"), (F.col("event_id") % 900).cast("int")))))
     return e.select(
         F.col("ts"), method.alias("method"), path.alias("path"),
         status.cast("int").alias("status_code"), F.col("value").alias("duration_ms"),
         F.col("event_id"), line.alias("log_line"),
+        req_body.alias("request_body"), resp_body.alias("response_body"),
+        F.floor(F.col("value") * 1_000_000).cast("long").alias("duration_ns"),
     )

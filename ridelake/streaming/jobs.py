@@ -115,9 +115,16 @@ def stream_offer_creation(requests: DataFrame, scooters: DataFrame, zones: DataF
         _write_batch(res, out, bid)
         new = res.where("is_new_offer").drop("is_new_offer")
         cand = new if prior is None else prior.unionByName(new)
+        # keep the latest offer per key, and only offers still live at the end
+        # of this batch: state is bounded by the TTL window, not by history
+        horizon = batch.agg(F.max("ts")).first()[0]
         state = (cand.groupBy("user_id", "scooter_id")
                  .agg(F.max_by(F.struct(*cand.columns), F.col("requested_at")).alias("s"))
                  .select("s.*"))
+        if horizon is not None:
+            live_until = F.col("requested_at") + F.make_dt_interval(
+                F.lit(0), F.lit(0), F.lit(0), F.lit(int(ttl_seconds)).cast("decimal(18,6)"))
+            state = state.where(live_until > F.lit(horizon).cast("timestamp_ntz"))
         path = os.path.join(state_root, f"v={bid}")
         state.write.mode("overwrite").parquet(path)
         latest["path"] = path
