@@ -104,10 +104,17 @@ def resolve_configs(configs: DataFrame | None, spark: SparkSession) -> dict:
     return values
 
 
+ARCHIVE_PARTITIONS = ["yyyy", "mm", "dd", "hh"]
+
+
 def read_archive(spark: SparkSession, root: str, schema) -> DataFrame:
     """Cold archive laid out as ``yyyy=/mm=/dd=/hh=`` gzip NDJSON.
 
-    Filters on the partition columns prune directories before any file is
+    The partition columns are declared as zero-padded strings (no type
+    inference), and filters on them prune directories before any file is
     opened (``PartitionFilters`` in the scan).
     """
-    return spark.read.schema(schema).json(root)
+    from pyspark.sql import types as T
+    fields = [f for f in schema.fields if f.name not in ARCHIVE_PARTITIONS]
+    full = T.StructType(fields + [T.StructField(c, T.StringType()) for c in ARCHIVE_PARTITIONS])
+    return spark.read.schema(full).json(root)
