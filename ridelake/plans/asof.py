@@ -5,29 +5,28 @@ interval is exploded over the coarse time buckets it touches and joined to the
 facts on ``(keys, bucket)``; the exact range test then keeps the one version
 whose interval contains the fact time.  No window is partitioned by the key
 (a hot key is split by AQE's skew join), no pairs beyond the fact's own
-bucket are formed, and validity intervals come from a window over the
-*versions* only, which are few compared with the facts.
+bucket are formed, and validity intervals come from the versions alone
+(successor per key found by bucketed windows, ``plans.keyed``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.pricing import epoch_micros
+from .keyed import next_time
 
 DEFAULT_BUCKET_SECONDS = 3600
 
 
 def validity_intervals(versions: DataFrame, keys: list[str], valid_from: str,
-                       max_age_seconds: int | None = None, order_cols: list[str] | None = None
-                       ) -> DataFrame:
+                       max_age_seconds: int | None = None) -> DataFrame:
     """``valid_to`` = next version's ``valid_from`` for the same key, capped at
-    ``valid_from + max_age`` when a staleness bound applies (null = open)."""
-    order = [F.col(valid_from)] + [F.col(c) for c in (order_cols or [])]
-    w = Window.partitionBy(*keys).orderBy(*order) if keys else Window.orderBy(*order)
-    nxt = F.lead(F.col(valid_from)).over(w)
-    v = versions.withColumn("valid_to", nxt)
+    ``valid_from + max_age`` when a staleness bound applies (null = open).
+    The successor is found per (key, day) with a per-day summary for the day
+    boundary (``plans.keyed.next_time``), not by one window per key."""
+    v = next_time(versions, keys, valid_from, "valid_to")
     if max_age_seconds is not None:
         cap = F.col(valid_from) + F.make_dt_interval(
             F.lit(0), F.lit(0), F.lit(0), F.lit(int(max_age_seconds)).cast("decimal(18,6)"))
