@@ -124,3 +124,15 @@ def test_finish_flow(spark):
     assert ledger[("o1", "CLEAR")] == (40, "SUCCESS")
     assert ledger[("o2", "REFUND")] == (100, "FAILED")
     assert ledger[("o4", "REFUND")] == (100, "FAILED")
+
+
+def test_persist_failure_emits_unhold(spark):
+    offers = [("of-1", "u1", "s1", T0 + dt.timedelta(minutes=5), 10, 20, 100)]
+    df = spark.createDataFrame([("o1", "of-1", "u1", T0, True, 1, False),
+                                ("o2", "of-1", "u1", T0 + dt.timedelta(seconds=1), True, 2, True)],
+                               REQ + ", persisted boolean")
+    out = admission.admit_orders(df, _offers(spark, offers), ["seq"], persist_col="persisted")
+    got = {r.seq: r.outcome for r in out.collect()}
+    assert got == {1: "PERSIST_FAILED", 2: "OFFER_ALREADY_USED"}   # the offer stays burned
+    comp = admission.hold_compensations(out).collect()
+    assert [(r.order_id, r.op) for r in comp] == [("o1", "unhold")]

@@ -99,3 +99,13 @@ def test_container_logs(spark, tmp_dir):
     assert len(recs) == 1 and recs[0].path == "/orders/o1" and recs[0].duration_ms == 1.5
     drops = {r.reason: r.lines for r in logs.drop_counts(df).collect()}
     assert drops == {"kept": 1, "not_request_complete": 1}
+
+
+def test_trailing_window_and_daily_layout(spark, tmp_dir):
+    df = spark.createDataFrame([(T0 - dt.timedelta(minutes=16),), (T0 - dt.timedelta(minutes=15),),
+                                (T0,), (T0 + dt.timedelta(seconds=1),)], "ts timestamp_ntz")
+    assert logs.trailing(df, T0.isoformat(sep=" "), 15).count() == 2
+    path = os.path.join(tmp_dir, "logs")
+    logs.write_daily(df, path)
+    assert sorted(d for d in os.listdir(path) if d.startswith("date=")) == [
+        "date=2024-01-01"]
