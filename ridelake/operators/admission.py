@@ -110,9 +110,11 @@ def _conflicting_offers(requests: DataFrame) -> DataFrame | None:
     """Offers linked through an order id that names more than one offer,
     labelled by connected component (``_comp`` = smallest offer id)."""
     named = requests.where(~_blank(F.col("order_id")) & ~_blank(F.col("offer_id")))
-    multi = (named.groupBy("order_id")
-             .agg(F.min("offer_id").alias("_lo"), F.max("offer_id").alias("_hi"))
-             .where(F.col("_lo") != F.col("_hi")).select("order_id"))
+    # two hash aggregations (distinct pairs, then pairs per order id): exact,
+    # and no string min/max, which would force a sort-based aggregation
+    multi = (named.select("order_id", "offer_id").distinct()
+             .groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"))
+             .where(F.col("_n") > 1).select("order_id"))
     if multi.limit(1).count() == 0:
         return None
     ensure_checkpoint_dir(requests.sparkSession)

@@ -2,7 +2,7 @@
 
 Archive rows are orders and their ledger rows as one tagged record stream
 (``type`` = ``order`` / ``transaction``), grouped by the *order's* creation
-hour and sorted by creation time inside each hourly file.
+hour (one folder per hour) and sorted by creation time within it.
 """
 
 from __future__ import annotations

@@ -1,8 +1,9 @@
 """Log-derived metrics.
 
-Raw lines are filtered with ``rlike`` *before* any JSON parsing (the shipper's
-drop stage); only surviving lines are decoded with ``from_json`` and a fixed
-schema.  Minute buckets come from ``window`` on the NTZ event time.
+Raw lines are filtered with substring / regex tests *before* any JSON parsing
+(the shipper's drop stage); only surviving lines are decoded with
+``from_json`` and a fixed schema.  Minute buckets come from ``window`` on the
+NTZ event time.
 """
 
 from __future__ import annotations

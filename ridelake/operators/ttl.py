@@ -8,7 +8,8 @@ offer creation or a read of an unknown order) only observe the chain: they are
 *covered* when the latest anchor at or before them satisfies
 ``ts < anchor_ts + ttl``.
 
-Scalable form, with no key's rows ever gathered into one task or one array:
+Scalable form: no key's rows are gathered into one task, and at most
+``FOLD_MAX_ROWS`` rows of one segment ever share an array:
 
 1. Time buckets.  Every window below is partitioned by ``(key, bucket)``;
    boundary information between buckets travels through small per-bucket

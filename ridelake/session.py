@@ -1,9 +1,11 @@
 """SparkSession construction and session-level settings.
 
-Library functions never depend on the session time zone: all timestamps in the
-test data are TIMESTAMP_NTZ and all arithmetic on them uses NTZ-safe built-ins
-(``timestampdiff``, interval addition, comparisons).  The settings below only
-tune execution.
+Batch library functions never depend on the session time zone: timestamps
+are TIMESTAMP_NTZ and all arithmetic on them uses NTZ-safe built-ins
+(``timestampdiff``, interval addition, comparisons).  The one exception is
+streaming, where ``withWatermark`` needs a TIMESTAMP event time (cast in the
+session zone; UTC is the default set here).  The settings below only tune
+execution.
 """
 
 from __future__ import annotations
