@@ -111,9 +111,6 @@ def ttl_chain(df: DataFrame, keys: list[str], ts: str, order_cols: list[str],
           .withColumn("_t_seg", F.col("_t_before") + F.col("_t_fst") + F.col("_t_cs"))
           .select(*keys, "_t_b", "_t_us", *order_cols, "_t_start", "_t_seg", "_t_end"))
 
-    # cut lineage once rows are segmented: everything below reads this table
-    c2 = materialize(c2, "ttl-segments")
-
     # 3. segment extent decides easy vs dense
     ks = keys + ["_t_seg"]
     # with per-row ends a short segment may still hold several anchors
@@ -121,7 +118,9 @@ def ttl_chain(df: DataFrame, keys: list[str], ts: str, order_cols: list[str],
     ext = c2.groupBy(*ks).agg(
         (span_dense if end is None else F.count(F.lit(1)) > 1).alias("_t_dense"),
         F.count(F.lit(1)).alias("_t_n"))
-    c3 = c2.join(ext, ks, "left")
+    # cut lineage once rows are segmented and classified: everything below
+    # reads this table (the dense checks are plain filters on it)
+    c3 = materialize(c2.join(ext, ks, "left"), "ttl-segments")
     easy = c3.where(~F.col("_t_dense")).select(*ident, F.col("_t_start").alias("_t_anchor"))
     dense = c3.where(F.col("_t_dense"))
 
