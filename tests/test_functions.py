@@ -100,3 +100,13 @@ def test_config_and_zone_as_of(spark):
     zs = {r.r: (r.zone_available, r.price_per_minute)
           for r in versions.zones_as_of(zreq, fetches).collect()}
     assert zs == {1: (True, 7), 2: (False, None), 3: (False, None)}
+
+
+def test_approx_latency_quantiles_close_to_exact(spark):
+    from ridelake.operators import logs
+    df = spark.range(0, 20000).select((F.col("id") % 4).alias("g"),
+                                      (F.col("id") * 0.37 % 1000).alias("duration_ms"))
+    ex = {r.g: r for r in logs.latency_quantiles(df, ["g"]).collect()}
+    ap = {r.g: r for r in logs.latency_quantiles(df, ["g"], exact=False).collect()}
+    for g in ex:
+        assert abs(ex[g].p99 - ap[g].p99) <= 1.0 and abs(ex[g].p50 - ap[g].p50) <= 1.0
