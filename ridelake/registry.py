@@ -235,14 +235,13 @@ def request_complete_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _world(spark: SparkSession, sf_dir: str):
     """Orders snapshot after finishes and the full ledger (HOLD + CLEAR + REFUND).
 
-    Admission and finish outcomes feed several outputs (orders, ledger,
-    metrics), so both are written once to the checkpoint folder and read back
+    Admission outcomes feed several outputs (orders, HOLD ledger, finish,
+    metrics), so they are written once to the checkpoint folder and read back
     instead of being recomputed per consumer."""
     admitted = materialize(_admitted(spark, sf_dir), "admitted")
     orders = admission.created_orders(admitted)
-    done = materialize(finish.finish_rides(orders, si.finish_requests(spark, sf_dir),
-                                           si.payment_outcomes(spark, sf_dir),
-                                           si.ORDER_REQUEST_TIEBREAK), "finished")
+    done = finish.finish_rides(orders, si.finish_requests(spark, sf_dir),
+                               si.payment_outcomes(spark, sf_dir), si.ORDER_REQUEST_TIEBREAK)
     ledger = admission.hold_ledger_rows(admitted).unionByName(finish.finish_ledger(done))
     return admitted, orders, done, finish.apply_finish(orders, done), ledger
 
