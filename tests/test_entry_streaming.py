@@ -66,3 +66,18 @@ def test_streaming_offer_creation_over_two_batches_equals_batch(spark, tmp_dir):
     cols = sorted(want.columns)
     assert _norm(got.select(*cols).collect()) == _norm(want.select(*cols).collect())
     assert want.where("outcome = 'REUSED'").count() > 0
+
+
+def test_all_registered_queries_match_duckdb(spark):
+    """Every registered query against its oracle on the smallest data
+    (opt-in, a few minutes: RIDELAKE_FULL_ORACLE=1)."""
+    import pytest
+    if os.environ.get("RIDELAKE_FULL_ORACLE") != "1":
+        pytest.skip("set RIDELAKE_FULL_ORACLE=1 to run every registered query")
+    con = _duck()
+    for name, fn in sorted(entry.queries().items()):
+        df = fn(spark, SF)
+        cols = sorted(df.columns)
+        got = _norm(df.select(*cols).collect())
+        want = _norm(con.sql(entry.oracle_sql()[name]).select(*cols).fetchall())
+        assert got == want, name
