@@ -18,14 +18,15 @@ Scalable form: no key's rows are gathered into one task, and at most
 2. Gap split.  A row whose gap to the previous chain row is ``>= ttl`` (or
    that is forced, or first) must be an anchor.  Running counts of these
    starts cut every key into independent segments.
-3. A segment spanning less than ``ttl`` has exactly one anchor, its first row.
-4. Longer ("dense") segments are solved exactly.  Up to ``FOLD_MAX_ROWS``
-   rows, the segment is sorted into one array and folded with ``aggregate``
-   (JVM-side, one pass).  Beyond that, by pointer doubling: each row points
-   to the first row at least ``ttl`` later (found with bucketed running
-   counts), the anchors are the path from the segment's first row, and the
-   path is collected in log2(n) rounds of joins, each round's intermediate
-   written to the shared checkpoint folder (lineage cut).
+3. A segment spanning less than ``ttl`` has exactly one anchor, its first row
+   (without per-row ends; with them, every multi-row segment is "dense").
+4. Dense segments are solved exactly.  Up to ``FOLD_MAX_ROWS`` rows, the
+   segment is sorted into one array and folded with ``aggregate`` (JVM-side,
+   one pass).  Beyond that, by pointer doubling: each row points to the first
+   later row at or after its TTL end (found with bucketed running counts),
+   the anchors are the path from the segment's first row, and the path is
+   collected in log2(n) rounds of joins, each round's intermediate written to
+   the shared checkpoint folder (lineage cut).
 """
 
 from __future__ import annotations
@@ -59,8 +60,8 @@ def ttl_chain(df: DataFrame, keys: list[str], ts: str, order_cols: list[str],
     become an anchor (clamped to ``[ts, ts + ttl]``; default ``ts + ttl``),
     e.g. an offer that stops being reusable once it is claimed.
     Returns ``df`` plus ``is_anchor`` (bool), ``anchor_ts`` (ts of the latest
-    anchor at or before the row, or null) and ``covered``
-    (``anchor_ts`` not null and ``ts < anchor_ts + ttl``).
+    anchor at or before the row, or null) and ``covered`` (an anchor exists
+    and ``ts`` is before its TTL end, ``anchor_ts + ttl`` by default).
     """
     ttl_us = int(ttl_seconds) * 1_000_000
     b_us = int(bucket_seconds) * 1_000_000
@@ -180,7 +181,7 @@ def _fold_anchors(small: DataFrame, ks: list[str], ident: list[str], order_cols:
 
 def _dense_anchors(dense: DataFrame, keys, order_cols, ttl_us: int, b_us: int,
                    ident: list[str]) -> DataFrame:
-    """Anchors of segments spanning at least one TTL, by pointer doubling."""
+    """Exact anchors of dense segments by pointer doubling."""
     ensure_checkpoint_dir(dense.sparkSession)
     ks = keys + ["_t_seg"]
     ksb = ks + ["_t_b"]
