@@ -31,14 +31,46 @@ DEFAULT_CONF = {
 }
 
 
+# Cluster sizing (100 TB class inputs).  Shuffle partitions start from the
+# input volume at ~128 MB per partition and AQE coalesces them down; scans
+# split at 256 MB; a partition over 256 MB and 5x the median is treated as
+# skewed and split by AQE's skew join.
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+}
+
+
+def cluster_shuffle_partitions(input_bytes: int, min_partitions: int = 200,
+                               max_partitions: int = 50_000) -> int:
+    """Initial shuffle partition count for an input of ``input_bytes``: one
+    partition per ~128 MB of input, within ``[min_partitions,
+    max_partitions]`` (the cap keeps shuffle bookkeeping -- mappers x reducers
+    -- manageable; shuffles carry pruned, partially aggregated rows, far less
+    than the raw input, and AQE coalesces small and splits skewed ones)."""
+    n = -(-int(input_bytes) // TARGET_PARTITION_BYTES)
+    return max(min_partitions, min(max_partitions, n))
+
+
 def build_session(master: str | None = None, app_name: str = "ridelake",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
-    """Create (or reuse) a session with the library's execution defaults."""
+                  extra: dict[str, str] | None = None,
+                  cluster_input_bytes: int | None = None) -> SparkSession:
+    """Create (or reuse) a session with the library's execution defaults.
+
+    ``cluster_input_bytes``: size of the inputs a cluster job will read; adds
+    ``CLUSTER_CONF`` and sizes the initial shuffle partitions from it."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if cluster_input_bytes:
+        conf.update(CLUSTER_CONF)
+        conf["spark.sql.shuffle.partitions"] = str(cluster_shuffle_partitions(cluster_input_bytes))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

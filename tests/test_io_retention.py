@@ -109,3 +109,10 @@ def test_trailing_window_and_daily_layout(spark, tmp_dir):
     logs.write_daily(df, path)
     assert sorted(d for d in os.listdir(path) if d.startswith("date=")) == [
         "date=2024-01-01"]
+
+
+def test_cluster_sizing():
+    from ridelake.session import cluster_shuffle_partitions
+    assert cluster_shuffle_partitions(10 ** 6) == 200
+    assert cluster_shuffle_partitions(1024 ** 4) == 8192          # 1 TiB / 128 MiB
+    assert cluster_shuffle_partitions(100 * 1024 ** 4) == 50_000  # capped
