@@ -116,3 +116,42 @@ def test_cluster_sizing():
     assert cluster_shuffle_partitions(10 ** 6) == 200
     assert cluster_shuffle_partitions(1024 ** 4) == 8192          # 1 TiB / 128 MiB
     assert cluster_shuffle_partitions(100 * 1024 ** 4) == 50_000  # capped
+
+
+def test_json_dimensions_and_configs_end_to_end(spark, tmp_dir):
+    from ridelake import schemas as S
+    from ridelake.operators.enrich import price_offer_requests
+    from ridelake.sources import tables
+    # The reference's dimension documents (JSON arrays) and config.
+    docs = {
+        "scooters.json": [{"id": "scooter-1", "zone_id": "zone-1", "charge": 85},
+                          {"id": "scooter-2", "zone_id": "zone-1", "charge": 45},
+                          {"id": "scooter-3", "zone_id": "zone-2", "charge": 90},
+                          {"id": "scooter-4", "zone_id": "zone-2", "charge": 25}],
+        "zones.json": [{"id": "zone-1", "price_per_minute": 7, "price_unlock": 50, "default_deposit": 200},
+                       {"id": "zone-2", "price_per_minute": 10, "price_unlock": 75, "default_deposit": 300}],
+        "users.json": [{"id": "user-1", "has_subscription": True, "trusted": True},
+                       {"id": "user-2", "has_subscription": False, "trusted": True},
+                       {"id": "user-3", "has_subscription": False, "trusted": False},
+                       {"id": "user-4", "has_subscription": True, "trusted": False}],
+        "configs.json": {"surge": 1.2, "low_charge_discount": 0.7,
+                         "low_charge_threshold_percent": 28, "incomplete_ride_threshold_seconds": 5},
+    }
+    for name, doc in docs.items():
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            json.dump(doc, f, indent=2)
+    scooters = tables.read_dimension_json(spark, os.path.join(tmp_dir, "scooters.json"), S.SCOOTERS)
+    zones = tables.read_dimension_json(spark, os.path.join(tmp_dir, "zones.json"), S.ZONES)
+    users = tables.read_dimension_json(spark, os.path.join(tmp_dir, "users.json"), S.USERS)
+    cfg = tables.read_configs_json(spark, os.path.join(tmp_dir, "configs.json"))
+    assert scooters.count() == 4 and users.count() == 4
+    req = spark.createDataFrame(
+        [(f"r{u}", f"user-{u}", "scooter-1") for u in range(1, 5)] + [("r5", "user-3", "scooter-4")],
+        "request_id string, user_id string, scooter_id string").withColumn(
+        "ts", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    got = {r.request_id: (r.price_per_minute, r.price_unlock, r.deposit)
+           for r in price_offer_requests(req, scooters, zones, users, cfg).collect()}
+    assert [got[f"r{u}"][1] for u in range(1, 5)] == [0, 50, 50, 0]
+    assert [got[f"r{u}"][2] for u in range(1, 5)] == [0, 0, 200, 200]
+    assert got["r1"][0] == 8            # zone-1: 7 * 1.2 = 8.4 -> 8 (charge 85, no discount)
+    assert got["r5"] == (8, 75, 300)    # zone-2, charge 25 < 28: 10 * 1.2 * 0.7 = 8.4 -> 8
