@@ -136,3 +136,21 @@ def test_persist_failure_emits_unhold(spark):
     assert got == {1: "PERSIST_FAILED", 2: "OFFER_ALREADY_USED"}   # the offer stays burned
     comp = admission.hold_compensations(out).collect()
     assert [(r.order_id, r.op) for r in comp] == [("o1", "unhold")]
+
+
+def test_finish_threshold_from_config(spark):
+    orders = spark.createDataFrame(
+        [("o1", "u1", "ACTIVE", T0, T0, 10, 20, 100)],
+        "id string, user_id string, status string, start_time timestamp_ntz, "
+        "created_at timestamp_ntz, price_per_minute int, price_unlock int, deposit int")
+    reqs = spark.createDataFrame([("o1", T0 + dt.timedelta(seconds=10), 1)],
+                                 "order_id string, requested_at timestamp_ntz, seq long")
+    pays = spark.createDataFrame([("o1", "charge", True), ("o1", "unhold", True)],
+                                 "order_id string, op string, success boolean")
+    cfg = spark.createDataFrame([(None, None, None, 15)],
+                                "surge double, low_charge_discount double, "
+                                "low_charge_threshold_percent int, incomplete_ride_threshold_seconds int")
+    default = finish.finish_rides(orders, reqs, pays, ["seq"]).first()
+    configured = finish.finish_rides(orders, reqs, pays, ["seq"], configs=cfg).first()
+    assert (default.duration_seconds, default.total_amount) == (10, 30)   # 20 + 1 min * 10
+    assert (configured.outcome, configured.total_amount) == ("FINISHED", 0)  # below 15 s: free
