@@ -64,6 +64,19 @@ def keep_request_complete(logs: DataFrame, line_col: str = "log_line") -> DataFr
     return logs.where(F.col(line_col).rlike(REQUEST_COMPLETE))
 
 
+def keep_request_complete_observed(logs: DataFrame, line_col: str = "log_line"):
+    """F12 with the drop counter of the shipper: returns ``(kept, observation)``;
+    after an action on ``kept``, ``observation.get`` holds ``lines`` and
+    ``dropped_not_request_complete`` -- counted while the data flows, with no
+    extra pass."""
+    from pyspark.sql import Observation
+    obs = Observation("request_complete_filter")
+    kept = F.col(line_col).rlike(REQUEST_COMPLETE)
+    observed = logs.observe(obs, F.count(F.lit(1)).alias("lines"),
+                            F.sum((~kept).cast("long")).alias("dropped_not_request_complete"))
+    return observed.where(kept), obs
+
+
 def drop_counts(logs: DataFrame, line_col: str = "log_line") -> DataFrame:
     """kept vs dropped line counts (drop reason ``not_request_complete``)."""
     kept = F.col(line_col).rlike(REQUEST_COMPLETE)

@@ -34,9 +34,12 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str,
     return r.parquet(sf_dir)
 
 
-def _run(sdf: DataFrame, name: str, sink, output_mode: str = "append") -> str:
+def _run(sdf: DataFrame, name: str, sink, output_mode: str = "append",
+         stats: dict | None = None) -> str:
     """Run ``sdf`` to completion (``availableNow``); ``sink(batch_df, out_dir,
-    batch_id)`` writes each micro-batch.  Returns the output folder."""
+    batch_id)`` writes each micro-batch.  Returns the output folder; ``stats``
+    (if given) receives the input rows and the rows dropped behind the
+    watermark, summed over the query's progress reports."""
     spark = sdf.sparkSession
     root = scratch_dir(spark, f"stream-{name}-{uuid.uuid4().hex[:12]}")
     out, ckpt = os.path.join(root, "out"), os.path.join(root, "_checkpoint")
@@ -45,6 +48,11 @@ def _run(sdf: DataFrame, name: str, sink, output_mode: str = "append") -> str:
          .option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    if stats is not None:
+        progress = q.recentProgress
+        stats["input_rows"] = sum(int(p["numInputRows"]) for p in progress)
+        stats["late_rows_dropped"] = sum(int(op.get("numRowsDroppedByWatermark", 0))
+                                         for p in progress for op in p.get("stateOperators", []))
     return out
 
 
@@ -52,13 +60,15 @@ def _write_batch(df: DataFrame, out: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
 
 
-def stream_panel_rps(events: DataFrame, watermark: str = "10 minutes") -> DataFrame:
+def stream_panel_rps(events: DataFrame, watermark: str = "10 minutes",
+                     stats: dict | None = None) -> DataFrame:
     """Per-minute panel RPS on the log stream.
 
     ``update`` mode emits the current count of every window a micro-batch
     touched; the result keeps, per (panel, minute), the value of the latest
     batch, so windows still open at the end of the input are reported too.
-    State is bounded by the watermark.
+    State is bounded by the watermark; rows arriving behind it are dropped
+    and counted in ``stats["late_rows_dropped"]``.
     """
     log = standins.request_log_from_events(events)
     tagged = log.select(F.col("ts").cast("timestamp").alias("event_time"),
@@ -71,7 +81,7 @@ def stream_panel_rps(events: DataFrame, watermark: str = "10 minutes") -> DataFr
         _write_batch(df.select("panel", F.col("w.start").cast("timestamp_ntz").alias("minute"),
                                "n"), out, bid)
 
-    out = _run(agg, "panel-rps", sink, output_mode="update")
+    out = _run(agg, "panel-rps", sink, output_mode="update", stats=stats)
     res = events.sparkSession.read.parquet(out)
     latest = res.groupBy("panel", "minute").agg(F.max_by("n", "batch_id").alias("n"))
     return latest.select("panel", "minute", (F.col("n") / F.lit(60.0)).alias("rps"))

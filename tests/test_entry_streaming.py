@@ -81,3 +81,17 @@ def test_all_registered_queries_match_duckdb(spark):
         got = _norm(df.select(*cols).collect())
         want = _norm(con.sql(entry.oracle_sql()[name]).select(*cols).fetchall())
         assert got == want, name
+
+
+def test_observed_drop_counts_and_stream_stats(spark):
+    from ridelake.operators import logs
+    raw = si.request_log(spark, SF).select("ts", "log_line")
+    kept, obs = logs.keep_request_complete_observed(raw)
+    n = kept.count()
+    m = obs.get
+    assert m["lines"] == raw.count() and m["lines"] - m["dropped_not_request_complete"] == n
+    stats = {}
+    out = jobs.stream_panel_rps(jobs.table_stream(spark, SF, "events"), stats=stats)
+    assert out.count() > 0
+    assert stats["input_rows"] == si.read_table(spark, SF, "events").count()
+    assert stats["late_rows_dropped"] == 0      # one micro-batch: nothing is late
