@@ -108,6 +108,15 @@ def panel_rps(logs: DataFrame, ts: str = "ts", line_col: str = "log_line",
     return t.groupBy("panel", "minute").agg((F.count(F.lit(1)) / F.lit(60.0)).alias("rps"))
 
 
+def route_rps(records: DataFrame, ts: str = "ts") -> DataFrame:
+    """A02-A05, normalised variant (P14): per route and minute, requests / 60,
+    on decoded request_complete records (a finish call counts only as
+    ``finish_order``, unlike the raw "POST /orders" panel)."""
+    t = records.select(F.window(F.col(ts), "1 minute").start.alias("minute"),
+                       logfmt.route(F.col("method"), F.col("path")).alias("route"))
+    return t.groupBy("route", "minute").agg((F.count(F.lit(1)) / F.lit(60.0)).alias("rps"))
+
+
 def panel_tags(line: Column, panels: dict[str, list[str]] | None = None) -> Column:
     """Names of the panels whose line filters a log line passes."""
     panels = panels or PANELS

@@ -718,7 +718,12 @@ SELECT minute, round(p99, 6) AS p99, p99 > 1000.0 AS alert FROM (
   SELECT date_trunc('minute', ts) AS minute, quantile_cont(duration_ms, 0.99) AS p99
   FROM request_log WHERE event = 'request_complete' GROUP BY 1)"""
 
+ROUTE_RPS = with_standins("request_log") + f"""
+SELECT {ROUTE_SQL} AS route, date_trunc('minute', ts) AS minute, count(*) / 60.0 AS rps
+FROM request_log WHERE event = 'request_complete' GROUP BY 1, 2"""
+
 ORACLE: dict[str, str] = {
+    "route_rps": ROUTE_RPS,
     "minute_latency_p99": MINUTE_LATENCY_P99,
     "request_records_enriched": REQUEST_RECORDS_ENRICHED,
     "offer_pricing_versioned": OFFER_PRICING_VERSIONED,

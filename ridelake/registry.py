@@ -393,7 +393,13 @@ def minute_latency_p99(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.select("minute", F.round("p99", 6).alias("p99"), "alert")
 
 
+def route_rps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A02-A05 normalised by route (P14): per-minute RPS of each service route."""
+    return logs.route_rps(_records(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
+    "route_rps": route_rps,
     "minute_latency_p99": minute_latency_p99,
     "request_records_enriched": request_records_enriched,
     "offer_pricing_versioned": offer_pricing_versioned,
