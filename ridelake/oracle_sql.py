@@ -722,7 +722,13 @@ ROUTE_RPS = with_standins("request_log") + f"""
 SELECT {ROUTE_SQL} AS route, date_trunc('minute', ts) AS minute, count(*) / 60.0 AS rps
 FROM request_log WHERE event = 'request_complete' GROUP BY 1, 2"""
 
+TRAILING_REQUESTS_15M = with_standins("request_log") + f"""
+SELECT ts, event_id, method, path, status_code, {ROUTE_SQL} AS route FROM request_log
+WHERE event = 'request_complete' AND ts >= TIMESTAMP '2024-01-15 12:00:00' - INTERVAL 15 MINUTE
+  AND ts <= TIMESTAMP '2024-01-15 12:00:00'"""
+
 ORACLE: dict[str, str] = {
+    "trailing_requests_15m": TRAILING_REQUESTS_15M,
     "route_rps": ROUTE_RPS,
     "minute_latency_p99": MINUTE_LATENCY_P99,
     "request_records_enriched": REQUEST_RECORDS_ENRICHED,

@@ -398,7 +398,14 @@ def route_rps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.route_rps(_records(spark, sf_dir))
 
 
+def trailing_requests_15m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """request_complete records of the 15 minutes up to an as-of time."""
+    r = logs.trailing(_records(spark, sf_dir), "2024-01-15 12:00:00", 15)
+    return r.select("ts", "event_id", "method", "path", "status_code", "route")
+
+
 QUERIES: dict[str, Query] = {
+    "trailing_requests_15m": trailing_requests_15m,
     "route_rps": route_rps,
     "minute_latency_p99": minute_latency_p99,
     "request_records_enriched": request_records_enriched,
