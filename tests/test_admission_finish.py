@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from ridelake.operators import admission, finish
@@ -78,9 +79,10 @@ def test_expiry_boundary_and_failed_hold_burns_offer(spark):
                    4: "PAYMENT_HOLD_FAILED", 5: "OFFER_ALREADY_USED", 6: "DUPLICATE"}
 
 
-def test_order_id_reused_across_offers_matches_model(spark):
+@pytest.mark.parametrize("seed", [5, 17, 29])
+def test_order_id_reused_across_offers_matches_model(spark, seed):
     # conflicting components (one order id naming several offers) are replayed
-    rng = random.Random(5)
+    rng = random.Random(seed)
     offers = [(f"of-{i}", f"u{i % 3}", "s", T0 + dt.timedelta(minutes=rng.randint(1, 30)),
                5, 40, 100) for i in range(12)]
     reqs = []
