@@ -4,7 +4,8 @@ T04, P03, P04, K01).
 Every order request gets the outcome the order endpoint would have given when
 the requests are served in ``(requested_at, tiebreak)`` order:
 
-1. ``ORDER_ID_REQUIRED`` / ``OFFER_ID_REQUIRED`` / ``USER_ID_REQUIRED`` (F02);
+1. ``INVALID_BODY`` (S07, when the requests carry ``_corrupt_record``), then
+   ``ORDER_ID_REQUIRED`` / ``OFFER_ID_REQUIRED`` / ``USER_ID_REQUIRED`` (F02);
 2. ``DUPLICATE`` when the same ``order_id`` was created strictly earlier (W02);
 3. ``OFFER_NOT_FOUND`` (F09), ``OFFER_EXPIRED`` (strict ``ts > expires_at``,
    F04), ``INVALID_USER`` (F05);
@@ -58,7 +59,10 @@ def admit_orders(requests: DataFrame, offers: DataFrame, tiebreak: list[str],
     j = j.withColumn("_k", _key(ts, tiebreak))
     persist_ok = F.coalesce(F.col(persist_col), F.lit(True)) if persist_col else F.lit(True)
     hold_ok = F.coalesce(F.col(hold_col), F.lit(False))
-    reject = (F.when(_blank(F.col("order_id")), "ORDER_ID_REQUIRED")
+    corrupt = (F.col("_corrupt_record").isNotNull() if "_corrupt_record" in requests.columns
+               else F.lit(False))
+    reject = (F.when(corrupt, "INVALID_BODY")
+              .when(_blank(F.col("order_id")), "ORDER_ID_REQUIRED")
               .when(_blank(F.col("offer_id")), "OFFER_ID_REQUIRED")
               .when(_blank(F.col("user_id")), "USER_ID_REQUIRED"))
     offer_check = (F.when(F.col("_o_id").isNull(), "OFFER_NOT_FOUND")

@@ -41,12 +41,25 @@ def decode_order_documents(df: DataFrame, col: str = "value") -> DataFrame:
     return decode_json(df, col, schemas.ORDER_DOC)
 
 
+def _decode_body(df: DataFrame, col: str, schema) -> DataFrame:
+    """A request body must be one JSON object: an empty or missing body, or a
+    JSON value that is not an object, is malformed just like unparsable text
+    -- its text (or '') goes to ``_corrupt_record``."""
+    not_object = F.col(col).isNull() | ~F.ltrim(F.col(col)).startswith("{")
+    d = (df.withColumn("_not_obj", not_object)
+         .withColumn("_raw", F.coalesce(F.col(col), F.lit(""))))
+    return (decode_json(d, col, schema)
+            .withColumn("_corrupt_record", F.when(F.col("_not_obj"), F.col("_raw"))
+                        .otherwise(F.col("_corrupt_record")))
+            .drop("_not_obj", "_raw", "_present"))
+
+
 def decode_offer_requests(df: DataFrame, col: str = "body") -> DataFrame:
-    """Offer request bodies; a body that is not a JSON object keeps its
-    text in ``_corrupt_record`` (-> INVALID_BODY in F01)."""
-    return decode_json(df, col, schemas.OFFER_BODY)
+    """Offer request bodies; a malformed body keeps its text in
+    ``_corrupt_record`` (-> INVALID_BODY in F01)."""
+    return _decode_body(df, col, schemas.OFFER_BODY)
 
 
 def decode_order_requests(df: DataFrame, col: str = "body") -> DataFrame:
-    """Order request bodies."""
-    return decode_json(df, col, schemas.ORDER_BODY)
+    """Order request bodies (malformed -> INVALID_BODY in F02)."""
+    return _decode_body(df, col, schemas.ORDER_BODY)

@@ -156,3 +156,16 @@ def test_finish_threshold_from_config(spark):
     configured = finish.finish_rides(orders, reqs, pays, ["seq"], configs=cfg).first()
     assert (default.duration_seconds, default.total_amount) == (10, 30)   # 20 + 1 min * 10
     assert (configured.outcome, configured.total_amount) == ("FINISHED", 0)  # below 15 s: free
+
+
+def test_invalid_order_body_is_rejected_first(spark):
+    from ridelake.sources import payloads
+    offers = [("of-1", "u1", "s1", T0 + dt.timedelta(minutes=5), 10, 20, 100)]
+    raw = spark.createDataFrame(
+        [('{"order_id":"o1","offer_id":"of-1","user_id":"u1"}', T0, True, 1),
+         ('["o1"]', T0, True, 2), ("", T0, True, 3)],
+        "body string, requested_at timestamp_ntz, hold_success boolean, seq long")
+    req = payloads.decode_order_requests(raw)
+    out = {r.seq: (r.outcome, r.http_status) for r in
+           admission.admit_orders(req, _offers(spark, offers), ["seq"]).collect()}
+    assert out == {1: ("CREATED", 201), 2: ("INVALID_BODY", 400), 3: ("INVALID_BODY", 400)}

@@ -69,12 +69,19 @@ def test_order_json_nulls(spark):
 
 
 def test_payload_decoding_classifies_malformed(spark):
-    df = spark.createDataFrame([('{"user_id":"u1","scooter_id":"s1"}',), ("{oops",), (None,)],
-                               "body string")
-    rows = payloads.decode_offer_requests(df).collect()
-    assert (rows[0].user_id, rows[0]._corrupt_record) == ("u1", None)
-    assert rows[1]._corrupt_record == "{oops"
-    assert rows[2]._present is False
+    from ridelake.operators.enrich import offer_request_reject
+    df = spark.createDataFrame([('{"user_id":"u1","scooter_id":"s1"}',), ("{oops",), (None,),
+                                ("[1, 2]",), ('  {"user_id":""}',)], "body string")
+    rows = payloads.decode_offer_requests(df).withColumn(
+        "reject", offer_request_reject(F.col("user_id"), F.col("scooter_id"),
+                                       F.col("_corrupt_record").isNotNull())).collect()
+    assert (rows[0].user_id, rows[0]._corrupt_record, rows[0].reject) == ("u1", None, None)
+    assert rows[1]._corrupt_record == "{oops" and rows[1].reject == "INVALID_BODY"
+    assert rows[2]._corrupt_record == "" and rows[2].reject == "INVALID_BODY"   # no body
+    assert rows[3].reject == "INVALID_BODY"                                      # not an object
+    assert rows[4].reject == "USER_ID_REQUIRED"
+    docs = payloads.decode_offers(spark.createDataFrame([(None,)], "value string")).first()
+    assert docs._present is False                                                # absent document
 
 
 def test_config_and_zone_as_of(spark):
