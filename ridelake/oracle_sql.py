@@ -727,7 +727,39 @@ SELECT ts, event_id, method, path, status_code, {ROUTE_SQL} AS route FROM reques
 WHERE event = 'request_complete' AND ts >= TIMESTAMP '2024-01-15 12:00:00' - INTERVAL 15 MINUTE
   AND ts <= TIMESTAMP '2024-01-15 12:00:00'"""
 
+_PERSIST_REQ = """SELECT r.*, li.l_linestatus <> 'O' AS persisted FROM order_requests r
+    LEFT JOIN lineitem li ON r.l_orderkey = li.l_orderkey AND r.l_linenumber = li.l_linenumber
+     AND r.l_partkey = li.l_partkey AND r.l_suppkey = li.l_suppkey AND r.l_extendedprice = li.l_extendedprice
+     AND r.l_shipdate = li.l_shipdate"""
+
+_PERSIST_OVERRIDES = {
+    "j": _ADMISSION["j"].replace("FROM order_requests r", "FROM order_requests_p r"),
+    "c1": "SELECT *, first AND hold_success AND persisted AS created FROM r1",
+    "admitted": """SELECT *, CASE WHEN rej IS NOT NULL THEN rej WHEN dup THEN 'DUPLICATE' WHEN ochk IS NOT NULL THEN ochk
+        WHEN NOT first THEN 'OFFER_ALREADY_USED' WHEN NOT hold_success THEN 'PAYMENT_HOLD_FAILED'
+        WHEN NOT persisted THEN 'PERSIST_FAILED' ELSE 'CREATED' END AS outcome FROM d1""",
+}
+
+
+def _persist_sql(body: str) -> str:
+    ctes = {"order_requests_p": _PERSIST_REQ}
+    for name, sql in _ADMISSION.items():        # same order, persistence-aware steps swapped in
+        ctes[name] = _PERSIST_OVERRIDES.get(name, sql)
+    return with_standins("order_requests", "offers", extra=ctes) + body
+
+
+ADMISSION_WITH_PERSIST_FAILURES = _persist_sql(f"""
+SELECT order_id, offer_id, user_id, requested_at, hold_success, persisted, {TB}, outcome,
+  CAST(CASE WHEN outcome IN ('CREATED', 'DUPLICATE') THEN 201
+            WHEN outcome IN ('PAYMENT_HOLD_FAILED', 'PERSIST_FAILED') THEN 500 ELSE 400 END AS INTEGER) AS http_status
+FROM admitted""")
+
+HOLD_COMPENSATIONS = _persist_sql("""
+SELECT order_id, user_id, 'unhold' AS op FROM admitted WHERE outcome = 'PERSIST_FAILED'""")
+
 ORACLE: dict[str, str] = {
+    "admission_with_persist_failures": ADMISSION_WITH_PERSIST_FAILURES,
+    "hold_compensations": HOLD_COMPENSATIONS,
     "trailing_requests_15m": TRAILING_REQUESTS_15M,
     "route_rps": ROUTE_RPS,
     "minute_latency_p99": MINUTE_LATENCY_P99,

@@ -404,7 +404,27 @@ def trailing_requests_15m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("ts", "event_id", "method", "path", "status_code", "route")
 
 
+def _admitted_persist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return admission.admit_orders(si.order_requests_with_persist(spark, sf_dir),
+                                  si.offers(spark, sf_dir), si.ORDER_REQUEST_TIEBREAK,
+                                  persist_col="persisted")
+
+
+def admission_with_persist_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Admission when storing the order can fail after the hold."""
+    return _admitted_persist(spark, sf_dir).select(
+        "order_id", "offer_id", "user_id", "requested_at", "hold_success", "persisted",
+        *si.ORDER_REQUEST_TIEBREAK, "outcome", "http_status")
+
+
+def hold_compensations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """UNHOLD calls owed for holds whose order was not stored."""
+    return admission.hold_compensations(_admitted_persist(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
+    "admission_with_persist_failures": admission_with_persist_failures,
+    "hold_compensations": hold_compensations,
     "trailing_requests_15m": trailing_requests_15m,
     "route_rps": route_rps,
     "minute_latency_p99": minute_latency_p99,

@@ -112,6 +112,15 @@ def order_requests_from_lineitem(li: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
+def order_requests_with_persist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order requests plus a storage outcome per request (``persisted`` false
+    for line items with line status 'O')."""
+    li = read_table(spark, sf_dir, "lineitem", spread=True)
+    req = order_requests_from_lineitem(li, read_table(spark, sf_dir, "orders", spread=True))
+    st = li.select(*ORDER_REQUEST_TIEBREAK, (F.col("l_linestatus") != "O").alias("persisted"))
+    return req.join(st, ORDER_REQUEST_TIEBREAK, "left")
+
+
 def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders fact (ride rows) with a recorded duration for closed rides."""
     o = read_table(spark, sf_dir, "orders", spread=True)
