@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, wavelet
+from . import packing, simhash, wavelet
 from .common import table
 
 
@@ -22,6 +22,11 @@ def op3_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_wavelet_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents read back from their wavelet token files."""
     files = wavelet.write_token_files(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
@@ -30,6 +35,7 @@ def op9_wavelet_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_pack_sequences": op3_pack_sequences,
+    "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op9_wavelet_token_files": op9_wavelet_token_files,
 }
 
