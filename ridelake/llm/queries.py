@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, simhash, wavelet
+from . import packing, quality, simhash, wavelet
 from .common import table
 
 
@@ -22,6 +22,11 @@ def op3_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op4_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdict of every document."""
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -35,6 +40,7 @@ def op9_wavelet_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_pack_sequences": op3_pack_sequences,
+    "op4_quality_outliers": op4_quality_outliers,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op9_wavelet_token_files": op9_wavelet_token_files,
 }
