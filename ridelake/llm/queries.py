@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, simhash, wavelet
+from . import langid, packing, quality, simhash, wavelet
 from .common import table
 
 
@@ -17,6 +17,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op3_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
@@ -39,6 +44,7 @@ def op9_wavelet_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op3_pack_sequences": op3_pack_sequences,
     "op4_quality_outliers": op4_quality_outliers,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,

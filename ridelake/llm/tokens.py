@@ -13,8 +13,9 @@ import re
 
 import numpy as np
 
-# Bound of the per-worker cache (segments); it is emptied when full.
-CACHE_SEGMENTS = 600_000
+# Bound of each of the two generations of the per-worker cache (segments);
+# when the younger is full the older is dropped.
+CACHE_SEGMENTS = 500_000
 
 _SPACED = re.compile("[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
 # White space beyond ASCII, and separators that some engines count as such:
@@ -54,18 +55,20 @@ class SegmentEncoder:
         self.model = self.tokenizer.model
         self.spaces = spaces
         self.alphabet = _byte_alphabet()
-        self.lead = " " if spaces else ""
-        self.cache = _Segments(self)
+        # by segment: after a space, and at the start of a text or a run
+        self.after = _Segments(self, " " if spaces else "", {})
+        self.bare = _Segments(self, "", {})
         self.mark = functools.cache(lambda m: self._library([m])[0])
 
     def _library(self, parts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
-    def _word(self, word: str) -> bytes:
+    def word(self, lead: str, word: str) -> bytes:
+        """Ids of a plain word, by the merge model alone."""
         if not self.spaces:
             word = word.lower()
-        piece = "".join(map(self.alphabet.__getitem__, (self.lead + word).encode()))
+        piece = "".join(map(self.alphabet.__getitem__, (lead + word).encode()))
         return np.array([t.id for t in self.model.tokenize(piece)], "<u4").tobytes()
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
@@ -74,37 +77,35 @@ class SegmentEncoder:
     def _text(self, text: str) -> bytes:
         if any(c in text for c in _SEPARATORS) or not text.isascii() and _EXOTIC.search(text):
             return self._library([text])[0]
+        self.after, self.bare = self.after.bounded(), self.bare.bounded()
         if not self.spaces:
-            return self._joined(text.split())
+            return b"".join(map(self.after.__getitem__, text.split()))
         if any(r in text for r in _RUNS):
-            parts = _SPACED.findall(text)
-            return b"".join([self.cache[p[1:]] if p[0] == " " and p[1:].strip() == p[1:] != ""
-                             else self._library([p])[0] for p in parts])
+            return b"".join([self.after[p[1:]] if p[0] == " " and p[1:].strip() == p[1:] != ""
+                             else self.bare[p] for p in _SPACED.findall(text)])
         first, *parts = text.split(" ")
-        head = self._library([first])[0] if first else b""
-        return head + self._joined(parts)
-
-    def _joined(self, parts: list[str]) -> bytes:
-        """``parts``: segments without their leading space."""
-        if len(self.cache) > CACHE_SEGMENTS:
-            self.cache.clear()
-        return b"".join(map(self.cache.__getitem__, parts))
+        return (self.bare[first] if first else b"") + b"".join(map(self.after.__getitem__, parts))
 
 
 class _Segments(dict):
     """Ids' bytes by segment; a segment not met before is encoded."""
 
-    def __init__(self, encode):
-        self.encode = encode
+    def __init__(self, encoder: SegmentEncoder, lead: str, older: dict[str, bytes]):
+        self.encoder, self.lead, self.older = encoder, lead, older
+
+    def bounded(self) -> _Segments:
+        return self if len(self) < CACHE_SEGMENTS else _Segments(self.encoder, self.lead, dict(self))
 
     def __missing__(self, part: str) -> bytes:
-        plain = _PLAIN.fullmatch(part)
-        if not plain:
-            ids = self.encode._library([self.encode.lead + part])[0]
-        elif plain[2]:
-            ids = self[plain[1]] + self.encode.mark(plain[2])
-        else:
-            ids = self.encode._word(part)
+        ids = self.older.get(part)
+        if ids is None:
+            plain = _PLAIN.fullmatch(part)
+            if not plain:
+                ids = self.encoder._library([self.lead + part])[0]
+            elif plain[2]:
+                ids = self[plain[1]] + self.encoder.mark(plain[2])
+            else:
+                ids = self.encoder.word(self.lead, part)
         self[part] = ids
         return ids
 
