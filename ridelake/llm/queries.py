@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, quality, simhash, wavelet
+from . import langid, minhash, packing, quality, simhash, wavelet
 from .common import table
 
 
@@ -22,6 +22,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op2_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return minhash.edit_report(table(spark, sf_dir, "documents"))
+
+
 def op3_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
@@ -45,6 +50,7 @@ def op9_wavelet_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_minhash_fingerprints": op2_minhash_fingerprints,
     "op3_pack_sequences": op3_pack_sequences,
     "op4_quality_outliers": op4_quality_outliers,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
