@@ -14,7 +14,6 @@ pieces; other columns of the input, whatever their names, are ignored.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +28,7 @@ from .tokens import encoder
 SEQUENCE_TOKENS = 2048
 
 _TOKENS = "doc_id long, part long, before long, n_tokens long, ids binary"
-_PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
+_PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
            "sequence_id long, offset long")
 
 
@@ -55,7 +54,7 @@ def tokenized(docs: DataFrame, vocabulary: str, end_id: int, spaces: bool = True
 
 def cut(tokens: DataFrame, length: int = SEQUENCE_TOKENS) -> DataFrame:
     """Second pass over ``tokenized`` rows (written, so that both passes see
-    the same partitions): one row per piece."""
+    the same partitions): one row per piece, with its ids."""
     totals = tokens.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     offsets = exclusive_prefix(totals, "part", "n", "part_offset")
 
@@ -74,13 +73,12 @@ def cut(tokens: DataFrame, length: int = SEQUENCE_TOKENS) -> DataFrame:
             stop = np.minimum((sequence + 1) * length, at[row] + n[row])
             start, size = begin - at[row], stop - begin
             ids = batch.column(3).to_pylist()
-            crc = [zlib.crc32(memoryview(ids[r])[4 * s:4 * (s + k)])
-                   for r, s, k in zip(row.tolist(), start.tolist(), size.tolist())]
+            cuts = [ids[r][4 * s:4 * (s + k)] for r, s, k in zip(row.tolist(), start.tolist(), size.tolist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(row)), pa.array(start), pa.array(size),
-                 pa.array(crc, pa.int64()), pa.array(n[row]), pa.array(sequence),
+                 pa.array(cuts, pa.binary()), pa.array(n[row]), pa.array(sequence),
                  pa.array(begin - sequence * length)],
-                ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
+                ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
     # offsets has one row (16 bytes) per partition of the first pass
     return (tokens.join(F.broadcast(offsets), "part")

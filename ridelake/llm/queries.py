@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, minhash, packing, quality, simhash, wavelet
+from . import langid, minhash, packing, piece, quality, simhash, wavelet
 from .common import table
 
 
@@ -29,7 +29,9 @@ def op2_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens."""
-    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+    pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
 
 
 def op4_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +39,14 @@ def op4_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+def op5_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded to pieces and decoded again."""
+    out = piece.round_trip(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
+                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "agrees")
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -45,7 +55,7 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_wavelet_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents read back from their wavelet token files."""
     files = wavelet.write_token_files(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
-    return wavelet.read_documents(files)
+    return wavelet.read_documents(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 QUERIES = {
@@ -53,6 +63,7 @@ QUERIES = {
     "op2_minhash_fingerprints": op2_minhash_fingerprints,
     "op3_pack_sequences": op3_pack_sequences,
     "op4_quality_outliers": op4_quality_outliers,
+    "op5_piece_round_trip": op5_piece_round_trip,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op9_wavelet_token_files": op9_wavelet_token_files,
 }

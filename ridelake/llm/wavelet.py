@@ -17,7 +17,6 @@ fills it, so only a single longer document makes a block larger.
 from __future__ import annotations
 
 import struct
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -186,26 +185,25 @@ def write_token_files(docs: DataFrame, vocabulary: str, end_id: int = 1, spaces:
 
 def read_documents(files: DataFrame) -> DataFrame:
     """Per document, from the files alone: ``start`` (ids of all documents
-    before it), ``n_tokens`` and ``ids_crc32`` of its little-endian ids."""
+    before it), ``n_tokens`` and its ``ids`` (little-endian 32-bit)."""
     totals = files.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
     offsets = exclusive_prefix(totals, "shard", "n", "shard_offset")
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, docs, sizes, data in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                ids = memoryview(WaveletMatrix.from_bytes(data).decode().astype("<u4").tobytes())
+                ids = WaveletMatrix.from_bytes(data).decode().astype("<u4").tobytes()
                 size = np.array(sizes, np.int64)
                 stop = np.cumsum(size)
-                crc = [zlib.crc32(ids[4 * a:4 * b])
-                       for a, b in zip((stop - size).tolist(), stop.tolist())]
+                cuts = [ids[4 * a:4 * b] for a, b in zip((stop - size).tolist(), stop.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(docs, pa.int64()), pa.array(at + stop - size), pa.array(size),
-                     pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                     pa.array(cuts, pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
 
     # offsets has one row (16 bytes) per shard
     return (files.join(F.broadcast(offsets), "shard")
             .select((F.col("before") + F.col("shard_offset")).alias("at"), "doc_ids", "doc_tokens", "matrix")
-            .mapInArrow(documents, "doc_id long, start long, n_tokens long, ids_crc32 long"))
+            .mapInArrow(documents, "doc_id long, start long, n_tokens long, ids binary"))
 
 
 def count_tokens(files: DataFrame, token_ids: list[int]) -> DataFrame:
