@@ -3,11 +3,11 @@ its whole table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, minhash, packing, piece, quality, simhash, wavelet
-from .common import table
+from . import editcount, langid, minhash, packing, piece, quality, simhash, wavelet
+from .common import table, written
 
 
 def vocabulary(name: str) -> str:
@@ -52,6 +52,27 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def _three_edits(text: Column) -> Column:
+    """Stand-in edits of a document: a passage replaced by its first
+    characters, its last ones inserted in the middle, its start deleted."""
+    n = F.length(text)
+    third, half = (n / 3).cast("long"), (n / 2).cast("long")
+
+    def change(start: Column, stop: Column, replacement: Column) -> Column:
+        return F.struct(start.alias("start"), stop.alias("stop"), replacement.alias("replacement"))
+
+    return F.array(change(third, third + 7, F.left(text, F.lit(11))),
+                   change(half, half, F.right(text, F.lit(5))),
+                   change(F.lit(0).cast("long"), F.lit(3).cast("long"), F.lit("")))
+
+
+def op8_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after three edits."""
+    path = vocabulary("byte_bpe_50k.json")
+    kept = written(editcount.trees(table(spark, sf_dir, "documents"), path), "trees")
+    return editcount.recount(kept, _three_edits(F.coalesce("text", F.lit(""))), path)
+
+
 def op9_wavelet_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents read back from their wavelet token files."""
     files = wavelet.write_token_files(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
@@ -65,6 +86,7 @@ QUERIES = {
     "op4_quality_outliers": op4_quality_outliers,
     "op5_piece_round_trip": op5_piece_round_trip,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_edit_token_counts": op8_edit_token_counts,
     "op9_wavelet_token_files": op9_wavelet_token_files,
 }
 

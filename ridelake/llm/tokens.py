@@ -28,7 +28,15 @@ _RUNS = ("  ", "\n ", "\t ", "\r ", "\x0b ", "\x0c ")
 _PLAIN = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?]?)")
 
 
-def _byte_alphabet() -> list[str]:
+def has_exotic_space(text: str) -> bool:
+    return any(c in text for c in _SEPARATORS) or not text.isascii() and bool(_EXOTIC.search(text))
+
+
+def has_space_runs(text: str) -> bool:
+    return any(r in text for r in _RUNS)
+
+
+def byte_alphabet() -> list[str]:
     """The printable stand-in of every byte in byte-level vocabularies:
     printable Latin-1 bytes stand for themselves, the others follow 255."""
     kept = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -54,7 +62,7 @@ class SegmentEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.spaces = spaces
-        self.alphabet = _byte_alphabet()
+        self.alphabet = byte_alphabet()
         # by segment: after a space, and at the start of a text or a run
         self.after = _Segments(self, " " if spaces else "", {})
         self.bare = _Segments(self, "", {})
@@ -75,12 +83,12 @@ class SegmentEncoder:
         return [self._text(t) if t else b"" for t in texts]
 
     def _text(self, text: str) -> bytes:
-        if any(c in text for c in _SEPARATORS) or not text.isascii() and _EXOTIC.search(text):
+        if has_exotic_space(text):
             return self._library([text])[0]
         self.after, self.bare = self.after.bounded(), self.bare.bounded()
         if not self.spaces:
             return b"".join(map(self.after.__getitem__, text.split()))
-        if any(r in text for r in _RUNS):
+        if has_space_runs(text):
             return b"".join([self.after[p[1:]] if p[0] == " " and p[1:].strip() == p[1:] != ""
                              else self.bare[p] for p in _SPACED.findall(text)])
         first, *parts = text.split(" ")
