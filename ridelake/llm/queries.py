@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import editcount, langid, minhash, packing, piece, quality, simhash, wavelet
+from . import editcount, htmltext, langid, minhash, packing, piece, quality, simhash, wavelet
 from .common import table, written
 
 
@@ -79,6 +79,11 @@ def op9_wavelet_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_documents(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_minhash_fingerprints": op2_minhash_fingerprints,
@@ -88,6 +93,7 @@ QUERIES = {
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_edit_token_counts": op8_edit_token_counts,
     "op9_wavelet_token_files": op9_wavelet_token_files,
+    "op10_html_blocks": op10_html_blocks,
 }
 
 ORACLE: dict[str, str] = {}
