@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import editcount, htmltext, langid, minhash, packing, piece, quality, simhash, wavelet
+from . import editcount, htmltext, langid, licenses, minhash, packing, piece, quality, simhash, wavelet
 from .common import table, written
 
 
@@ -47,6 +47,11 @@ def op5_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "agrees")
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence families of every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -90,6 +95,7 @@ QUERIES = {
     "op3_pack_sequences": op3_pack_sequences,
     "op4_quality_outliers": op4_quality_outliers,
     "op5_piece_round_trip": op5_piece_round_trip,
+    "op6_license_scan": op6_license_scan,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_edit_token_counts": op8_edit_token_counts,
     "op9_wavelet_token_files": op9_wavelet_token_files,
