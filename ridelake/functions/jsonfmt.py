@@ -16,10 +16,22 @@ from pyspark.sql import functions as F
 from .pricing import epoch_micros
 
 
-def json_string(c: Column) -> Column:
-    """A JSON string literal (quotes and backslashes escaped)."""
-    esc = F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
-    return F.concat(F.lit('"'), esc, F.lit('"'))
+# Escapes of the service's encoders beyond quote and backslash.
+_CONTROL = {chr(c): f"\\u{c:04x}" for c in range(32)} | {
+    "\b": "\\b", "\f": "\\f", "\n": "\\n", "\r": "\\r", "\t": "\\t"}
+_HTML = {c: f"\\u{ord(c):04x}" for c in "<>&\u2028\u2029"}
+
+
+def json_string(c: Column, html: bool = True) -> Column:
+    """A JSON string literal: quotes, backslashes and control characters
+    escaped and, in documents (``html``), ``<``, ``>``, ``&`` and the two
+    Unicode line ends too."""
+    escapes = {"\\": "\\\\", '"': '\\"'} | _CONTROL | (_HTML if html else {})
+    esc = c
+    for char, written in escapes.items():
+        esc = F.replace(esc, F.lit(char), F.lit(written))
+    special = "[\\x00-\\x1f\"\\\\" + ("<>&\\u2028\\u2029" if html else "") + "]"
+    return F.concat(F.lit('"'), F.when(c.rlike(special), esc).otherwise(c), F.lit('"'))
 
 
 def rfc3339(ts: Column) -> Column:

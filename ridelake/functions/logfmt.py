@@ -33,9 +33,19 @@ def route(method: Column, path: Column) -> Column:
 
 
 def truncate_bytes(body: Column, max_bytes: int) -> Column:
-    """Keep the first ``max_bytes`` bytes (not characters) and mark the cut."""
+    """Keep the first ``max_bytes`` bytes (not characters) and mark the
+    cut.  A character the cut divides is no longer valid UTF-8: each byte left
+    of it becomes U+FFFD, as the service's log encoder writes it."""
     raw = F.encode(body, "UTF-8")
-    cut = F.concat(F.decode(F.substring(raw, 1, max_bytes), "UTF-8"), F.lit(TRUNCATION_MARKER))
+
+    def continues(at: int) -> Column:
+        return F.hex(F.substring(raw, at, 1)).between("80", "BF")
+
+    # bytes of a divided character before the cut (at most three)
+    broken = (F.when(~continues(max_bytes + 1), 0).when(~continues(max_bytes), 1)
+              .when(~continues(max_bytes - 1), 2).otherwise(3))
+    cut = F.concat(F.decode(F.substring(raw, F.lit(1), F.lit(max_bytes) - broken), "UTF-8"),
+                   F.repeat(F.lit("\ufffd"), broken), F.lit(TRUNCATION_MARKER))
     return F.when(F.octet_length(body) > max_bytes, cut).otherwise(body)
 
 
@@ -60,27 +70,35 @@ def duration_ms(nanos: Column) -> Column:
     return nanos.cast("double") / F.lit(1e6)
 
 
-_KEYS = T.MapType(T.StringType(), T.StringType())
+_KEYS = T.MapType(T.StringType(), T.VariantType())
+
+
+def _text(m: Column, key: str) -> Column:
+    """A non-empty JSON string under ``key``; numbers, booleans, objects and
+    arrays are not ids."""
+    v = m[key]
+    return F.when(F.schema_of_variant(v) == "STRING", _nz(F.variant_get(v, "$", "string")))
 
 
 def request_keys(body: Column) -> Column:
     """Business ids of a request body (only non-empty strings)."""
     m = F.from_json(body, _KEYS)
-    return F.struct(*[_nz(m[k]).alias(k) for k in ("user_id", "order_id", "offer_id",
-                                                   "scooter_id")])
+    return F.struct(*[_text(m, k).alias(k) for k in ("user_id", "order_id", "offer_id",
+                                                     "scooter_id")])
 
 
 def response_keys(body: Column) -> Column:
     """Ids of a response body.  ``id`` names an offer when the body has
     ``expires_at``, else an order -- unless ``order_id`` is present."""
     m = F.from_json(body, _KEYS)
-    rid, oid = _nz(m["id"]), _nz(m["order_id"])
+    rid, oid = _text(m, "id"), _text(m, "order_id")
     is_offer = F.map_contains_key(m, "expires_at")
     order_id = F.when(rid.isNotNull(), F.when(oid.isNotNull(), oid)
                       .when(~is_offer, rid))
     offer_id = F.when(rid.isNotNull() & oid.isNull() & is_offer, rid)
     return F.struct(order_id.alias("order_id"), offer_id.alias("offer_id"),
-                    _nz(m["user_id"]).alias("user_id"), _nz(m["status"]).alias("order_status"))
+                    _text(m, "user_id").alias("user_id"),
+                    _text(m, "status").alias("order_status"))
 
 
 def merged_keys(req: Column, resp: Column) -> Column:

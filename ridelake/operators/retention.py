@@ -32,9 +32,9 @@ def audit_lines(expired: DataFrame, as_of) -> DataFrame:
         "current_amount", "deposit", "duration_seconds", "finish_time", "id", "offer_id",
         "price_per_minute", "price_unlock", "scooter_id", "start_time", "status", "user_id")])
     line = F.concat(
-        F.lit('{"level":"info","event":"order_deleted","order_id":'), jsonfmt.json_string(F.col("id")),
-        F.lit(',"user_id":'), jsonfmt.json_string(F.col("user_id")),
-        F.lit(',"status":'), jsonfmt.json_string(F.col("status")),
+        F.lit('{"level":"info","event":"order_deleted","order_id":'), jsonfmt.json_string(F.col("id"), html=False),
+        F.lit(',"user_id":'), jsonfmt.json_string(F.col("user_id"), html=False),
+        F.lit(',"status":'), jsonfmt.json_string(F.col("status"), html=False),
         F.lit(',"order_data":'), F.col("order_data"),
         F.lit(',"time":'), jsonfmt.json_string(jsonfmt.rfc3339(F.lit(as_of).cast("timestamp_ntz"))),
         F.lit(',"message":"Deleting old order"}'))

@@ -117,3 +117,41 @@ def test_approx_latency_quantiles_close_to_exact(spark):
     ap = {r.g: r for r in logs.latency_quantiles(df, ["g"], exact=False).collect()}
     for g in ex:
         assert abs(ex[g].p99 - ap[g].p99) <= 1.0 and abs(ex[g].p50 - ap[g].p50) <= 1.0
+
+
+def test_truncation_inside_a_character(spark):
+    bodies = ["x" + "é" * 600, "é" * 600, "xx" + "漢" * 400, "x" + "👩" * 300, "y" * 1000, "z" * 1001, ""]
+    df = spark.createDataFrame([(b,) for b in bodies], "b string")
+    got = [r[0] for r in df.select(logfmt.truncate_bytes(F.col("b"), 1000)).collect()]
+
+    def expected(b):
+        raw = b.encode()
+        if len(raw) <= 1000:
+            return b
+        whole = raw[:1000].decode(errors="ignore")
+        return whole + "�" * (1000 - len(whole.encode())) + "...(truncated)"
+
+    assert got == [expected(b) for b in bodies]
+
+
+def test_only_json_strings_are_ids(spark):
+    rows = [('{"user_id":5,"offer_id":true,"order_id":"o","scooter_id":{"a":"b"}}', '{"id":7,"status":3}'),
+            ('{"user_id":"","offer_id":null,"scooter_id":"\\"s\\""}', '{"id":"i","expires_at":null,"status":"A"}'),
+            ("[1]", "oops"), (None, '{"id":"i","order_id":7}')]
+    df = spark.createDataFrame(rows, "a string, b string")
+    got = df.select(logfmt.request_keys(F.col("a")).alias("q"), logfmt.response_keys(F.col("b")).alias("s")).collect()
+    assert [tuple(r.q) for r in got] == [(None, "o", None, None), (None, None, None, '"s"'),
+                                         (None,) * 4, (None,) * 4]
+    assert [tuple(r.s) for r in got] == [(None,) * 4, (None, "i", None, "A"), (None,) * 4,
+                                         ("i", None, None, None)]
+
+
+def test_json_strings_escape_control_and_html(spark):
+    import json
+    texts = ["plain", "a\nb\tc\x00\x1f\x0b", 'q"\\u000B\\', "<a>&b  ", "é\x7f"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select(jsonfmt.json_string(F.col("t")), jsonfmt.json_string(F.col("t"), html=False)).collect()
+    assert [json.loads(r[0]) for r in got] == texts and [json.loads(r[1]) for r in got] == texts
+    assert got[1][0] == '"a\\nb\\tc\\u0000\\u001f\\u000b"'
+    assert got[3][0] == '"\\u003ca\\u003e\\u0026b\\u2028\\u2029"' and got[3][1] == '"<a>&b  "'
+    assert all("\n" not in r[0] for r in got)
