@@ -88,14 +88,15 @@ SELECT ts, CASE event_type WHEN 'view' THEN 'GET' ELSE 'POST' END AS method,
        CASE WHEN event_id % 10 = 0 THEN 'request_start' ELSE 'request_complete' END AS event,
        'user-' || CAST(user_id AS VARCHAR) AS user_id,
        CASE event_type WHEN 'click' THEN '{{"user_id":"user-' || CAST(user_id AS VARCHAR) || '","scooter_id":"scooter-' || {K} || '"'
-              || CASE WHEN event_id % 3 = 0 THEN ',"note":"' || repeat('x', CAST(CAST(floor(value * 10) AS BIGINT) % 1400 AS INTEGER)) || '"' ELSE '' END || '}}'
+              || CASE WHEN event_id % 3 = 0 THEN ',"note":"' || repeat('xé漢', CAST(CAST(floor(value * 10) AS BIGINT) % 500 AS INTEGER)) || '"'
+                WHEN event_id % 7 = 0 THEN ',"offer_id":17,"order_id":true' ELSE '' END || '}}'
             WHEN 'signup' THEN '{{"order_id":"order-' || {K} || '","offer_id":"offer-' || {K} || '","user_id":"user-' || CAST(user_id AS VARCHAR) || '"}}'
        END AS request_body,
        CASE event_type WHEN 'click' THEN '{{"id":"offer-' || CAST(event_id AS VARCHAR) || '","user_id":"user-' || CAST(user_id AS VARCHAR) || '","expires_at":"2024-01-01T00:05:00Z"}}'
             WHEN 'signup' THEN '{{"id":"order-' || {K} || '","offer_id":"offer-' || {K} || '","user_id":"user-' || CAST(user_id AS VARCHAR) || '","status":"ACTIVE"}}'
-            WHEN 'view' THEN '{{"id":"order-' || {K} || '","status":"FINISHED"}}'
+            WHEN 'view' THEN CASE WHEN event_id % 9 = 0 THEN '{{"id":' || {K} || ',"status":["FINISHED"],"user_id":"a\\tb"}}' ELSE '{{"id":"order-' || {K} || '","status":"FINISHED"}}' END
             WHEN 'purchase' THEN '{{"id":"x-' || CAST(event_id AS VARCHAR) || '","order_id":"order-' || {K} || '","status":"FINISHED"}}'
-            ELSE 'Internal server error ' || repeat('x', CAST(event_id % 900 AS INTEGER)) END AS response_body,
+            ELSE 'Internal server error ' || repeat('ü', CAST(event_id % 900 AS INTEGER)) END AS response_body,
        CAST(floor(value * 1000000) AS BIGINT) AS duration_ns
 FROM events""",
 }
@@ -688,7 +689,16 @@ SELECT request_id, user_id, scooter_id, ts AS requested_at, outcome, {OFFER_STAT
 FROM pq"""
 
 def _jk(body: str, key: str) -> str:
-    return f"CASE WHEN json_valid({body}) THEN nullif(json_extract_string({body}, '$.{key}'), '') END"
+    return (f"CASE WHEN json_valid({body}) AND json_type({body}, '$.{key}') = 'VARCHAR' "
+            f"THEN nullif(json_extract_string({body}, '$.{key}'), '') END")
+
+
+def _cut(body: str, most: int) -> str:
+    """The longest character prefix within ``most`` bytes, U+FFFD for each
+    byte left of a divided character, and the marker."""
+    whole = f"list_max(list_filter(range(0, {most} + 1), lambda x: strlen(left({body}, x)) <= {most}))"
+    return (f"CASE WHEN strlen({body}) > {most} THEN left({body}, {whole}) "
+            f"|| repeat('\ufffd', CAST({most} - strlen(left({body}, {whole})) AS INTEGER)) || '...(truncated)' ELSE {body} END")
 
 
 REQUEST_RECORDS_ENRICHED = with_standins("request_log", extra={"k": f"""SELECT *,
@@ -697,7 +707,7 @@ REQUEST_RECORDS_ENRICHED = with_standins("request_log", extra={"k": f"""SELECT *
     {_jk('response_body', 'id')} AS rs_id, {_jk('response_body', 'order_id')} AS rs_oid,
     CASE WHEN json_valid(response_body) THEN json_exists(response_body, '$.expires_at') END AS rs_offer,
     {_jk('response_body', 'user_id')} AS rs_user, {_jk('response_body', 'status')} AS rs_status
-    FROM request_log WHERE event_id % 10 <> 0"""}) + """
+    FROM request_log WHERE event = 'request_complete'"""}) + f"""
 SELECT event_id,
   coalesce(rs_user, rq_user) AS user_id,
   coalesce(CASE WHEN rs_id IS NOT NULL THEN CASE WHEN rs_oid IS NOT NULL THEN rs_oid WHEN NOT rs_offer THEN rs_id END END, rq_order) AS order_id,
@@ -707,9 +717,8 @@ SELECT event_id,
   CASE WHEN status_code >= 500 THEN 'HTTP request failed' WHEN status_code >= 400 THEN 'HTTP request client error'
        ELSE 'HTTP request completed' END AS message,
   CASE WHEN status_code >= 400 THEN status_code END AS error_code,
-  CASE WHEN status_code >= 400 THEN CASE WHEN length(response_body) > 500 THEN left(response_body, 500) || '...(truncated)'
-       ELSE response_body END END AS error_response,
-  CASE WHEN length(request_body) > 1000 THEN left(request_body, 1000) || '...(truncated)' ELSE request_body END AS request_body_logged,
+  CASE WHEN status_code >= 400 THEN {_cut('response_body', 500)} END AS error_response,
+  {_cut('request_body', 1000)} AS request_body_logged,
   duration_ns / 1e6 AS duration_ms
 FROM k"""
 

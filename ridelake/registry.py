@@ -380,7 +380,7 @@ def offer_pricing_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 def request_records_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """request_complete records rebuilt from bodies: merged
     business keys, level/message/error code, truncated bodies, duration."""
-    log = si.request_log(spark, sf_dir).where(F.col("event_id") % 10 != 0)
+    log = logs.keep_request_complete(si.request_log(spark, sf_dir))
     r = logs.enriched_records(log, "request_body", "response_body", "status_code", "duration_ns")
     return r.select("event_id", "user_id", "order_id", "offer_id", "scooter_id", "order_status",
                     "level", "message", "error_code", "error_response", "request_body_logged",

@@ -250,8 +250,9 @@ def request_log_from_events(e: DataFrame) -> DataFrame:
     user = _sid("user-", F.col("user_id"))
     pad = F.when(F.col("event_id") % 3 == 0,
                  F.concat(F.lit(',"note":"'),
-                          F.repeat(F.lit("x"), (F.floor(F.col("value") * 10) % 1400).cast("int")),
-                          F.lit('"'))).otherwise(F.lit(""))
+                          F.repeat(F.lit("xé漢"), (F.floor(F.col("value") * 10) % 500).cast("int")),
+                          F.lit('"'))).when(F.col("event_id") % 7 == 0, F.lit(',"offer_id":17,"order_id":true')
+                                            ).otherwise(F.lit(""))
     req_body = (F.when(et == "click", F.concat(F.lit('{"user_id":"'), user, F.lit('","scooter_id":"scooter-'),
                                                k, F.lit('"'), pad, F.lit("}")))
                 .when(et == "signup", F.concat(F.lit('{"order_id":"order-'), k, F.lit('","offer_id":"offer-'),
@@ -261,12 +262,14 @@ def request_log_from_events(e: DataFrame) -> DataFrame:
                                                 F.lit('","expires_at":"2024-01-01T00:05:00Z"}')))
                  .when(et == "signup", F.concat(F.lit('{"id":"order-'), k, F.lit('","offer_id":"offer-'), k,
                                                 F.lit('","user_id":"'), user, F.lit('","status":"ACTIVE"}')))
+                 .when((et == "view") & (F.col("event_id") % 9 == 0),
+                       F.concat(F.lit('{"id":'), k, F.lit(',"status":["FINISHED"],"user_id":"a\\tb"}')))
                  .when(et == "view", F.concat(F.lit('{"id":"order-'), k, F.lit('","status":"FINISHED"}')))
                  .when(et == "purchase", F.concat(F.lit('{"id":"x-'), F.col("event_id").cast("string"),
                                                   F.lit('","order_id":"order-'), k,
                                                   F.lit('","status":"FINISHED"}')))
                  .otherwise(F.concat(F.lit("Internal server error "),
-                                     F.repeat(F.lit("x"), (F.col("event_id") % 900).cast("int")))))
+                                     F.repeat(F.lit("ü"), (F.col("event_id") % 900).cast("int")))))
     return e.select(
         F.col("ts"), method.alias("method"), path.alias("path"),
         status.cast("int").alias("status_code"), F.col("value").alias("duration_ms"),
