@@ -82,46 +82,53 @@ def fingerprint(text: Column, shingle_words: int = SHINGLE_WORDS) -> Column:
 
 
 def _literals(values: list[int]) -> Column:
-    return F.array(*[F.lit(_signed(v)).cast("long") for v in values])
+    return F.array(*[F.lit(v).cast("long") for v in values])
+
+
+def _rotated(x: Column, bits: Column) -> Column:
+    """``x`` rotated to the left by 0 to 63 ``bits``."""
+    return F.call_function("shiftleft", x, bits).bitwiseOR(
+        F.call_function("shiftrightunsigned", F.call_function("shiftrightunsigned", x, F.lit(1)), 63 - bits))
 
 
 def links(fingerprints: DataFrame) -> DataFrame:
     """``a`` and ``b`` (longs) linking all of ``fingerprints`` (distinct longs
     in column ``fp``) that are connected over pairs at most 3 bits apart."""
-    full = (1 << 64) - 1
-    blocks = [((1 << _BLOCK) - 1) << at for at in range(0, 64, _BLOCK)]
-    flips = [[0] + [1 << i for i in range(64) if not block >> i & 1] for block in blocks]
-
-    def variants(b: int) -> Column:
-        rest = F.col("fp").bitwiseAND(F.lit(_signed(full ^ blocks[b])))
-        return F.transform(_literals(flips[b]), lambda x: rest.bitwiseXOR(x))
-
-    balls = F.array(*[F.struct(F.lit(b).alias("block"), variants(b).alias("variants")) for b in range(4)])
-    ball = (fingerprints.select("fp", F.explode(balls).alias("x"))
-            .select("fp", "x.block", F.explode("x.variants").alias("variant")))
-    same = Window.partitionBy("variant", "block")
-    left_out = F.col("fp").bitwiseAND(F.element_at(_literals(blocks), F.col("block") + 1))
-    met = (ball.withColumn("left", left_out)
-           .select("fp", "block", "variant", "left",
-                   F.min("fp").over(same).alias("lo"), F.max("fp").over(same).alias("hi"),
-                   (F.min("left").over(same) != F.max("left").over(same)).alias("differ"))
+    spark = fingerprints.sparkSession
+    low = F.lit((1 << _BLOCK) - 1)
+    flips = F.lit(0).cast("long"), *[F.lit(1 << i).cast("long") for i in range(64 - _BLOCK)]
+    # a row is a key (48 bits of a variant, 2 of the block's number) and a
+    # code (the left-out block, 6 bits for the flipped bit)
+    blocks = (fingerprints.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "fp")
+              .select(F.explode(F.array(*[F.struct(
+                  F.lit(b).alias("block"), _rotated(F.col("fp"), F.lit((64 - _BLOCK * b) % 64)).alias("turned"))
+                  for b in range(64 // _BLOCK)])).alias("x")).select("x.*"))
+    rest, left = F.shiftrightunsigned("turned", _BLOCK), F.col("turned").bitwiseAND(low).cast("int")
+    ball = (blocks.select("block", rest.alias("rest"), left.alias("left"), F.posexplode(F.array(*flips)))
+            .select(F.shiftleft(F.col("rest").bitwiseXOR(F.col("col")), 2).bitwiseOR(F.col("block").cast("long"))
+                    .alias("key"),
+                    F.col("left").bitwiseOR(F.shiftleft(F.col("pos"), _BLOCK)).alias("code")))
+    same = Window.partitionBy("key")
+    own = F.col("code").bitwiseAND(low)
+    met = (ball.select("key", "code", F.min("code").over(same).alias("lo"), F.max("code").over(same).alias("hi"),
+                       (F.min(own).over(same) != F.max(own).over(same)).alias("differ"))
            .where("lo <> hi"))
 
-    def inside(block: int, most: int) -> list[int]:
-        bits = [1 << i for i in range(64) if block >> i & 1]
-        two = [x | y for i, x in enumerate(bits) for y in bits[:i]] if most > 1 else []
-        return [0, *bits, *two]
+    def inside(most: int) -> Column:
+        bits = [1 << i for i in range(_BLOCK)]
+        return _literals([0, *bits, *([x | y for i, x in enumerate(bits) for y in bits[:i]] if most > 1 else [])])
 
-    near = F.array(*[_literals(inside(block, 1)) for block in blocks])
-    far = F.array(*[_literals(inside(block, 2)) for block in blocks])
-    whole = F.col("variant").bitwiseOR(F.col("left"))
-    untouched = whole == F.col("fp")
-    at = F.col("block") + 1
+    flipped = F.shiftrightunsigned("code", _BLOCK)
+    variant = F.shiftrightunsigned("key", 2)
+    back = (F.col("key").bitwiseAND(F.lit(3)) * _BLOCK).cast("int")
+    whole = F.shiftleft(variant, _BLOCK).bitwiseOR(own.cast("long"))
+    flip = F.element_at(F.array(*flips), flipped + 1)
     # where all of a meeting share the left-out block, it needs no variants
-    masks = (F.when(~F.col("differ"), _literals([0]))
-             .when(untouched, F.element_at(far, at)).otherwise(F.element_at(near, at)))
-    points = (met.select("fp", whole.alias("whole"), F.explode(masks).alias("mask"))
-              .select("fp", F.col("whole").bitwiseXOR(F.col("mask")).alias("point")).distinct())
+    masks = F.when(~F.col("differ"), _literals([0])).when(flipped == 0, inside(2)).otherwise(inside(1))
+    points = (met.select(_rotated(whole.bitwiseXOR(F.shiftleft(flip, _BLOCK)), back).alias("fp"),
+                         whole.alias("whole"), back.alias("back"), F.explode(masks).alias("mask"))
+              .select("fp", _rotated(F.col("whole").bitwiseXOR(F.col("mask")), F.col("back")).alias("point"))
+              .distinct())
     is_near = F.bit_count(F.col("fp").bitwiseXOR(F.col("point"))) <= 1
     hub = F.min(F.when(is_near, F.col("fp"))).over(Window.partitionBy("point"))
     return (points.select("fp", hub.alias("hub")).where("fp <> hub")
