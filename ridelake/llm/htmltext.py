@@ -197,6 +197,9 @@ LABELLED = """
 2 0 - 0; 21 0 - 1; 3 0 - 0; 16 0 - 1; 1 1 - 0; 1 1 - 0
 1 0 - 0; 30 0 - 1; 14 1 - 1; 2 0 - 0; 26 0 - 1; 15 0 - 1; 2 2 - 0; 12 12 - 0
 3 0 - 0; 24 24 - 0; 19 0 - 1; 1 0 - 0; 1 0 - 0; 13 0 - 1; 3 0 - 0; 20 17 - 0
+14 0 - 1
+9 0 h 1; 40 0 - 1; 25 0 - 1
+3 0 - 0; 7 0 h 1; 11 0 - 1; 90 0 - 1
 4 0 hb 0; 3 0 hb 0; 17 0 b 0; 8 0 h 1; 12 0 - 1; 33 0 - 1; 5 0 - 0; 48 5 - 1; 6 0 hb 0; 2 2 b 0
 """
 

@@ -151,9 +151,13 @@ def train(labelled: DataFrame, families: dict[str, str] | None = None) -> Model
     families = FAMILIES if families is None else families
     rows = labelled.select("text", F.col("lang").cast("string").alias("lang"),
                            F.xxhash64("text").alias("h")).where("text is not null and lang is not null")
-    # at most SAMPLE_PER_LANGUAGE keys of a language leave each task
+    # the share of hashes to look at holds a tenth more texts than wanted
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
+    place = F.shiftrightunsigned("h", 1) / F.lit(float(1 << 63))
     first = Window.partitionBy("lang").orderBy("h")
-    keys = (rows.select("lang", "h").distinct().withColumn("n", F.row_number().over(first))
+    keys = (rows.select("lang", "h").join(counts, "lang")
+            .where(place * F.col("n") <= 1.1 * SAMPLE_PER_LANGUAGE + 10)
+            .select("lang", "h").distinct().withColumn("n", F.row_number().over(first))
             .where(F.col("n") <= SAMPLE_PER_LANGUAGE).select("lang", "h"))
     # bounded: SAMPLE_PER_LANGUAGE keys of 16 bytes per language
     sample = (rows.join(F.broadcast(keys), ["lang", "h"]).groupBy("lang", "h")

@@ -36,7 +36,7 @@ from .common import written
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-SUPPORT = 0.75
+SUPPORT = 0.55
 STEPS = 4
 LEAST_ROWS = 100
 CUTOFF = 0.999999
@@ -178,20 +178,17 @@ def _verdicts(rows: DataFrame) -> DataFrame:
     xs = [v.alias(f"x{i}") for i, v in enumerate(_vector("_s"))]
     est = estimates(rows.where(~base_failed("_s"))
                     .select(F.col("_lang").alias("lang"), F.col("_source").alias("source"), *xs))
-    enough = est.where(F.col("n") >= LEAST_ROWS)
-    pick = [F.col(f"e.{c}") for c in est.columns if c not in _KEY]
-
-    def level(k: int, keys: list[str]) -> DataFrame:
-        return enough.where(F.col("level") == k).select(*keys, F.struct(*[
-            c for c in est.columns if c not in _KEY]).alias(f"e{k}"))
-
+    cells = [c for c in est.columns if c not in _KEY]
     # one row per language and source, with the finest estimate it may use
-    chosen = (est.where("level = 0").select("lang", "source")
-              .join(level(0, ["lang", "source"]), ["lang", "source"], "left")
-              .join(level(1, ["lang"]), "lang", "left")
-              .join(level(2, []).withColumn("one", F.lit(1)), F.col("one") == 1, "left")
-              .select(F.col("lang").alias("_lang"), F.col("source").alias("_source"),
-                      F.coalesce("e0", "e1", "e2").alias("e")).select("_lang", "_source", *pick))
+    none = F.lit("")
+    tries = F.array(F.struct(F.lit(0).alias("level"), F.col("lang"), F.col("source")),
+                    F.struct(F.lit(1).alias("level"), F.col("lang"), none.alias("source")),
+                    F.struct(F.lit(2).alias("level"), none.alias("lang"), none.alias("source")))
+    chosen = (est.where("level = 0").select(F.col("lang").alias("_lang"), F.col("source").alias("_source"),
+                                            F.explode(tries).alias("g")).select("_lang", "_source", "g.*")
+              .join(est.where(F.col("n") >= LEAST_ROWS), _KEY)
+              .groupBy("_lang", "_source").agg(F.min_by(F.struct(*cells), "level").alias("e"))
+              .select("_lang", "_source", "e.*"))
     cutoff = _chi2_point(CUTOFF, _P)
     scored = rows.join(written(chosen, "chosen"), ["_lang", "_source"], "left")
     for i, v in enumerate(_vector("_s")):

@@ -208,6 +208,8 @@ def read_documents(files: DataFrame) -> DataFrame:
 
 def count_tokens(files: DataFrame, token_ids: list[int]) -> DataFrame:
     """``token_id`` and its ``occurrences`` in all files, by rank."""
+    token_ids = sorted(set(token_ids))
+
     def ranks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data in batch.column(0).to_pylist():
