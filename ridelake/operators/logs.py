@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import logfmt
-from ..plans.quantiles import exact_quantiles
+from ..plans.quantiles import exact_quantiles, quantile_names
 
 REQUEST_COMPLETE = r'"event":"request_complete"'
 
@@ -131,7 +131,7 @@ def latency_quantiles(logs: DataFrame, group_cols: list[str], value: str = "dura
     over a distributed global sort.  Otherwise ``percentile_approx`` with a
     bounded sketch per group (rank error <= 1/accuracy), the cheaper choice
     for dashboards over very large logs."""
-    names = ["p50", "p95", "p99"] if len(probs) == 3 else [f"q{int(p * 100)}" for p in probs]
+    names = ["p50", "p95", "p99"] if tuple(probs) == (0.5, 0.95, 0.99) else quantile_names(list(probs))
     if exact:
         return exact_quantiles(logs, group_cols, value, list(probs), names=names)
     q = F.percentile_approx(F.col(value).cast("double"), list(probs), accuracy)

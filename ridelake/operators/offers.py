@@ -38,7 +38,8 @@ def create_offers(requests: DataFrame, scooters: DataFrame, zones: DataFrame,
                   claims: DataFrame | None = None,
                   min_remaining_seconds: int = 0) -> DataFrame:
     """One row per request: outcome (CREATED, REUSED or a reject), the offer
-    returned (id, prices, expiry) and ``is_new_offer``.
+    returned (id, prices, expiry) and ``is_new_offer``.  A request that the log
+    repeats (same id, key and time) is one request.
 
     ``prior_anchors`` (same columns as the output) carries the live offers of
     earlier batches (streaming): they take part in the chain as forced
@@ -48,7 +49,8 @@ def create_offers(requests: DataFrame, scooters: DataFrame, zones: DataFrame,
     only while more than that much of its TTL remains, and with ``claims``
     (``offer_id``, ``claimed_at``) a claimed offer is no longer reused from
     its first claim on -- the next request creates a new offer."""
-    priced = price_offer_requests(requests, scooters, zones, users, configs,
+    once = requests.dropDuplicates(["request_id", "user_id", "scooter_id", "ts"])
+    priced = price_offer_requests(once, scooters, zones, users, configs,
                                   with_lookup_zone=True).withColumn("_prior", F.lit(False))
     if prior_anchors is not None:
         prior = prior_anchors.select(
@@ -69,21 +71,17 @@ def create_offers(requests: DataFrame, scooters: DataFrame, zones: DataFrame,
             priced = priced.join(first, priced["offer_id"] == first["_c_offer"], "left") \
                 .drop("_c_offer")
             end = F.least(end, F.coalesce(F.col("_c_at"), end))
-    chained = ttl_chain(priced, list(keys), "requested_at", ["request_id"], ttl_seconds,
-                        eligible=valid & (F.col("outcome") == "CREATED"),
-                        force=F.col("_prior"), bucket_seconds=bucket_seconds, end=end)
+    offer = ["zone_id", "price_per_minute", "price_unlock", "deposit", "offer_id", "expires_at"]
+    j = ttl_chain(priced, list(keys), "requested_at", ["request_id"], ttl_seconds,
+                  eligible=valid & (F.col("outcome") == "CREATED"),
+                  force=F.col("_prior"), bucket_seconds=bucket_seconds, end=end,
+                  carry=offer).where(~F.col("_prior"))
     reused = valid & F.col("covered") & ~F.col("is_anchor")
-    anchors = chained.where(F.col("is_anchor")).select(
-        *keys, F.col("requested_at").alias("anchor_ts"),
-        *[F.col(c).alias(f"_a_{c}") for c in
-          ("zone_id", "price_per_minute", "price_unlock", "deposit", "offer_id",
-           "expires_at")])
-    j = chained.join(anchors, list(keys) + ["anchor_ts"], "left").where(~F.col("_prior"))
     outcome = (F.when(reused, F.lit("REUSED"))
                .when(F.col("is_anchor"), F.lit("CREATED")).otherwise(F.col("outcome")))
 
     def pick(c):
-        return F.when(reused, F.col(f"_a_{c}")).otherwise(F.col(c)).alias(c)
+        return F.when(reused, F.col(f"anchor_{c}")).otherwise(F.col(c)).alias(c)
 
     return j.select(
         "request_id", "user_id", "scooter_id", "requested_at",
@@ -96,16 +94,24 @@ def create_offers(requests: DataFrame, scooters: DataFrame, zones: DataFrame,
     )
 
 
-def saved_offers(created: DataFrame, now_col: str = "requested_at") -> DataFrame:
-    """Offers to store, with ``ttl_seconds = expires_at - now`` floored at
-    one second; offers already expired at save time are excluded."""
+def offer_saves(created: DataFrame, now_col: str = "requested_at") -> DataFrame:
+    """Every new offer with ``ttl_seconds = expires_at - now`` floored at
+    one second and ``save_result``: SAVED, or EXPIRED for an offer that had
+    already run out at save time (null ``ttl_seconds``)."""
     new = created.where(F.col("is_new_offer"))
-    ttl = F.timestamp_diff("SECOND", F.col(now_col), F.col("expires_at"))
-    return new.where(~(F.col(now_col) > F.col("expires_at"))).select(
+    late = F.col(now_col) > F.col("expires_at")
+    ttl = F.greatest(F.timestamp_diff("SECOND", F.col(now_col), F.col("expires_at")), F.lit(1))
+    return new.select(
         F.col("offer_id").alias("id"), "user_id", "scooter_id", "zone_id",
         "price_per_minute", "price_unlock", "deposit",
         F.col(now_col).alias("created_at"), "expires_at",
-        F.greatest(ttl, F.lit(1)).cast("long").alias("ttl_seconds"))
+        F.when(~late, ttl).cast("long").alias("ttl_seconds"),
+        F.when(late, F.lit("EXPIRED")).otherwise(F.lit("SAVED")).alias("save_result"))
+
+
+def saved_offers(created: DataFrame, now_col: str = "requested_at") -> DataFrame:
+    """The offers to store."""
+    return offer_saves(created, now_col).where("save_result = 'SAVED'").drop("save_result")
 
 
 def zone_cache_replay(created: DataFrame, ttl_seconds: int = ZONE_CACHE_TTL_SECONDS,

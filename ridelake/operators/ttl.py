@@ -52,10 +52,12 @@ def ttl_chain(df: DataFrame, keys: list[str], ts: str, order_cols: list[str],
               ttl_seconds: int, eligible: Column | None = None,
               force: Column | None = None,
               bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-              end: Column | None = None) -> DataFrame:
+              end: Column | None = None, carry: list[str] | None = None) -> DataFrame:
     """Mark anchors and coverage of a TTL chain.
 
     ``(keys, ts, order_cols)`` must identify a row (it is the chain order).
+    ``carry`` names columns whose values at the row's latest anchor are added
+    as ``anchor_<name>``, in the pass that finds the anchor.
     ``end`` optionally gives, per row, the instant its TTL ends should it
     become an anchor (clamped to ``[ts, ts + ttl]``; default ``ts + ttl``),
     e.g. an offer that stops being reusable once it is claimed.
@@ -136,9 +138,11 @@ def ttl_chain(df: DataFrame, keys: list[str], ts: str, order_cols: list[str],
     # 5. coverage for every row (chain rows and observers) from the latest anchor
     allrows = base.join(flags, ident, "left").withColumn(
         "is_anchor", F.coalesce(F.col("_t_anchor"), F.lit(False))).drop("_t_anchor")
-    anc = F.when(F.col("is_anchor"), F.struct(F.col("_t_us").alias("us"),
-                                              F.col("_t_end").alias("end"),
-                                              F.col(ts).alias("ts")))
+    # chain order first: of several anchors at one instant the last counts
+    carried = [F.col(c).alias(f"carry_{c}") for c in carry or []]
+    anc = F.when(F.col("is_anchor"), F.struct(
+        F.col("_t_us").alias("us"), *[F.col(c).alias(f"order_{c}") for c in order_cols],
+        F.col("_t_end").alias("end"), F.col(ts).alias("ts"), *carried))
     cov = allrows.withColumn("_t_in", F.max(anc).over(
         w_b.rowsBetween(Window.unboundedPreceding, 0)))
     s3 = allrows.groupBy(*kb).agg(F.max(anc).alias("_t_blast"))
@@ -146,8 +150,10 @@ def ttl_chain(df: DataFrame, keys: list[str], ts: str, order_cols: list[str],
         _w(keys, [F.col("_t_b")]).rowsBetween(Window.unboundedPreceding, -1)))
     cov = cov.join(s3.select(*kb, "_t_plast"), kb, "left")
     last = F.coalesce(F.col("_t_in"), F.col("_t_plast"))
-    return (cov.withColumn("_t_last", last)
-            .withColumn("anchor_ts", F.col("_t_last.ts"))
+    cov = cov.withColumn("_t_last", last)
+    for c in carry or []:
+        cov = cov.withColumn(f"anchor_{c}", F.col(f"_t_last.carry_{c}"))
+    return (cov.withColumn("anchor_ts", F.col("_t_last.ts"))
             .withColumn("covered", F.col("_t_last").isNotNull()
                         & (F.col("_t_us") < F.col("_t_last.end")))
             .drop("_t_in", "_t_plast", "_t_last", "_t_us", "_t_b", "_t_el", "_t_force",

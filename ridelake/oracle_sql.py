@@ -662,8 +662,38 @@ UNION ALL
 SELECT id, user_id, 'REFUND', deposit FROM snap
 WHERE status = 'PAYMENT_FAILED' AND id NOT IN (SELECT order_id FROM ledger WHERE transaction_type = 'CLEAR' AND status = 'SUCCESS')"""
 
-STREAM_ORDER_INTAKE = with_standins("order_requests") + """
-SELECT order_id, CAST(1 AS BIGINT) AS emitted FROM (SELECT DISTINCT order_id FROM order_requests)"""
+STREAM_ORDER_INTAKE = with_standins("order_requests") + f"""
+SELECT order_id, offer_id, user_id, requested_at, hold_success, {TB} FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY requested_at, {TB}) AS n FROM order_requests)
+WHERE n = 1 OR order_id = ''"""
+
+_TWICE = """SELECT * FROM once UNION ALL SELECT request_id || '-again', user_id, scooter_id, ts FROM once
+    WHERE CAST(regexp_extract(request_id, '([0-9]+)$', 1) AS BIGINT) % 5 = 0"""
+
+_REPEATED = {"once": STANDINS["offer_requests"], "offer_requests": _TWICE, **_CREATION}
+
+OFFER_CREATION_REPEATED_LOG = with_standins("users", "zones", "scooters", extra=_REPEATED, recursive=True) + f"""
+SELECT *, {OFFER_STATUS_SQL} AS http_status FROM offer_out"""
+
+OFFER_CREATION_MIN_REMAINING = with_standins("users", "zones", "scooters", extra={
+    k: _REPEATED[k] for k in ("once", "offer_requests", "cfg", "priced")}) + f"""
+SELECT request_id, user_id, scooter_id, ts AS requested_at, outcome, {OFFER_STATUS_SQL} AS http_status,
+  CASE WHEN outcome = 'CREATED' THEN zone_id END AS zone_id, CASE WHEN outcome = 'CREATED' THEN ppm END AS price_per_minute,
+  CASE WHEN outcome = 'CREATED' THEN unlock END AS price_unlock, CASE WHEN outcome = 'CREATED' THEN dep END AS deposit,
+  CASE WHEN outcome = 'CREATED' THEN sha256(user_id || ':' || scooter_id || ':' || CAST(epoch_us(ts) AS VARCHAR)) END AS offer_id,
+  CASE WHEN outcome = 'CREATED' THEN ts + INTERVAL 300 SECOND END AS expires_at,
+  outcome = 'CREATED' AS is_new_offer, zone_id AS lookup_zone_id
+FROM priced"""
+
+ARCHIVE_READBACK = with_standins(*_FIN_SRC, extra={**_WORLD, "old": f"""SELECT * FROM snap
+    WHERE created_at < {RIDES_AS_OF} - INTERVAL 24 HOUR""", "arch": _archive_union("old", "ledger")}) + f"""
+SELECT *, {_hour_cols('order_created_at')} FROM arch"""
+
+OFFER_SAVES = with_standins("users", "zones", "scooters", "offer_requests", extra=_CREATION, recursive=True) + """
+SELECT offer_id AS id, user_id, scooter_id, zone_id, price_per_minute, price_unlock, deposit, requested_at AS created_at,
+  expires_at, CASE WHEN requested_at <= expires_at THEN CAST(greatest(date_diff('second', requested_at, expires_at), 1) AS BIGINT) END AS ttl_seconds,
+  CASE WHEN requested_at > expires_at THEN 'EXPIRED' ELSE 'SAVED' END AS save_result
+FROM offer_out WHERE is_new_offer"""
 
 OFFER_PRICING_VERSIONED = with_standins("users", "scooters", "offer_requests", "zone_fetches", "config_polls", extra={
     "rq": """SELECT r.*, s.id AS s_id, s.zone_id, s.charge, u.has_subscription, u.trusted
@@ -775,6 +805,10 @@ ORACLE: dict[str, str] = {
     "request_records_enriched": REQUEST_RECORDS_ENRICHED,
     "offer_pricing_versioned": OFFER_PRICING_VERSIONED,
     "archive_records": ARCHIVE_RECORDS,
+    "archive_readback": ARCHIVE_READBACK,
+    "offer_creation_repeated_log": OFFER_CREATION_REPEATED_LOG,
+    "offer_creation_min_remaining": OFFER_CREATION_MIN_REMAINING,
+    "offer_saves": OFFER_SAVES,
     "hot_cold_history": HOT_COLD_HISTORY,
     "payment_retry_worklist": PAYMENT_RETRY_WORKLIST,
     "stream_panel_rps": PANEL_RPS,

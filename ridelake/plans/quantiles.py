@@ -23,9 +23,14 @@ from ..session import ensure_checkpoint_dir
 _LOCAL_BITS = (1 << 33) - 1
 
 
+def quantile_names(probs: list[float]) -> list[str]:
+    """``q99`` for 0.99, ``q99_9`` for 0.999."""
+    return ["q" + f"{p * 100:.10g}".replace(".", "_") for p in probs]
+
+
 def exact_quantiles(df: DataFrame, group_cols: list[str], value: str, probs: list[float],
                     names: list[str] | None = None) -> DataFrame:
-    names = names or [f"q{int(p * 100)}" for p in probs]
+    names = names or quantile_names(probs)
     ensure_checkpoint_dir(df.sparkSession)
     d = df.select(*group_cols, F.col(value).cast("double").alias("_v")).where(
         F.col("_v").isNotNull())

@@ -6,6 +6,7 @@ Every query reads the driver's test tables through the stand-in inputs of
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,9 @@ from .operators import (admission, archive, enrich, finish, logs, lookup, metric
                         quality, retention, ttl)
 from .plans.materialize import materialize
 from .streaming import jobs
+from .session import scratch_dir
 from .sources import standins as si
+from .sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -325,15 +328,29 @@ def archive_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive.archive_records(snap, ledger)
 
 
-def hot_cold_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """History of Jun-Dec 1997 merged from the hot tables left by a
-    cleanup and the archive records of the removed orders (hot wins)."""
+def _rotated(spark: SparkSession, sf_dir: str):
+    """The archive of the removed orders, written by the rotation (twice, as
+    after a retry) and read back, and the hot tables it leaves."""
     _, _, _, snap, ledger = _world(spark, sf_dir)
-    c = retention.cleanup(snap, ledger, RIDES_AS_OF)
-    cold_orders = snap.join(c["expired"].select(F.col("id").alias("_x")),
-                            snap["id"] == F.col("_x"), "left_semi")
-    cold = archive.archive_records(cold_orders, ledger)
-    return archive.hot_cold_history(c["orders"], c["ledger"], cold,
+    root = scratch_dir(spark, f"archive-{uuid.uuid4().hex[:12]}")
+    hot = {}
+    for _ in range(2):
+        hot = archive.rotate(snap, ledger, RIDES_AS_OF, root)
+    schema = archive.archive_records(snap, ledger).drop(*archive.PARTITION_COLS).schema
+    return hot, tables.read_archive(spark, root, schema), snap, ledger
+
+
+def archive_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive records written by the rotation, read back."""
+    _, cold, snap, ledger = _rotated(spark, sf_dir)
+    return cold.select(*archive.archive_records(snap, ledger).columns)
+
+
+def hot_cold_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History of Jun-Dec 1997 merged from the hot tables left by the
+    rotation and the archive it wrote (hot wins)."""
+    hot, cold, _, _ = _rotated(spark, sf_dir)
+    return archive.hot_cold_history(hot["orders"], hot["ledger"], cold,
                                     "1997-06-01 00:00:00", "1998-01-01 00:00:00")
 
 
@@ -344,30 +361,63 @@ def payment_retry_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_panel_rps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Panel RPS computed by a watermarked streaming aggregation."""
-    return jobs.stream_panel_rps(jobs.table_stream(spark, sf_dir, "events"))
+    """Panel RPS of a log that arrives out of order in four files."""
+    events = si.read_table(spark, sf_dir, "events")
+    return jobs.stream_panel_rps(si.arriving_files(events, "events", F.col("event_id") % 4))
 
 
 def stream_order_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streaming intake with order_id repeats collapsed within the horizon."""
-    li = jobs.table_stream(spark, sf_dir, "lineitem")
-    req = si.order_requests_from_lineitem(li, si.read_table(spark, sf_dir, "orders"))
-    kept = jobs.stream_order_intake(req)
-    return kept.groupBy("order_id").agg(F.count(F.lit(1)).alias("emitted"))
+    """Streaming intake over four files, the first request of an order id
+    kept and every request without one."""
+    req = si.order_requests(spark, sf_dir)
+    stream = si.arriving_files(req, "order-requests", si.in_quarters(req, "requested_at"))
+    return jobs.stream_order_intake(stream, si.ORDER_REQUEST_TIEBREAK)
+
+
+def _arriving_offer_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    req = si.offer_requests(spark, sf_dir)
+    return si.arriving_files(req, "offer-requests", si.in_quarters(req, "ts"))
 
 
 def stream_offer_pricing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streaming offer enrichment and pricing (stream-static joins)."""
-    req = si.offer_requests_from_events(jobs.table_stream(spark, sf_dir, "events"))
-    return jobs.stream_offer_pricing(req, si.scooters(spark, sf_dir), si.zones(spark, sf_dir),
-                                     si.users(spark, sf_dir))
+    return jobs.stream_offer_pricing(_arriving_offer_requests(spark, sf_dir), si.scooters(spark, sf_dir),
+                                     si.zones(spark, sf_dir), si.users(spark, sf_dir))
 
 
 def stream_offer_creation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T01 streaming: offer creation with reuse carried across micro-batches."""
-    req = si.offer_requests_from_events(jobs.table_stream(spark, sf_dir, "events"))
-    return jobs.stream_offer_creation(req, si.scooters(spark, sf_dir), si.zones(spark, sf_dir),
-                                      si.users(spark, sf_dir))
+    return jobs.stream_offer_creation(_arriving_offer_requests(spark, sf_dir), si.scooters(spark, sf_dir),
+                                      si.zones(spark, sf_dir), si.users(spark, sf_dir))
+
+
+def _twice_logged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offer requests whose log repeats every third row, and another request
+    at the same instant for every fifth."""
+    r = si.offer_requests(spark, sf_dir)
+    n = F.regexp_extract("request_id", r"(\d+)$", 1).cast("long")
+    same = r.where(n % 5 == 0).withColumn("request_id", F.concat("request_id", F.lit("-again")))
+    return r.unionByName(r.where(n % 3 == 0)).unionByName(same)
+
+
+def offer_creation_repeated_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T01 on an at-least-once log: repeated rows are one request, requests at
+    one instant are several."""
+    return offers.create_offers(_twice_logged(spark, sf_dir), si.scooters(spark, sf_dir),
+                                si.zones(spark, sf_dir), si.users(spark, sf_dir))
+
+
+def offer_creation_min_remaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An offer is reused only while more than its whole TTL remains, that
+    is never: every valid request, same-instant ones too, creates its own."""
+    return offers.create_offers(_twice_logged(spark, sf_dir), si.scooters(spark, sf_dir),
+                                si.zones(spark, sf_dir), si.users(spark, sf_dir),
+                                min_remaining_seconds=300)
+
+
+def offer_saves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offers to store with their TTL, and those already expired."""
+    return offers.offer_saves(offer_creation(spark, sf_dir))
 
 
 def offer_pricing_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -423,6 +473,10 @@ def hold_compensations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "archive_readback": archive_readback,
+    "offer_creation_repeated_log": offer_creation_repeated_log,
+    "offer_creation_min_remaining": offer_creation_min_remaining,
+    "offer_saves": offer_saves,
     "admission_with_persist_failures": admission_with_persist_failures,
     "hold_compensations": hold_compensations,
     "trailing_requests_15m": trailing_requests_15m,

@@ -45,15 +45,11 @@ CLUSTER_CONF = {
 }
 
 
-def cluster_shuffle_partitions(input_bytes: int, min_partitions: int = 200,
-                               max_partitions: int = 50_000) -> int:
+def cluster_shuffle_partitions(input_bytes: int, min_partitions: int = 200) -> int:
     """Initial shuffle partition count for an input of ``input_bytes``: one
-    partition per ~128 MB of input, within ``[min_partitions,
-    max_partitions]`` (the cap keeps shuffle bookkeeping -- mappers x reducers
-    -- manageable; shuffles carry pruned, partially aggregated rows, far less
-    than the raw input, and AQE coalesces small and splits skewed ones)."""
-    n = -(-int(input_bytes) // TARGET_PARTITION_BYTES)
-    return max(min_partitions, min(max_partitions, n))
+    partition per 128 MB of input (AQE coalesces small ones and splits skewed
+    ones)."""
+    return max(min_partitions, -(-int(input_bytes) // TARGET_PARTITION_BYTES))
 
 
 def build_session(master: str | None = None, app_name: str = "ridelake",
@@ -78,15 +74,16 @@ def build_session(master: str | None = None, app_name: str = "ridelake",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    ``spark.checkpoint.dir`` (or a directory already set on the context) wins;
-    only when neither is set -- local tests -- a scratch folder is created.
+    ``spark.checkpoint.dir`` (or a directory already set on the context) wins.
+    Only a local session without either gets a scratch folder of its own; on a
+    cluster a folder that executors do not share would lose data, so that
+    raises instead.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -95,6 +92,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="ridelake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -12,9 +12,12 @@ see real rows.  The gaps follow the stand-in definitions fixed in FIXTURES.md.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
 from .tables import read_table
 
 
@@ -277,3 +280,23 @@ def request_log_from_events(e: DataFrame) -> DataFrame:
         req_body.alias("request_body"), resp_body.alias("response_body"),
         F.floor(F.col("value") * 1_000_000).cast("long").alias("duration_ns"),
     )
+
+
+def arriving_files(df: DataFrame, name: str, arrival: Column, parts: int = 4) -> DataFrame:
+    """A file stream over ``df``: its rows written as ``parts`` files, by
+    ``arrival`` (a number from 0), and read one file per micro-batch."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, f"arriving-{name}-{uuid.uuid4().hex[:12]}")
+    numbered = df.withColumn("_part", arrival)
+    for k in range(parts):
+        numbered.where(F.col("_part") == k).drop("_part").coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def in_quarters(df: DataFrame, ts: str) -> Column:
+    """Arrival in time order: the quarter of the time span a row lies in."""
+    lo, hi = df.agg(F.min(ts), F.max(ts)).first()
+    if lo is None:
+        return F.lit(0)
+    cuts = [lo + (hi - lo) * k / 4 for k in (1, 2, 3)]
+    return sum(((F.col(ts) >= F.lit(c).cast("timestamp_ntz")).cast("int") for c in cuts), F.lit(0))

@@ -104,11 +104,11 @@ def resolve_configs(configs: DataFrame | None, spark: SparkSession) -> dict:
     return values
 
 
-ARCHIVE_PARTITIONS = ["yyyy", "mm", "dd", "hh"]
+ARCHIVE_PARTITIONS = ["batch", "yyyy", "mm", "dd", "hh"]
 
 
 def read_archive(spark: SparkSession, root: str, schema) -> DataFrame:
-    """Cold archive laid out as ``yyyy=/mm=/dd=/hh=`` gzip NDJSON.
+    """Cold archive laid out as ``batch=/yyyy=/mm=/dd=/hh=`` gzip NDJSON.
 
     The partition columns are declared as zero-padded strings (no type
     inference), and filters on them prune directories before any file is

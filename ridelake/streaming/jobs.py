@@ -1,11 +1,15 @@
 """Structured Streaming forms (T07, T08, T10, streaming T01).
 
 Every job reads a file stream, runs the same operators as the batch form and
-writes through ``foreachBatch`` into a folder under the shared checkpoint
-directory, one ``batch_id=`` sub-folder per micro-batch (overwritten on a
-retry, so a replayed batch is idempotent).  Event time is cast from
-TIMESTAMP_NTZ to TIMESTAMP for ``withWatermark`` (NTZ is rejected there) and
-back to NTZ on output.
+writes through ``foreachBatch`` into a folder, one ``batch_id=`` sub-folder per
+micro-batch (overwritten on a retry, so a replayed batch is idempotent).
+``root`` names the job's folder: output, state and the query's checkpoint lie
+below it, so a job started again with the same ``root`` goes on after the last
+finished micro-batch, whichever driver runs it.  Without ``root`` a fresh
+folder below the shared checkpoint directory is used.
+
+No job drops rows behind a watermark: T07 adds up partial counts, T08 and T01
+keep what they must remember as files of the earlier micro-batches.
 """
 
 from __future__ import annotations
@@ -34,25 +38,19 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str,
     return r.parquet(sf_dir)
 
 
-def _run(sdf: DataFrame, name: str, sink, output_mode: str = "append",
-         stats: dict | None = None) -> str:
-    """Run ``sdf`` to completion (``availableNow``); ``sink(batch_df, out_dir,
-    batch_id)`` writes each micro-batch.  Returns the output folder; ``stats``
-    (if given) receives the input rows and the rows dropped behind the
-    watermark, summed over the query's progress reports."""
-    spark = sdf.sparkSession
-    root = scratch_dir(spark, f"stream-{name}-{uuid.uuid4().hex[:12]}")
-    out, ckpt = os.path.join(root, "out"), os.path.join(root, "_checkpoint")
-    q = (sdf.writeStream.outputMode(output_mode)
-         .foreachBatch(lambda df, bid: sink(df, out, bid))
-         .option("checkpointLocation", ckpt)
+def _root(spark: SparkSession, name: str, root: str | None) -> str:
+    return root or scratch_dir(spark, f"stream-{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _run(sdf: DataFrame, root: str, sink) -> str:
+    """Run ``sdf`` to the end of its input (``availableNow``) from where
+    ``root`` stands; ``sink(batch_df, out_dir, batch_id)`` writes each
+    micro-batch.  Returns the output folder."""
+    out = os.path.join(root, "out")
+    q = (sdf.writeStream.foreachBatch(lambda df, bid: sink(df, out, bid))
+         .option("checkpointLocation", os.path.join(root, "_checkpoint"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    if stats is not None:
-        progress = q.recentProgress
-        stats["input_rows"] = sum(int(p["numInputRows"]) for p in progress)
-        stats["late_rows_dropped"] = sum(int(op.get("numRowsDroppedByWatermark", 0))
-                                         for p in progress for op in p.get("stateOperators", []))
     return out
 
 
@@ -60,66 +58,79 @@ def _write_batch(df: DataFrame, out: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
 
 
-def stream_panel_rps(events: DataFrame, watermark: str = "10 minutes",
-                     stats: dict | None = None) -> DataFrame:
-    """Per-minute panel RPS on the log stream.
-
-    ``update`` mode emits the current count of every window a micro-batch
-    touched; the result keeps, per (panel, minute), the value of the latest
-    batch, so windows still open at the end of the input are reported too.
-    State is bounded by the watermark; rows arriving behind it are dropped
-    and counted in ``stats["late_rows_dropped"]``.
-    """
+def stream_panel_rps(events: DataFrame, root: str | None = None) -> DataFrame:
+    """Per-minute panel RPS on the log stream.  Each micro-batch writes
+    its own counts per (panel, minute); the result adds them up, so rows count
+    however late and in whichever file they arrive, and no state is kept."""
+    spark = events.sparkSession
     log = standins.request_log_from_events(events)
-    tagged = log.select(F.col("ts").cast("timestamp").alias("event_time"),
-                        F.explode(logs.panel_tags(F.col("log_line"))).alias("panel"))
-    agg = (tagged.withWatermark("event_time", watermark)
-           .groupBy(F.window("event_time", "1 minute").alias("w"), "panel")
-           .agg(F.count(F.lit(1)).alias("n")))
+    tagged = log.select("ts", F.explode(logs.panel_tags(F.col("log_line"))).alias("panel"))
 
     def sink(df, out, bid):
-        _write_batch(df.select("panel", F.col("w.start").cast("timestamp_ntz").alias("minute"),
-                               "n"), out, bid)
-
-    out = _run(agg, "panel-rps", sink, output_mode="update", stats=stats)
-    res = events.sparkSession.read.parquet(out)
-    latest = res.groupBy("panel", "minute").agg(F.max_by("n", "batch_id").alias("n"))
-    return latest.select("panel", "minute", (F.col("n") / F.lit(60.0)).alias("rps"))
-
+        minute = F.date_trunc("minute", "ts").cast("timestamp_ntz").alias("minute")
+        _write_batch(df.groupBy("panel", minute).agg(F.count(F.lit(1)).alias("n")), out, bid)
+
+    parts = spark.read.parquet(_run(tagged, _root(spark, "panel-rps", root), sink))
+    return (parts.groupBy("panel", "minute").agg(F.sum("n").alias("n"))
+            .select("panel", "minute", (F.col("n") / F.lit(60.0)).alias("rps")))
+
+
+def stream_order_intake(requests: DataFrame, tiebreak: list[str], horizon_seconds: int | None = None,
+                        root: str | None = None) -> DataFrame:
+    """Idempotent intake -- of the requests with one ``order_id`` the
+    first is kept: that of the earliest micro-batch, and within it the least
+    by time and ``tiebreak``.  A request without an id is no repeat of another
+    and always passes (it deserves its own rejection).  Earlier ids are read
+    from the job's own output; ``horizon_seconds`` limits how far back a repeat
+    is recognised (None: without limit)."""
+    spark = requests.sparkSession
+    columns = requests.columns
 
-def stream_order_intake(requests: DataFrame, horizon: str = "1 hour") -> DataFrame:
-    """Idempotent intake -- repeats of an ``order_id`` within the horizon
-    are collapsed (the first arriving copy is kept)."""
-    d = (requests.withColumn("event_time", F.col("requested_at").cast("timestamp"))
-         .withWatermark("event_time", horizon)
-         .dropDuplicatesWithinWatermark(["order_id"]).drop("event_time"))
-    out = _run(d, "order-intake", _write_batch)
-    return requests.sparkSession.read.parquet(out).drop("batch_id")
+    def sink(df, out, bid):
+        named = F.coalesce(F.col("order_id"), F.lit("")) != ""
+        order = F.struct(F.col("requested_at"), *[F.col(c) for c in tiebreak])
+        first = (df.where(named).groupBy("order_id")
+                 .agg(F.min_by(F.struct(*columns), order).alias("r")).select("r.*"))
+        if bid > 0:
+            seen = spark.read.parquet(*[os.path.join(out, f"batch_id={b}") for b in range(bid)])
+            if horizon_seconds is None:
+                first = first.join(seen.where(named).select("order_id"), "order_id", "left_anti")
+            else:
+                old = seen.where(named).select("order_id", F.col("requested_at").alias("_seen_at"))
+                back = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
+                                          F.lit(int(horizon_seconds)).cast("decimal(18,6)"))
+                first = first.join(old, (first["order_id"] == old["order_id"])
+                                   & (F.col("_seen_at") + back >= F.col("requested_at")), "left_anti")
+        _write_batch(first.select(*columns).unionByName(df.where(~named).select(*columns)), out, bid)
+
+    return spark.read.parquet(_run(requests, _root(spark, "order-intake", root), sink)).drop("batch_id")
 
 
 def stream_offer_pricing(requests: DataFrame, scooters: DataFrame, zones: DataFrame,
-                         users: DataFrame, configs: DataFrame | None = None) -> DataFrame:
+                         users: DataFrame, configs: DataFrame | None = None,
+                         root: str | None = None) -> DataFrame:
     """Stream-static enrichment and pricing (no state)."""
+    spark = requests.sparkSession
     priced = price_offer_requests(requests, scooters, zones, users, configs)
-    out = _run(priced, "offer-pricing", _write_batch)
-    return requests.sparkSession.read.parquet(out).drop("batch_id")
+    return spark.read.parquet(_run(priced, _root(spark, "offer-pricing", root), _write_batch)).drop("batch_id")
 
 
 def stream_offer_creation(requests: DataFrame, scooters: DataFrame, zones: DataFrame,
                           users: DataFrame, configs: DataFrame | None = None,
-                          ttl_seconds: int = 300) -> DataFrame:
+                          ttl_seconds: int = 300, root: str | None = None) -> DataFrame:
     """Streaming T01: each micro-batch runs the batch offer creation with the
     live offers of earlier batches as prior anchors; the latest offer per
-    ``(user, scooter)`` is kept as a state table (one version per batch).
-    Exact when each micro-batch holds requests no older than the previous
-    batch's (in-order arrival)."""
+    ``(user, scooter)`` is kept as a state table, one version per batch id,
+    made from the version before it.  Exact when each micro-batch holds
+    requests no older than the previous batch's (in-order arrival)."""
     spark = requests.sparkSession
-    root = scratch_dir(spark, f"stream-offer-state-{uuid.uuid4().hex[:12]}")
-    state_root = os.path.join(root, "state")
-    latest = {"path": None}
+    root = _root(spark, "offer-creation", root)
+
+    def state_path(bid: int) -> str:
+        return os.path.join(root, "state", f"v={bid}")
 
     def sink(batch, out, bid):
-        prior = spark.read.parquet(latest["path"]) if latest["path"] else None
+        prior = spark.read.parquet(state_path(bid - 1)) if bid > 0 else None
         res = materialize(create_offers(batch, scooters, zones, users, configs, ttl_seconds,
                                         prior_anchors=prior), "stream-offers")
         _write_batch(res, out, bid)
@@ -129,15 +140,12 @@ def stream_offer_creation(requests: DataFrame, scooters: DataFrame, zones: DataF
         # of this batch: state is bounded by the TTL window, not by history
         horizon = batch.agg(F.max("ts")).first()[0]
         state = (cand.groupBy("user_id", "scooter_id")
-                 .agg(F.max_by(F.struct(*cand.columns), F.col("requested_at")).alias("s"))
+                 .agg(F.max_by(F.struct(*cand.columns), F.struct("requested_at", "request_id")).alias("s"))
                  .select("s.*"))
         if horizon is not None:
             live_until = F.col("requested_at") + F.make_dt_interval(
                 F.lit(0), F.lit(0), F.lit(0), F.lit(int(ttl_seconds)).cast("decimal(18,6)"))
             state = state.where(live_until > F.lit(horizon).cast("timestamp_ntz"))
-        path = os.path.join(state_root, f"v={bid}")
-        state.write.mode("overwrite").parquet(path)
-        latest["path"] = path
+        state.write.mode("overwrite").parquet(state_path(bid))
 
-    out = _run(requests, "offer-creation", sink)
-    return spark.read.parquet(out).drop("batch_id")
+    return spark.read.parquet(_run(requests, root, sink)).drop("batch_id")

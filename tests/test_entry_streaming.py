@@ -52,21 +52,59 @@ def test_core_queries_match_duckdb_on_smallest_data(spark):
         assert got == want, name
 
 
-def test_streaming_offer_creation_over_two_batches_equals_batch(spark, tmp_dir):
+def _files(spark, events, path, parts):
+    """Write one more file per condition; returns a stream, one per batch."""
+    for cond in parts:
+        events.where(cond).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def test_streams_stop_and_resume(spark, tmp_dir):
+    """A job started again with its root goes on where it stood: offers of the
+    first run are reused, repeats are recognised, counts add up."""
     events = si.read_table(spark, SF, "events")
     cut = events.agg(F.percentile_approx("ts", 0.5)).first()[0]
-    src = os.path.join(tmp_dir, "events")
-    events.where(F.col("ts") < cut).coalesce(1).write.parquet(os.path.join(src, "part=0"))
-    events.where(F.col("ts") >= cut).coalesce(1).write.parquet(os.path.join(src, "part=1"))
-    stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
-              .option("recursiveFileLookup", "true").parquet(src))
+    src, root = os.path.join(tmp_dir, "events"), os.path.join(tmp_dir, "job")
     dims = (si.scooters(spark, SF), si.zones(spark, SF), si.users(spark, SF))
-    got = jobs.stream_offer_creation(si.offer_requests_from_events(stream), *dims,
-                                     ttl_seconds=6 * 3600)
+
+    def offers(stream):
+        return jobs.stream_offer_creation(si.offer_requests_from_events(stream), *dims,
+                                          ttl_seconds=6 * 3600, root=root + "-offers")
+
+    def panels(stream):
+        return jobs.stream_panel_rps(stream, root=root + "-panels")
+
+    first = _files(spark, events, src, [F.col("ts") < cut])
+    n = offers(first).count()
+    panels(first)
+    stream = _files(spark, events, src, [F.col("ts") >= cut])
+    got = offers(stream)
+    assert n < got.count()
     want = create_offers(si.offer_requests(spark, SF), *dims, ttl_seconds=6 * 3600)
     cols = sorted(want.columns)
     assert _norm(got.select(*cols).collect()) == _norm(want.select(*cols).collect())
     assert want.where("outcome = 'REUSED'").count() > 0
+    rel = _duck().sql(entry.oracle_sql()["panel_rps"])
+    out = panels(stream)
+    cols = sorted(out.columns)
+    assert _norm(out.select(*cols).collect()) == _norm(rel.select(*cols).fetchall())
+
+
+def test_order_intake_resumes_and_keeps_blank_requests(spark, tmp_dir):
+    rows = [("a", 1, 10), ("", 2, 11), ("b", 3, 12), ("a", 0, 13), (None, 4, 14), ("", 2, 15), ("c", 5, 16), ("b", 3, 12)]
+    schema = "order_id string, at int, n int"
+    src, root = os.path.join(tmp_dir, "req"), os.path.join(tmp_dir, "intake")
+
+    def run(part):
+        df = spark.createDataFrame(part, schema)
+        df.coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        req = stream.withColumn("requested_at", F.timestamp_seconds("at").cast("timestamp_ntz")).drop("at")
+        return sorted(((r.order_id, r.n) for r in jobs.stream_order_intake(req, ["n"], root=root).collect()), key=str)
+
+    assert run(rows[:3]) == sorted([("a", 10), ("", 11), ("b", 12)], key=str)
+    # the first arrival stays kept although a later file holds an earlier time
+    assert run(rows[3:]) == sorted([("a", 10), ("", 11), ("b", 12), (None, 14), ("", 15), ("c", 16)], key=str)
 
 
 def test_all_registered_queries_match_duckdb(spark):
@@ -91,8 +129,3 @@ def test_observed_drop_counts_and_stream_stats(spark):
     n = kept.count()
     m = obs.get
     assert m["lines"] == raw.count() and m["lines"] - m["dropped_not_request_complete"] == n
-    stats = {}
-    out = jobs.stream_panel_rps(jobs.table_stream(spark, SF, "events"), stats=stats)
-    assert out.count() > 0
-    assert stats["input_rows"] == si.read_table(spark, SF, "events").count()
-    assert stats["late_rows_dropped"] == 0      # one micro-batch: nothing is late
