@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from ..plans.broadcast import broadcast_if_small
 from .common import written
 
 MIN_WORDS = 50
@@ -139,6 +140,14 @@ def _inverted(moments: DataFrame, scale: float) -> DataFrame:
 
 
 _KEY = ["level", "lang", "source"]
+# Estimates are broadcast up to so many groups (at most 200 bytes each).
+_SMALL = 50_000
+
+
+def _groups_table(df: DataFrame, name: str) -> DataFrame:
+    """One row per group, written; broadcast if their counted number allows,
+    else left to a shuffle join, whose hot groups Spark splits."""
+    return broadcast_if_small(written(df, name), _SMALL)
 
 
 def estimates(rows: DataFrame) -> DataFrame:
@@ -150,7 +159,7 @@ def estimates(rows: DataFrame) -> DataFrame:
                      F.struct(F.lit(2).alias("level"), none.alias("lang"), none.alias("source")))
     xs = [f"x{i}" for i in range(_P)]
     x = rows.select(F.explode(levels).alias("g"), *xs).select("g.*", *xs)
-    middle = written(x.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("n"), *[
+    middle = _groups_table(x.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("n"), *[
         F.percentile_approx(f"x{i}", F.lit(0.5), F.lit(1000)).alias(f"m{i}") for i in range(_P)]), "medians")
     spread = x.join(middle, _KEY).groupBy(*_KEY).agg(
         F.first("n").alias("n"), *[F.first(f"m{i}").alias(f"m{i}") for i in range(_P)],
@@ -158,17 +167,17 @@ def estimates(rows: DataFrame) -> DataFrame:
           for i in range(_P)])
     start = [(F.col(f"m{i}") * F.col(f"m{j}") + (F.pow(1.4826 * F.col(f"s{i}"), 2) if i == j else 0)
               ).alias(f"c{i}{j}") for i, j in _PAIRS]
-    est = written(_inverted(spread.select(*_KEY, "n", *[f"m{i}" for i in range(_P)], *start), 1.0), "mcd")
+    est = _groups_table(_inverted(spread.select(*_KEY, "n", *[f"m{i}" for i in range(_P)], *start), 1.0), "mcd")
     share = _chi2_point(SUPPORT, _P)
     scale = SUPPORT / _chi2(share, _P + 2)
     for _ in range(STEPS):
         near = x.join(est, _KEY).select(*_KEY, "n", *xs, _distance().alias("d"))
         limit = near.groupBy(*_KEY).agg(F.percentile_approx("d", F.lit(SUPPORT), F.lit(1000)).alias("limit"))
-        half = near.join(written(limit, "limits"), _KEY).where("d <= limit")
+        half = near.join(_groups_table(limit, "limits"), _KEY).where("d <= limit")
         moments = half.groupBy(*_KEY).agg(
             F.first("n").alias("n"), *[F.avg(f"x{i}").alias(f"m{i}") for i in range(_P)],
             *[F.avg(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"c{i}{j}") for i, j in _PAIRS])
-        est = written(_inverted(moments, scale), "mcd")
+        est = _groups_table(_inverted(moments, scale), "mcd")
     return est
 
 
@@ -190,7 +199,7 @@ def _verdicts(rows: DataFrame) -> DataFrame:
               .groupBy("_lang", "_source").agg(F.min_by(F.struct(*cells), "level").alias("e"))
               .select("_lang", "_source", "e.*"))
     cutoff = _chi2_point(CUTOFF, _P)
-    scored = rows.join(written(chosen, "chosen"), ["_lang", "_source"], "left")
+    scored = rows.join(_groups_table(chosen, "chosen"), ["_lang", "_source"], "left")
     for i, v in enumerate(_vector("_s")):
         scored = scored.withColumn(f"x{i}", v)
     failed = base_failed("_s")
