@@ -19,22 +19,22 @@ aggregation) joined back to the requests, so a hot offer never forces its rows
 through one window task; the duplicate test reads the same first-claim row.
 
 When a client reuses one ``order_id`` across several offers, rules 2 and 4
-depend on each other.  Such order ids are detected, the offers they connect
-are labelled as components (iterative min-label joins), and only the rows of
-those components are replayed in order with ``applyInPandas``.
+depend on each other.  The claims of the offers such order ids touch are found
+in rounds of joins and aggregations (``_linked_claims``); no group of rows is
+ever gathered into one task.
+
+State from before the batch -- orders already stored, offers already used --
+comes in as tables, so a day's log can be admitted after the days before it.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import pricing
 from ..functions.status import ORDER_CREATE_STATUS, status_code
 from ..plans.materialize import materialize
-from ..session import ensure_checkpoint_dir
 
 
 def _blank(c: Column) -> Column:
@@ -47,9 +47,13 @@ def _key(ts: str, tiebreak: list[str]) -> Column:
 
 def admit_orders(requests: DataFrame, offers: DataFrame, tiebreak: list[str],
                  ts: str = "requested_at", hold_col: str = "hold_success",
-                 persist_col: str | None = None) -> DataFrame:
+                 persist_col: str | None = None, existing_orders: DataFrame | None = None,
+                 used_offers: DataFrame | None = None) -> DataFrame:
     """One row per request: the input columns plus ``outcome``, ``http_status``
-    and the offer columns used to build an order (``scooter_id``, prices)."""
+    and the offer columns used to build an order (``scooter_id``, prices).
+
+    ``existing_orders`` (``id``): orders stored before the batch, whose ids are
+    duplicates; ``used_offers`` (``offer_id``): offers claimed before it."""
     o = offers.select(
         F.col("id").alias("_o_id"), F.col("user_id").alias("_o_owner"),
         F.col("scooter_id").alias("_o_scooter"), F.col("expires_at").alias("_o_expires"),
@@ -68,8 +72,16 @@ def admit_orders(requests: DataFrame, offers: DataFrame, tiebreak: list[str],
     offer_check = (F.when(F.col("_o_id").isNull(), "OFFER_NOT_FOUND")
                    .when(F.col(ts) > F.col("_o_expires"), "OFFER_EXPIRED")
                    .when(F.col("user_id") != F.col("_o_owner"), "INVALID_USER"))
+    for flag, col, known, key in (("_was", "order_id", existing_orders, "id"),
+                                  ("_used", "offer_id", used_offers, "offer_id")):
+        if known is None:
+            j = j.withColumn(flag, F.lit(False))
+        else:
+            ids = known.select(F.col(key).alias("_p_key")).distinct().withColumn(flag, F.lit(True))
+            j = j.join(ids, j[col] == ids["_p_key"], "left").drop("_p_key").fillna(False, [flag])
     j = (j.withColumn("_reject", reject).withColumn("_ocheck", offer_check)
-         .withColumn("_valid", F.col("_reject").isNull() & F.col("_ocheck").isNull())
+         .withColumn("_valid", F.col("_reject").isNull() & F.col("_ocheck").isNull()
+                     & ~F.col("_was") & ~F.col("_used"))
          .withColumn("_hold_ok", hold_ok).withColumn("_persist_ok", persist_ok))
 
     # First valid claim per offer, by one aggregation (map-side partial).
@@ -85,19 +97,25 @@ def admit_orders(requests: DataFrame, offers: DataFrame, tiebreak: list[str],
     dup = (F.col("_f.ok") & (F.col("_f.order_id") == F.col("order_id"))
            & (F.col("_f.k") < F.col("_k")))
 
+    j = j.withColumn("_dup", F.col("_was") | F.coalesce(dup, F.lit(False)))
+    linked = _linked_offers(requests)
+    if linked is not None:
+        j = _linked_claims(j, linked)
     outcome = (F.when(F.col("_reject").isNotNull(), F.col("_reject"))
-               .when(dup, "DUPLICATE")
+               .when(F.col("_dup"), "DUPLICATE")
                .when(F.col("_ocheck").isNotNull(), F.col("_ocheck"))
-               .when(~F.col("_first"), "OFFER_ALREADY_USED")
+               .when(F.col("_used") | ~F.col("_first"), "OFFER_ALREADY_USED")
                .when(~F.col("_hold_ok"), "PAYMENT_HOLD_FAILED")
                .when(~F.col("_persist_ok"), "PERSIST_FAILED")
                .otherwise("CREATED"))
-    out = j.withColumn("outcome", outcome)
+    return _finish(j.withColumn("outcome", outcome))
+
 
-    conflicts = _conflicting_offers(requests)
-    if conflicts is not None:
-        out = _replay_conflicts(out, conflicts, tiebreak, ts)
-    return _finish(out)
+def claimed_offers(admitted: DataFrame) -> DataFrame:
+    """``offer_id`` of every offer a batch claimed (also where the hold or the
+    storing failed afterwards): the next batch's ``used_offers``."""
+    return admitted.where(F.col("outcome").isin("CREATED", "PAYMENT_HOLD_FAILED", "PERSIST_FAILED")) \
+        .select("offer_id").distinct()
 
 
 def _finish(out: DataFrame) -> DataFrame:
@@ -107,12 +125,12 @@ def _finish(out: DataFrame) -> DataFrame:
             .withColumnRenamed("_o_unlock", "offer_price_unlock")
             .withColumnRenamed("_o_deposit", "offer_deposit")
             .drop("_o_id", "_o_owner", "_o_expires", "_k", "_reject", "_ocheck", "_valid",
-                  "_hold_ok", "_persist_ok", "_f", "_first"))
+                  "_hold_ok", "_persist_ok", "_f", "_first", "_dup", "_was", "_used"))
 
 
-def _conflicting_offers(requests: DataFrame) -> DataFrame | None:
-    """Offers linked through an order id that names more than one offer,
-    labelled by connected component (``_comp`` = smallest offer id)."""
+def _linked_offers(requests: DataFrame) -> DataFrame | None:
+    """Offers named together with an order id that names several offers (null
+    if there is none)."""
     named = requests.where(~_blank(F.col("order_id")) & ~_blank(F.col("offer_id")))
     # two hash aggregations (distinct pairs, then pairs per order id): exact,
     # and no string min/max, which would force a sort-based aggregation
@@ -121,80 +139,48 @@ def _conflicting_offers(requests: DataFrame) -> DataFrame | None:
              .where(F.col("_n") > 1).select("order_id"))
     if multi.limit(1).count() == 0:
         return None
-    ensure_checkpoint_dir(requests.sparkSession)
-    edges = materialize(named.join(multi, "order_id", "left_semi").select("order_id", "offer_id")
-                        .distinct(), "admission-edges")
-    # min-label propagation over the bipartite order_id -- offer_id graph
-    label = edges.select("offer_id").distinct().withColumn("_comp", F.col("offer_id"))
-    while True:
-        by_order = (edges.join(label, "offer_id").groupBy("order_id")
-                    .agg(F.min("_comp").alias("_comp")))
-        new = (edges.join(by_order, "order_id").groupBy("offer_id")
-               .agg(F.min("_comp").alias("_new")))
-        merged = materialize(label.join(new, "offer_id").select(
-            "offer_id", F.least("_comp", "_new").alias("_comp"),
-            (F.col("_new") < F.col("_comp")).alias("_chg")), "admission-labels")
-        label = merged.select("offer_id", "_comp")
-        if merged.where("_chg").limit(1).count() == 0:
-            return label
-
-
-_REPLAY_FIELDS = {"order_id": "order_id", "offer_id": "offer_id", "user_id": "user_id",
-                  "_o_id": "found_offer", "_o_owner": "owner", "_o_expires": "expires_at",
-                  "_hold_ok": "hold_ok", "_persist_ok": "persist_ok"}
-
-
-def _replay_conflicts(out: DataFrame, labels: DataFrame, tiebreak, ts) -> DataFrame:
-    """Sequential replay of the rows of conflicting components only."""
-    marked = out.join(labels.withColumnRenamed("offer_id", "_l_offer"),
-                      out["offer_id"] == F.col("_l_offer"), "left").drop("_l_offer")
-    plain = marked.where(F.col("_comp").isNull()).drop("_comp")
-    hot = marked.where(F.col("_comp").isNotNull()).withColumn("_rid", F.monotonically_increasing_id())
-    hot = materialize(hot, "admission-conflicts")
-    schema = T.StructType([T.StructField("rid", T.LongType()),
-                           T.StructField("outcome", T.StringType())])
-    order = ["sort_ts"] + [f"tb{i}" for i in range(len(tiebreak))] + ["rid"]
-
-    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        created, used, res = set(), set(), []
-        for r in pdf.sort_values(order).itertuples(index=False):
-            if not r.order_id:
-                o = "ORDER_ID_REQUIRED"
-            elif not r.offer_id:
-                o = "OFFER_ID_REQUIRED"
-            elif not r.user_id:
-                o = "USER_ID_REQUIRED"
-            elif r.order_id in created:
-                o = "DUPLICATE"
-            elif r.found_offer is None or pd.isna(r.found_offer):
-                o = "OFFER_NOT_FOUND"
-            elif r.sort_ts > r.expires_at:
-                o = "OFFER_EXPIRED"
-            elif r.user_id != r.owner:
-                o = "INVALID_USER"
-            elif r.offer_id in used:
-                o = "OFFER_ALREADY_USED"
-            else:
-                used.add(r.offer_id)
-                if not r.hold_ok:
-                    o = "PAYMENT_HOLD_FAILED"
-                elif not r.persist_ok:
-                    o = "PERSIST_FAILED"
-                else:
-                    o = "CREATED"
-                    created.add(r.order_id)
-            res.append((r.rid, o))
-        return pd.DataFrame(res, columns=["rid", "outcome"])
-
-    cols = hot.select(F.col("_rid").alias("rid"), "_comp",
-                      *[F.col(k).alias(v) for k, v in _REPLAY_FIELDS.items()],
-                      F.col(ts).alias("sort_ts"),
-                      *[F.col(c).alias(f"tb{i}") for i, c in enumerate(tiebreak)])
-    replayed = cols.groupBy("_comp").applyInPandas(replay, schema)
-    fixed = (hot.join(replayed.withColumnRenamed("rid", "_rid")
-                      .withColumnRenamed("outcome", "_outcome"), "_rid")
-             .withColumn("outcome", F.col("_outcome")).drop("_outcome", "_rid", "_comp"))
-    return plain.unionByName(fixed)
+    return named.join(multi, "order_id", "left_semi").select("offer_id").distinct()
+
+
+def _linked_claims(j: DataFrame, linked: DataFrame) -> DataFrame:
+    """``_first`` and ``_dup`` of the requests of linked offers.
+
+    A valid request that is the earliest undecided one of its offer and of its
+    order id is a claim, whatever comes later: nothing undecided can make its
+    order or take its offer before it.  Each round decides all such requests at
+    once, then leaves out the requests of claimed offers and those whose order
+    was created.  The earliest request of all is always decided, so the rounds
+    end; each is a few joins over what is left, written to the shared folder."""
+    ids = linked.select(F.col("offer_id").alias("_l_offer"), F.lit(True).alias("_linked"))
+    marked = materialize(
+        j.join(ids, j["offer_id"] == ids["_l_offer"], "left").drop("_l_offer")
+        .fillna(False, ["_linked"]).withColumn("_rid", F.monotonically_increasing_id()), "admission-linked")
+    left = materialize(marked.where(F.col("_linked") & F.col("_valid")).select(
+        "_rid", "offer_id", "order_id", F.struct("_k", "_rid").alias("_at"),
+        (F.col("_hold_ok") & F.col("_persist_ok")).alias("_ok")), "admission-undecided")
+    rounds = []
+    while left.limit(1).count() > 0:
+        by_offer = left.groupBy("offer_id").agg(F.min("_at").alias("_by_offer"))
+        by_order = left.groupBy("order_id").agg(F.min("_at").alias("_by_order"))
+        claims = materialize(
+            left.join(by_offer, "offer_id").join(by_order, "order_id")
+            .where((F.col("_at") == F.col("_by_offer")) & (F.col("_at") == F.col("_by_order")))
+            .select(*left.columns), "admission-claims")
+        rounds.append(claims)
+        left = materialize(left.join(claims.select("offer_id"), "offer_id", "left_anti")
+                           .join(claims.where("_ok").select("order_id"), "order_id", "left_anti")
+                           .select(*left.columns), "admission-undecided")
+    claims = left
+    for part in rounds:
+        claims = claims.unionByName(part)
+    created = claims.where("_ok").select("order_id", F.col("_at").alias("_made"))
+    marked = (marked.join(claims.select("_rid", F.lit(True).alias("_claim")), "_rid", "left")
+              .join(created, "order_id", "left"))
+    dup = F.col("_was") | F.coalesce(F.col("_made") < F.struct("_k", "_rid"), F.lit(False))
+    return (marked.withColumn("_first", F.when(F.col("_linked"), F.col("_claim").isNotNull())
+                              .otherwise(F.col("_first")))
+            .withColumn("_dup", F.when(F.col("_linked"), dup).otherwise(F.col("_dup")))
+            .drop("_linked", "_rid", "_claim", "_made"))
 
 
 def admission_summary(admitted: DataFrame) -> DataFrame:

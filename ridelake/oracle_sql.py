@@ -766,6 +766,32 @@ SELECT ts, event_id, method, path, status_code, {ROUTE_SQL} AS route FROM reques
 WHERE event = 'request_complete' AND ts >= TIMESTAMP '2024-01-15 12:00:00' - INTERVAL 15 MINUTE
   AND ts <= TIMESTAMP '2024-01-15 12:00:00'"""
 
+_ADMISSION_COLS = f"order_id, offer_id, user_id, requested_at, hold_success, {TB}, outcome"
+
+ADMISSION_TWO_DAYS = with_standins("offers", "order_requests", extra=_ADMISSION) + f"""
+SELECT {_ADMISSION_COLS}, {ORDER_STATUS_SQL} AS http_status FROM admitted"""
+
+# Sequential replay per four order keys (they share order ids, nothing else
+# does), carrying the created orders and used offers as lists.
+ADMISSION_SHARED_ORDER_IDS = with_standins("offers", extra={
+    "base": STANDINS["order_requests"],
+    "order_requests": """SELECT * REPLACE (CASE WHEN order_id = '' THEN '' ELSE 'order-' || CAST(l_orderkey // 4 AS VARCHAR) || '-'
+        || CAST(l_linenumber % 2 AS VARCHAR) END AS order_id) FROM base""",
+    "j": _ADMISSION["j"], "v": _ADMISSION["v"],
+    "n": f"SELECT *, l_orderkey // 4 AS comp, row_number() OVER (PARTITION BY l_orderkey // 4 ORDER BY requested_at, {TB}) AS rn FROM v",
+    "run": """SELECT comp, CAST(0 AS BIGINT) AS rn, CAST([] AS VARCHAR[]) AS made, CAST([] AS VARCHAR[]) AS used, CAST(NULL AS VARCHAR) AS outcome
+        FROM n GROUP BY comp
+        UNION ALL
+        SELECT n.comp, n.rn,
+          CASE WHEN x.o = 'CREATED' THEN list_append(r.made, n.order_id) ELSE r.made END,
+          CASE WHEN x.o IN ('CREATED', 'PAYMENT_HOLD_FAILED') THEN list_append(r.used, n.offer_id) ELSE r.used END, x.o
+        FROM run r JOIN n ON n.comp = r.comp AND n.rn = r.rn + 1,
+        LATERAL (SELECT CASE WHEN n.rej IS NOT NULL THEN n.rej WHEN list_contains(r.made, n.order_id) THEN 'DUPLICATE'
+            WHEN n.ochk IS NOT NULL THEN n.ochk WHEN list_contains(r.used, n.offer_id) THEN 'OFFER_ALREADY_USED'
+            WHEN NOT n.hold_success THEN 'PAYMENT_HOLD_FAILED' ELSE 'CREATED' END AS o) x""",
+    "admitted": "SELECT n.*, run.outcome FROM n JOIN run ON n.comp = run.comp AND n.rn = run.rn"}, recursive=True) + f"""
+SELECT {_ADMISSION_COLS}, {ORDER_STATUS_SQL} AS http_status FROM admitted"""
+
 _PERSIST_REQ = """SELECT r.*, li.l_linestatus <> 'O' AS persisted FROM order_requests r
     LEFT JOIN lineitem li ON r.l_orderkey = li.l_orderkey AND r.l_linenumber = li.l_linenumber
      AND r.l_partkey = li.l_partkey AND r.l_suppkey = li.l_suppkey AND r.l_extendedprice = li.l_extendedprice
@@ -806,6 +832,8 @@ ORACLE: dict[str, str] = {
     "offer_pricing_versioned": OFFER_PRICING_VERSIONED,
     "archive_records": ARCHIVE_RECORDS,
     "archive_readback": ARCHIVE_READBACK,
+    "admission_two_days": ADMISSION_TWO_DAYS,
+    "admission_shared_order_ids": ADMISSION_SHARED_ORDER_IDS,
     "offer_creation_repeated_log": OFFER_CREATION_REPEATED_LOG,
     "offer_creation_min_remaining": OFFER_CREATION_MIN_REMAINING,
     "offer_saves": OFFER_SAVES,

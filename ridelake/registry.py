@@ -467,12 +467,41 @@ def admission_with_persist_failures(spark: SparkSession, sf_dir: str) -> DataFra
         *si.ORDER_REQUEST_TIEBREAK, "outcome", "http_status")
 
 
+def admission_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W01/W02 with state from before the batch: the later half of the log is
+    admitted after the earlier one, whose orders and claimed offers it reads."""
+    req, offs = si.order_requests(spark, sf_dir), si.offers(spark, sf_dir)
+    lo, hi = req.agg(F.min("requested_at"), F.max("requested_at")).first()
+    late = F.col("requested_at") >= F.lit(lo + (hi - lo) / 2).cast("timestamp_ntz")
+    first = materialize(admission.admit_orders(req.where(~late), offs, si.ORDER_REQUEST_TIEBREAK), "day-one")
+    second = admission.admit_orders(
+        req.where(late), offs, si.ORDER_REQUEST_TIEBREAK,
+        existing_orders=first.where("outcome = 'CREATED'").select(F.col("order_id").alias("id")),
+        used_offers=admission.claimed_offers(first))
+    return first.unionByName(second).select(
+        "order_id", "offer_id", "user_id", "requested_at", "hold_success", *si.ORDER_REQUEST_TIEBREAK,
+        "outcome", "http_status")
+
+
+def admission_shared_order_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T03 where order ids span offers (four order keys share one id)."""
+    req = si.order_requests(spark, sf_dir).withColumn(
+        "order_id", F.when(F.col("order_id") != "", F.concat(
+            F.lit("order-"), F.floor(F.col("l_orderkey") / 4).cast("string"), F.lit("-"),
+            (F.col("l_linenumber") % 2).cast("string"))).otherwise(F.lit("")))
+    return admission.admit_orders(req, si.offers(spark, sf_dir), si.ORDER_REQUEST_TIEBREAK).select(
+        "order_id", "offer_id", "user_id", "requested_at", "hold_success", *si.ORDER_REQUEST_TIEBREAK,
+        "outcome", "http_status")
+
+
 def hold_compensations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """UNHOLD calls owed for holds whose order was not stored."""
     return admission.hold_compensations(_admitted_persist(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
+    "admission_two_days": admission_two_days,
+    "admission_shared_order_ids": admission_shared_order_ids,
     "archive_readback": archive_readback,
     "offer_creation_repeated_log": offer_creation_repeated_log,
     "offer_creation_min_remaining": offer_creation_min_remaining,
