@@ -17,20 +17,24 @@ from ..plans.asof import asof_join, validity_intervals
 from ..sources.tables import DEFAULT_CONFIG
 
 CONFIG_FIELDS = list(DEFAULT_CONFIG)
+# Config versions have no key to join on; at one poll every 5 seconds a bucket
+# holds at most 60 of them.
+CONFIG_BUCKET_SECONDS = 300
 
 
 def config_snapshots(polls: DataFrame, ts: str = "polled_at", ok: str = "success") -> DataFrame:
     """Config versions from a poll log (successful polls only; a failure
-    changes nothing, so the previous version stays valid)."""
+    changes nothing, so the previous version stays valid; nor does a poll that
+    returns the values already in force, so there is a version per change)."""
     good = polls.where(F.col(ok)).select(F.col(ts).alias("valid_from"), *CONFIG_FIELDS)
-    return validity_intervals(good, [], "valid_from")
+    return validity_intervals(good, [], "valid_from", collapse=True)
 
 
 def configs_as_of(requests: DataFrame, versions: DataFrame, ts: str = "ts") -> DataFrame:
     """Attach the config valid at each request (defaults before the first
     successful poll, and per missing key)."""
     j = asof_join(requests, versions.select("valid_from", "valid_to", *[
-        F.col(c).alias(f"_cfg_{c}") for c in CONFIG_FIELDS]), [], ts)
+        F.col(c).alias(f"_cfg_{c}") for c in CONFIG_FIELDS]), [], ts, bucket_seconds=CONFIG_BUCKET_SECONDS)
     for c in CONFIG_FIELDS:
         j = j.withColumn(c, F.coalesce(F.col(f"_cfg_{c}"), F.lit(DEFAULT_CONFIG[c])))
     return j.drop("valid_from", "valid_to", *[f"_cfg_{c}" for c in CONFIG_FIELDS])

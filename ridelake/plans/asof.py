@@ -15,18 +15,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.pricing import epoch_micros
-from .keyed import next_time
+from .keyed import changed_rows, next_time
 
 DEFAULT_BUCKET_SECONDS = 3600
 
 
 def validity_intervals(versions: DataFrame, keys: list[str], valid_from: str,
-                       max_age_seconds: int | None = None) -> DataFrame:
+                       max_age_seconds: int | None = None, collapse: bool = False) -> DataFrame:
     """``valid_to`` = next version's ``valid_from`` for the same key, capped at
     ``valid_from + max_age`` when a staleness bound applies (null = open).
+    Of several versions of a key at one instant the one with the greatest
+    values counts.  ``collapse`` joins consecutive versions with equal values
+    into one (not with a staleness bound, where each renews the age).
     The successor is found per (key, day) with a per-day summary for the day
     boundary (``plans.keyed.next_time``), not by one window per key."""
-    v = next_time(versions, keys, valid_from, "valid_to")
+    values = [c for c in versions.columns if c not in (*keys, valid_from)]
+    v = (versions.groupBy(*keys, valid_from).agg(F.max(F.struct(*values)).alias("_v"))
+         .select(*keys, valid_from, "_v.*"))
+    if collapse and max_age_seconds is None:
+        v = changed_rows(v, keys, valid_from, values)
+    v = next_time(v, keys, valid_from, "valid_to")
     if max_age_seconds is not None:
         cap = F.col(valid_from) + F.make_dt_interval(
             F.lit(0), F.lit(0), F.lit(0), F.lit(int(max_age_seconds)).cast("decimal(18,6)"))

@@ -50,3 +50,19 @@ def next_time(df: DataFrame, keys: list[str], ts: str, out: str,
     return (b.join(first.select(*kb, "_nb"), kb, "left")
             .withColumn(out, F.coalesce(F.col("_nx"), F.col("_nb")))
             .drop("_kb", "_nx", "_nb"))
+
+
+def changed_rows(df: DataFrame, keys: list[str], ts: str, values: list[str],
+                 bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+    """The rows whose ``values`` differ from those of the row before them
+    (per ``keys``, in ``ts`` order; one row per key and instant)."""
+    b = df.withColumn("_kb", _bucket(ts, bucket_seconds)).withColumn("_v", F.struct(*values))
+    kb = keys + ["_kb"]
+    w = Window.partitionBy(*kb).orderBy(F.col(ts))
+    b = b.withColumn("_prev", F.lag("_v").over(w)).withColumn("_rn", F.row_number().over(w))
+    last = b.groupBy(*kb).agg(F.max_by("_v", ts).alias("_last"))
+    wk = Window.partitionBy(*keys).orderBy("_kb") if keys else Window.orderBy("_kb")
+    last = last.withColumn("_before", F.lag("_last").over(wk))
+    before = F.when(F.col("_rn") == 1, F.col("_before")).otherwise(F.col("_prev"))
+    return (b.join(last.select(*kb, "_before"), kb, "left")
+            .where(~F.col("_v").eqNullSafe(before)).drop("_kb", "_v", "_prev", "_rn", "_before"))
