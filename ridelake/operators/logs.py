@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import logfmt
+from ..functions.pricing import epoch_micros
 from ..plans.quantiles import exact_quantiles, quantile_names
 
 REQUEST_COMPLETE = r'"event":"request_complete"'
@@ -108,6 +109,25 @@ def panel_rps(logs: DataFrame, ts: str = "ts", line_col: str = "log_line",
     return t.groupBy("panel", "minute").agg((F.count(F.lit(1)) / F.lit(60.0)).alias("rps"))
 
 
+def panel_trailing_rps(logs: DataFrame, ts: str = "ts", line_col: str = "log_line",
+                       step_seconds: int = 15, panels: dict[str, list[str]] | None = None) -> DataFrame:
+    """A01-A05 as the panels draw them: at every step instant, the matching
+    lines of the minute up to it (exclusive, inclusive) / 60.  Lines are
+    counted per step first; a count then adds to the instants whose minute
+    covers its step, so what is expanded are counts, not lines.
+    ``step_seconds`` divides 60."""
+    step = step_seconds * 1_000_000
+    tagged = logs.select(F.ceil(epoch_micros(F.col(ts)) / F.lit(step)).cast("long").alias("_step"),
+                         F.explode(panel_tags(F.col(line_col), panels)).alias("panel"))
+    counts = tagged.groupBy("panel", "_step").agg(F.count(F.lit(1)).alias("n"))
+    reach = F.sequence(F.col("_step"), F.col("_step") + F.lit(60 // step_seconds - 1))
+    at = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
+                            (F.col("_at") * F.lit(step_seconds)).cast("decimal(18,6)"))
+    return (counts.select("panel", "n", F.explode(reach).alias("_at"))
+            .groupBy("panel", "_at").agg((F.sum("n") / F.lit(60.0)).alias("rps"))
+            .select("panel", (F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + at).alias("instant"), "rps"))
+
+
 def route_rps(records: DataFrame, ts: str = "ts") -> DataFrame:
     """A02-A05, normalised variant (P14): per route and minute, requests / 60,
     on decoded request_complete records (a finish call counts only as

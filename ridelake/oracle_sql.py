@@ -459,14 +459,21 @@ LOG_DROP_COUNTS = with_standins("request_log") + """
 SELECT CASE WHEN event = 'request_complete' THEN 'kept' ELSE 'not_request_complete' END AS reason, count(*) AS lines
 FROM request_log GROUP BY 1"""
 
-PANEL_RPS = with_standins("request_log", extra={"rc": "SELECT * FROM request_log WHERE event = 'request_complete'",
+_PANEL_TAGGED = {"rc": "SELECT * FROM request_log WHERE event = 'request_complete'",
   "tagged": """SELECT 'total' AS panel, ts FROM rc
     UNION ALL SELECT 'offers', ts FROM rc WHERE path LIKE '%/offers%'
     UNION ALL SELECT 'orders_post', ts FROM rc WHERE path LIKE '%/orders%' AND method = 'POST'
     UNION ALL SELECT 'orders_get', ts FROM rc WHERE path LIKE '%/orders/%' AND method = 'GET'
-    UNION ALL SELECT 'finish', ts FROM rc WHERE path LIKE '%/orders/%' AND path LIKE '%finish%' AND method = 'POST'"""}) + """
+    UNION ALL SELECT 'finish', ts FROM rc WHERE path LIKE '%/orders/%' AND path LIKE '%finish%' AND method = 'POST'"""}
+
+PANEL_RPS = with_standins("request_log", extra=_PANEL_TAGGED) + """
 SELECT panel, date_trunc('minute', ts) AS minute, count(*) / 60.0 AS rps FROM tagged GROUP BY 1, 2"""
 
+PANEL_TRAILING_RPS = with_standins("request_log", extra={**_PANEL_TAGGED,
+  "steps": "SELECT panel, make_timestamp(((epoch_us(ts) + 14999999) // 15000000 + k) * 15000000) AS instant "
+           "FROM tagged, (VALUES (0), (1), (2), (3)) t(k)"}) + """
+SELECT panel, instant, count(*) / 60.0 AS rps FROM steps GROUP BY 1, 2"""
+
 ENDPOINT_LATENCY = with_standins("request_log") + f"""
 SELECT {ROUTE_SQL} AS route,
   round(quantile_cont(duration_ms, 0.5), 6) AS p50, round(quantile_cont(duration_ms, 0.95), 6) AS p95,
@@ -612,6 +619,8 @@ CACHE_HIT_RATE = with_standins(*_CACHE_SRC, extra=_CACHE, recursive=True) + """
 SELECT count(*) AS reads, CAST(sum(CASE WHEN cache_result = 'HIT' THEN 1 ELSE 0 END) AS BIGINT) AS hits,
   CAST(sum(CASE WHEN cache_result = 'HIT' THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS hit_rate FROM replay"""
 
+CACHE_HIT_RATE_ALERT = f"SELECT * FROM ({CACHE_HIT_RATE}) WHERE hit_rate < 0.9"
+
 _ARCH_ORDER_COLS = ("id, user_id, scooter_id, offer_id, price_per_minute, price_unlock, deposit, total_amount, status, "
                     "start_time, finish_time, duration_seconds, created_at, updated_at")
 _LEDGER_ONLY = "order_id, transaction_type, amount, external_transaction_id, error_message"
@@ -832,6 +841,8 @@ ORACLE: dict[str, str] = {
     "offer_pricing_versioned": OFFER_PRICING_VERSIONED,
     "archive_records": ARCHIVE_RECORDS,
     "archive_readback": ARCHIVE_READBACK,
+    "panel_trailing_rps": PANEL_TRAILING_RPS,
+    "cache_hit_rate_alert": CACHE_HIT_RATE_ALERT,
     "admission_two_days": ADMISSION_TWO_DAYS,
     "admission_shared_order_ids": ADMISSION_SHARED_ORDER_IDS,
     "offer_creation_repeated_log": OFFER_CREATION_REPEATED_LOG,

@@ -21,10 +21,13 @@ def with_layout_columns(orders: DataFrame, num_shards: int) -> DataFrame:
 
 
 def write_orders_layout(orders: DataFrame, path: str, num_shards: int) -> None:
-    """One task per shard writes that shard's rows, split by date."""
+    """A shard's rows of one date lie together, sorted, under the date's
+    folder.  The rebalance keys are (date, shard), so shards and days spread
+    over tasks independently, and Spark splits a large one and joins small
+    ones into files of the advisory size."""
     (with_layout_columns(orders, num_shards)
-     .repartition(num_shards, "shard")
-     .sortWithinPartitions("date", "user_id", "created_at")
+     .hint("rebalance", "date", "shard")
+     .sortWithinPartitions("date", "shard", "user_id", "created_at")
      .write.mode("overwrite").partitionBy("date").parquet(path))
 
 

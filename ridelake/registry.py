@@ -203,6 +203,16 @@ def panel_rps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.panel_rps(si.request_log(spark, sf_dir))
 
 
+def panel_trailing_rps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trailing-minute RPS of the panels at every 15-second step."""
+    return logs.panel_trailing_rps(si.request_log(spark, sf_dir))
+
+
+def cache_hit_rate_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The replayed cache's hit rate if it is below the bound."""
+    return logs.hit_rate_alert(cache_hit_rate(spark, sf_dir))
+
+
 def endpoint_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact p50/p95/p99 latency per route."""
     q = logs.latency_quantiles(_records(spark, sf_dir), ["route"])
@@ -500,6 +510,8 @@ def hold_compensations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "panel_trailing_rps": panel_trailing_rps,
+    "cache_hit_rate_alert": cache_hit_rate_alert,
     "admission_two_days": admission_two_days,
     "admission_shared_order_ids": admission_shared_order_ids,
     "archive_readback": archive_readback,
