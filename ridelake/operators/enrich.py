@@ -69,9 +69,13 @@ def enrich_offer_requests(requests: DataFrame, scooters: DataFrame, zones: DataF
 
 def price_offer_requests(requests: DataFrame, scooters: DataFrame, zones: DataFrame,
                          users: DataFrame, configs: DataFrame | None = None,
-                         ts_col: str = "ts", with_lookup_zone: bool = False) -> DataFrame:
+                         ts_col: str = "ts", with_lookup_zone: bool = False,
+                         lookup_failed_col: str | None = None) -> DataFrame:
     """Price every offer request (flagship): one output row per request.
 
+    ``lookup_failed_col`` marks requests whose scooter lookup itself failed
+    (J01): they are ``SCOOTERS_UNAVAILABLE``, whatever the scooter table holds.
+
     Columns: request_id, user_id, scooter_id, requested_at, outcome,
     http_status, zone_id, price_per_minute, price_unlock, deposit, offer_id,
     expires_at.  Prices and ids are null unless ``outcome = 'CREATED'``.
@@ -84,7 +88,9 @@ def price_offer_requests(requests: DataFrame, scooters: DataFrame, zones: DataFr
         else None
     e = enrich_offer_requests(requests, scooters, zones, users)
     reject = offer_request_reject(F.col("user_id"), F.col("scooter_id"), corrupt)
+    failed = F.coalesce(F.col(lookup_failed_col), F.lit(False)) if lookup_failed_col else F.lit(False)
     outcome = (F.when(reject.isNotNull(), reject)
+               .when(failed, F.lit("SCOOTERS_UNAVAILABLE"))
                .when(~F.col("scooter_found"), F.lit("SCOOTER_NOT_FOUND"))
                .when(~F.col("zone_found"), F.lit("ZONE_UNAVAILABLE"))
                .otherwise(F.lit("CREATED")))

@@ -775,6 +775,22 @@ SELECT ts, event_id, method, path, status_code, {ROUTE_SQL} AS route FROM reques
 WHERE event = 'request_complete' AND ts >= TIMESTAMP '2024-01-15 12:00:00' - INTERVAL 15 MINUTE
   AND ts <= TIMESTAMP '2024-01-15 12:00:00'"""
 
+OFFER_PRICING_DEGRADED = OFFER_PRICING.replace(
+    "WHEN s.id IS NULL THEN 'SCOOTER_NOT_FOUND'",
+    "WHEN CAST(regexp_extract(r.request_id, '([0-9]+)$', 1) AS BIGINT) % 13 = 0 THEN 'SCOOTERS_UNAVAILABLE' "
+    "WHEN s.id IS NULL THEN 'SCOOTER_NOT_FOUND'")
+
+OFFER_PRICING_DOCUMENTS = OFFER_PRICING.replace(CONFIG, (
+    "SELECT count(*) / 16.0::DOUBLE AS surge, CAST(0.7 AS DOUBLE) AS low_charge_discount, "
+    "max(price_per_minute) * 4 AS low_charge_threshold_percent, 5 AS incomplete_ride_threshold_seconds FROM zones"))
+
+LEDGER_SNAPSHOT = with_standins(*_FIN_SRC, extra=_WORLD) + """
+SELECT id, order_id, user_id, transaction_type, amount, status, external_transaction_id, error_message, created_at FROM ledger"""
+
+HOLD_LEDGER_PAYMENT_IDS = HOLD_LEDGER.replace(
+    "CAST(NULL AS VARCHAR) AS external_transaction_id",
+    "'hold-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS external_transaction_id")
+
 _ADMISSION_COLS = f"order_id, offer_id, user_id, requested_at, hold_success, {TB}, outcome"
 
 ADMISSION_TWO_DAYS = with_standins("offers", "order_requests", extra=_ADMISSION) + f"""
@@ -841,6 +857,11 @@ ORACLE: dict[str, str] = {
     "offer_pricing_versioned": OFFER_PRICING_VERSIONED,
     "archive_records": ARCHIVE_RECORDS,
     "archive_readback": ARCHIVE_READBACK,
+    "offer_pricing_degraded": OFFER_PRICING_DEGRADED,
+    "offer_pricing_documents": OFFER_PRICING_DOCUMENTS,
+    "orders_snapshot_readback": ORDERS_AFTER_FINISH,
+    "ledger_snapshot_readback": LEDGER_SNAPSHOT,
+    "hold_ledger_payment_ids": HOLD_LEDGER_PAYMENT_IDS,
     "panel_trailing_rps": PANEL_TRAILING_RPS,
     "cache_hit_rate_alert": CACHE_HIT_RATE_ALERT,
     "admission_two_days": ADMISSION_TWO_DAYS,

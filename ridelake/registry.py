@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
+from . import schemas
 from .functions import logfmt
 from .operators import (admission, archive, enrich, finish, logs, lookup, metrics, offers,
                         quality, retention, ttl)
@@ -32,6 +33,60 @@ def offer_pricing(spark: SparkSession, sf_dir: str) -> DataFrame:
         si.zones(spark, sf_dir), si.users(spark, sf_dir))
 
 
+def offer_pricing_degraded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offer pricing where the scooter lookup of every 13th request failed."""
+    n = F.regexp_extract("request_id", r"(\d+)$", 1).cast("long")
+    req = si.offer_requests(spark, sf_dir).withColumn("lookup_failed", n % 13 == 0)
+    return enrich.price_offer_requests(req, si.scooters(spark, sf_dir), si.zones(spark, sf_dir),
+                                       si.users(spark, sf_dir), lookup_failed_col="lookup_failed")
+
+
+def _document(df: DataFrame, name: str) -> str:
+    """Folder of ``df`` as JSON documents, each a top-level array of objects."""
+    path = scratch_dir(df.sparkSession, f"document-{name}-{uuid.uuid4().hex[:12]}")
+    (df.groupBy((F.xxhash64("id") % 4).alias("part"))
+     .agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value")).select("value")
+     .write.option("maxRecordsPerFile", 1).text(path))
+    return path
+
+
+def offer_pricing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offer pricing on dimension documents and a config document
+    (one of its keys missing), written from the tables and read back."""
+    dims = {"scooters": schemas.SCOOTERS, "zones": schemas.ZONES, "users": schemas.USERS}
+    scooters, zones, users = (
+        tables.read_dimension_json(spark, _document(getattr(si, name)(spark, sf_dir), name), schema)
+        for name, schema in dims.items())
+    path = scratch_dir(spark, f"document-config-{uuid.uuid4().hex[:12]}")
+    config = si.zones(spark, sf_dir).agg((F.count(F.lit(1)) / 16).alias("surge"),
+                                         (F.max("price_per_minute") * 4).alias("low_charge_threshold_percent"))
+    config.coalesce(1).write.json(path)
+    return enrich.price_offer_requests(si.offer_requests(spark, sf_dir), scooters, zones, users,
+                                       tables.read_configs_json(spark, path))
+
+
+def orders_snapshot_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders snapshot written and read with its fixed schema."""
+    path = scratch_dir(spark, f"orders-{uuid.uuid4().hex[:12]}")
+    _world(spark, sf_dir)[3].write.parquet(path)
+    return tables.read_orders(spark, path)
+
+
+def ledger_snapshot_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payment ledger written and read with its fixed schema."""
+    path = scratch_dir(spark, f"ledger-{uuid.uuid4().hex[:12]}")
+    _world(spark, sf_dir)[4].write.parquet(path)
+    return tables.read_payment_transactions(spark, path)
+
+
+def hold_ledger_payment_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """HOLD ledger rows with the payment service's id of each hold."""
+    req = si.order_requests(spark, sf_dir).withColumn("hold_id", F.concat(
+        F.lit("hold-"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")))
+    admitted = admission.admit_orders(req, si.offers(spark, sf_dir), si.ORDER_REQUEST_TIEBREAK)
+    return admission.hold_ledger_rows(admitted, external_id_col="hold_id")
+
+
 def offer_creation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Offer endpoint replay: F01, T01 reuse per (user, scooter) for 5 min, J01-J04, E07."""
     return offers.create_offers(
@@ -510,6 +565,11 @@ def hold_compensations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "offer_pricing_degraded": offer_pricing_degraded,
+    "offer_pricing_documents": offer_pricing_documents,
+    "orders_snapshot_readback": orders_snapshot_readback,
+    "ledger_snapshot_readback": ledger_snapshot_readback,
+    "hold_ledger_payment_ids": hold_ledger_payment_ids,
     "panel_trailing_rps": panel_trailing_rps,
     "cache_hit_rate_alert": cache_hit_rate_alert,
     "admission_two_days": admission_two_days,
