@@ -393,21 +393,23 @@ def archive_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive.archive_records(snap, ledger)
 
 
-def _rotated(spark: SparkSession, sf_dir: str):
-    """The archive of the removed orders, written by the rotation (twice, as
-    after a retry) and read back, and the hot tables it leaves."""
+def _rotated(spark: SparkSession, sf_dir: str, runs: int = 1):
+    """The archive of the removed orders, written by the rotation and read
+    back, and the hot tables it leaves; ``runs`` over one repeat it, as a retry
+    does."""
     _, _, _, snap, ledger = _world(spark, sf_dir)
     root = scratch_dir(spark, f"archive-{uuid.uuid4().hex[:12]}")
     hot = {}
-    for _ in range(2):
+    for _ in range(runs):
         hot = archive.rotate(snap, ledger, RIDES_AS_OF, root)
     schema = archive.archive_records(snap, ledger).drop(*archive.PARTITION_COLS).schema
     return hot, tables.read_archive(spark, root, schema), snap, ledger
 
 
 def archive_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archive records written by the rotation, read back."""
-    _, cold, snap, ledger = _rotated(spark, sf_dir)
+    """Archive records written by the rotation, run twice as
+    after a retry, read back."""
+    _, cold, snap, ledger = _rotated(spark, sf_dir, runs=2)
     return cold.select(*archive.archive_records(snap, ledger).columns)
 
 
