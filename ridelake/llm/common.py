@@ -12,9 +12,18 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 
 
-def importable(spark: SparkSession) -> None:
-    """In a local session, let Python workers import this package from where
-    the driver did; on a cluster it is deployed as any job's package is."""
+# Rows handed to a Python worker at once where the session has Spark's default:
+# documents are long, so a worker holds few of them.
+BATCH_ROWS = 1000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Settings the operators' Python workers rely on: bounded Arrow batches
+    and, in a local session, the place this package is imported from (on a
+    cluster it is deployed as any job's package is)."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, str(BATCH_ROWS))
     sc = spark.sparkContext
     if sc.master.startswith("local"):
         root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -24,7 +33,7 @@ def importable(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    importable(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

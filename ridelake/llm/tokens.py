@@ -10,12 +10,11 @@ from __future__ import annotations
 import functools
 import os
 import re
-
-import numpy as np
+import struct
 
 # Bound of each of the two generations of the per-worker cache (segments);
 # when the younger is full the older is dropped.
-CACHE_SEGMENTS = 500_000
+CACHE_SEGMENTS = 300_000
 
 _SPACED = re.compile("[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
 # White space beyond ASCII, and separators that some engines count as such:
@@ -24,8 +23,9 @@ _SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 _EXOTIC = re.compile("[\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
 # Runs of white space that a cut at every single space would divide.
 _RUNS = ("  ", "\n ", "\t ", "\r ", "\x0b ", "\x0c ")
-# A word of Latin-1 letters and one mark of punctuation: two pre-tokens.
-_PLAIN = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?]?)")
+# A word of Latin-1 letters and a run of ASCII punctuation without apostrophes:
+# two pre-tokens.
+_PLAIN = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@[-`{-~]*)")
 
 
 def has_exotic_space(text: str) -> bool:
@@ -66,10 +66,10 @@ class SegmentEncoder:
         # by segment: after a space, and at the start of a text or a run
         self.after = _Segments(self, " " if spaces else "", {})
         self.bare = _Segments(self, "", {})
-        self.mark = functools.cache(lambda m: self._library([m])[0])
+        self.mark = functools.lru_cache(100_000)(lambda m: self._library([m])[0])
 
     def _library(self, parts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes()
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids)
                 for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
     def word(self, lead: str, word: str) -> bytes:
@@ -77,7 +77,8 @@ class SegmentEncoder:
         if not self.spaces:
             word = word.lower()
         piece = "".join(map(self.alphabet.__getitem__, (lead + word).encode()))
-        return np.array([t.id for t in self.model.tokenize(piece)], "<u4").tobytes()
+        ids = [t.id for t in self.model.tokenize(piece)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         return [self._text(t) if t else b"" for t in texts]

@@ -20,8 +20,8 @@ def edge_rows():
 
 @pytest.fixture(scope="session")
 def workers(spark):
-    from ridelake.llm.common import importable
-    importable(spark)
+    from ridelake.llm.common import prepare
+    prepare(spark)
     return spark
 
 
