@@ -10,31 +10,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ridelake.llm import langid, packing, quality, simhash
-from ridelake.llm.common import importable, table, written
+from ridelake.llm.common import prepare, table, written
 from ridelake.llm.queries import vocabulary
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known go on."""
-    importable(spark)
+    prepare(spark)
     return langid.keep_identified(docs)
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are no outliers go on."""
-    importable(spark)
+    prepare(spark)
     return quality.keep_clean(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group goes on."""
-    importable(spark)
+    prepare(spark)
     return simhash.keep_one(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 2048 tokens."""
-    importable(spark)
+    prepare(spark)
     return packing.pack(docs, vocabulary("byte_bpe_50k.json"))
 
 
