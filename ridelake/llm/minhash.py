@@ -1,7 +1,7 @@
 """MinHash fingerprints of documents.
 
 A signature is the minimum of ``PERMUTATIONS`` universal hash functions
-(multiply, add, keep the upper 32 bits) over a text's five-word shingles, all
+(multiply, add, keep the upper 16 bits) over a text's five-word shingles, all
 in vectorised numpy: word hashes come from prefix sums of a polynomial over
 the text's bytes, shingle hashes from sums over five word hashes.  The share of
 equal components estimates the Jaccard likeness of the shingle sets.
@@ -15,7 +15,7 @@ and the one pair on either side of each partition end is a boundary record.
 Defined results: words are those between ASCII white space, with A-Z
 lower-cased; fewer than five words are one shingle; a null text is an empty
 one, all of whose components are the largest value (likeness 1 to another
-empty text, 0 to others); rows with one id are ordered by the hash of the text
+empty text, next to 0 to others); rows with one id are ordered by the hash of the text
 and the text, a null id comes last; a single row is its own successor; an
 empty table gives no rows; other columns, whatever their names, are ignored.
 """
@@ -109,7 +109,7 @@ def shingle_hashes(text: str | None) -> np.ndarray:
 
 
 def signature(text: str | None) -> np.ndarray:
-    """``PERMUTATIONS`` 32-bit minima."""
+    """``PERMUTATIONS`` 16-bit minima."""
     x = shingle_hashes(text)
     least = np.full(PERMUTATIONS, ~_U(0))
     buffer = np.empty((min(len(x), 1024), PERMUTATIONS), np.uint64)
@@ -118,7 +118,7 @@ def signature(text: str | None) -> np.ndarray:
         np.multiply.outer(x[at:at + 1024], _A, out=part)
         part += _B
         np.minimum(least, part.min(axis=0), out=least)
-    return (least >> _U(32)).astype("<u4")
+    return (least >> _U(48)).astype("<u2")
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
