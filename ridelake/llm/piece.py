@@ -3,9 +3,10 @@
 A text normalised by the vocabulary's own rules becomes symbols; an agenda of
 adjacent pairs, ordered by the score of the piece they form and then from the
 left, merges the best pair until none is left.  Symbols outside the vocabulary
-become their UTF-8 bytes.  No piece joins a word to the space mark after it,
-so a text is cut before each run of space marks and every distinct segment is
-merged once per Python worker.  Each Arrow batch is checked against the
+become their UTF-8 bytes.  Where no piece of the vocabulary holds two symbols
+side by side nothing can merge across them, so a text is cut there (before
+space marks, and between most words and punctuation) and every distinct segment
+is merged once per Python worker.  Each Arrow batch is checked against the
 sentencepiece library's encoding of the whole texts (``agrees``) and decoded
 with its ``decode``.
 
@@ -25,8 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Bound of the per-worker cache (segments) before it is emptied.
-CACHE_SEGMENTS = 400_000
+# Bound of each of the two generations of the per-worker cache (segments);
+# when the younger is full the older is dropped.
+CACHE_SEGMENTS = 300_000
 # Texts are handed to the library in groups of about so many characters.
 _CHECK_CHARS = 1 << 20
 _MARK = "▁"
@@ -49,36 +51,33 @@ class PieceEncoder:
         self.end = self.library.eos_id()
         if any(self.library.is_unused(i) for i in range(size)):
             raise ValueError("vocabularies with unused pieces are not supported")
-        self.cuts = not any(re.search(f"[^{_MARK}]{_MARK}", p) for p in self.pieces)
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.side_by_side = {p[i:i + 2] for p in self.pieces for i in range(len(p) - 1)}
+        self.cuts = not any(x[1] == _MARK != x[0] for x in self.side_by_side)
+        self.cache = _Segments(self, {})
 
     def merged(self, symbols: str) -> tuple[int, ...]:
         """Ids of one segment."""
+        pieces, push, pop = self.pieces, heapq.heappush, heapq.heappop
         part: list[str] = list(symbols)
-        after = list(range(1, len(part) + 1))
-        before = list(range(-1, len(part) - 1))
-        agenda: list[tuple[float, int, int, str]] = []
-
-        def offer(left: int, right: int) -> None:
-            joint = part[left] + part[right]
-            found = self.pieces.get(joint)
-            if found:
-                heapq.heappush(agenda, (-found[1], left, right, joint))
-
-        for i in range(len(part) - 1):
-            offer(i, i + 1)
+        n = len(part)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        agenda = [(-pieces[joint][1], i, i + 1, joint) for i in range(n - 1)
+                  if (joint := symbols[i:i + 2]) in pieces]
+        heapq.heapify(agenda)
         while agenda:
-            _, left, right, joint = heapq.heappop(agenda)
+            _, left, right, joint = pop(agenda)
             # a pair is stale when either side was merged since it was offered
             if not part[left] or not part[right] or part[left] + part[right] != joint:
                 continue
             part[left], part[right] = joint, ""
-            after[left] = after[right]
-            if after[left] < len(part):
-                before[after[left]] = left
-                offer(left, after[left])
-            if before[left] >= 0:
-                offer(before[left], left)
+            after[left] = right = after[right]
+            if right < n:
+                before[right] = left
+                if (wider := joint + part[right]) in pieces:
+                    push(agenda, (-pieces[wider][1], left, right, wider))
+            right = before[left]
+            if right >= 0 and (wider := part[right] + joint) in pieces:
+                push(agenda, (-pieces[wider][1], right, left, wider))
         out: list[int] = []
         for p in part:
             if p:
@@ -93,14 +92,34 @@ class PieceEncoder:
         if not self.cuts:
             return [*self.merged(plain), self.end]
         if len(self.cache) > CACHE_SEGMENTS:
-            self.cache.clear()
-        cache, out = self.cache, []
-        for segment in _SEGMENT.findall(plain):
-            ids = cache.get(segment)
-            if ids is None:
-                ids = cache[segment] = self.merged(segment)
-            out.append(ids)
-        return [*chain.from_iterable(out), self.end]
+            self.cache = _Segments(self, dict(self.cache))
+        if _MARK * 2 in plain:
+            parts = _SEGMENT.findall(plain)
+        else:
+            first, *rest = plain.split(_MARK)
+            parts = [first] * bool(first) + [_MARK + p for p in rest]
+        return [*chain.from_iterable(map(self.cache.__getitem__, parts)), self.end]
+
+
+class _Segments(dict):
+    """Ids by segment; one not met before is cut further where it can be, or
+    merged."""
+
+    def __init__(self, encoder: PieceEncoder, older: dict[str, tuple[int, ...]]):
+        self.encoder, self.older = encoder, older
+
+    def __missing__(self, segment: str) -> tuple[int, ...]:
+        ids = self.older.get(segment)
+        if ids is None:
+            joined = self.encoder.side_by_side
+            for i in range(len(segment) - 1, 0, -1):
+                if segment[i - 1:i + 1] not in joined:
+                    ids = self[segment[:i]] + self[segment[i:]]
+                    break
+            else:
+                ids = self.encoder.merged(segment)
+        self[segment] = ids
+        return ids
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
