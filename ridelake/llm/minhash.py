@@ -1,10 +1,12 @@
 """MinHash fingerprints of documents.
 
 A signature is the minimum of ``PERMUTATIONS`` universal hash functions
-(multiply, add, keep the upper 16 bits) over a text's five-word shingles, all
-in vectorised numpy: word hashes come from prefix sums of a polynomial over
-the text's bytes, shingle hashes from sums over five word hashes.  The share of
-equal components estimates the Jaccard likeness of the shingle sets.
+(multiply, add; 64 bits) over a text's five-word shingles, all in vectorised
+numpy: word hashes come from prefix sums of a polynomial over the text's bytes,
+shingle hashes from sums over five word hashes.  A component is 16 bits of its
+minimum mixed anew, as the upper bits of a long text's minima are all near
+zero; different minima agree with probability 2^-16, whatever the length.  The
+share of equal components estimates the Jaccard likeness of the shingle sets.
 
 ``similar`` joins signature bands in Spark and verifies the Jaccard likeness
 of every candidate on the texts themselves.  ``edit_report`` compares every
@@ -109,8 +111,10 @@ def shingle_hashes(text: str | None) -> np.ndarray:
 
 
 def signature(text: str | None) -> np.ndarray:
-    """``PERMUTATIONS`` 16-bit minima."""
+    """16 bits of each of ``PERMUTATIONS`` minima; all set without shingles."""
     x = shingle_hashes(text)
+    if not len(x):
+        return np.full(PERMUTATIONS, 0xFFFF, "<u2")
     least = np.full(PERMUTATIONS, ~_U(0))
     buffer = np.empty((min(len(x), 1024), PERMUTATIONS), np.uint64)
     for at in range(0, len(x), 1024):
@@ -118,7 +122,7 @@ def signature(text: str | None) -> np.ndarray:
         np.multiply.outer(x[at:at + 1024], _A, out=part)
         part += _B
         np.minimum(least, part.min(axis=0), out=least)
-    return (least >> _U(48)).astype("<u2")
+    return (_mixed(least) & _U(0xFFFF)).astype("<u2")
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:

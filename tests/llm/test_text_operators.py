@@ -99,6 +99,27 @@ def test_edit_report_edges(workers):
     assert len(got) == 3 and len({r.fingerprint for r in got if r.doc_id == 1}) == 1
 
 
+def test_long_texts_estimate_jaccard(workers):
+    """Likeness of long texts, and of their band keys, against brute force."""
+    rng = random.Random(6)
+
+    def text(n):
+        return [f"{rng.choice(WORDS)}{rng.randrange(10 ** 6)}" for _ in range(n)]
+
+    a, b = text(120_000), text(120_000)
+    texts = [" ".join(x) for x in (a, b, a[:60_000] + b[60_000:], a[:108_000] + b[108_000:])]
+    mine = [minhash.signature(t) for t in texts]
+    for i in range(len(texts)):
+        for j in range(i):
+            want = jaccard(texts[i], texts[j])
+            got = minhash.likeness(mine[i], mine[j])
+            assert abs(got - want) < (0.02 if want < 0.01 else 0.15), (i, j, got, want)
+    keys = [m.reshape(minhash.BANDS, -1) for m in mine]
+    assert not (keys[0] == keys[1]).all(axis=1).any()
+    df = workers.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check_report(minhash.edit_report(df).collect(), list(enumerate(texts)))
+
+
 def test_similar_finds_all(workers):
     rng = random.Random(4)
     texts = []
