@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 # Bound of each of the two generations of the per-worker cache (segments);
 # when the younger is full the older is dropped.
 CACHE_SEGMENTS = 300_000
+# Longest segment the cache keeps.
+CACHE_CHARS = 256
 # Texts are handed to the library in groups of about so many characters.
 _CHECK_CHARS = 1 << 20
 _MARK = "▁"
@@ -102,8 +104,9 @@ class PieceEncoder:
 
 
 class _Segments(dict):
-    """Ids by segment; one not met before is cut further where it can be, or
-    merged."""
+    """Ids by segment; one not met before is cut at every place where it can
+    be, and its parts are merged.  Longer ones than ``CACHE_CHARS`` are not
+    kept, only their parts."""
 
     def __init__(self, encoder: PieceEncoder, older: dict[str, tuple[int, ...]]):
         self.encoder, self.older = encoder, older
@@ -111,14 +114,21 @@ class _Segments(dict):
     def __missing__(self, segment: str) -> tuple[int, ...]:
         ids = self.older.get(segment)
         if ids is None:
-            joined = self.encoder.side_by_side
+            joined, parts, end = self.encoder.side_by_side, [], len(segment)
             for i in range(len(segment) - 1, 0, -1):
                 if segment[i - 1:i + 1] not in joined:
-                    ids = self[segment[:i]] + self[segment[i:]]
-                    break
+                    parts.append(segment[i:end])
+                    end = i
+                    if end <= CACHE_CHARS and segment[:end] in self:
+                        break
+            if parts:
+                # what is left has no cuts or is kept, so this goes one level deep
+                parts.append(segment[:end])
+                ids = tuple(chain.from_iterable(map(self.__getitem__, reversed(parts))))
             else:
                 ids = self.encoder.merged(segment)
-        self[segment] = ids
+        if len(segment) <= CACHE_CHARS:
+            self[segment] = ids
         return ids
 
 

@@ -118,6 +118,17 @@ def test_token_files(edges, empty, workers, small):
         at += len(ids)
 
 
+def test_pieces_of_long_unbroken_segments():
+    """Segments that can be cut at every place, or nearly, and have no spaces."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(chars) for _ in range(5000)) for chars in (
+        "0123456789", "漢字中文語日本國人大", "กขคงจฉชซ", "ABCDEFGHabcdefgh0123456789+/", "0123456789,")]
+    texts += [texts[0] + " " + texts[0], "a" * 3000 + texts[1], "1" * 200_000]
+    encoder = piece.PieceEncoder(P.path("piece_bpe_32k.model"))
+    assert [encoder.ids(t) for t in texts] == encoder.library.encode(texts, add_eos=True)
+    assert all(len(k) <= piece.CACHE_CHARS for k in encoder.cache)
+
+
 def test_pieces_equal_the_library(edges, empty, small):
     model = P.path("piece_bpe_32k.model")
     encoder = piece.PieceEncoder(model)
