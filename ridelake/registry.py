@@ -428,13 +428,13 @@ def payment_retry_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_panel_rps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Panel RPS of a log that arrives out of order in four files."""
+    """Panel RPS of a log that arrives out of order, in four arrivals."""
     events = si.read_table(spark, sf_dir, "events")
     return jobs.stream_panel_rps(si.arriving_files(events, "events", F.col("event_id") % 4))
 
 
 def stream_order_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streaming intake over four files, the first request of an order id
+    """Streaming intake over four arrivals, the first request of an order id
     kept and every request without one."""
     req = si.order_requests(spark, sf_dir)
     stream = si.arriving_files(req, "order-requests", si.in_quarters(req, "requested_at"))

@@ -282,15 +282,28 @@ def request_log_from_events(e: DataFrame) -> DataFrame:
     )
 
 
+# Rows of one file of an arrival, about.
+ARRIVING_FILE_ROWS = 50_000
+
+
 def arriving_files(df: DataFrame, name: str, arrival: Column, parts: int = 4) -> DataFrame:
-    """A file stream over ``df``: its rows written as ``parts`` files, by
-    ``arrival`` (a number from 0), and read one file per micro-batch."""
+    """A file stream over ``df``: its rows in ``parts`` arrivals, by ``arrival``
+    (a number from 0), and read one arrival per micro-batch.  The rows are
+    written once by all tasks, into a folder per arrival; each folder is then
+    copied, in order, as equally many files (empty ones where rows lack)."""
     spark = df.sparkSession
     path = scratch_dir(spark, f"arriving-{name}-{uuid.uuid4().hex[:12]}")
-    numbered = df.withColumn("_part", arrival)
+    numbered = df.withColumn("_part", arrival.cast("int")).where(F.col("_part").between(0, parts - 1))
+    numbered.write.partitionBy("_part").parquet(f"{path}-parts")
+    split = spark.read.schema(numbered.schema).parquet(f"{path}-parts")
+    most = max((r["count"] for r in split.groupBy("_part").count().collect()), default=0)
+    files = max(1, -(-most // ARRIVING_FILE_ROWS))
+    arrived = spark.read.schema(df.schema)
     for k in range(parts):
-        numbered.where(F.col("_part") == k).drop("_part").coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        split.where(F.col("_part") == k).drop("_part").repartition(files).write.mode("append").parquet(path)
+        for _ in range(files * (k + 1) - len(arrived.parquet(path).inputFiles())):
+            spark.createDataFrame([], df.schema).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def in_quarters(df: DataFrame, ts: str) -> Column:

@@ -90,6 +90,24 @@ def test_streams_stop_and_resume(spark, tmp_dir):
     assert _norm(out.select(*cols).collect()) == _norm(rel.select(*cols).fetchall())
 
 
+def test_arrivals_are_many_files_and_one_batch_each(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(si, "ARRIVING_FILE_ROWS", 100, raising=False)
+    # the third arrival has fewer rows than files, the fourth none
+    df = spark.range(1000).withColumn("k", F.when(F.col("id") == 7, 2).otherwise((F.col("id") >= 400).cast("int")))
+    stream = si.arriving_files(df, "test", F.col("k"))
+    got = []
+
+    def sink(batch, bid):
+        sizes = [r["count"] for r in batch.groupBy(F.input_file_name()).count().collect()]
+        got.append((sorted(r.id for r in batch.collect()), max(sizes, default=0)))
+
+    (stream.writeStream.foreachBatch(sink).option("checkpointLocation", os.path.join(tmp_dir, "c"))
+     .trigger(availableNow=True).start().awaitTermination())
+    want = [[i for i in range(400) if i != 7], list(range(400, 1000)), [7], []]
+    assert [ids for ids, _ in got] == want
+    assert max(most for _, most in got) <= 150
+
+
 def test_order_intake_resumes_and_keeps_blank_requests(spark, tmp_dir):
     rows = [("a", 1, 10), ("", 2, 11), ("b", 3, 12), ("a", 0, 13), (None, 4, 14), ("", 2, 15), ("c", 5, 16), ("b", 3, 12)]
     schema = "order_id string, at int, n int"
