@@ -41,10 +41,16 @@ def offer_pricing_degraded(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        si.users(spark, sf_dir), lookup_failed_col="lookup_failed")
 
 
+# Rows of one JSON document, about.
+_DOCUMENT_ROWS = 1000
+
+
 def _document(df: DataFrame, name: str) -> str:
-    """Folder of ``df`` as JSON documents, each a top-level array of objects."""
+    """Folder of ``df`` as JSON documents, each a top-level array of objects;
+    their number grows with the counted rows."""
     path = scratch_dir(df.sparkSession, f"document-{name}-{uuid.uuid4().hex[:12]}")
-    (df.groupBy((F.xxhash64("id") % 4).alias("part"))
+    documents = max(4, -(-df.count() // _DOCUMENT_ROWS))
+    (df.groupBy(F.pmod(F.xxhash64(*df.columns), F.lit(documents)).alias("part"))
      .agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value")).select("value")
      .write.option("maxRecordsPerFile", 1).text(path))
     return path

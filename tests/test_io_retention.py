@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ridelake import schemas
 from ridelake.operators import archive, logs, lookup, retention
 from ridelake.plans import layout
+from ridelake.sources import tables
 
 T0 = dt.datetime(2024, 1, 1, 10, 30)
 
@@ -165,3 +166,12 @@ def test_json_dimensions_and_configs_end_to_end(spark, tmp_dir):
     assert [got[f"r{u}"][2] for u in range(1, 5)] == [0, 0, 200, 200]
     assert got["r1"][0] == 8            # zone-1: 7 * 1.2 = 8.4 -> 8 (charge 85, no discount)
     assert got["r5"] == (8, 75, 300)    # zone-2, charge 25 < 28: 10 * 1.2 * 0.7 = 8.4 -> 8
+
+
+def test_json_documents_stay_small(spark):
+    from ridelake import registry
+    df = spark.range(20_000).select(F.concat(F.lit("user-"), "id").alias("id"), F.lit(True).alias("has_subscription"))
+    path = registry._document(df, "test")
+    sizes = [t.value.count('"id"') for t in spark.read.text(path).collect()]
+    assert sum(sizes) == 20_000 and max(sizes) <= 1500
+    assert sorted(tables.read_dimension_json(spark, path, df.schema).collect()) == sorted(df.collect())
