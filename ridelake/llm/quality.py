@@ -10,8 +10,9 @@ of smallest Mahalanobis distances.  All rows count, in aggregations that
 combine before they shuffle; an estimate is one row per group, inverted in
 Arrow batches of groups.  Rows beyond the chi-squared ``CUTOFF`` are rejected.
 
-Clean statistics are often constant (no symbols at all), so ``SPREAD`` adds
-the smallest deviation that counts as a difference to each variance.  Groups
+Clean statistics are often constant (no symbols at all), so a floor
+(``SPREAD``) is added to each variance: in a group where a statistic is constant,
+a document is rejected by it alone from ``REJECTING`` off the centre on.  Groups
 with fewer than ``LEAST_ROWS`` usable documents take the estimate of their
 language, or of all documents; with fewer than that in all, none is rejected.
 
@@ -41,10 +42,12 @@ SUPPORT = 0.55
 STEPS = 4
 LEAST_ROWS = 100
 CUTOFF = 0.999999
-# Smallest deviation that counts, of each transformed statistic.
-SPREAD = (0.3, 0.15, 0.1, 0.12)
+# Deviation of each transformed statistic that rejects alone where clean
+# documents do not differ: a character per word, a symbol per ten words, 30 %
+# of the lines, 30 % of the words.
+REJECTING = (1.0, math.log1p(10 * 0.1), 0.3, 0.3)
 
-_P = len(SPREAD)
+_P = len(REJECTING)
 _SPACE = " \t\n\r\x0b\x0c"
 _SYMBOLS = "#*$%&|<>"
 _STATS = ("n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, "
@@ -112,6 +115,10 @@ def _chi2_point(p: float, dof: int) -> float:
     return hi
 
 
+# Floor of each statistic's deviation.
+SPREAD = tuple(r / math.sqrt(_chi2_point(CUTOFF, _P)) for r in REJECTING)
+
+
 def _distance() -> Column:
     """Squared Mahalanobis distance of x0.. from the estimate m0.., q00.."""
     d = [F.col(f"x{i}") - F.col(f"m{i}") for i in range(_P)]

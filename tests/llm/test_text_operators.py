@@ -180,6 +180,32 @@ def test_quality_outliers(workers):
     assert {r.doc_id for r in kept.collect()} == set(out) - junk and kept.columns[-1] == "kept"
 
 
+def test_quality_moderate_repetition(workers):
+    """Repetitive documents that pass the base rules, beside clean ones."""
+    rng = random.Random(12)
+
+    def words(n):
+        return [rng.choice(WORDS) + rng.choice(["", "s", "ing", "ed"]) + str(rng.randint(0, 99)) for _ in range(n)]
+
+    rows, junk = [], {}
+    for i in range(600):
+        lines = [" ".join(words(12)) for _ in range(20)]
+        if i % 30 == 0:      # 45 % of the words in repeated windows, all lines differ
+            again = " ".join(words(10))
+            lines = [" ".join(words(12)) for _ in range(11)] + [again + " " + w for w in words(10)]
+            junk[i] = "words"
+        elif i % 30 == 1:    # 35 % duplicate lines, of two words each
+            lines = lines[:13] + [" ".join(words(2))] * 8
+            junk[i] = "lines"
+        elif i % 30 == 2:    # about a symbol per five words
+            lines = [x + " | #" for x in lines]
+            junk[i] = "symbols"
+        rows.append((i, "\n".join(lines), "en", "a", 0))
+    out = {r.doc_id: r for r in quality.quality(workers.createDataFrame(rows, DOCS)).collect()}
+    assert not any(r.base_failed for r in out.values())
+    assert {i for i in out if not out[i].kept} == set(junk)
+
+
 def test_mcd_matches_numpy(workers):
     """The estimates' steps against the same steps in numpy."""
     rng = np.random.default_rng(1)
