@@ -7,6 +7,11 @@ a menu, header, footer, sidebar, notice, advert, form or comment container).  A
 decision tree trained on the small labelled table below tells text from the
 rest; the kept blocks are joined in page order.
 
+The page's own elements (html, body) enclose everything and are no containers
+of menus or the like, whatever their class.  Nor is an element so named by its
+class or id only that holds the page's content: more than half of the words in
+content containers, or, being one itself by its class, of all words.
+
 Defined results: null html is an empty page, whose text is empty; white space
 inside a block (a line break tag included) is one space; malformed pages are
 read as far as they go, an unclosed comment, script or style reaching to the
@@ -70,20 +75,32 @@ class Block:
     content: bool = False
     boiler: bool = False
     heading: bool = False
+    holders: tuple[Holder, ...] = field(default=(), repr=False)
+
+
+@dataclass(eq=False)
+class Holder:
+    """An open element that is a container: of content; of what stands beside
+    it by its element, role or hiding (``firm``) or by class or id (``named``)."""
+
+    content: bool
+    firm: bool
+    named: bool
+    inside: bool
 
 
-def _role(tag: str, attributes: str) -> tuple[bool, bool, bool]:
-    """Whether an element holds content, what stands beside it, or a page's
-    edge (which counts only outside content)."""
+def _role(tag: str, attributes: str, inside: bool) -> tuple[bool, bool, bool]:
+    """Whether an element holds content, and what stands beside it or a page's
+    edge (which counts only outside content): firmly, or by class or id."""
     content, aside, edge = tag in _CONTENT_TAGS, tag in _ASIDE_TAGS, tag in _EDGE_TAGS
+    named = False
     if attributes.strip(" /\t\r\n"):
         for name, *values in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), "".join(values).lower()
             if name in ("class", "id"):
                 words = set(_WORDS.findall(value))
                 content |= bool(words & _CONTENT_WORDS)
-                aside |= bool(words & _ASIDE_WORDS)
-                edge |= bool(words & _EDGE_WORDS)
+                named |= bool(words & _ASIDE_WORDS) or not inside and bool(words & _EDGE_WORDS)
             elif name == "role":
                 content |= value in ("main", "article")
                 aside |= value in _ASIDE_ROLES
@@ -92,7 +109,26 @@ def _role(tag: str, attributes: str) -> tuple[bool, bool, bool]:
                 aside = True
             elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 aside = True
-    return content, aside, edge
+    return content, aside or edge and not inside, named
+
+
+def _flag(page: list[Block]) -> None:
+    """Set the blocks' boilerplate flags from what encloses them."""
+    total = sum(b.words for b in page if not any(h.firm for h in b.holders))
+    clean, held, own = 0, {}, {}
+    for b in page:
+        if any(h.firm for h in b.holders):
+            continue
+        at = max((k for k, h in enumerate(b.holders) if h.content and not h.named), default=-1)
+        clean += b.words if at >= 0 else 0
+        for k, h in enumerate(b.holders):
+            if h.named and not h.inside:
+                own[h] = own.get(h, 0) + b.words
+                if k < at:
+                    held[h] = held.get(h, 0) + b.words
+    for b in page:
+        b.boiler = any(h.firm or h.named and not (
+            2 * held.get(h, 0) > clean or h.content and 2 * own.get(h, 0) > total) for h in b.holders)
 
 
 def blocks(page: str | None) -> list[Block]:
@@ -101,16 +137,16 @@ def blocks(page: str | None) -> list[Block]:
     out: list[Block] = []
     pieces: list[str] = []
     links: list[str] = []
-    # open block-level elements: tag, in content, in boilerplate
-    stack: list[tuple[str, bool, bool]] = [("", False, False)]
+    # open block-level elements: tag, in content, containers around
+    stack: list[tuple[str, bool, tuple[Holder, ...]]] = [("", False, ())]
     in_link, in_head, at = 0, False, 0
 
     def end_block() -> None:
         text = " ".join("".join(pieces).split())
         if text and not in_head:
-            _, content, boiler = stack[-1]
+            _, content, holders = stack[-1]
             heading = any(s[0] in _HEADINGS for s in stack[-2:])
-            out.append(Block(text, len(text.split()), len("".join(links).split()), content, boiler, heading))
+            out.append(Block(text, len(text.split()), len("".join(links).split()), content, False, heading, holders))
         pieces.clear()
         links.clear()
 
@@ -159,11 +195,14 @@ def blocks(page: str | None) -> list[Block]:
                     stack.pop()
                 if tag in ("li", "option", "dd", "dt", "tr", "td", "th") and stack[-1][0] == tag:
                     stack.pop()
-                content, aside, edge = _role(tag, attributes)
-                _, inside, boiler = stack[-1]
-                stack.append((tag, inside or content, boiler or aside or edge and not inside))
+                _, inside, holders = stack[-1]
+                content, firm, named = (False, False, False) if tag in ("html", "body") else _role(tag, attributes, inside)
+                if content or firm or named:
+                    holders += Holder(content, firm, named, inside),
+                stack.append((tag, inside or content, holders))
                 in_link = 0
     end_block()
+    _flag(out)
     return out
 
 
@@ -201,6 +240,11 @@ LABELLED = """
 9 0 h 1; 40 0 - 1; 25 0 - 1
 3 0 - 0; 7 0 h 1; 11 0 - 1; 90 0 - 1
 4 0 hb 0; 3 0 hb 0; 17 0 b 0; 8 0 h 1; 12 0 - 1; 33 0 - 1; 5 0 - 0; 48 5 - 1; 6 0 hb 0; 2 2 b 0
+7 0 hc 1; 64 2 c 1; 51 0 c 1; 4 4 c 0; 3 3 c 0; 5 5 c 0; 4 4 c 0; 2 2 c 0
+1 1 c 0; 2 2 c 0; 3 3 c 0; 2 2 c 0; 9 0 hc 1; 88 3 c 1; 47 0 c 1; 6 6 c 0; 7 7 c 0; 5 5 c 0
+2 2 b 0; 3 3 b 0; 9 0 hb 0; 110 0 b 1; 95 2 b 1; 130 4 b 1; 102 0 b 1; 5 0 b 0; 2 2 b 0
+7 0 hc 1; 4 0 c 1; 3 1 c 1; 2 0 cb 0; 4 0 cb 0; 1 0 c 1; 5 2 c 1; 6 2 c 1; 2 0 cb 0; 30 9 c 1; 3 0 c 1
+3 3 b 0; 9 0 h 1; 60 0 - 1; 44 0 - 1; 6 0 hb 0; 130 0 b 0; 5 0 b 0; 125 0 b 0; 2 0 b 0
 """
 
 

@@ -395,6 +395,29 @@ def test_pages_odd(workers):
     assert htmltext.extract(df.limit(0)).count() == 0
 
 
+def test_pages_flagged_wrappers_and_link_lists():
+    tree = htmltext.grow(*htmltext.labelled())
+    first, second = ("The council met on the first day of the week to settle the plans of the new bridge over the river.",
+                     "Two of its members spoke against them and asked for more time to read the figures they were given.")
+    text = f"<h1>A new bridge</h1><p>{first}</p><p>{second}</p>"
+    want = f"A new bridge\n{first}\n{second}"
+    side = "<div class=sidebar><p>About this site and those who write it.</p></div>"
+    menu = "<ul>" + "".join(f"<li><a href=x>More news {k}</a></li>" for k in range(6)) + "</ul>"
+    for page in (f"<html><body class='has-sidebar'><article>{text}</article>{side}</body></html>",
+                 f"<html class='no-banner'><body id=share>{side}<main>{text}</main></body></html>",
+                 f"<body><div class='main sidebar-right'>{text}</div>{side}</body>",
+                 f"<body><div class='layout sidebar-right'><div class=content>{text}</div>{side}</div></body>",
+                 f"<body><article>{text}{menu}</article></body>",
+                 f"<body><article>{text}</article><div class='sidebar-content'><p>{first}</p></div></body>",
+                 f"<body><aside class=related><article><p>{first}</p></article></aside><article>{text}</article></body>"):
+        assert htmltext.main_text(page, tree)[0] == want, page
+    # words decide inside a flagged container
+    x = htmltext.feature_rows([htmltext.Block("", n, 0, False, True) for n in (3, 120, 110, 105, 3)])
+    assert tree.predict(x)[[0, 1, 2, 4]].tolist() == [False, True, True, False]
+    x = htmltext.feature_rows([htmltext.Block("", n, 0, False, True) for n in (6, 130, 5)])
+    assert not tree.predict(x).any()
+
+
 # --- pipeline
 
 def test_pipeline(workers, small, edges, empty):
