@@ -11,7 +11,8 @@ paragraph's three-word shingles, or of a notice's, occur in the other.
 All of it is DataFrame and SQL work in the JVM (Spark's own feature hashing
 and logistic regression included); the model is a few thousand weights.
 
-Defined results: a null text has no paragraph and thus no licence; a blank
+Defined results: a line of fewer than three words is compared with no template
+and names no licence; a null text has no paragraph and thus no licence; a blank
 line is no paragraph; a licence named on several lines counts each line;
 repeated rows add up under their id, rows without an id under null; an empty
 table gives no rows; other columns, whatever their names, are ignored.
