@@ -42,11 +42,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     shared checkpoint folder, and read back: cuts the lineage, and a lost
     executor costs a re-read only."""
     spark = df.sparkSession
-    path = scratch_dir(spark, f"ridelake-llm-{name}-{uuid.uuid4().hex[:16]}")
+    path = scratch_folder(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh place below the session's shared checkpoint folder."""
+    return scratch_dir(spark, f"ridelake-llm-{name}-{uuid.uuid4().hex[:16]}")
+
+
 def exclusive_prefix(totals: DataFrame, part: str, amount: str, out: str) -> DataFrame:
     """Second pass of a two-pass prefix sum.  ``totals`` has one row per
     partition (``part``, ``amount``); returns ``part`` and ``out``, the sum of

@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import editcount, htmltext, langid, licenses, minhash, packing, piece, quality, simhash, wavelet
+from . import (collocations, editcount, htmltext, langid, licenses, minhash, packing, piece, quality, simhash,
+               wavelet)
 from .common import table, written
 
 
@@ -89,6 +90,11 @@ def op10_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages"))
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of two to four words of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_minhash_fingerprints": op2_minhash_fingerprints,
@@ -100,6 +106,42 @@ QUERIES = {
     "op8_edit_token_counts": op8_edit_token_counts,
     "op9_wavelet_token_files": op9_wavelet_token_files,
     "op10_html_blocks": op10_html_blocks,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op13_phrase_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+placed AS (
+  SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+  FROM worded, (VALUES (1), (2), (3), (4)) AS sizes(k) WHERE len(w) >= k),
+counted AS (
+  SELECT lang, k AS words, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM placed GROUP BY ALL),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE words = 1 GROUP BY lang),
+cand AS (SELECT *, string_split(phrase, ' ') AS w FROM counted WHERE words >= 2 AND f >= 30),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, k, l.f AS l, r.f AS r,
+         (2000000::HUGEINT * c.f // (l.f::HUGEINT + r.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, words)) AS k FROM cand) c
+  JOIN counted l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN counted r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:], ' ')),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_of AS (
+  SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, max(f) AS longer
+  FROM (SELECT *, unnest(range(1, words - size + 2)) AS i
+        FROM (SELECT *, unnest(range(2, words)) AS size FROM cand))
+  GROUP BY ALL),
+ranked AS (
+  SELECT s.lang, s.phrase, s.a, s.l, s.r, s.score,
+         row_number() OVER (PARTITION BY s.lang ORDER BY s.score DESC, s.a DESC, s.phrase) AS rank
+  FROM weakest s LEFT JOIN inner_of i USING (lang, phrase)
+  WHERE i.longer IS NULL OR 100::HUGEINT * i.longer < 80::HUGEINT * s.a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+""",
+}
