@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 
 
-# Rows handed to a Python worker at once where the session has Spark's default:
-# documents are long, so a worker holds few of them.
+# Rows and bytes handed to a Python worker at once where the session has Spark's
+# defaults: documents are long, so a worker holds few of them.
 BATCH_ROWS = 1000
+BATCH_BYTES = 4 << 20
 
 
 def prepare(spark: SparkSession) -> None:
@@ -24,6 +25,9 @@ def prepare(spark: SparkSession) -> None:
     rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(rows) == "10000":
         spark.conf.set(rows, str(BATCH_ROWS))
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(size, None) in (None, str((1 << 63) - 1), "-1"):
+        spark.conf.set(size, str(BATCH_BYTES))
     sc = spark.sparkContext
     if sc.master.startswith("local"):
         root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (collocations, editcount, htmltext, langid, licenses, minhash, packing, piece, quality, simhash,
-               wavelet)
+from . import (collocations, editcount, htmltext, kdtree, langid, licenses, minhash, packing, piece, quality,
+               simhash, wavelet)
 from .common import table, written
 
 
@@ -90,6 +90,12 @@ def op10_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages"))
 
 
+def op12_kd_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten rows of greatest inner product with every hundredth vector."""
+    found = kdtree.top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 100 == 0)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 2000 best phrases of two to four words of each language."""
     return collocations.collocations(table(spark, sf_dir, "documents"))
@@ -106,10 +112,24 @@ QUERIES = {
     "op8_edit_token_counts": op8_edit_token_counts,
     "op9_wavelet_token_files": op9_wavelet_token_files,
     "op10_html_blocks": op10_html_blocks,
+    "op12_kd_tree_top_k": op12_kd_tree_top_k,
     "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 ORACLE: dict[str, str] = {
+    "op12_kd_tree_top_k": """
+WITH parts AS (
+  SELECT vec_id, row_number() OVER () AS r, embedding, generate_subscripts(embedding, 1) AS i FROM embeddings),
+whole AS (
+  SELECT r, vec_id, list(floor(1024 * embedding[i]::DOUBLE) ORDER BY i) AS v FROM parts GROUP BY r, vec_id
+  HAVING bool_and(embedding[i] IS NOT NULL AND isfinite(embedding[i]::DOUBLE))),
+scored AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM whole q JOIN whole c ON q.r <> c.r AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST)::INTEGER AS rank,
+       vec_id, score
+FROM scored QUALIFY rank <= 10
+""",
     "op13_phrase_collocations": r"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang,
