@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (collocations, editcount, htmltext, kdtree, langid, licenses, minhash, packing, piece, quality,
-               simhash, wavelet)
+from . import (collocations, editcount, htmltext, kdtree, langid, licenses, minhash, packing, piece, prefixtrie,
+               quality, simhash, wavelet)
 from .common import table, written
 
 
@@ -90,6 +90,12 @@ def op10_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations, rebuilt on the heads of
+    their hundreds."""
+    return prefixtrie.shared_prefixes(table(spark, sf_dir, "conversations"))
+
+
 def op12_kd_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten rows of greatest inner product with every hundredth vector."""
     found = kdtree.top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 100 == 0)
@@ -112,11 +118,52 @@ QUERIES = {
     "op8_edit_token_counts": op8_edit_token_counts,
     "op9_wavelet_token_files": op9_wavelet_token_files,
     "op10_html_blocks": op10_html_blocks,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_kd_tree_top_k": op12_kd_tree_top_k,
     "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 ORACLE: dict[str, str] = {
+    "op11_prefix_trie": """
+WITH RECURSIVE turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos,
+         {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS step
+  FROM conversations WHERE conv_id IS NOT NULL),
+digits AS (SELECT DISTINCT conv_id, conv_id::VARCHAR AS s FROM turns),
+crc(conv_id, s, at, v) AS (
+  SELECT conv_id, s, 0, 4294967295::BIGINT FROM digits
+  UNION ALL
+  SELECT conv_id, s, at + 1,
+         CASE WHEN w % 2 = 1 THEN xor(w // 2, 3988292384) ELSE w // 2 END
+  FROM (SELECT conv_id, s, at, CASE WHEN at % 8 = 0 THEN xor(v, ord(s[at // 8 + 1])::BIGINT) ELSE v END AS w
+        FROM crc WHERE at < 8 * length(s))),
+heads AS (SELECT conv_id, conv_id - conv_id % 100 AS base, xor(v, 4294967295) % 6 AS h
+          FROM crc WHERE at = 8 * length(s)),
+rebuilt AS (
+  SELECT h.conv_id, 0 AS own, t.pos, t.step FROM heads h JOIN turns t ON t.conv_id = h.base AND t.pos <= h.h
+  UNION ALL
+  SELECT h.conv_id, 1, t.pos, t.step FROM heads h JOIN turns t ON t.conv_id = h.conv_id AND t.pos > h.h),
+whole AS (SELECT h.conv_id, coalesce(w.steps, []) AS steps FROM heads h LEFT JOIN (
+  SELECT conv_id, list(step ORDER BY own, pos) AS steps FROM rebuilt GROUP BY conv_id) w USING (conv_id)),
+member AS (
+  SELECT conv_id, d, len(steps) AS depth, md5(steps[1:d]::JSON::VARCHAR) AS id, md5(steps[1:d - 1]::JSON::VARCHAR) AS parent,
+         CASE WHEN d > 0 THEN length(steps[d].text) ELSE 0 END AS size
+  FROM (SELECT *, unnest(range(0, len(steps) + 1)) AS d FROM whole)),
+node AS (
+  SELECT d, id, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = d), '')) AS ends_sha256
+  FROM member GROUP BY d, id),
+kids AS (SELECT d - 1 AS d, parent AS id, count(*) AS n_children FROM node WHERE d > 0 GROUP BY ALL),
+pairs AS (SELECT DISTINCT v.d AS vd, v.id AS vid, u.d, u.id FROM member v JOIN member u ON u.conv_id = v.conv_id AND u.d >= v.d),
+below AS (
+  SELECT vd AS d, vid AS id, sum((n.n_convs - 1) * n.size) AS saved_tokens,
+         count(*) FILTER (k.n_children IS NULL) AS n_leaves
+  FROM pairs p JOIN node n ON n.d = p.d AND n.id = p.id LEFT JOIN kids k ON k.d = p.d AND k.id = p.id GROUP BY ALL)
+SELECT n.conv_id, n.d::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children,
+       b.n_leaves, b.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM node n JOIN below b USING (d, id) LEFT JOIN kids k USING (d, id)
+LEFT JOIN node p ON n.d > 0 AND p.d = n.d - 1 AND p.id = n.parent
+""",
     "op12_kd_tree_top_k": """
 WITH parts AS (
   SELECT vec_id, row_number() OVER () AS r, embedding, generate_subscripts(embedding, 1) AS i FROM embeddings),
