@@ -3,17 +3,19 @@
 A linear support vector machine per family (one against the rest) names the
 language family of a text; inside the family, one-versus-one machines separate
 its languages, each pair voting with its margin.  Features are hashed letter
-n-grams of whole texts.  The machines are trained here on a bounded sample of
-labelled rows: ``SAMPLE_PER_LANGUAGE`` distinct texts of each language, those
-of smallest text hash, each with two short passages of it so that short texts
-are known too.  Only text and label are learned from; a prediction reads only
-the text.
+n-grams of whole texts, however long (counted a stretch at a time).  The
+machines are trained here on a bounded sample of labelled rows:
+``SAMPLE_PER_LANGUAGE`` distinct texts of each language, those of smallest text
+hash, each with two short passages of it so that short texts are known too;
+more than ``MOST_LANGUAGES`` labels are an error.  Only text and label are
+learned from; a prediction reads only the text.
 
 Defined results: a null text or one without letters is ``und`` with score 0,
 and so is every text if there are no labelled rows; one learned language has
 score 1; rows without a label are not learned from; repeated rows count once
-in training and are predicted alike; an empty table gives no rows; other
-columns, whatever their names, are ignored by ``identify`` and kept by
+in training and are predicted alike; an empty table gives no rows; equal
+margins go to the family, then the language, that sorts first; other columns,
+whatever their names, are ignored by ``identify`` and kept by
 ``keep_identified``.
 """
 
@@ -29,7 +31,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from ..plans.broadcast import has_at_most
+
 SAMPLE_PER_LANGUAGE = 250
+# Distinct labels a model is trained for; more are refused.
+MOST_LANGUAGES = 200
 FEATURES = 4096
 UNKNOWN = "und"
 # Below this score a pipeline rejects a document's language.
@@ -151,13 +157,17 @@ def train(labelled: DataFrame, families: dict[str, str] | None = None) -> Model
     families = FAMILIES if families is None else families
     rows = labelled.select("text", F.col("lang").cast("string").alias("lang"),
                            F.xxhash64("text").alias("h")).where("text is not null and lang is not null")
-    # the share of hashes to look at holds a tenth more texts than wanted
     counts = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
+    if not has_at_most(counts, MOST_LANGUAGES):
+        raise ValueError(f"more than {MOST_LANGUAGES} language labels: one machine is trained for each pair in a family")
+    # the share of hashes to look at holds a tenth more texts than wanted; the
+    # rows stay where they are (a join by language would gather a common one)
     place = F.shiftrightunsigned("h", 1) / F.lit(float(1 << 63))
+    near = (rows.select("lang", "h").join(F.broadcast(counts), "lang")
+            .where(place * F.col("n") <= 1.1 * SAMPLE_PER_LANGUAGE + 10).groupBy("lang", "h").agg(F.lit(1).alias("one")))
+    # bounded: about 285 distinct hashes per language reach the window
     first = Window.partitionBy("lang").orderBy("h")
-    keys = (rows.select("lang", "h").join(counts, "lang")
-            .where(place * F.col("n") <= 1.1 * SAMPLE_PER_LANGUAGE + 10)
-            .select("lang", "h").distinct().withColumn("n", F.row_number().over(first))
+    keys = (near.withColumn("n", F.row_number().over(first))
             .where(F.col("n") <= SAMPLE_PER_LANGUAGE).select("lang", "h"))
     # bounded: SAMPLE_PER_LANGUAGE keys of 16 bytes per language
     sample = (rows.join(F.broadcast(keys), ["lang", "h"]).groupBy("lang", "h")

@@ -130,15 +130,15 @@ WITH RECURSIVE turns AS (
          {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS step
   FROM conversations WHERE conv_id IS NOT NULL),
 digits AS (SELECT DISTINCT conv_id, conv_id::VARCHAR AS s FROM turns),
-crc(conv_id, s, at, v) AS (
+crc(conv_id, s, bit, v) AS (
   SELECT conv_id, s, 0, 4294967295::BIGINT FROM digits
   UNION ALL
-  SELECT conv_id, s, at + 1,
+  SELECT conv_id, s, bit + 1,
          CASE WHEN w % 2 = 1 THEN xor(w // 2, 3988292384) ELSE w // 2 END
-  FROM (SELECT conv_id, s, at, CASE WHEN at % 8 = 0 THEN xor(v, ord(s[at // 8 + 1])::BIGINT) ELSE v END AS w
-        FROM crc WHERE at < 8 * length(s))),
+  FROM (SELECT conv_id, s, bit, CASE WHEN bit % 8 = 0 THEN xor(v, ord(s[bit // 8 + 1])::BIGINT) ELSE v END AS w
+        FROM crc WHERE bit < 8 * length(s))),
 heads AS (SELECT conv_id, conv_id - conv_id % 100 AS base, xor(v, 4294967295) % 6 AS h
-          FROM crc WHERE at = 8 * length(s)),
+          FROM crc WHERE bit = 8 * length(s)),
 rebuilt AS (
   SELECT h.conv_id, 0 AS own, t.pos, t.step FROM heads h JOIN turns t ON t.conv_id = h.base AND t.pos <= h.h
   UNION ALL

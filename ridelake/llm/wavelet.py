@@ -56,7 +56,9 @@ class WaveletMatrix:
 
     @classmethod
     def build(cls, ids: np.ndarray, bits: int) -> WaveletMatrix:
-        level, planes = ids, []
+        if len(ids) and int(ids.max()) >> bits:
+            raise ValueError(f"id {int(ids.max())} does not fit into {bits} bits")
+        level, planes = ids.astype(np.uint16 if bits <= 16 else np.uint32), []
         for shift in range(bits - 1, -1, -1):
             bit = (level >> shift & 1).astype(bool)
             planes.append(np.packbits(bit))
@@ -137,12 +139,13 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """All ids, undoing the planes from the last to the first."""
-        level = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        level = np.zeros(self.n, kind)
         for p in range(len(self.planes) - 1, -1, -1):
             bit = np.unpackbits(self.planes[p], count=self.n).view(bool)
-            above = np.empty(self.n, np.uint32)
+            above = np.empty(self.n, kind)
             above[~bit] = level[:self.zeros[p]]
-            above[bit] = level[self.zeros[p]:] | np.uint32(1 << (len(self.planes) - 1 - p))
+            above[bit] = level[self.zeros[p]:] | kind(1 << (len(self.planes) - 1 - p))
             level = above
         return level
 
@@ -150,7 +153,7 @@ class WaveletMatrix:
 def write_token_files(docs: DataFrame, vocabulary: str, end_id: int = 1, spaces: bool = False,
                       bits: int = 16, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """The blocks of ``docs`` (``doc_id``, ``text``), written and read back.
-    ``bits``: ids are below ``2 ** bits``."""
+    ``bits``: ids are below ``2 ** bits``; a greater one is an error."""
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, before, enc = TaskContext.get().partitionId(), 0, encoder(vocabulary, spaces)
         end = np.uint32(end_id).astype("<u4").tobytes()
