@@ -288,12 +288,14 @@ ARRIVING_FILE_ROWS = 50_000
 
 def arriving_files(df: DataFrame, name: str, arrival: Column, parts: int = 4) -> DataFrame:
     """A file stream over ``df``: its rows in ``parts`` arrivals, by ``arrival``
-    (a number from 0), and read one arrival per micro-batch.  The rows are
+    (a number from 0; none counts as 0, larger ones as the last), and read one
+    arrival per micro-batch.  The rows are
     written once by all tasks, into a folder per arrival; each folder is then
     copied, in order, as equally many files (empty ones where rows lack)."""
     spark = df.sparkSession
     path = scratch_dir(spark, f"arriving-{name}-{uuid.uuid4().hex[:12]}")
-    numbered = df.withColumn("_part", arrival.cast("int")).where(F.col("_part").between(0, parts - 1))
+    part = F.coalesce(arrival.cast("int"), F.lit(0))
+    numbered = df.withColumn("_part", F.least(F.greatest(part, F.lit(0)), F.lit(parts - 1)))
     numbered.write.partitionBy("_part").parquet(f"{path}-parts")
     split = spark.read.schema(numbered.schema).parquet(f"{path}-parts")
     most = max((r["count"] for r in split.groupBy("_part").count().collect()), default=0)
