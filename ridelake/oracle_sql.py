@@ -469,6 +469,21 @@ _PANEL_TAGGED = {"rc": "SELECT * FROM request_log WHERE event = 'request_complet
 PANEL_RPS = with_standins("request_log", extra=_PANEL_TAGGED) + """
 SELECT panel, date_trunc('minute', ts) AS minute, count(*) / 60.0 AS rps FROM tagged GROUP BY 1, 2"""
 
+# Lines of the first quarter of the time span with a delayed arrival come after
+# their minute closed; minutes closed end ten minutes before the newest line.
+_DELAYED = {
+  "span": "SELECT min(ts) AS lo, max(ts) AS hi FROM events",
+  "rc": """SELECT l.*, l.event_id % 97 = 5 AND l.ts < lo + to_microseconds((epoch_us(hi) - epoch_us(lo)) // 4) AS late
+    FROM request_log l, span WHERE event = 'request_complete'""",
+  "tagged": _PANEL_TAGGED["tagged"].replace("AS panel, ts", "AS panel, ts, late").replace(
+    "', ts FROM", "', ts, late FROM")}
+
+STREAM_PANEL_WINDOWS = with_standins("request_log", extra=_DELAYED) + """
+SELECT panel, date_trunc('minute', ts) AS minute, count(*) FILTER (NOT late) / 60.0 AS rps,
+  count(*) FILTER (late) AS late_lines
+FROM tagged GROUP BY 1, 2
+HAVING date_trunc('minute', ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM tagged)"""
+
 PANEL_TRAILING_RPS = with_standins("request_log", extra={**_PANEL_TAGGED,
   "steps": "SELECT panel, make_timestamp(((epoch_us(ts) + 14999999) // 15000000 + k) * 15000000) AS instant "
            "FROM tagged, (VALUES (0), (1), (2), (3)) t(k)"}) + """
@@ -872,6 +887,9 @@ ORACLE: dict[str, str] = {
     "hot_cold_history": HOT_COLD_HISTORY,
     "payment_retry_worklist": PAYMENT_RETRY_WORKLIST,
     "stream_panel_rps": PANEL_RPS,
+    "stream_panel_windows": STREAM_PANEL_WINDOWS,
+    "stream_drop_counts": LOG_DROP_COUNTS,
+    "stream_offer_creation_out_of_order": OFFER_CREATION,
     "stream_order_intake": STREAM_ORDER_INTAKE,
     "stream_offer_pricing": OFFER_PRICING,
     "stream_offer_creation": OFFER_CREATION,

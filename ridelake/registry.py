@@ -439,6 +439,24 @@ def stream_panel_rps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.stream_panel_rps(si.arriving_files(events, "events", F.col("event_id") % 4))
 
 
+LATENESS_SECONDS = 600
+
+
+def stream_panel_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Panel minutes closed by a watermark, over a log in four arrivals by
+    time; every 97th line of the first arrival comes with the last, too late."""
+    events = si.read_table(spark, sf_dir, "events")
+    quarter = si.in_quarters(events, "ts")
+    delayed = F.when((quarter == 0) & (F.col("event_id") % 97 == 5), 3).otherwise(quarter)
+    return jobs.stream_panel_windows(si.arriving_files(events, "events", delayed), LATENESS_SECONDS)
+
+
+def stream_drop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lines kept and dropped by the stream, counted as they flow."""
+    log = si.request_log(spark, sf_dir).select("ts", "event_id", "log_line")
+    return jobs.stream_drop_counts(si.arriving_files(log, "log-lines", F.col("event_id") % 4))
+
+
 def stream_order_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streaming intake over four arrivals, the first request of an order id
     kept and every request without one."""
@@ -464,6 +482,18 @@ def stream_offer_creation(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       si.zones(spark, sf_dir), si.users(spark, sf_dir))
 
 
+def stream_offer_creation_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T01 streaming on out-of-order arrival: every fifth request comes a
+    quarter of the time span late, and waits are as long."""
+    req = si.offer_requests(spark, sf_dir)
+    lo, hi = req.agg(F.min("ts"), F.max("ts")).first()
+    lateness = int((hi - lo).total_seconds() / 4) + 1 if lo is not None else 0
+    late = (F.regexp_extract("request_id", r"(\d+)$", 1).cast("long") % 5 == 0).cast("int")
+    return jobs.stream_offer_creation(
+        si.arriving_files(req, "offer-requests", si.in_quarters(req, "ts") + late),
+        si.scooters(spark, sf_dir), si.zones(spark, sf_dir), si.users(spark, sf_dir), lateness_seconds=lateness)
+
+
 def _twice_logged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Offer requests whose log repeats every third row, and another request
     at the same instant for every fifth."""
@@ -597,6 +627,9 @@ QUERIES: dict[str, Query] = {
     "hot_cold_history": hot_cold_history,
     "payment_retry_worklist": payment_retry_worklist,
     "stream_panel_rps": stream_panel_rps,
+    "stream_panel_windows": stream_panel_windows,
+    "stream_drop_counts": stream_drop_counts,
+    "stream_offer_creation_out_of_order": stream_offer_creation_out_of_order,
     "stream_order_intake": stream_order_intake,
     "stream_offer_pricing": stream_offer_pricing,
     "stream_offer_creation": stream_offer_creation,

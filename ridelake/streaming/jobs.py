@@ -8,18 +8,22 @@ below it, so a job started again with the same ``root`` goes on after the last
 finished micro-batch, whichever driver runs it.  Without ``root`` a fresh
 folder below the shared checkpoint directory is used.
 
-No job drops rows behind a watermark: T07 adds up partial counts, T08 and T01
-keep what they must remember as files of the earlier micro-batches.
+What a job must remember between micro-batches is bounded: T08 keeps one row
+per order id in the state store (or, with a horizon, reads back only the
+micro-batches inside it), windowed counts keep open windows only, and T01 keeps
+live offers and, for rows out of order, those the watermark has not released.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.pricing import epoch_micros
 from ..operators import logs
 from ..operators.enrich import price_offer_requests
 from ..operators.offers import create_offers
@@ -42,12 +46,12 @@ def _root(spark: SparkSession, name: str, root: str | None) -> str:
     return root or scratch_dir(spark, f"stream-{name}-{uuid.uuid4().hex[:12]}")
 
 
-def _run(sdf: DataFrame, root: str, sink) -> str:
+def _run(sdf: DataFrame, root: str, sink, mode: str = "append") -> str:
     """Run ``sdf`` to the end of its input (``availableNow``) from where
     ``root`` stands; ``sink(batch_df, out_dir, batch_id)`` writes each
     micro-batch.  Returns the output folder."""
     out = os.path.join(root, "out")
-    q = (sdf.writeStream.foreachBatch(lambda df, bid: sink(df, out, bid))
+    q = (sdf.writeStream.outputMode(mode).foreachBatch(lambda df, bid: sink(df, out, bid))
          .option("checkpointLocation", os.path.join(root, "_checkpoint"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
@@ -58,52 +62,158 @@ def _write_batch(df: DataFrame, out: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
 
 
+def _instant(ntz: Column) -> Column:
+    """A zone-free time as the instant it names in UTC (event time of a
+    watermark)."""
+    return F.timestamp_micros(epoch_micros(ntz))
+
+
+def _zone_free(instant: Column) -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), (F.unix_micros(instant) / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)"))
+
+
+def _tagged(events: DataFrame) -> DataFrame:
+    log = standins.request_log_from_events(events)
+    return log.select("ts", F.explode(logs.panel_tags(F.col("log_line"))).alias("panel"))
+
+
 def stream_panel_rps(events: DataFrame, root: str | None = None) -> DataFrame:
     """Per-minute panel RPS on the log stream.  Each micro-batch writes
     its own counts per (panel, minute); the result adds them up, so rows count
     however late and in whichever file they arrive, and no state is kept."""
     spark = events.sparkSession
-    log = standins.request_log_from_events(events)
-    tagged = log.select("ts", F.explode(logs.panel_tags(F.col("log_line"))).alias("panel"))
+    tagged = _tagged(events)
 
     def sink(df, out, bid):
         minute = F.date_trunc("minute", "ts").cast("timestamp_ntz").alias("minute")
-        _write_batch(df.groupBy("panel", minute).agg(F.count(F.lit(1)).alias("n")), out, bid)
+        _write_batch(df.groupBy("panel", minute).agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("last")), out, bid)
 
     parts = spark.read.parquet(_run(tagged, _root(spark, "panel-rps", root), sink))
     return (parts.groupBy("panel", "minute").agg(F.sum("n").alias("n"))
             .select("panel", "minute", (F.col("n") / F.lit(60.0)).alias("rps")))
 
 
+def stream_panel_windows(events: DataFrame, lateness_seconds: int = 600,
+                         root: str | None = None) -> DataFrame:
+    """T07 with bounded state: per-minute panel RPS where a minute is closed,
+    and written once, when the watermark (the latest time seen less
+    ``lateness_seconds``) passes its end; the state store holds open minutes
+    only.  Lines that come after their minute closed are not in ``rps`` but
+    reported as ``late_lines``: all lines of the minute, counted per
+    micro-batch beside the windows, less those in it.  Minutes still open are
+    not in the result; a minute all of whose lines came late has ``rps`` 0."""
+    spark = events.sparkSession
+    root = _root(spark, "panel-windows", root)
+    window = F.window("at", "1 minute")
+    windows = (_tagged(events).select("panel", _instant(F.col("ts")).alias("at"))
+               .withWatermark("at", f"{int(lateness_seconds)} seconds")
+               .groupBy("panel", window.alias("w")).agg(F.count(F.lit(1)).alias("n"))
+               .select("panel", _zone_free(F.col("w.start")).alias("minute"), "n"))
+    closed_path = _run(windows, os.path.join(root, "windows"), _write_batch, mode="append")
+    counts = stream_panel_rps(events, root=os.path.join(root, "counts"))
+    closed = spark.read.parquet(closed_path).drop("batch_id")
+    clock = counts_clock(spark, os.path.join(root, "counts", "out"), lateness_seconds)
+    every = counts.select("panel", "minute", (F.col("rps") * 60).cast("long").alias("lines"))
+    joined = every.join(closed, ["panel", "minute"], "left")
+    if clock is None:
+        passed = F.lit(False)
+    else:
+        passed = F.col("minute") + F.expr("INTERVAL 1 MINUTE") <= F.lit(clock).cast("timestamp_ntz")
+    return (joined.where(F.col("n").isNotNull() | passed)
+            .select("panel", "minute", (F.coalesce("n", F.lit(0)) / F.lit(60.0)).alias("rps"),
+                    (F.col("lines") - F.coalesce("n", F.lit(0))).alias("late_lines")))
+
+
+def counts_clock(spark: SparkSession, path: str, lateness_seconds: int):
+    """Watermark after the micro-batches whose partial counts lie at ``path``."""
+    last = spark.read.parquet(path).agg(F.max("last")).first()[0]
+    return None if last is None else last - timedelta(seconds=lateness_seconds)
+
+
+def stream_drop_counts(lines: DataFrame, root: str | None = None, line_col: str = "log_line") -> DataFrame:
+    """F12 on a stream: request_complete lines are kept (written below the
+    root's ``out``), the rest is dropped and counted.  The counts are observed
+    while a micro-batch is written -- no second pass -- and stored under its
+    id, so a replayed micro-batch counts once and a restarted job goes on.
+    Returns ``reason`` and ``lines`` over all micro-batches."""
+    spark = lines.sparkSession
+    root = _root(spark, "drop-counts", root)
+
+    def sink(df, out, bid):
+        kept, seen = logs.keep_request_complete_observed(df, line_col)
+        _write_batch(kept, out, bid)
+        n, dropped = seen.get["lines"], seen.get["dropped_not_request_complete"] or 0
+        rows = spark.createDataFrame([("kept", n - dropped), ("not_request_complete", dropped)],
+                                     "reason string, lines long")
+        _write_batch(rows.coalesce(1), os.path.join(root, "counters"), bid)
+
+    _run(lines, root, sink)
+    return (spark.read.schema("reason string, lines long").parquet(os.path.join(root, "counters"))
+            .groupBy("reason").agg(F.sum("lines").alias("lines")).where("lines > 0"))
+
+
 def stream_order_intake(requests: DataFrame, tiebreak: list[str], horizon_seconds: int | None = None,
                         root: str | None = None) -> DataFrame:
     """Idempotent intake -- of the requests with one ``order_id`` the
     first is kept: that of the earliest micro-batch, and within it the least
     by time and ``tiebreak``.  A request without an id is no repeat of another
-    and always passes (it deserves its own rejection).  Earlier ids are read
-    from the job's own output; ``horizon_seconds`` limits how far back a repeat
-    is recognised (None: without limit)."""
-    spark = requests.sparkSession
+    and always passes (it deserves its own rejection).
+
+    Without a horizon the state store holds one row per order id, so the work
+    of a micro-batch follows its own rows, not the history: a streaming
+    aggregation keeps the least request by (micro-batch, time, ``tiebreak``)
+    and an id passes in the micro-batch that is also its first.  With
+    ``horizon_seconds`` (how far back a repeat is recognised) only the output of
+    micro-batches that reach into the horizon is read back."""
+    root = _root(requests.sparkSession, "order-intake", root)
+    if horizon_seconds is not None:
+        return _intake_within(requests, tiebreak, horizon_seconds, root)
     columns = requests.columns
+    named = F.coalesce(F.col("order_id"), F.lit("")) != ""
+    # one value per micro-batch, later in later ones, the same when it is replayed
+    batch = requests.withColumn("_batch", F.current_timestamp())
+    order = F.struct("_batch", "requested_at", *tiebreak)
+    first = (batch.where(named).groupBy("order_id")
+             .agg(F.min_by(F.struct(*columns), order).alias("r"), F.min("_batch").alias("_first"),
+                  F.max("_batch").alias("_now")).select("r.*", (F.col("_first") == F.col("_now")).alias("_new")))
+    blank = batch.where(~named).select(*columns, F.lit(True).alias("_new"))
+
+    def sink(df, out, bid):
+        _write_batch(df.where("_new").drop("_new"), out, bid)
+
+    out = _run(first.unionByName(blank), root, sink, mode="update")
+    return requests.sparkSession.read.parquet(out).drop("batch_id")
+
+
+def _intake_within(requests: DataFrame, tiebreak: list[str], horizon_seconds: int, root: str) -> DataFrame:
+    """Intake with a horizon.  The span of each micro-batch is kept as one row
+    under its id; those that end before the horizon are never opened."""
+    spark, columns = requests.sparkSession, requests.columns
+    back = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(int(horizon_seconds)).cast("decimal(18,6)"))
+    spans = os.path.join(root, "spans")
+    span = "latest timestamp_ntz, batch_id int"
 
     def sink(df, out, bid):
         named = F.coalesce(F.col("order_id"), F.lit("")) != ""
         order = F.struct(F.col("requested_at"), *[F.col(c) for c in tiebreak])
         first = (df.where(named).groupBy("order_id")
                  .agg(F.min_by(F.struct(*columns), order).alias("r")).select("r.*"))
-        if bid > 0:
-            seen = spark.read.parquet(*[os.path.join(out, f"batch_id={b}") for b in range(bid)])
-            if horizon_seconds is None:
-                first = first.join(seen.where(named).select("order_id"), "order_id", "left_anti")
-            else:
+        begin = first.agg(F.min("requested_at")).first()[0]
+        if bid > 0 and begin is not None:
+            near = (spark.read.schema(span).parquet(spans).where(F.col("batch_id") < bid)
+                    .where(F.col("latest") + back >= F.lit(begin).cast("timestamp_ntz")))
+            ids = sorted(r["batch_id"] for r in near.collect())  # one row per micro-batch of the horizon
+            if ids:
+                seen = spark.read.parquet(*[os.path.join(out, f"batch_id={b}") for b in ids])
                 old = seen.where(named).select("order_id", F.col("requested_at").alias("_seen_at"))
-                back = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
-                                          F.lit(int(horizon_seconds)).cast("decimal(18,6)"))
                 first = first.join(old, (first["order_id"] == old["order_id"])
                                    & (F.col("_seen_at") + back >= F.col("requested_at")), "left_anti")
         _write_batch(first.select(*columns).unionByName(df.where(~named).select(*columns)), out, bid)
+        kept = spark.read.parquet(os.path.join(out, f"batch_id={bid}"))
+        _write_batch(kept.agg(F.max("requested_at").alias("latest")), spans, bid)
 
-    return spark.read.parquet(_run(requests, _root(spark, "order-intake", root), sink)).drop("batch_id")
+    return spark.read.parquet(_run(requests, root, sink)).drop("batch_id")
 
 
 def stream_offer_pricing(requests: DataFrame, scooters: DataFrame, zones: DataFrame,
@@ -117,35 +227,83 @@ def stream_offer_pricing(requests: DataFrame, scooters: DataFrame, zones: DataFr
 
 def stream_offer_creation(requests: DataFrame, scooters: DataFrame, zones: DataFrame,
                           users: DataFrame, configs: DataFrame | None = None,
-                          ttl_seconds: int = 300, root: str | None = None) -> DataFrame:
+                          ttl_seconds: int = 300, root: str | None = None,
+                          lateness_seconds: int | None = None) -> DataFrame:
     """Streaming T01: each micro-batch runs the batch offer creation with the
     live offers of earlier batches as prior anchors; the latest offer per
     ``(user, scooter)`` is kept as a state table, one version per batch id,
-    made from the version before it.  Exact when each micro-batch holds
-    requests no older than the previous batch's (in-order arrival)."""
+    made from the version before it.
+
+    Without ``lateness_seconds`` a micro-batch is decided as it comes, which is
+    exact when it holds requests no older than the previous one's.  With it,
+    requests may come out of order by that much: they wait in a pending table
+    until the watermark (the latest time seen less the lateness) has passed
+    them, and are decided in time order then; a request older than what is
+    already decided is returned with outcome ``LATE`` and creates nothing.  At
+    the end of the input the rows still waiting are decided too, in a part that
+    a later start replaces, so a job that goes on decides them anew."""
     spark = requests.sparkSession
     root = _root(spark, "offer-creation", root)
+    times = "decided timestamp_ntz, latest timestamp_ntz"
 
-    def state_path(bid: int) -> str:
-        return os.path.join(root, "state", f"v={bid}")
+    def at(kind: str, bid: int) -> str:
+        return os.path.join(root, kind, f"v={bid}")
 
-    def sink(batch, out, bid):
-        prior = spark.read.parquet(state_path(bid - 1)) if bid > 0 else None
-        res = materialize(create_offers(batch, scooters, zones, users, configs, ttl_seconds,
-                                        prior_anchors=prior), "stream-offers")
-        _write_batch(res, out, bid)
+    def decide(rows, prior):
+        return materialize(create_offers(rows, scooters, zones, users, configs, ttl_seconds,
+                                         prior_anchors=prior), "stream-offers")
+
+    def live(prior, res, horizon):
+        """The latest offer per key, and only offers still live at
+        ``horizon``: state is bounded by the TTL window, not by history."""
         new = res.where("is_new_offer").drop("is_new_offer")
         cand = new if prior is None else prior.unionByName(new)
-        # keep the latest offer per key, and only offers still live at the end
-        # of this batch: state is bounded by the TTL window, not by history
-        horizon = batch.agg(F.max("ts")).first()[0]
         state = (cand.groupBy("user_id", "scooter_id")
                  .agg(F.max_by(F.struct(*cand.columns), F.struct("requested_at", "request_id")).alias("s"))
                  .select("s.*"))
-        if horizon is not None:
-            live_until = F.col("requested_at") + F.make_dt_interval(
-                F.lit(0), F.lit(0), F.lit(0), F.lit(int(ttl_seconds)).cast("decimal(18,6)"))
-            state = state.where(live_until > F.lit(horizon).cast("timestamp_ntz"))
-        state.write.mode("overwrite").parquet(state_path(bid))
+        if horizon is None:
+            return state
+        until = F.col("requested_at") + F.make_dt_interval(
+            F.lit(0), F.lit(0), F.lit(0), F.lit(int(ttl_seconds)).cast("decimal(18,6)"))
+        return state.where(until > F.lit(horizon).cast("timestamp_ntz"))
 
-    return spark.read.parquet(_run(requests, root, sink)).drop("batch_id")
+    def sink(batch, out, bid):
+        prior = spark.read.parquet(at("state", bid - 1)) if bid > 0 else None
+        if lateness_seconds is None:
+            res = decide(batch, prior)
+            _write_batch(res, out, bid)
+            live(prior, res, batch.agg(F.max("ts")).first()[0]).write.mode("overwrite").parquet(at("state", bid))
+            return
+        before = spark.read.schema(times).parquet(at("clock", bid - 1)).first() if bid > 0 else None
+        decided, latest = before or (None, None)
+        newest = batch.agg(F.max("ts")).first()[0]
+        latest = max(filter(None, (latest, newest)), default=None)
+        mark = None if latest is None else latest - timedelta(seconds=lateness_seconds)
+        mark = max(filter(None, (mark, decided)), default=None)
+        bound = F.lit(mark).cast("timestamp_ntz")
+        late = F.lit(False) if decided is None else F.coalesce(
+            F.col("ts") < F.lit(decided).cast("timestamp_ntz"), F.lit(False))
+        waiting = batch.where(~late)
+        if bid > 0:
+            waiting = waiting.unionByName(spark.read.schema(batch.schema).parquet(at("pending", bid - 1)))
+        # a request without a time is decided at once
+        ready = F.coalesce(F.col("ts") < bound, F.col("ts").isNull()) if mark is not None else F.col("ts").isNull()
+        res = decide(waiting.where(ready), prior)
+        missed = batch.where(late).select("request_id", "user_id", "scooter_id", F.col("ts").alias("requested_at"),
+                                          F.lit("LATE").alias("outcome"), F.lit(False).alias("is_new_offer"))
+        _write_batch(res.unionByName(missed, allowMissingColumns=True), out, bid)
+        waiting.where(~ready).write.mode("overwrite").parquet(at("pending", bid))
+        live(prior, res, mark).write.mode("overwrite").parquet(at("state", bid))
+        (spark.createDataFrame([(mark, latest)], times).coalesce(1)
+         .write.mode("overwrite").parquet(at("clock", bid)))
+        last.append(bid)
+
+    last: list[int] = []
+    out = spark.read.parquet(_run(requests, root, sink)).drop("batch_id")
+    if lateness_seconds is None:
+        return out
+    rest = os.path.join(root, "rest")
+    if last:
+        pending = spark.read.schema(requests.schema).parquet(at("pending", last[-1]))
+        decide(pending, spark.read.parquet(at("state", last[-1]))).write.mode("overwrite").parquet(rest)
+    return out.unionByName(spark.read.schema(out.schema).parquet(rest))
