@@ -709,6 +709,59 @@ SELECT request_id, user_id, scooter_id, ts AS requested_at, outcome, {OFFER_STAT
   outcome = 'CREATED' AS is_new_offer, zone_id AS lookup_zone_id
 FROM priced"""
 
+# Offers reusable for five days, or one where claimed.
+_CLAIMED = {
+    "cfg": CONFIG, "priced": PRICED_REQUESTS,
+    "elig": """SELECT user_id, scooter_id, request_id, ts,
+        ts + to_hours(CASE WHEN CAST(regexp_extract(request_id, '([0-9]+)$', 1) AS BIGINT) % 2 = 0 THEN 24 ELSE 120 END) AS fin,
+        row_number() OVER (PARTITION BY user_id, scooter_id ORDER BY ts, request_id) AS rn
+      FROM priced WHERE outcome = 'CREATED'""",
+    "chain": """SELECT user_id, scooter_id, request_id, rn, ts AS a_ts, fin AS a_fin, true AS is_anchor FROM elig WHERE rn = 1
+      UNION ALL
+      SELECT e.user_id, e.scooter_id, e.request_id, e.rn, CASE WHEN e.ts >= c.a_fin THEN e.ts ELSE c.a_ts END,
+        CASE WHEN e.ts >= c.a_fin THEN e.fin ELSE c.a_fin END, e.ts >= c.a_fin
+      FROM chain c JOIN elig e ON e.user_id = c.user_id AND e.scooter_id = c.scooter_id AND e.rn = c.rn + 1""",
+    "flagged": """SELECT p.*, coalesce(c.is_anchor, false) AS is_anchor, c.a_fin FROM priced p
+      LEFT JOIN chain c ON p.request_id = c.request_id""",
+    "cov": """SELECT *, max(CASE WHEN is_anchor THEN ts END) OVER (PARTITION BY user_id, scooter_id ORDER BY ts, request_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS anchor_ts FROM flagged""",
+    "created": """SELECT c.*, (c.outcome NOT IN ('INVALID_BODY', 'USER_ID_REQUIRED', 'SCOOTER_ID_REQUIRED')
+        AND c.anchor_ts IS NOT NULL AND c.ts < a.a_fin AND NOT c.is_anchor) AS reused,
+        a.zone_id AS a_zone, a.ppm AS a_ppm, a.unlock AS a_unlock, a.dep AS a_dep
+      FROM cov c LEFT JOIN (SELECT * FROM flagged WHERE is_anchor) a
+        ON c.user_id = a.user_id AND c.scooter_id = a.scooter_id AND c.anchor_ts = a.ts""",
+    "offer_out": _CREATION["offer_out"]}
+
+OFFER_CREATION_CLAIMS = with_standins("users", "zones", "scooters", "offer_requests", extra=_CLAIMED, recursive=True) + f"""
+SELECT *, {OFFER_STATUS_SQL} AS http_status FROM offer_out"""
+
+LIVE_OFFERS_AT_REQUESTS = with_standins("users", "zones", "scooters", "offer_requests", extra={
+    **_CREATION,
+    "saved": """SELECT user_id, offer_id, requested_at AS created_at,
+        requested_at + to_microseconds(60000000000::BIGINT * price_per_minute) AS alive_until
+      FROM offer_out WHERE is_new_offer""",
+    "met": """SELECT r.request_id, s.offer_id, s.created_at, s.alive_until FROM offer_requests r JOIN saved s
+      ON r.user_id = s.user_id AND s.created_at <= r.ts AND r.ts < s.alive_until""",
+    "best": """SELECT request_id, count(*) OVER (PARTITION BY request_id) AS n_live, offer_id, created_at, alive_until FROM met
+      QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY created_at DESC, offer_id DESC) = 1"""}, recursive=True) + """
+SELECT r.request_id, r.user_id, r.ts, coalesce(b.n_live, 0) AS n_live, b.offer_id AS latest_offer_id,
+  b.created_at AS latest_created_at, b.alive_until AS latest_alive_until
+FROM offer_requests r LEFT JOIN best b USING (request_id)"""
+
+LATENCY_SKETCHES = with_standins("request_log") + f"""
+SELECT {ROUTE_SQL} AS route, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, count(*) AS requests,
+  true AS p50_within, true AS p95_within, true AS p99_within
+FROM request_log WHERE event = 'request_complete' GROUP BY 1, 2"""
+
+ORDERS_WITH_LEDGER_BUCKETED = with_standins(*_FIN_SRC, extra={**_WORLD}) + """
+SELECT s.id, s.user_id, s.status, s.total_amount, count(l.id) AS n_rows,
+  CAST(coalesce(sum(l.amount), 0) AS BIGINT) AS ledger_amount
+FROM snap s LEFT JOIN ledger l ON l.order_id = s.id GROUP BY ALL"""
+
+ORDER_LOOKUP_SHARDED = with_standins("rides", "request_log") + """
+SELECT r.*, CAST(('0x' || substr(md5(r.user_id), 1, 8))::BIGINT % 64 AS INTEGER) AS shard FROM rides r
+WHERE r.id IN (SELECT regexp_extract(path, '^/orders/([^/]+)', 1) FROM request_log WHERE method = 'GET')"""
+
 ARCHIVE_READBACK = with_standins(*_FIN_SRC, extra={**_WORLD, "old": f"""SELECT * FROM snap
     WHERE created_at < {RIDES_AS_OF} - INTERVAL 24 HOUR""", "arch": _archive_union("old", "ledger")}) + f"""
 SELECT *, {_hour_cols('order_created_at')} FROM arch"""
@@ -884,6 +937,11 @@ ORACLE: dict[str, str] = {
     "offer_creation_repeated_log": OFFER_CREATION_REPEATED_LOG,
     "offer_creation_min_remaining": OFFER_CREATION_MIN_REMAINING,
     "offer_saves": OFFER_SAVES,
+    "offer_creation_claims": OFFER_CREATION_CLAIMS,
+    "live_offers_at_requests": LIVE_OFFERS_AT_REQUESTS,
+    "latency_sketches": LATENCY_SKETCHES,
+    "orders_with_ledger_bucketed": ORDERS_WITH_LEDGER_BUCKETED,
+    "order_lookup_sharded": ORDER_LOOKUP_SHARDED,
     "hot_cold_history": HOT_COLD_HISTORY,
     "payment_retry_worklist": PAYMENT_RETRY_WORKLIST,
     "stream_panel_rps": PANEL_RPS,

@@ -14,9 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas
-from .functions import logfmt
+from .functions import logfmt, pricing
 from .operators import (admission, archive, enrich, finish, logs, lookup, metrics, offers,
                         quality, retention, ttl)
+from .plans import intervals, layout, sketches
+from .plans.broadcast import broadcast_if_small
 from .plans.materialize import materialize
 from .streaming import jobs
 from .session import scratch_dir
@@ -518,6 +520,74 @@ def offer_creation_min_remaining(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 min_remaining_seconds=300)
 
 
+def offer_creation_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offers of a week, reused while more than two days of it remain and
+    until claimed; the offer of every other request is claimed after a day."""
+    r = si.offer_requests(spark, sf_dir)
+    n = F.regexp_extract("request_id", r"(\d+)$", 1).cast("long")
+    claims = r.where(n % 2 == 0).select(
+        pricing.offer_id(F.col("user_id"), F.col("scooter_id"), F.col("ts")).alias("offer_id"),
+        (F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("claimed_at"))
+    return offers.create_offers(r, si.scooters(spark, sf_dir), si.zones(spark, sf_dir), si.users(spark, sf_dir),
+                                ttl_seconds=7 * 86400, claims=claims, min_remaining_seconds=2 * 86400)
+
+
+def live_offers_at_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The offers of its user that are alive when a request arrives, their
+    number and the latest one; an offer lives as many times its TTL as its
+    price per minute says, so lengths differ."""
+    made = materialize(offers.saved_offers(offer_creation(spark, sf_dir)), "saved-offers")
+    alive = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (
+        F.col("ttl_seconds") * F.lit(200) * F.col("price_per_minute")).cast("decimal(18,6)"))
+    saved = made.select("user_id", F.col("id").alias("offer_id"), "created_at",
+                        (F.col("created_at") + alive).alias("alive_until"))
+    points = si.offer_requests(spark, sf_dir).select("request_id", "user_id", "ts")
+    return intervals.latest_interval(points, saved, ["user_id"], "ts", "created_at", "alive_until",
+                                     ["request_id"], ["offer_id"])
+
+
+def latency_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """p50/p95/p99 latency per route and day merged from stored sketches of
+    every minute, and whether each lies within the stated rank error of the
+    exact quantile."""
+    records = _records(spark, sf_dir).select("route", "ts", F.col("duration_ms").cast("double").alias("v"))
+    kept = materialize(sketches.minute_sketches(records, ["route"], "v"), "latency-sketches")
+    probs, names = [0.5, 0.95, 0.99], ["p50", "p95", "p99"]
+    day = F.date_trunc("day", F.col("minute")).cast("timestamp_ntz")
+    q = materialize(sketches.window_quantiles(kept.withColumn("day", day), ["route"], "day", probs, names), "latency-days")
+    of_day = records.where("v is not null").withColumn("day", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    met = of_day.join(broadcast_if_small(q), ["route", "day"]).groupBy("route", "day").agg(
+        F.count(F.lit(1)).alias("requests"),
+        *[F.sum((F.col("v") < F.col(c)).cast("long")).alias(f"{c}_below") for c in names],
+        *[F.sum((F.col("v") <= F.col(c)).cast("long")).alias(f"{c}_upto") for c in names])
+    off = sketches.rank_error()
+    return met.select("route", "day", "requests", *[
+        ((F.col(f"{c}_below") <= F.col("requests") * (p + off) + 1)
+         & (F.col(f"{c}_upto") >= F.col("requests") * (p - off) - 1)).alias(f"{c}_within")
+        for p, c in zip(probs, names)])
+
+
+def orders_with_ledger_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and their ledger totals joined from bucketed tables,
+    without a shuffle of either."""
+    _, _, _, snap, ledger = _world(spark, sf_dir)
+    with_key = snap.select("id", "user_id", "status", "total_amount")
+    left = layout.bucketed(with_key, "id", 8)
+    right = layout.bucketed(ledger.select("order_id", "transaction_type", "amount"), "order_id", 8)
+    return layout.ledger_totals(left, right)
+
+
+def order_lookup_sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders named by GET requests, read from the shards the map names."""
+    rides = si.rides(spark, sf_dir)
+    path = scratch_dir(spark, f"order-shards-{uuid.uuid4().hex[:12]}")
+    layout.write_sharded(rides, path, 64)
+    shard_map = materialize(lookup.order_shard_map(rides, 64), "shard-map")
+    log = si.request_log(spark, sf_dir).where(F.col("method") == "GET")
+    ids = log.select(logfmt.path_order_id(F.col("path")).alias("order_id")).distinct()
+    return layout.orders_of_shards(spark.read.parquet(path), shard_map, ids)
+
+
 def offer_saves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Offers to store with their TTL, and those already expired."""
     return offers.offer_saves(offer_creation(spark, sf_dir))
@@ -616,6 +686,11 @@ QUERIES: dict[str, Query] = {
     "offer_creation_repeated_log": offer_creation_repeated_log,
     "offer_creation_min_remaining": offer_creation_min_remaining,
     "offer_saves": offer_saves,
+    "offer_creation_claims": offer_creation_claims,
+    "live_offers_at_requests": live_offers_at_requests,
+    "latency_sketches": latency_sketches,
+    "orders_with_ledger_bucketed": orders_with_ledger_bucketed,
+    "order_lookup_sharded": order_lookup_sharded,
     "admission_with_persist_failures": admission_with_persist_failures,
     "hold_compensations": hold_compensations,
     "trailing_requests_15m": trailing_requests_15m,
