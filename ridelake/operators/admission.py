@@ -20,8 +20,8 @@ through one window task; the duplicate test reads the same first-claim row.
 
 When a client reuses one ``order_id`` across several offers, rules 2 and 4
 depend on each other.  The claims of the offers such order ids touch are found
-in rounds of joins and aggregations (``_linked_claims``); no group of rows is
-ever gathered into one task.
+in a few rounds of joins and aggregations; what then still waits is decided
+component by component (``_linked_claims``), a bounded number of rows in a task.
 
 State from before the batch -- orders already stored, offers already used --
 comes in as tables, so a day's log can be admitted after the days before it.
@@ -29,13 +29,20 @@ comes in as tables, so a day's log can be admitted after the days before it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import pricing
 from ..functions.status import ORDER_CREATE_STATUS, status_code
+from ..plans.components import components
 from ..plans.materialize import materialize
 
+# Rounds before components are looked for, and the most requests of a
+# component that one task decides.
+FIRST_ROUNDS = 4
+FOLD_REQUESTS = 100_000
+
 
 def _blank(c: Column) -> Column:
     return F.coalesce(c, F.lit("")) == ""
@@ -147,10 +154,12 @@ def _linked_claims(j: DataFrame, linked: DataFrame) -> DataFrame:
 
     A valid request that is the earliest undecided one of its offer and of its
     order id is a claim, whatever comes later: nothing undecided can make its
-    order or take its offer before it.  Each round decides all such requests at
+    order or take its offer before it.  A round decides all such requests at
     once, then leaves out the requests of claimed offers and those whose order
-    was created.  The earliest request of all is always decided, so the rounds
-    end; each is a few joins over what is left, written to the shared folder."""
+    was created.  What waits for one another after ``FIRST_ROUNDS`` falls into
+    components of order ids and offers: those of up to ``FOLD_REQUESTS`` requests
+    are decided in one pass each, in order; rounds go on for larger ones only,
+    and end, as the earliest request of all is always decided."""
     ids = linked.select(F.col("offer_id").alias("_l_offer"), F.lit(True).alias("_linked"))
     marked = materialize(
         j.join(ids, j["offer_id"] == ids["_l_offer"], "left").drop("_l_offer")
@@ -160,6 +169,11 @@ def _linked_claims(j: DataFrame, linked: DataFrame) -> DataFrame:
         (F.col("_hold_ok") & F.col("_persist_ok")).alias("_ok")), "admission-undecided")
     rounds = []
     while left.limit(1).count() > 0:
+        if len(rounds) == FIRST_ROUNDS:
+            folded, left = _folded(left)
+            rounds.append(folded)
+            if left.limit(1).count() == 0:
+                break
         by_offer = left.groupBy("offer_id").agg(F.min("_at").alias("_by_offer"))
         by_order = left.groupBy("order_id").agg(F.min("_at").alias("_by_order"))
         claims = materialize(
@@ -170,7 +184,7 @@ def _linked_claims(j: DataFrame, linked: DataFrame) -> DataFrame:
         left = materialize(left.join(claims.select("offer_id"), "offer_id", "left_anti")
                            .join(claims.where("_ok").select("order_id"), "order_id", "left_anti")
                            .select(*left.columns), "admission-undecided")
-    claims = left
+    claims = left.limit(0)
     for part in rounds:
         claims = claims.unionByName(part)
     created = claims.where("_ok").select("order_id", F.col("_at").alias("_made"))
@@ -183,6 +197,37 @@ def _linked_claims(j: DataFrame, linked: DataFrame) -> DataFrame:
             .drop("_linked", "_rid", "_claim", "_made"))
 
 
+def _folded(left: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The claims among undecided requests in components of at most
+    ``FOLD_REQUESTS``, and the requests of larger ones.  Nodes are hashes of
+    offers and order ids; two that share one only make a component larger."""
+    node = F.xxhash64(F.lit("offer"), "offer_id")
+    named = left.withColumn("_node", node)
+    found = components(named.select("_node", F.xxhash64(F.lit("order"), "order_id").alias("_order")), "_node", "_order")
+    placed = materialize(named.join(found.withColumnRenamed("node", "_node"), "_node").drop("_node"),
+                         "admission-components")
+    sizes = placed.groupBy("component").agg(F.count(F.lit(1)).alias("_n"))
+    small = sizes.where(F.col("_n") <= FOLD_REQUESTS).select("component")
+    # bounded: a window and a group hold one small component
+    turn = F.row_number().over(Window.partitionBy("component").orderBy("_at")).alias("turn")
+    rows = placed.join(small, "component", "left_semi").select("component", turn, "_rid", "offer_id", "order_id", "_ok")
+
+    def decide(group: pd.DataFrame) -> pd.DataFrame:
+        taken, made, won = set(), set(), []
+        for rid, offer, order, ok in group.sort_values("turn")[["_rid", "offer_id", "order_id", "_ok"]].itertuples(index=False):
+            if offer not in taken and order not in made:
+                won.append(rid)
+                taken.add(offer)
+                if ok:
+                    made.add(order)
+        return pd.DataFrame({"_rid": pd.Series(won, dtype="int64")})
+
+    claims = rows.groupBy("component").applyInPandas(decide, "_rid long")
+    large = placed.join(small, "component", "left_anti").select(*left.columns)
+    return (materialize(left.join(claims, "_rid", "left_semi").select(*left.columns), "admission-claims"),
+            materialize(large, "admission-undecided"))
+
+
 def admission_summary(admitted: DataFrame) -> DataFrame:
     """Outcome counts."""
     return admitted.groupBy("outcome").agg(F.count(F.lit(1)).alias("requests"))

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import billing, pricing
 from ..functions.status import FINISH_STATUS, status_code
+from ..plans import partitions
 from ..sources.tables import resolve_configs
 
 
@@ -121,6 +122,16 @@ def apply_finish(orders: DataFrame, finished: DataFrame, ts: str = "requested_at
                       for f in schemas.ORDERS.fields])
 
 
+def publish_finish(spark, root: str, old: str, new: str, finished: DataFrame) -> list[str]:
+    """K02 on a published orders table: only the days that hold a finished
+    order are read and rewritten.  Returns the days written."""
+    table = partitions.read(spark, root, old, schemas.ORDERS)
+    done = finished.where(F.col("outcome").isin("FINISHED", "PAYMENT_FAILED"))
+    days = partitions.touched_days(table, "id", done, "order_id", "created_at")
+    some = partitions.read(spark, root, old, schemas.ORDERS, days)
+    return partitions.republish(spark, root, old, new, days, apply_finish(some, finished), "created_at")
+
+
 def ledger_rollup(ledger: DataFrame) -> DataFrame:
     """Per order, amount and status of each transaction type (explicit pivot)."""
     p = (ledger.groupBy("order_id").pivot("transaction_type", schemas.TXN_TYPES)

@@ -15,11 +15,14 @@ from __future__ import annotations
 
 import json
 import os
+import time
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import jsonfmt
+from ..plans import partitions
 from .lookup import expired_orders
 
 DEFAULT_OLDER_THAN_HOURS = 24  # fixed value: orders older than one day are removed
@@ -72,6 +75,43 @@ def _summary(expired: DataFrame, deleted_txns: DataFrame, as_of, older_than_hour
         F.when(F.col("orders_deleted") == 0, "NO_OLD_ORDERS").otherwise("DELETED").alias("result"))
 
 
+class NothingDeleted(LookupError):
+    """A cleanup named orders, and none of them was there to delete."""
+
+
+def publish_cleanup(spark: SparkSession, root: str, old: str, new: str, as_of,
+                    older_than_hours: int = DEFAULT_OLDER_THAN_HOURS, ids: DataFrame | None = None) -> dict:
+    """K03/A06 on a published orders table: days wholly before the cutoff leave
+    the manifest unread and only the day of the cutoff is rewritten.  With
+    ``ids`` (``id``) those orders are deleted instead, whatever their age, and
+    it is an error if none exists.  Returns the orders deleted, the days
+    rewritten and dropped, and the run's time in milliseconds."""
+    began = time.monotonic()
+    table = partitions.read(spark, root, old, schemas.ORDERS)
+    if ids is not None:
+        gone = ids.select(F.col("id").alias("_g")).distinct()
+        days = partitions.touched_days(table, "id", gone, "_g", "created_at")
+        if not days:
+            raise NothingDeleted("no orders deleted")
+        some = partitions.read(spark, root, old, schemas.ORDERS, days)
+        kept = some.join(gone, some["id"] == gone["_g"], "left_anti")
+        n = some.join(gone, some["id"] == gone["_g"], "left_semi").count()
+    else:
+        cutoff = F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), F.lit(int(older_than_hours)))
+        at = spark.range(1).select(cutoff.alias("c")).first()["c"]
+        edge = at.strftime("%Y-%m-%d")
+        days = [d for d in partitions.folders_of(spark, root, old) if d <= edge and d != partitions.NO_DATE]
+        some = partitions.read(spark, root, old, schemas.ORDERS, [edge])
+        is_old = F.col("created_at") < F.lit(at).cast("timestamp_ntz")
+        kept = some.where(~is_old)
+        n = partitions.read(spark, root, old, schemas.ORDERS, days).where(is_old).count()
+        if not n:
+            days = []
+    rewritten = partitions.republish(spark, root, old, new, days, kept, "created_at")
+    return {"orders_deleted": n, "days_rewritten": rewritten, "days_dropped": sorted(set(days) - set(rewritten)),
+            "duration_ms": int((time.monotonic() - began) * 1000)}
+
+
 def publish_snapshot(frames: dict[str, DataFrame], root: str, batch_id: str,
                      partition_by: dict[str, list[str]] | None = None) -> str:
     """K01-K03 atomicity: write every frame under ``{root}/batch_id={id}/{name}``

@@ -17,7 +17,7 @@ from . import schemas
 from .functions import logfmt, pricing
 from .operators import (admission, archive, enrich, finish, logs, lookup, metrics, offers,
                         quality, retention, ttl)
-from .plans import intervals, layout, sketches
+from .plans import intervals, layout, partitions, sketches
 from .plans.broadcast import broadcast_if_small
 from .plans.materialize import materialize
 from .streaming import jobs
@@ -164,6 +164,30 @@ def orders_after_finish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish.apply_finish(orders, done)
 
 
+def _published_finish(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Folder of the orders published by day, before (version 1) and after
+    (version 2) the finishes of the days they touch."""
+    orders, done = _finished(spark, sf_dir)
+    done = materialize(done, "finished")
+    root = scratch_dir(spark, f"orders-by-day-{uuid.uuid4().hex[:12]}")
+    partitions.publish(orders, root, "1", "created_at")
+    finish.publish_finish(spark, root, "1", "2", done)
+    return root, done
+
+
+def orders_after_finish_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders after finishes, only touched days rewritten."""
+    return partitions.read(spark, _published_finish(spark, sf_dir)[0], "2", schemas.ORDERS)
+
+
+def orders_after_cleanup_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders after a cleanup, expired days dropped from the manifest and
+    one day rewritten."""
+    root = _published_finish(spark, sf_dir)[0]
+    retention.publish_cleanup(spark, root, "2", "3", RIDES_AS_OF)
+    return partitions.read(spark, root, "3", schemas.ORDERS)
+
+
 def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _world(spark, sf_dir)[4]
 
@@ -739,6 +763,8 @@ QUERIES: dict[str, Query] = {
     "finish_outcomes": finish_outcomes,
     "finish_ledger": finish_ledger,
     "orders_after_finish": orders_after_finish,
+    "orders_after_finish_by_day": orders_after_finish_by_day,
+    "orders_after_cleanup_by_day": orders_after_cleanup_by_day,
     "ledger_rollup": ledger_rollup,
     "ride_billing_summary": ride_billing_summary,
     "order_admission": order_admission,
