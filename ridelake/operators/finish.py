@@ -122,14 +122,15 @@ def apply_finish(orders: DataFrame, finished: DataFrame, ts: str = "requested_at
                       for f in schemas.ORDERS.fields])
 
 
-def publish_finish(spark, root: str, old: str, new: str, finished: DataFrame) -> list[str]:
-    """K02 on a published orders table: only the days that hold a finished
-    order are read and rewritten.  Returns the days written."""
+def publish_finish(spark, root: str, old: str, new: str, finished: DataFrame,
+                   span: str = partitions.DAY) -> list[str]:
+    """K02 on a published orders table: only the partitions that hold a finished
+    order are read and rewritten.  Returns the partitions written."""
     table = partitions.read(spark, root, old, schemas.ORDERS)
     done = finished.where(F.col("outcome").isin("FINISHED", "PAYMENT_FAILED"))
-    days = partitions.touched_days(table, "id", done, "order_id", "created_at")
-    some = partitions.read(spark, root, old, schemas.ORDERS, days)
-    return partitions.republish(spark, root, old, new, days, apply_finish(some, finished), "created_at")
+    parts = partitions.touched(table, "id", done, "order_id", "created_at", span)
+    some = partitions.read(spark, root, old, schemas.ORDERS, parts)
+    return partitions.republish(spark, root, old, new, parts, apply_finish(some, finished), "created_at", span)
 
 
 def ledger_rollup(ledger: DataFrame) -> DataFrame:

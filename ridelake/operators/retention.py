@@ -80,35 +80,36 @@ class NothingDeleted(LookupError):
 
 
 def publish_cleanup(spark: SparkSession, root: str, old: str, new: str, as_of,
-                    older_than_hours: int = DEFAULT_OLDER_THAN_HOURS, ids: DataFrame | None = None) -> dict:
-    """K03/A06 on a published orders table: days wholly before the cutoff leave
-    the manifest unread and only the day of the cutoff is rewritten.  With
+                    older_than_hours: int = DEFAULT_OLDER_THAN_HOURS, ids: DataFrame | None = None,
+                    span: str = partitions.DAY) -> dict:
+    """K03/A06 on a published orders table: partitions wholly before the cutoff
+    leave the manifest (only counted) and the cutoff's own is rewritten.  With
     ``ids`` (``id``) those orders are deleted instead, whatever their age, and
-    it is an error if none exists.  Returns the orders deleted, the days
+    it is an error if none exists.  Returns the orders deleted, the partitions
     rewritten and dropped, and the run's time in milliseconds."""
     began = time.monotonic()
     table = partitions.read(spark, root, old, schemas.ORDERS)
     if ids is not None:
         gone = ids.select(F.col("id").alias("_g")).distinct()
-        days = partitions.touched_days(table, "id", gone, "_g", "created_at")
-        if not days:
+        parts = partitions.touched(table, "id", gone, "_g", "created_at", span)
+        if not parts:
             raise NothingDeleted("no orders deleted")
-        some = partitions.read(spark, root, old, schemas.ORDERS, days)
+        some = partitions.read(spark, root, old, schemas.ORDERS, parts)
         kept = some.join(gone, some["id"] == gone["_g"], "left_anti")
         n = some.join(gone, some["id"] == gone["_g"], "left_semi").count()
     else:
         cutoff = F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), F.lit(int(older_than_hours)))
         at = spark.range(1).select(cutoff.alias("c")).first()["c"]
-        edge = at.strftime("%Y-%m-%d")
-        days = [d for d in partitions.folders_of(spark, root, old) if d <= edge and d != partitions.NO_DATE]
+        edge = partitions.part_at(at, span)
+        parts = [d for d in partitions.folders_of(spark, root, old) if d <= edge and d != partitions.NO_DATE]
         some = partitions.read(spark, root, old, schemas.ORDERS, [edge])
         is_old = F.col("created_at") < F.lit(at).cast("timestamp_ntz")
         kept = some.where(~is_old)
-        n = partitions.read(spark, root, old, schemas.ORDERS, days).where(is_old).count()
+        n = partitions.read(spark, root, old, schemas.ORDERS, parts).where(is_old).count()
         if not n:
-            days = []
-    rewritten = partitions.republish(spark, root, old, new, days, kept, "created_at")
-    return {"orders_deleted": n, "days_rewritten": rewritten, "days_dropped": sorted(set(days) - set(rewritten)),
+            parts = []
+    rewritten = partitions.republish(spark, root, old, new, parts, kept, "created_at", span)
+    return {"orders_deleted": n, "parts_rewritten": rewritten, "parts_dropped": sorted(set(parts) - set(rewritten)),
             "duration_ms": int((time.monotonic() - began) * 1000)}
 
 

@@ -982,8 +982,8 @@ ORACLE: dict[str, str] = {
     "finish_outcomes": FINISH_OUTCOMES,
     "finish_ledger": FINISH_LEDGER,
     "orders_after_finish": ORDERS_AFTER_FINISH,
-    "orders_after_finish_by_day": ORDERS_AFTER_FINISH,
-    "orders_after_cleanup_by_day": ORDERS_AFTER_CLEANUP,
+    "orders_after_finish_by_month": ORDERS_AFTER_FINISH,
+    "orders_after_cleanup_by_month": ORDERS_AFTER_CLEANUP,
     "ledger_rollup": LEDGER_ROLLUP,
     "ride_billing_summary": RIDE_BILLING_SUMMARY,
     "order_admission": ORDER_ADMISSION,

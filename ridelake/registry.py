@@ -165,26 +165,26 @@ def orders_after_finish(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _published_finish(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
-    """Folder of the orders published by day, before (version 1) and after
-    (version 2) the finishes of the days they touch."""
+    """Folder of the orders published by month, before (version 1) and after
+    (version 2) the finishes of the months they touch."""
     orders, done = _finished(spark, sf_dir)
     done = materialize(done, "finished")
-    root = scratch_dir(spark, f"orders-by-day-{uuid.uuid4().hex[:12]}")
-    partitions.publish(orders, root, "1", "created_at")
-    finish.publish_finish(spark, root, "1", "2", done)
+    root = scratch_dir(spark, f"orders-by-month-{uuid.uuid4().hex[:12]}")
+    partitions.publish(orders, root, "1", "created_at", partitions.MONTH)
+    finish.publish_finish(spark, root, "1", "2", done, partitions.MONTH)
     return root, done
 
 
-def orders_after_finish_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders after finishes, only touched days rewritten."""
+def orders_after_finish_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders after finishes, only touched months rewritten."""
     return partitions.read(spark, _published_finish(spark, sf_dir)[0], "2", schemas.ORDERS)
 
 
-def orders_after_cleanup_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders after a cleanup, expired days dropped from the manifest and
-    one day rewritten."""
+def orders_after_cleanup_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders after a cleanup, expired months dropped from the manifest
+    and one rewritten."""
     root = _published_finish(spark, sf_dir)[0]
-    retention.publish_cleanup(spark, root, "2", "3", RIDES_AS_OF)
+    retention.publish_cleanup(spark, root, "2", "3", RIDES_AS_OF, span=partitions.MONTH)
     return partitions.read(spark, root, "3", schemas.ORDERS)
 
 
@@ -763,8 +763,8 @@ QUERIES: dict[str, Query] = {
     "finish_outcomes": finish_outcomes,
     "finish_ledger": finish_ledger,
     "orders_after_finish": orders_after_finish,
-    "orders_after_finish_by_day": orders_after_finish_by_day,
-    "orders_after_cleanup_by_day": orders_after_cleanup_by_day,
+    "orders_after_finish_by_month": orders_after_finish_by_month,
+    "orders_after_cleanup_by_month": orders_after_cleanup_by_month,
     "ledger_rollup": ledger_rollup,
     "ride_billing_summary": ride_billing_summary,
     "order_admission": order_admission,

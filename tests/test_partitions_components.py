@@ -48,12 +48,12 @@ def test_a_batch_that_touches_one_of_thirty_days_writes_one(spark, tmp_dir):
 
     # days before the cutoff are not opened, the day of the cutoff is rewritten
     out = retention.publish_cleanup(spark, tmp_dir, "b", "c", T0 + dt.timedelta(days=21, hours=2), 24)
-    assert out["orders_deleted"] == 20 * 4 + 2 and out["days_rewritten"] == ["2024-01-21"]
-    assert len(out["days_dropped"]) == 20 and out["duration_ms"] >= 0
+    assert out["orders_deleted"] == 20 * 4 + 2 and out["parts_rewritten"] == ["2024-01-21"]
+    assert len(out["parts_dropped"]) == 20 and out["duration_ms"] >= 0
     assert len(_files(tmp_dir, "c")) == 1
     assert partitions.read(spark, tmp_dir, "c", schemas.ORDERS).count() == 120 - 82
     again = retention.publish_cleanup(spark, tmp_dir, "c", "d", T0 + dt.timedelta(days=21, hours=2), 24)
-    assert again["orders_deleted"] == 0 and again["days_rewritten"] == [] and _files(tmp_dir, "d") == []
+    assert again["orders_deleted"] == 0 and again["parts_rewritten"] == [] and _files(tmp_dir, "d") == []
 
     ids = spark.createDataFrame([("o119",), ("gone",)], "id string")
     assert retention.publish_cleanup(spark, tmp_dir, "d", "e", None, ids=ids)["orders_deleted"] == 1
