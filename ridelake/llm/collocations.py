@@ -11,10 +11,11 @@ What a scan has to know is which parts reached the threshold, and when.  That
 is kept by hashed slots: ``1 << SLOT_BITS`` of them however large the corpus
 is, so the broadcast is bounded.  Two phrases in one slot make a phrase active
 too early, which costs counting and never a result, for its own start is fixed
-by the slots and it still gets a full cycle.  Counts meet by 64-bit keys in a
-written table that drops a phrase when its cycle is over.  One last scan
-counts, by their words, the phrases whose slot is taken; those counts are the
-results.
+by the slots and it still gets a full cycle.  Counts of active phrases meet by
+hashed keys in buckets of sorted, packed arrays; a phrase is dropped when its
+cycle is over.  Equal keys can only add counts, so they too cost work and never
+a result: one last scan counts, by their words, the phrases whose slot is
+taken, and those counts are the results.
 
 Defined results: a null text is an empty one; a null language is ``und``;
 texts of null, equal or repeated ids count each as often as they occur; no
@@ -29,7 +30,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+import zstandard
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..plans.broadcast import broadcast_if_small
@@ -45,6 +48,10 @@ SHARDS = 3
 SLOT_BITS = 23
 # Text a Python worker works on at once.
 CHUNK_BYTES = 4 << 20
+# Counts a Python worker holds before it hands them on, and the text that makes
+# one bucket of counts.
+HELD_COUNTS = 2_000_000
+BUCKET_BYTES = 8 << 20
 # Copies of a large table of phrases in a join on frequent parts.
 _SALTS = 8
 
@@ -68,49 +75,67 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """The words of some texts: ``start`` and ``end`` in ``data``, ``text``
-    each lies in, and whether the ``next`` one continues its piece."""
+    """The words of some texts: ``array`` of them, the ``text`` each lies in,
+    its hash ``key`` (with the language's salt), and whether the ``next`` one
+    continues its piece."""
 
     def __init__(self, texts: list[bytes], salts: np.ndarray):
-        self.data = _LOWER[np.frombuffer(b"\n".join([*texts, b""]), np.uint8)]
-        kind = _KIND[self.data]
+        data = _LOWER[np.frombuffer(b"\n".join([*texts, b""]), np.uint8)]
+        kind = _KIND[data]
         inside = kind == 0
         edges = np.flatnonzero(np.diff(inside, prepend=False))
-        self.start, self.end = edges[0::2], edges[1::2]
-        piece = np.cumsum(kind == 2, dtype=np.int32)[self.start]
+        start, end = edges[0::2], edges[1::2]
+        piece = np.cumsum(kind == 2, dtype=np.int32)[start]
         self.next = piece[1:] == piece[:-1]
         ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
-        self.text = np.searchsorted(ends, self.start, side="right")
-        size = self.end - self.start
-        first = np.cumsum(size) - size
-        place = np.arange(int(size.sum())) - np.repeat(first, size)
-        value = (self.data[inside].astype(np.uint64) + np.uint64(1)) * _PLACES[place & 4095]
-        self.key = _mixed((np.add.reduceat(value, first) if len(first) else value) + salts[self.text])
+        self.text = np.searchsorted(ends, start, side="right")
+        stops = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int32)
+        self.array = pa.Array.from_buffers(pa.binary(), len(start),
+                                           [None, pa.py_buffer(stops), pa.py_buffer(data[inside])])
+        coded = self.array.dictionary_encode()
+        own = _hashed(coded.dictionary)
+        self.key = _mixed(own[coded.indices.to_numpy()] + salts[self.text])
 
-    def phrase(self, at: int, words: int) -> str:
-        return b" ".join(self.data[self.start[i]:self.end[i]].tobytes()
-                         for i in range(at, at + words)).decode("utf-8", "replace")
+    def phrases(self, at: np.ndarray, words: int) -> pa.Array:
+        parts = [self.array.take(pa.array(at + k)) for k in range(words)]
+        return (parts[0] if words == 1 else pc.binary_join_element_wise(*parts, b" ")).cast(pa.string())
 
 
-def _grown(key: np.ndarray) -> np.ndarray:
-    """Keys of phrases one word longer than ``key``'s."""
-    return _mixed(key[:-1] * np.uint64(0x9E3779B97F4A7C15) + key[1:] * np.uint64(0xC2B2AE3D27D4EB4F))
+def _hashed(words: pa.BinaryArray) -> np.ndarray:
+    """A 64-bit hash of each word."""
+    stops = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+    if len(words) == 0:
+        return np.zeros(0, np.uint64)
+    data = np.frombuffer(words.buffers()[2], np.uint8)[stops[0]:stops[-1]]
+    first = stops[:-1] - stops[0]
+    place = np.arange(len(data)) - np.repeat(first, np.diff(stops))
+    return np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * _PLACES[place & 4095], first)
+
+
+def _slot(key: np.ndarray, words: int) -> np.ndarray:
+    """Slot of each phrase; a quarter of the slots is for each length."""
+    return ((words - 1 & 3) << SLOT_BITS - 2) + (key >> np.uint64(66 - SLOT_BITS)).astype(np.int64)
 
 
 def _levels(words: Words, reached: np.ndarray, longest: int) -> Iterator[tuple]:
-    """Per length: keys of all phrases, the scan each is active from, and the
-    scan at whose end it had reached the threshold (or its slot said so)."""
-    key, whole = words.key, np.ones(len(words.key), bool)
-    active = np.zeros(len(key), np.int16)
-    for n in range(1, longest + 1):
-        when = np.maximum(reached[(key >> np.uint64(64 - SLOT_BITS)).astype(np.int64)], active)
-        when[~whole] = _NEVER
-        yield n, key, np.where(whole, active, _NEVER), when
-        if n == longest or len(key) < 2:
+    """Per length, of the phrases both of whose parts have reached the
+    threshold (or their slots say so): their places, their keys, the scan each
+    is active from, and the scan at whose end it had reached it itself."""
+    key = words.key
+    at, active = np.arange(len(key)), np.zeros(len(key), np.int16)
+    when = reached[_slot(key, 1)]
+    yield 1, at, key, active, when
+    for n in range(2, longest + 1):
+        if len(when) < 2:
             return
-        active = np.minimum(np.maximum(when[:-1], when[1:]) + np.int16(1), _NEVER)
-        whole = whole[:-1] & words.next[n - 1:]
-        key = _grown(key)
+        known = (when[:-1] < _NEVER) & (when[1:] < _NEVER)
+        at = np.flatnonzero(known & words.next if n == 2 else known)
+        active = np.maximum(when[at], when[at + 1]) + np.int16(1)
+        own = _mixed(key[at] * np.uint64(0x9E3779B97F4A7C15) + key[at + 1] * np.uint64(0xC2B2AE3D27D4EB4F))
+        reach = np.maximum(reached[_slot(own, n)], active)
+        yield n, at, own, active, reach
+        key, when = np.zeros(len(when) - 1, np.uint64), np.full(len(when) - 1, _NEVER, np.int16)
+        key[at], when[at] = own, reach
 
 
 def _table(taken: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -120,12 +145,38 @@ def _table(taken: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     return out
 
 
-def _counted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, a place of each, and how often each occurs."""
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    return key[first], order[first], np.diff(np.append(first, len(key)))
+# --- packed counts: 46 bits of a phrase's key, 2 of its length, 16 of its count
+
+_MOST = (1 << 16) - 1
+
+
+def _entries(key: np.ndarray, words: int) -> np.ndarray:
+    """Sorted entries of the distinct keys."""
+    key = np.sort((key >> np.uint64(18) << np.uint64(2)) | np.uint64(words - 1 & 3))
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    n = np.minimum(np.diff(np.append(first, len(key))), _MOST).astype(np.uint64)
+    return key[first] << np.uint64(16) | n
+
+
+def _merged(parts: list[np.ndarray]) -> np.ndarray:
+    """Entries with the counts of equal keys added up (``_MOST`` at most)."""
+    if len(parts) == 1:
+        return parts[0]
+    all_of = np.sort(np.concatenate(parts))
+    key = all_of >> np.uint64(16)
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    n = np.add.reduceat((all_of & np.uint64(_MOST)).astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
+    return key[first] << np.uint64(16) | np.minimum(n, _MOST).astype(np.uint64)
+
+
+def _packed(entries: np.ndarray) -> bytes:
+    """Sorted entries byte plane by byte plane: the high ones hardly change."""
+    return zstandard.compress(np.ascontiguousarray(entries.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view(np.uint64).ravel()
 
 
 def _pieces(text: bytes) -> Iterator[bytes]:
@@ -147,15 +198,15 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], Word
     salt_of: dict[str, int] = {}
 
     def made(texts: list[bytes], langs: list[str]) -> tuple[list[str], Words]:
-        for lang in langs:
+        for lang in set(langs):
             if lang not in salt_of:
                 salt_of[lang] = xxh64_intdigest(lang.encode("utf-8", "replace"))
         return langs, Words(texts, np.array([salt_of[lang] for lang in langs], np.uint64))
 
     texts, langs, size = [], [], 0
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            for part in _pieces(text.cast(pa.binary()).as_py() or b""):
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+            for part in _pieces(text or b""):
                 texts.append(part)
                 langs.append(lang)
                 size += len(part) + 1
@@ -166,50 +217,101 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], Word
         yield made(texts, langs)
 
 
-def _scan(shard: DataFrame, step: int, taken: tuple, shards: int, longest: int) -> DataFrame:
-    """``key``, ``n`` and ``since`` (the scan it is active from) of the active
-    phrases of a shard."""
+_COUNTS = "bucket int, since int, data binary"
+
+
+def _scan(shard: DataFrame, step: int, taken: tuple, shards: int, longest: int, bits: int) -> DataFrame:
+    """Packed counts of the active phrases of a shard, per ``bucket`` (the
+    first ``bits`` of the key) and scan they are active ``since``."""
     shared = shard.sparkSession.sparkContext.broadcast(taken)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reached = _table(shared.value)
-        for _, words in _chunks(batches):
-            for _, key, active, _ in _levels(words, reached, longest):
-                now = (active <= step) & (step < active + shards)
-                if now.any():
-                    keys, at, n = _counted(key[now])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64)),
-                         pa.array(active[now][at].astype(np.int32))], ["key", "n", "since"])
+        reached, held, size = _table(shared.value), {}, 0
+        edges = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
 
-    return shard.mapInArrow(count, "key long, n long, since int")
+        def rows() -> pa.RecordBatch:
+            out = []
+            for since, parts in held.items():
+                entries = _merged(parts)
+                cuts = [0, *np.searchsorted(entries, edges).tolist(), len(entries)]
+                out += [(k, since, _packed(entries[a:b])) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+            return _batch(out)
+
+        for _, words in _chunks(batches):
+            for n, _, key, active, _ in _levels(words, reached, longest):
+                for since in range(max(0, step - shards + 1), step + 1):
+                    now = key if n == 1 and since == 0 else key[active == since] if n > 1 else key[:0]
+                    if len(now):
+                        held.setdefault(since, []).append(_entries(now, n))
+                        size += len(held[since][-1])
+            if size > HELD_COUNTS:
+                yield rows()
+                held, size = {}, 0
+        if held:
+            yield rows()
+
+    return shard.mapInArrow(count, _COUNTS)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.int32(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
+                                      ["bucket", "since", "data"])
+
+
+def _together(counts: DataFrame, step: int, shards: int, least: int) -> DataFrame:
+    """Counts added up per bucket and start; ``slots`` of the phrases that have
+    reached the threshold.  A bucket holds a bounded share of the keys.  Where
+    the cycle is over, the counts themselves go."""
+    def add(key: tuple, rows: pa.Table) -> pa.Table:
+        parts: dict[int, list] = {}
+        for since, data in zip(rows.column("since").to_pylist(), rows.column("data").to_pylist()):
+            parts.setdefault(since, []).append(_unpacked(data))
+        out = []
+        for since, of in parts.items():
+            entries = _merged(of)
+            high = entries[(entries & np.uint64(_MOST)) >= least] >> np.uint64(16)
+            slots = ((high & np.uint64(3)).astype(np.int64) << SLOT_BITS - 2) + (
+                high >> np.uint64(2 + 48 - SLOT_BITS)).astype(np.int64)
+            open_still = since + shards - 1 > step
+            out.append((since, _packed(entries) if open_still else b"", np.unique(slots).astype(np.int32).tobytes()))
+        return pa.table({"bucket": pa.array([key[0].as_py()] * len(out), pa.int32()),
+                         "since": pa.array([o[0] for o in out], pa.int32()),
+                         "data": pa.array([o[1] for o in out], pa.binary()),
+                         "slots": pa.array([o[2] for o in out], pa.binary())})
+
+    return counts.groupBy("bucket").applyInArrow(add, _COUNTS + ", slots binary")
 
 
 def _by_words(docs: DataFrame, taken: tuple, longest: int) -> DataFrame:
     """``lang``, ``words``, ``phrase``, ``f`` of the phrases whose slot is
-    taken; the row of a language without words has all its words as ``f``."""
+    taken; a row of 0 words has all words of its language as ``f``."""
     shared = docs.sparkSession.sparkContext.broadcast(taken)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reached = _table(shared.value)
+
+        def rows(lang: pa.Array, words: int, phrase: pa.Array, f: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([lang, pa.array(np.full(len(f), words, np.int32)), phrase,
+                                               pa.array(f.astype(np.int64))], ["lang", "words", "phrase", "f"])
+
         for langs, words in _chunks(batches):
-            names = np.array(langs, object)
-            name, total = np.unique(names[words.text].astype(str), return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(name.tolist(), pa.string()), pa.array([0] * len(name), pa.int32()),
-                 pa.array([""] * len(name), pa.string()), pa.array(total.astype(np.int64))],
-                ["lang", "words", "phrase", "f"])
-            for n, key, _, when in _levels(words, reached, longest):
-                at = np.flatnonzero(when < _NEVER)
-                _, first, f = _counted(key[at])
-                at = at[first]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names[words.text[at]].tolist(), pa.string()), pa.array([n] * len(at), pa.int32()),
-                     pa.array([words.phrase(i, n) for i in at.tolist()], pa.string()),
-                     pa.array(f.astype(np.int64))], ["lang", "words", "phrase", "f"])
-
-    rows = docs.mapInArrow(count, "lang string, words int, phrase string, f long")
-    return rows.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
+            names = pa.array(langs, pa.string())
+            total = pc.value_counts(names.take(pa.array(words.text)))
+            n = total.field("counts").to_numpy()
+            yield rows(total.field("values"), 0, pa.array([""] * len(n), pa.string()), n)
+            for n, at, key, _, when in _levels(words, reached, longest):
+                known = np.flatnonzero(when < _NEVER)
+                at, key = at[known], key[known]
+                order = np.argsort(key)
+                key = key[order]
+                first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else order
+                at = at[order[first]]
+                yield rows(names.take(pa.array(words.text[at])), n, words.phrases(at, n),
+                           np.diff(np.append(first, len(key))))
+
+    found = docs.mapInArrow(count, "lang string, words int, phrase string, f long")
+    return found.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST,
@@ -217,30 +319,40 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     """``lang``, ``words``, ``phrase``, ``f`` of every phrase of up to
     ``longest`` words with at least ``least`` occurrences inside pieces, and
     per language a row of 0 words whose ``f`` counts all its words."""
+    if not (1 <= least <= _MOST and 1 <= longest <= 4):
+        raise ValueError(f"least is 1 to {_MOST}, longest 1 to 4")
     spark = docs.sparkSession
     path = scratch_folder(spark, "phrase-shards")
-    (docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(_UNDEFINED)).alias("lang"),
-                 F.coalesce(F.col("text"), F.lit("")).alias("text"),
+    text, size = F.coalesce(F.col("text"), F.lit("")), Observation("phrase-shards")
+    (docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(_UNDEFINED)).alias("lang"), text.alias("text"),
                  F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int").alias("shard"))
-     .write.partitionBy("shard").parquet(path))
+     .observe(size, F.sum(F.octet_length("text")).alias("bytes"))
+     .write.option("compression", "zstd").partitionBy("shard").parquet(path))
+    # buckets grow with the text, so that what one task adds up does not
+    bits = min(18, max(4, ((size.get["bytes"] or 0) // BUCKET_BYTES).bit_length()))
     table = spark.read.schema("lang string, text string, shard int").parquet(path)
-    counts, step, last = None, 0, -1
     slots, steps = np.zeros(0, np.int64), np.zeros(0, np.int16)
-    # a slot taken at the end of a scan starts phrases in the next ``longest - 1`` scans
-    while step < shards or step <= last + longest - 1 + shards - 1:
+    counts, step, end, last = None, 0, shards - 1, [-1] * (longest + 1)
+    while step <= end:
         shard = table.where(F.col("shard") == step % shards).select("lang", "text")
-        new = _scan(shard, step, (slots, steps), shards, longest)
-        both = written((new if counts is None else counts.unionByName(new)).groupBy("key").agg(
-            F.sum("n").alias("n"), F.min("since").alias("since")), "phrases")
+        new = _scan(shard, step, (slots, steps), shards, longest, bits)
+        both = written(_together(new if counts is None else counts.unionByName(new), step, shards, least), "phrases")
         # bounded by the number of slots
-        got = (both.where(F.col("n") >= least)
-               .select(F.shiftrightunsigned("key", 64 - SLOT_BITS).cast("int").alias("slot")).distinct().toArrow())
-        found = np.setdiff1d(got.column("slot").to_numpy().astype(np.int64), slots)
-        if len(found):
-            last = step
-            slots = np.concatenate([slots, found])
-            steps = np.concatenate([steps, np.full(len(found), step, np.int16)])
-        counts = both.where(F.col("since") + shards - 1 > step)
+        got = both.where("octet_length(slots) > 0").select("slots").toArrow().column("slots")
+        seen = np.unique(np.frombuffer(b"".join(got.to_pylist()), np.int32)).astype(np.int64)
+        found = np.setdiff1d(seen, slots)
+        slots = np.concatenate([slots, found])
+        steps = np.concatenate([steps, np.full(len(found), step, np.int16)])
+        for n in (np.unique(found >> SLOT_BITS - 2) + 1).tolist():
+            last[n] = step
+        # the last scan a phrase can become active for, length by length
+        active = 0
+        for n in range(2, longest + 1):
+            if last[n - 1] < 0:
+                break
+            active = max(last[n - 1], active) + 1
+            end = max(end, active + shards - 1)
+        counts = both.where("octet_length(data) > 0").drop("slots")
         step += 1
     return (_by_words(table.select("lang", "text"), (slots, steps), longest)
             .where((F.col("words") == 0) | (F.col("f") >= least)))
