@@ -86,8 +86,8 @@ class Tree:
         self.v, self.ids, self.nodes = v, ids, nodes
         ranges = [(a, b) for a, b, _, _ in nodes]
         d = v.shape[1]
-        self.low = np.array([v[a:b].min(axis=0) for a, b in ranges]).reshape(-1, d)
-        self.high = np.array([v[a:b].max(axis=0) for a, b in ranges]).reshape(-1, d)
+        self.low = np.array([v[a:b].min(axis=0) for a, b in ranges]).reshape(len(ranges), d)
+        self.high = np.array([v[a:b].max(axis=0) for a, b in ranges]).reshape(len(ranges), d)
         self.least = [int(ids[a:b].min()) for a, b in ranges]
         self.most = float(np.abs(v).max()) if v.size else 0.0
 
