@@ -15,7 +15,8 @@ content containers, or, being one itself by its class, of all words.
 Defined results: null html is an empty page, whose text is empty; white space
 inside a block (a line break tag included) is one space; malformed pages are
 read as far as they go, an unclosed comment, script or style reaching to the
-end; repeated rows are read alike; an empty table gives no rows; other columns,
+end, in time linear in their length, however deep, long or broken; a leaf of the
+tree with as much text as other blocks keeps; repeated rows are read alike; an empty table gives no rows; other columns,
 whatever their names, are ignored.
 """
 
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import html as html_references
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -55,12 +57,12 @@ _EDGE_TAGS = frozenset(["header"])
 _EDGE_ROLES = frozenset(["banner"])
 _EDGE_WORDS = frozenset("header masthead topbar footer bottom copyright".split())
 _CONTENT_TAGS = frozenset("article main".split())
+# Elements of the text itself, whose class says how they look.
+_TEXT_TAGS = frozenset("figure figcaption pre p h1 h2 h3 h4 h5 h6".split())
 _CONTENT_WORDS = frozenset("article content post entry story main".split())
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"""|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""",
-    re.S)
+_OPENING = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_QUOTE_OR_END = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORDS = re.compile("[a-z]+")
 
@@ -75,18 +77,101 @@ class Block:
     content: bool = False
     boiler: bool = False
     heading: bool = False
-    holders: tuple[Holder, ...] = field(default=(), repr=False)
+    holder: Holder | None = field(default=None, repr=False)
 
 
 @dataclass(eq=False)
 class Holder:
     """An open element that is a container: of content; of what stands beside
-    it by its element, role or hiding (``firm``) or by class or id (``named``)."""
+    it by its element, role or hiding (``firm``) or by class or id (``named``);
+    ``outer`` is the container around it."""
 
     content: bool
     firm: bool
     named: bool
     inside: bool
+    outer: Holder | None
+    own: int = 0    # words in it
+    held: int = 0   # of these, words of content containers in it
+    boiler: bool = False
+
+    def __post_init__(self) -> None:
+        outer = self.outer
+        self.any_firm = self.firm or outer is not None and outer.any_firm
+        # the innermost container of content that is not named as what stands beside
+        self.clean = self if self.content and not self.named else outer and outer.clean
+
+
+class _Tags:
+    """The mark-up of a page in order, in time linear in its length: a place
+    from which no tag end was found is remembered, so it is passed once."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = {c: page.rfind(c) for c in ">\"'"}
+        self.failed: set[int] = set()
+        self.near = (0, -1)  # the search from the first place found the second
+
+    def _special(self, at: int) -> int:
+        """Next quote or tag end, or -1."""
+        if at > max(self.last.values()):
+            return -1
+        if not self.near[0] <= at <= self.near[1]:
+            self.near = (at, _QUOTE_OR_END.search(self.page, at).start())
+        return self.near[1]
+
+    def _end(self, at: int) -> int:
+        """Place of the ``>`` that ends a tag, quoted ones passed over; -1
+        without one."""
+        passed, first = [], True
+        while True:
+            found = self._special(at) if first else (
+                _QUOTE_OR_END.search(self.page, at).start() if at <= max(self.last.values()) else -1)
+            first = False
+            if found >= 0 and self.page[found] == ">":
+                return found
+            if found >= 0 and found not in self.failed and found < self.last[self.page[found]]:
+                passed.append(found)
+                at = self.page.find(self.page[found], found + 1) + 1
+                continue
+            self.failed.update(passed)
+            if found >= 0:
+                self.failed.add(found)
+            return -1
+
+    def __iter__(self) -> Iterator[tuple[int, int, str, str, str, str]]:
+        """Per mark-up: start, end, ``/`` of a closing tag, name, attributes
+        and text of a character section.  The caller may ``skip`` ahead."""
+        page, self.at = self.page, 0
+        while True:
+            start = page.find("<", self.at)
+            if start < 0:
+                return
+            if page.startswith("<!--", start) or page.startswith("<![CDATA[", start):
+                close, skip = ("-->", 4) if page[start + 2] == "-" else ("]]>", 9)
+                end = page.find(close, start + skip)
+                inner = page[start + 9:end if end >= 0 else len(page)] if skip == 9 else ""
+                self.skip(end + 3 if end >= 0 else len(page))
+                yield start, self.at, "", "", "", inner
+                continue
+            if self.last[">"] < start:
+                return  # no mark-up ends any more
+            opening = _OPENING.match(page, start)
+            if not opening:
+                if page[start + 1:start + 2] in ("!", "?"):
+                    self.skip(page.find(">", start) + 1)
+                    yield start, self.at, "", "", "", ""
+                else:
+                    self.at = start + 1
+                continue
+            end = self._end(opening.end())
+            if end < 0:
+                end = page.find(">", opening.end())
+            self.skip(end + 1)
+            yield start, self.at, opening[1], opening[2].lower(), page[opening.end():end], ""
+
+    def skip(self, at: int) -> None:
+        self.at = at
 
 
 def _role(tag: str, attributes: str, inside: bool) -> tuple[bool, bool, bool]:
@@ -112,23 +197,30 @@ def _role(tag: str, attributes: str, inside: bool) -> tuple[bool, bool, bool]:
     return content, aside or edge and not inside, named
 
 
-def _flag(page: list[Block]) -> None:
-    """Set the blocks' boilerplate flags from what encloses them."""
-    total = sum(b.words for b in page if not any(h.firm for h in b.holders))
-    clean, held, own = 0, {}, {}
+def _flag(page: list[Block], holders: list[Holder]) -> None:
+    """Set the blocks' boilerplate flags from what encloses them; ``holders``
+    in the order they opened, outer ones first."""
+    total = clean = 0
     for b in page:
-        if any(h.firm for h in b.holders):
+        h = b.holder
+        if h is not None and h.any_firm:
             continue
-        at = max((k for k, h in enumerate(b.holders) if h.content and not h.named), default=-1)
-        clean += b.words if at >= 0 else 0
-        for k, h in enumerate(b.holders):
-            if h.named and not h.inside:
-                own[h] = own.get(h, 0) + b.words
-                if k < at:
-                    held[h] = held.get(h, 0) + b.words
+        total += b.words
+        if h is not None:
+            h.own += b.words
+            if h.clean is not None:
+                clean += b.words
+                h.clean.held += b.words
+    for h in reversed(holders):
+        if h.outer is not None:
+            h.outer.own += h.own
+            h.outer.held += h.held
+    for h in holders:
+        own, held = (0, 0) if h.inside else (h.own, h.held)
+        h.boiler = h.firm or h.named and not (2 * held > clean or h.content and 2 * own > total)
+        h.boiler |= h.outer is not None and h.outer.boiler
     for b in page:
-        b.boiler = any(h.firm or h.named and not (
-            2 * held.get(h, 0) > clean or h.content and 2 * own.get(h, 0) > total) for h in b.holders)
+        b.boiler = b.holder is not None and b.holder.boiler
 
 
 def blocks(page: str | None) -> list[Block]:
@@ -137,16 +229,18 @@ def blocks(page: str | None) -> list[Block]:
     out: list[Block] = []
     pieces: list[str] = []
     links: list[str] = []
-    # open block-level elements: tag, in content, containers around
-    stack: list[tuple[str, bool, tuple[Holder, ...]]] = [("", False, ())]
+    # open block-level elements: tag, in content, container around
+    stack: list[tuple[str, bool, Holder | None]] = [("", False, None)]
+    opened: Counter[str] = Counter()
+    holders: list[Holder] = []
     in_link, in_head, at = 0, False, 0
 
     def end_block() -> None:
         text = " ".join("".join(pieces).split())
         if text and not in_head:
-            _, content, holders = stack[-1]
+            _, content, holder = stack[-1]
             heading = any(s[0] in _HEADINGS for s in stack[-2:])
-            out.append(Block(text, len(text.split()), len("".join(links).split()), content, False, heading, holders))
+            out.append(Block(text, len(text.split()), len("".join(links).split()), content, False, heading, holder))
         pieces.clear()
         links.clear()
 
@@ -156,24 +250,22 @@ def blocks(page: str | None) -> list[Block]:
             pieces.append(text)
             links.append(text if in_link else " ")
 
-    while at < len(page):
-        found = _TAG.search(page, at)
-        if not found:
-            add(page[at:])
-            break
-        add(page[at:found.start()])
-        at = found.end()
-        if found[0].startswith("<![CDATA["):
-            add(found[0][9:].removesuffix("]]>"))
-        closing = found[1] or found[4]
-        tag = (found[2] or found[5] or "").lower()
-        attributes = found[3] or found[6] or ""
+    def pop() -> None:
+        opened[stack.pop()[0]] -= 1
+
+    tags = _Tags(page)
+    for start, end, closing, tag, attributes, section in tags:
+        add(page[at:start])
+        at = end
+        add(section)
         if not tag:
             continue
         if tag in _RAW_TAGS and not closing:
             if not attributes.endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
+                found = re.compile(rf"</{re.escape(tag)}\b", re.I).search(page, at)
+                close = page.find(">", found.end()) if found else -1
+                at = close + 1 if close >= 0 else len(page)
+                tags.skip(at)
         elif tag == "br":
             pieces.append(" ")
             links.append(" ")
@@ -186,23 +278,26 @@ def blocks(page: str | None) -> list[Block]:
             if tag in _VOID_TAGS:
                 continue
             if closing:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == tag:
-                        del stack[k:]
-                        break
+                if opened[tag]:
+                    while stack[-1][0] != tag:
+                        pop()
+                    pop()
             else:
                 if stack[-1][0] == "p" or tag in _HEADINGS and stack[-1][0] in _HEADINGS:
-                    stack.pop()
+                    pop()
                 if tag in ("li", "option", "dd", "dt", "tr", "td", "th") and stack[-1][0] == tag:
-                    stack.pop()
-                _, inside, holders = stack[-1]
+                    pop()
+                _, inside, holder = stack[-1]
                 content, firm, named = (False, False, False) if tag in ("html", "body") else _role(tag, attributes, inside)
                 if content or firm or named:
-                    holders += Holder(content, firm, named, inside),
-                stack.append((tag, inside or content, holders))
+                    holder = Holder(content, firm, named and tag not in _TEXT_TAGS, inside, holder)
+                    holders.append(holder)
+                stack.append((tag, inside or content, holder))
+                opened[tag] += 1
                 in_link = 0
+    add(page[at:])
     end_block()
-    _flag(out)
+    _flag(out, holders)
     return out
 
 
@@ -233,8 +328,8 @@ LABELLED = """
 1 1 b 0; 10 0 hc 1; 10 0 cb 0; 300 0 cb 0; 90 0 c 1; 7 0 b 0
 3 3 b 0; 6 0 hc 1; 40 0 c 1; 35 2 c 1; 8 0 hcb 0; 28 0 cb 0; 64 0 cb 0; 2 2 cb 0; 9 0 b 0
 12 0 b 0; 5 0 hc 1; 3 0 c 1; 4 4 cb 0; 5 5 cb 0; 70 0 c 1; 1 0 cb 0; 3 3 cb 0; 52 0 c 1; 6 0 cb 0
-2 0 - 0; 21 0 - 1; 3 0 - 0; 16 0 - 1; 1 1 - 0; 1 1 - 0
-1 0 - 0; 30 0 - 1; 14 1 - 1; 2 0 - 0; 26 0 - 1; 15 0 - 1; 2 2 - 0; 12 12 - 0
+2 0 - 0; 21 0 - 1; 3 0 - 1; 16 0 - 1; 1 1 - 0; 1 1 - 0
+1 0 - 0; 30 0 - 1; 14 1 - 1; 2 0 - 1; 26 0 - 1; 15 0 - 1; 2 2 - 0; 12 12 - 0
 3 0 - 0; 24 24 - 0; 19 0 - 1; 1 0 - 0; 1 0 - 0; 13 0 - 1; 3 0 - 0; 20 17 - 0
 14 0 - 1
 9 0 h 1; 40 0 - 1; 25 0 - 1
@@ -245,6 +340,10 @@ LABELLED = """
 2 2 b 0; 3 3 b 0; 9 0 hb 0; 110 0 b 1; 95 2 b 1; 130 4 b 1; 102 0 b 1; 5 0 b 0; 2 2 b 0
 7 0 hc 1; 4 0 c 1; 3 1 c 1; 2 0 cb 0; 4 0 cb 0; 1 0 c 1; 5 2 c 1; 6 2 c 1; 2 0 cb 0; 30 9 c 1; 3 0 c 1
 3 3 b 0; 9 0 h 1; 60 0 - 1; 44 0 - 1; 6 0 hb 0; 130 0 b 0; 5 0 b 0; 125 0 b 0; 2 0 b 0
+2 0 h 1; 40 0 - 1; 1 0 h 1; 2 0 - 1; 30 0 - 1
+2 2 b 0; 3 0 h 1; 25 0 - 1; 90 1 - 1; 2 0 h 1; 3 0 - 1; 55 0 - 1; 1 0 h 1; 18 0 - 1; 2 0 b 0
+1 0 h 1; 70 0 - 1; 4 0 - 1; 38 0 - 1; 5 0 h 1; 66 0 - 1; 3 3 - 0; 2 2 - 0
+1 0 hb 0; 4 4 b 0; 3 3 b 0; 2 0 hb 0; 20 0 b 0; 2 0 h 1; 22 0 - 1; 60 0 - 1; 3 0 - 1; 47 0 - 1
 """
 
 
@@ -278,7 +377,7 @@ class Node:
         return out
 
 
-def grow(x: np.ndarray, y: np.ndarray, depth: int = 6) -> Node:
+def grow(x: np.ndarray, y: np.ndarray, depth: int = 8) -> Node:
     """A classification tree by the largest fall of Gini impurity."""
     share = float(y.mean())
     if depth == 0 or share in (0.0, 1.0):
