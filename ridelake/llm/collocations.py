@@ -45,15 +45,16 @@ TOP = 2000
 # occurrences takes its place.
 WITHIN_PERCENT = 80
 SHARDS = 3
-SLOT_BITS = 23
+SLOT_BITS = 25
 # Text a Python worker works on at once.
 CHUNK_BYTES = 4 << 20
 # Counts a Python worker holds before it hands them on, and the text that makes
 # one bucket of counts.
 HELD_COUNTS = 2_000_000
 BUCKET_BYTES = 8 << 20
-# Copies of a large table of phrases in a join on frequent parts.
-_SALTS = 8
+# Parts of more phrases than this, or this share of all cuts, are joined by
+# broadcast; at most ``_HOT_PARTS`` can be.
+_MANY_CUTS, _HOT_PARTS = 1000, 10000
 
 _NEVER = np.int16(1 << 12)
 _UNDEFINED = "und"
@@ -360,15 +361,21 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
 
 def _frequency_of(rows: DataFrame, part: str, frequent: DataFrame, out: str) -> DataFrame:
     """``rows`` with the frequency ``out`` of the phrase in column ``part``.  A
-    word may be part of very many phrases: a table too large to broadcast is
-    joined in salted copies."""
+    word may be part of very many phrases: where the table of phrases is too
+    large to broadcast, the few such parts are, and the others are joined by a
+    shuffle."""
     found = frequent.select("lang", F.col("phrase").alias(part), F.col("f").alias(out))
     small = broadcast_if_small(found)
     if small is not found:
         return rows.join(small, ["lang", part])
-    salt = F.pmod(F.xxhash64("phrase"), F.lit(_SALTS)).cast("int")
-    copies = found.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    return rows.withColumn("_salt", salt).join(copies, ["lang", part, "_salt"]).drop("_salt")
+    rows = written(rows, "cuts")
+    many = max(_MANY_CUTS, rows.count() // _HOT_PARTS)
+    uses = rows.groupBy("lang", part).agg(F.count(F.lit(1)).alias("uses")).where(F.col("uses") > many)
+    # bounded: every cut has one such part, so few parts have many cuts
+    hot = F.broadcast(uses.drop("uses").join(found, ["lang", part]))
+    met = rows.join(hot, ["lang", part], "left")
+    rest = met.where(F.col(out).isNull()).drop(out).join(found, ["lang", part])
+    return met.where(F.col(out).isNotNull()).unionByName(rest)
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP,
