@@ -26,6 +26,7 @@ Ties in the ranking are broken by the phrase itself, which is unique.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,6 +53,9 @@ CHUNK_BYTES = 4 << 20
 # one bucket of counts.
 HELD_COUNTS = 2_000_000
 BUCKET_BYTES = 8 << 20
+# The same of the last scan, which counts by words.
+HELD_PHRASES = 1_000_000
+PHRASE_BYTES = 32 << 20
 # Parts of more phrases than this, or this share of all cuts, are joined by
 # broadcast; at most ``_HOT_PARTS`` can be.
 _MANY_CUTS, _HOT_PARTS = 1000, 10000
@@ -284,23 +288,30 @@ def _together(counts: DataFrame, step: int, shards: int, least: int) -> DataFram
     return counts.groupBy("bucket").applyInArrow(add, _COUNTS + ", slots binary")
 
 
-def _by_words(docs: DataFrame, taken: tuple, longest: int) -> DataFrame:
+_FOUND = "bucket int, langs array<string>, sizes array<int>, phrases binary, counts binary"
+
+
+def _by_words(docs: DataFrame, taken: tuple, longest: int, least: int, bits: int) -> DataFrame:
     """``lang``, ``words``, ``phrase``, ``f`` of the phrases whose slot is
-    taken; a row of 0 words has all words of its language as ``f``."""
+    taken and that occur ``least`` times; a row of 0 words has all words of its
+    language as ``f``.  Phrases go to buckets by the first ``bits`` of their
+    key, sorted and packed, and are added up there by their words."""
     shared = docs.sparkSession.sparkContext.broadcast(taken)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reached = _table(shared.value)
+        reached, held, size = _table(shared.value), [], 0
+        code_of: dict[str, int] = {}
 
-        def rows(lang: pa.Array, words: int, phrase: pa.Array, f: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([lang, pa.array(np.full(len(f), words, np.int32)), phrase,
-                                               pa.array(f.astype(np.int64))], ["lang", "words", "phrase", "f"])
+        def group(key: np.ndarray, code: np.ndarray) -> np.ndarray:
+            return (key >> np.uint64(64 - bits)).astype(np.int64) << 32 | code
 
         for langs, words in _chunks(batches):
-            names = pa.array(langs, pa.string())
-            total = pc.value_counts(names.take(pa.array(words.text)))
-            n = total.field("counts").to_numpy()
-            yield rows(total.field("values"), 0, pa.array([""] * len(n), pa.string()), n)
+            code = np.array([code_of.setdefault(lang, len(code_of)) for lang in langs], np.int64)[words.text]
+            # all words of a language: an empty phrase, which no other is
+            of, n = np.unique(code, return_counts=True)
+            names = list(code_of)
+            key = np.array([zlib.crc32(names[c].encode("utf-8", "replace")) << 32 for c in of], np.uint64)
+            held.append(_held(group(key, of), pa.array([""] * len(of), pa.string()), n))
             for n, at, key, _, when in _levels(words, reached, longest):
                 known = np.flatnonzero(when < _NEVER)
                 at, key = at[known], key[known]
@@ -308,11 +319,62 @@ def _by_words(docs: DataFrame, taken: tuple, longest: int) -> DataFrame:
                 key = key[order]
                 first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else order
                 at = at[order[first]]
-                yield rows(names.take(pa.array(words.text[at])), n, words.phrases(at, n),
-                           np.diff(np.append(first, len(key))))
+                held.append(_held(group(key[first], code[at]), words.phrases(at, n),
+                                  np.diff(np.append(first, len(key)))))
+                size += len(at)
+            if size > HELD_PHRASES:
+                yield _sent(held, list(code_of))
+                held, size = [], 0
+        if held:
+            yield _sent(held, list(code_of))
+
+    def add(key: tuple, rows: pa.Table) -> pa.Table:
+        # a task of its own reads it: no threads beside it
+        got = (pa.concat_tables([_read(row) for row in rows.to_pylist()]).group_by(["lang", "phrase"], use_threads=False)
+               .aggregate([("f", "sum")]))
+        phrase = got.column("phrase")
+        words = pc.if_else(pc.equal(pc.binary_length(phrase), 0), 0, pc.add(pc.count_substring(phrase, " "), 1))
+        out = pa.table({"lang": got.column("lang"), "words": words.cast(pa.int32()), "phrase": phrase,
+                        "f": got.column("f_sum")})
+        return out.filter(pc.or_(pc.equal(words, 0), pc.greater_equal(out.column("f"), least)))
+
+    return (docs.mapInArrow(count, _FOUND).groupBy("bucket")
+            .applyInArrow(add, "lang string, words int, phrase string, f long"))
+
+
+def _held(group: np.ndarray, phrase: pa.Array, f: np.ndarray) -> pa.Table:
+    return pa.table({"group": pa.array(group), "phrase": phrase, "f": pa.array(f.astype(np.int64))})
+
+
+def _sent(held: list[pa.Table], langs: list[str]) -> pa.RecordBatch:
+    """Counts added up by ``group`` (bucket and language) and phrase; a row a
+    bucket, its languages one after the other, their phrases in order."""
+    table = (pa.concat_tables(held).group_by(["group", "phrase"], use_threads=False).aggregate([("f", "sum")])
+             .sort_by([("group", "ascending"), ("phrase", "ascending")]))
+    group, f = table.column("group").to_numpy(), table.column("f_sum").to_numpy()
+    phrase = table.column("phrase").combine_chunks()
+    cuts = np.append(np.flatnonzero(np.diff(group, prepend=-1)), len(group))
+    whole = np.append(np.flatnonzero(np.diff(group[cuts[:-1]] >> 32, prepend=-1)), len(cuts) - 1)
+    rows = []
+    for a, b in zip(whole, whole[1:]):
+        first, last = cuts[a], cuts[b]
+        joined = pc.binary_join(pa.ListArray.from_arrays([0, last - first], phrase[first:last]), "\n")[0].as_py()
+        rows.append((int(group[first] >> 32), [langs[c] for c in group[cuts[a:b]] & 0xFFFFFFFF],
+                     np.diff(cuts[a:b + 1]).tolist(), zstandard.compress(joined.encode(), 3),
+                     _packed(f[first:last].astype(np.uint64))))
+    kinds = [pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
+                                      ["bucket", "langs", "sizes", "phrases", "counts"])
+
 
-    found = docs.mapInArrow(count, "lang string, words int, phrase string, f long")
-    return found.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
+def _read(row: dict) -> pa.Table:
+    """Languages, phrases and counts of one packed row."""
+    data = np.frombuffer(zstandard.decompress(row["phrases"]) + b"\n", np.uint8)
+    ends = np.flatnonzero(data == 10)
+    stops = np.concatenate([[0], ends - np.arange(len(ends))]).astype(np.int32)
+    phrase = pa.Array.from_buffers(pa.string(), len(ends), [None, pa.py_buffer(stops), pa.py_buffer(data[data != 10])])
+    lang = pa.array(row["langs"], pa.string()).take(pa.array(np.repeat(np.arange(len(row["langs"])), row["sizes"])))
+    return pa.table({"lang": lang, "phrase": phrase, "f": pa.array(_unpacked(row["counts"]).astype(np.int64))})
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST,
@@ -330,7 +392,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
      .observe(size, F.sum(F.octet_length("text")).alias("bytes"))
      .write.option("compression", "zstd").partitionBy("shard").parquet(path))
     # buckets grow with the text, so that what one task adds up does not
-    bits = min(18, max(4, ((size.get["bytes"] or 0) // BUCKET_BYTES).bit_length()))
+    text_bytes = size.get["bytes"] or 0
+    bits = min(18, max(4, (text_bytes // BUCKET_BYTES).bit_length()))
     table = spark.read.schema("lang string, text string, shard int").parquet(path)
     slots, steps = np.zeros(0, np.int64), np.zeros(0, np.int16)
     counts, step, end, last = None, 0, shards - 1, [-1] * (longest + 1)
@@ -355,8 +418,9 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
             end = max(end, active + shards - 1)
         counts = both.where("octet_length(data) > 0").drop("slots")
         step += 1
-    return (_by_words(table.select("lang", "text"), (slots, steps), longest)
-            .where((F.col("words") == 0) | (F.col("f") >= least)))
+    # more text a bucket than in the scans: the fewer, the better phrases pack
+    bits = min(24, max(1, (text_bytes // PHRASE_BYTES).bit_length()))
+    return _by_words(table.select("lang", "text"), (slots, steps), longest, least, bits)
 
 
 def _frequency_of(rows: DataFrame, part: str, frequent: DataFrame, out: str) -> DataFrame:
