@@ -23,6 +23,16 @@ def path_order_id(path: Column) -> Column:
     return _nz(F.regexp_extract(path, r"^/orders/([^/]+)", 1))
 
 
+def uri_path(uri: Column) -> Column:
+    """The path of a request URI, what is before the first ``?``."""
+    return F.regexp_extract(uri, r"^[^?]*", 0)
+
+
+def uri_query(uri: Column) -> Column:
+    """The query string of a request URI, null when it has none or an empty one."""
+    return _nz(F.regexp_extract(uri, r"(?s)^[^?]*\?(.*)$", 1))
+
+
 def route(method: Column, path: Column) -> Column:
     """Normalise method + path to one of the four service routes."""
     return (F.when((method == "POST") & (path == "/offers"), "create_offer")

@@ -17,7 +17,7 @@ updated orders snapshot and ``ledger_rollup`` the per-order pivot (A15).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -26,9 +26,21 @@ from ..functions.status import FINISH_STATUS, status_code
 from ..plans import partitions
 from ..sources.tables import resolve_configs
 
+# Ids of the charge and of the release, where the payment feed has them.
+TXN_ID_COLUMNS = ("charge_txn_id", "unhold_txn_id")
+
 
 def payment_results(outcomes: DataFrame) -> DataFrame:
-    """Pivot the payment feed to one row per order (charge, unhold)."""
+    """Pivot the payment feed to one row per order (charge, unhold).  A feed
+    with ``transaction_id`` also gives the id of each operation, of its
+    successful rows where it has any (the largest id, where several)."""
+    if "transaction_id" in outcomes.columns:
+        got = (outcomes.groupBy("order_id").pivot("op", ["hold", "charge", "unhold"])
+               .agg(F.max(F.struct(F.col("success").cast("int").alias("ok"), F.col("transaction_id").alias("txn")))))
+        return got.select("order_id", (F.col("hold.ok") == 1).alias("hold_ok"),
+                          (F.col("charge.ok") == 1).alias("charge_ok"),
+                          (F.col("unhold.ok") == 1).alias("unhold_result"),
+                          F.col("charge.txn").alias("charge_txn_id"), F.col("unhold.txn").alias("unhold_txn_id"))
     return (outcomes.groupBy("order_id").pivot("op", ["hold", "charge", "unhold"])
             .agg(F.max(F.col("success").cast("int")))
             .select("order_id", (F.col("hold") == 1).alias("hold_ok"),
@@ -66,6 +78,7 @@ def finish_rides(orders: DataFrame, requests: DataFrame, payments: DataFrame,
     outcome = (F.when(F.col("_reject").isNotNull(), F.col("_reject"))
                .when(~F.col("_win"), "ORDER_NOT_ACTIVE").otherwise(status))
     w = F.col("_win")
+    txn_ids = [F.when(w, F.col(c)).alias(c) for c in TXN_ID_COLUMNS if c in pay.columns]
     return j.select(
         *requests.columns,
         outcome.alias("outcome"),
@@ -76,28 +89,38 @@ def finish_rides(orders: DataFrame, requests: DataFrame, payments: DataFrame,
         F.when(w, unhold).alias("unhold_ok"),
         F.col("_o_user").alias("order_user_id"),
         F.col("_o_deposit").alias("order_deposit"),
+        *txn_ids,
     )
 
 
 def finish_ledger(finished: DataFrame, ts: str = "requested_at") -> DataFrame:
     """CLEAR (amount = total) and REFUND (amount = deposit) rows of each
-    billed finish; the CLEAR external id is always empty, REFUND is written
-    even when the release was never attempted."""
+    billed finish; REFUND is written even when the release was never attempted.
+    External ids are empty, unless the payment feed had them: then a successful
+    CLEAR or REFUND carries its own."""
     won = finished.where(F.col("outcome").isin("FINISHED", "PAYMENT_FAILED"))
     ok = lambda c: F.when(c, F.lit("SUCCESS")).otherwise(F.lit("FAILED"))
+
+    def external(done: str, txn_id: str) -> Column:
+        if txn_id not in finished.columns:
+            return F.lit("").alias("ext")
+        return F.when(F.col(done), F.coalesce(F.col(txn_id), F.lit(""))).otherwise("").alias("ext")
+
+    clear_id, refund_id = TXN_ID_COLUMNS
     rows = F.array(
         F.struct(pricing.clear_txn_id(F.col("order_id")).alias("id"),
                  F.lit("CLEAR").alias("transaction_type"),
-                 F.col("total_amount").alias("amount"), ok(F.col("charge_ok")).alias("status")),
+                 F.col("total_amount").alias("amount"), ok(F.col("charge_ok")).alias("status"),
+                 external("charge_ok", clear_id)),
         F.struct(pricing.refund_txn_id(F.col("order_id")).alias("id"),
                  F.lit("REFUND").alias("transaction_type"),
                  F.coalesce(F.col("order_deposit"), F.lit(0)).alias("amount"),
-                 ok(F.col("unhold_ok")).alias("status")))
+                 ok(F.col("unhold_ok")).alias("status"), external("unhold_ok", refund_id)))
     ex = won.select("order_id", F.col("order_user_id").alias("user_id"), F.col(ts).alias("_ts"),
                     F.inline(rows))
     return ex.select("id", "order_id", "user_id", "transaction_type",
                      F.col("amount").cast("int").alias("amount"), "status",
-                     F.lit("").alias("external_transaction_id"),
+                     F.col("ext").alias("external_transaction_id"),
                      F.lit(None).cast("string").alias("error_message"),
                      F.col("_ts").alias("created_at"))
 

@@ -44,6 +44,15 @@ def read_container_logs(spark, path: str, streaming: bool = False) -> DataFrame:
                       env["time"].alias("envelope_time"))
 
 
+def request_start_records(starts: DataFrame, uri_col: str = "uri") -> DataFrame:
+    """Request-start records; ``uri_col`` gives way to ``path``, ``query``
+    (null unless non-empty) and the ``order_id`` its path names."""
+    path = logfmt.uri_path(F.col(uri_col))
+    return starts.select(*[c for c in starts.columns if c != uri_col], path.alias("path"),
+                         logfmt.uri_query(F.col(uri_col)).alias("query"),
+                         logfmt.path_order_id(path).alias("order_id"))
+
+
 _REGEX_META = set("\\^$.|?*+()[]{}")
 
 

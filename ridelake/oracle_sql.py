@@ -859,6 +859,29 @@ HOLD_LEDGER_PAYMENT_IDS = HOLD_LEDGER.replace(
     "CAST(NULL AS VARCHAR) AS external_transaction_id",
     "'hold-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS external_transaction_id")
 
+FINISH_LEDGER_PAYMENT_IDS = with_standins(*_FIN_SRC, extra=_FINISH) + """
+SELECT * REPLACE (CASE WHEN status = 'SUCCESS' AND CAST(split_part(order_id, '-', 2) AS BIGINT) % 7 <> 0
+  THEN 'pay-' || CASE transaction_type WHEN 'CLEAR' THEN 'charge' ELSE 'unhold' END || '-' || order_id
+  ELSE '' END AS external_transaction_id) FROM fledger"""
+
+REQUEST_START_RECORDS = with_standins("request_log") + """
+SELECT ts, event_id, method, path, CASE WHEN event_id % 30 = 0 THEN 'from=/orders/x?&n=' || CAST(event_id AS VARCHAR) END AS query,
+  nullif(regexp_extract(path, '^/orders/([^/]+)', 1), '') AS order_id
+FROM request_log WHERE event = 'request_start'"""
+
+OFFER_REQUEST_BODIES = with_standins("offer_requests", extra={
+    "raw": """SELECT request_id, ts, CAST(substr(request_id, 5) AS BIGINT) AS n,
+        '{"user_id":"' || user_id || '","scooter_id":"' || scooter_id || '","extra":1}' AS whole, user_id FROM offer_requests""",
+    "sent": """SELECT request_id, ts, CASE WHEN n % 17 = 0 THEN NULL WHEN n % 13 = 0 THEN '[' || whole || ']'
+        WHEN n % 11 = 0 THEN left(whole, length(whole) - 2) WHEN n % 7 = 0 THEN '{}'
+        WHEN n % 5 = 0 THEN '{"user_id":"' || user_id || '"}' ELSE whole END AS body FROM raw""",
+    "ok": "SELECT *, coalesce(json_valid(body) AND left(body, 1) = '{', false) AS fine FROM sent",
+    "got": """SELECT request_id, ts, CASE WHEN fine THEN json_extract_string(body, '$.user_id') END AS user_id,
+        CASE WHEN fine THEN json_extract_string(body, '$.scooter_id') END AS scooter_id,
+        CASE WHEN NOT fine THEN coalesce(body, '') END AS malformed_body FROM ok"""}) + """
+SELECT *, CASE WHEN malformed_body IS NOT NULL THEN 'INVALID_BODY' WHEN coalesce(user_id, '') = '' THEN 'USER_ID_REQUIRED'
+  WHEN coalesce(scooter_id, '') = '' THEN 'SCOOTER_ID_REQUIRED' END AS reject FROM got"""
+
 _ADMISSION_COLS = f"order_id, offer_id, user_id, requested_at, hold_success, {TB}, outcome"
 
 ADMISSION_TWO_DAYS = with_standins("offers", "order_requests", extra=_ADMISSION) + f"""
@@ -930,6 +953,9 @@ ORACLE: dict[str, str] = {
     "orders_snapshot_readback": ORDERS_AFTER_FINISH,
     "ledger_snapshot_readback": LEDGER_SNAPSHOT,
     "hold_ledger_payment_ids": HOLD_LEDGER_PAYMENT_IDS,
+    "finish_ledger_payment_ids": FINISH_LEDGER_PAYMENT_IDS,
+    "request_start_records": REQUEST_START_RECORDS,
+    "offer_request_bodies": OFFER_REQUEST_BODIES,
     "panel_trailing_rps": PANEL_TRAILING_RPS,
     "cache_hit_rate_alert": CACHE_HIT_RATE_ALERT,
     "admission_two_days": ADMISSION_TWO_DAYS,

@@ -23,7 +23,7 @@ from .plans.materialize import materialize
 from .streaming import jobs
 from .session import scratch_dir
 from .sources import standins as si
-from .sources import tables
+from .sources import payloads, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -158,6 +158,14 @@ def finish_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish.finish_ledger(_finished(spark, sf_dir)[1])
 
 
+def finish_ledger_payment_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CLEAR and REFUND rows with the payment service's ids."""
+    orders = admission.created_orders(_admitted(spark, sf_dir))
+    done = finish.finish_rides(orders, si.finish_requests(spark, sf_dir),
+                               si.payment_outcomes_with_ids(spark, sf_dir), si.ORDER_REQUEST_TIEBREAK)
+    return finish.finish_ledger(done)
+
+
 def orders_after_finish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders snapshot after applying finishes (upsert by rewrite)."""
     orders, done = _finished(spark, sf_dir)
@@ -332,6 +340,19 @@ def request_complete_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                     logfmt.path_order_id(F.col("path")).alias("path_order_id"), "user_id")
 
 
+def request_start_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Request-start records with query string and order id."""
+    return logs.request_start_records(si.request_starts(spark, sf_dir))
+
+
+def offer_request_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offer request bodies decoded, and the check each fails first."""
+    r = payloads.decode_offer_requests(si.offer_request_bodies(spark, sf_dir))
+    reject = enrich.offer_request_reject(F.col("user_id"), F.col("scooter_id"), F.col("_corrupt_record").isNotNull())
+    return r.select("request_id", "ts", "user_id", "scooter_id", F.col("_corrupt_record").alias("malformed_body"),
+                    reject.alias("reject"))
+
+
 def _world(spark: SparkSession, sf_dir: str):
     """Orders snapshot after finishes and the full ledger (HOLD + CLEAR + REFUND).
 
@@ -702,6 +723,9 @@ QUERIES: dict[str, Query] = {
     "orders_snapshot_readback": orders_snapshot_readback,
     "ledger_snapshot_readback": ledger_snapshot_readback,
     "hold_ledger_payment_ids": hold_ledger_payment_ids,
+    "finish_ledger_payment_ids": finish_ledger_payment_ids,
+    "request_start_records": request_start_records,
+    "offer_request_bodies": offer_request_bodies,
     "panel_trailing_rps": panel_trailing_rps,
     "cache_hit_rate_alert": cache_hit_rate_alert,
     "admission_two_days": admission_two_days,

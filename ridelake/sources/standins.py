@@ -180,6 +180,37 @@ def payment_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return charge.unionByName(unhold)
 
 
+def payment_outcomes_with_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S09 feed with the payment service's ids (none for every seventh order)."""
+    p = payment_outcomes(spark, sf_dir)
+    number = F.regexp_extract("order_id", r"^order-(\d+)-", 1).cast("long")
+    return p.withColumn("transaction_id", F.when(
+        number % 7 != 0, F.concat(F.lit("pay-"), F.col("op"), F.lit("-"), F.col("order_id"))))
+
+
+def offer_request_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw bodies of offer requests: cut short, no object, absent or without a
+    scooter for some."""
+    r = offer_requests(spark, sf_dir)
+    n = F.regexp_extract("request_id", r"(\d+)$", 1).cast("long")
+    whole = F.concat(F.lit('{"user_id":"'), F.col("user_id"), F.lit('","scooter_id":"'), F.col("scooter_id"),
+                     F.lit('","extra":1}'))
+    body = (F.when(n % 17 == 0, F.lit(None).cast("string")).when(n % 13 == 0, F.concat(F.lit("["), whole, F.lit("]")))
+            .when(n % 11 == 0, F.expr("left(body, length(body) - 2)")).when(n % 7 == 0, F.lit("{}"))
+            .when(n % 5 == 0, F.concat(F.lit('{"user_id":"'), F.col("user_id"), F.lit('"}'))).otherwise(F.col("body")))
+    return r.withColumn("body", whole).select("request_id", "ts", body.alias("body"))
+
+
+def request_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Request-start records with the URI asked for; some have a query string,
+    some an empty one."""
+    log = request_log(spark, sf_dir).where(F.col("event_id") % 10 == 0)
+    n = F.col("event_id")
+    query = (F.when(n % 30 == 0, F.concat(F.lit("?from=/orders/x?&n="), n.cast("string")))
+             .when(n % 50 == 0, F.lit("?")).otherwise(F.lit("")))
+    return log.select("ts", "event_id", "method", F.concat("path", query).alias("uri"))
+
+
 def zone_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tariff-zone fetch log: signup/purchase/error events are fetches of zone
     ``k % 25``; an error event is a failed fetch.  Tariffs come from ``zones``."""

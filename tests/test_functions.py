@@ -6,7 +6,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ridelake.functions import jsonfmt, logfmt
-from ridelake.operators import versions
+from ridelake.operators import finish, logs, versions
 from ridelake.sources import payloads
 
 T0 = dt.datetime(2024, 1, 1)
@@ -45,6 +45,31 @@ def test_route_and_path_ids(spark):
                                        ("other", None)]
 
 
+def test_request_start_query_strings(spark):
+    df = spark.createDataFrame([("/orders/o1?a=1&b=2",), ("/orders/o1/finish?",), ("/offers?x=/orders/o2?y\nz",),
+                                ("/orders",), (None,)], "uri string")
+    got = [tuple(r) for r in logs.request_start_records(df).collect()]
+    assert got == [("/orders/o1", "a=1&b=2", "o1"), ("/orders/o1/finish", None, "o1"),
+                   ("/offers", "x=/orders/o2?y\nz", None), ("/orders", None, None), (None, None, None)]
+
+
+def test_payment_ids_of_clear_and_refund(spark):
+    feed = spark.createDataFrame(
+        [("o1", "charge", False, "c0"), ("o1", "charge", True, "c1"), ("o1", "unhold", False, "u1"),
+         ("o2", "charge", True, None)], "order_id string, op string, success boolean, transaction_id string")
+    got = {r.order_id: r for r in finish.payment_results(feed).collect()}
+    assert (got["o1"].charge_ok, got["o1"].charge_txn_id) == (True, "c1")
+    assert (got["o1"].unhold_result, got["o1"].unhold_txn_id) == (False, "u1")
+    assert (got["o2"].charge_ok, got["o2"].charge_txn_id, got["o2"].unhold_result) == (True, None, None)
+    done = spark.createDataFrame(
+        [("o1", "FINISHED", 9, True, False, "u", 5, "c1", "u1"), ("o2", "FINISHED", 9, True, True, "u", 5, None, "u2")],
+        "order_id string, outcome string, total_amount int, charge_ok boolean, unhold_ok boolean, order_user_id string,"
+        " order_deposit int, charge_txn_id string, unhold_txn_id string").withColumn(
+        "requested_at", F.lit("2024-01-01").cast("timestamp_ntz"))
+    ids = {r.id: r.external_transaction_id for r in finish.finish_ledger(done).collect()}
+    assert sorted(ids.values()) == ["", "", "c1", "u2"]
+
+
 def test_rfc3339_roundtrip(spark):
     df = spark.createDataFrame([("2024-01-01T10:00:00.123456789Z",),
                                 ("2024-01-01T10:00:00+03:00",), ("garbage",)], "s string")
