@@ -869,6 +869,11 @@ SELECT ts, event_id, method, path, CASE WHEN event_id % 30 = 0 THEN 'from=/order
   nullif(regexp_extract(path, '^/orders/([^/]+)', 1), '') AS order_id
 FROM request_log WHERE event = 'request_start'"""
 
+ORDER_DOCUMENTS_READBACK = with_standins("rides") + """
+SELECT id, user_id, scooter_id, offer_id, coalesce(price_per_minute, 0) AS price_per_minute, coalesce(price_unlock, 0) AS price_unlock,
+  coalesce(deposit, 0) AS deposit, coalesce(total_amount, 0) AS current_amount, status, start_time, finish_time, duration_seconds,
+  CAST(NULL AS VARCHAR) AS _corrupt_record FROM rides"""
+
 OFFER_REQUEST_BODIES = with_standins("offer_requests", extra={
     "raw": """SELECT request_id, ts, CAST(substr(request_id, 5) AS BIGINT) AS n,
         '{"user_id":"' || user_id || '","scooter_id":"' || scooter_id || '","extra":1}' AS whole, user_id FROM offer_requests""",
@@ -955,6 +960,7 @@ ORACLE: dict[str, str] = {
     "hold_ledger_payment_ids": HOLD_LEDGER_PAYMENT_IDS,
     "finish_ledger_payment_ids": FINISH_LEDGER_PAYMENT_IDS,
     "request_start_records": REQUEST_START_RECORDS,
+    "order_documents_readback": ORDER_DOCUMENTS_READBACK,
     "offer_request_bodies": OFFER_REQUEST_BODIES,
     "panel_trailing_rps": PANEL_TRAILING_RPS,
     "cache_hit_rate_alert": CACHE_HIT_RATE_ALERT,

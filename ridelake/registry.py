@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas
-from .functions import logfmt, pricing
+from .functions import jsonfmt, logfmt, pricing
 from .operators import (admission, archive, enrich, finish, logs, lookup, metrics, offers,
                         quality, retention, ttl)
 from .plans import intervals, layout, partitions, sketches
@@ -353,6 +353,16 @@ def offer_request_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
                     reject.alias("reject"))
 
 
+def order_documents_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored order documents decoded, absent prices read as 0."""
+    doc = lookup.order_read_model(si.rides(spark, sf_dir))
+    value = jsonfmt.order_json(*[F.col(c) for c in (
+        "current_amount", "deposit", "duration_seconds", "finish_time", "id", "offer_id", "price_per_minute",
+        "price_unlock", "scooter_id", "start_time", "status", "user_id")])
+    read = payloads.decode_order_documents(doc.select(value.alias("value")))
+    return lookup.null_to_zero(read.drop("_present"), ["price_per_minute", "price_unlock", "deposit", "current_amount"])
+
+
 def _world(spark: SparkSession, sf_dir: str):
     """Orders snapshot after finishes and the full ledger (HOLD + CLEAR + REFUND).
 
@@ -725,6 +735,7 @@ QUERIES: dict[str, Query] = {
     "hold_ledger_payment_ids": hold_ledger_payment_ids,
     "finish_ledger_payment_ids": finish_ledger_payment_ids,
     "request_start_records": request_start_records,
+    "order_documents_readback": order_documents_readback,
     "offer_request_bodies": offer_request_bodies,
     "panel_trailing_rps": panel_trailing_rps,
     "cache_hit_rate_alert": cache_hit_rate_alert,

@@ -7,11 +7,14 @@ classified, never failing the job.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions.logfmt import parse_rfc3339
 
 
 def _with_corrupt(schema: T.StructType) -> T.StructType:
@@ -19,15 +22,19 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
 
 
 def decode_json(df: DataFrame, col: str, schema: T.StructType) -> DataFrame:
-    """Decode ``col``; null input = absent document (``_present`` false)."""
-    parsed = F.from_json(F.col(col), _with_corrupt(schema),
+    """Decode ``col``; null input = absent document (``_present`` false).  Times
+    are RFC 3339 text (E15); one that is not makes its document malformed."""
+    times = [f.name for f in schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) if f.name in times else f for f in schema.fields])
+    parsed = F.from_json(F.col(col), _with_corrupt(as_text),
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    names = [f.name for f in schema.fields]
+    time = {n: parse_rfc3339(F.col(f"_doc.{n}")) for n in times}
+    no_time = reduce(lambda a, b: a | b, [F.col(f"_doc.{n}").isNotNull() & time[n].isNull() for n in times], F.lit(False))
     return (df.withColumn("_doc", parsed)
             .select(*[c for c in df.columns if c != col],
                     F.col(col).isNotNull().alias("_present"),
-                    *[F.col(f"_doc.{n}").alias(n) for n in names],
-                    F.when(F.col(col).isNotNull(), F.col("_doc._corrupt_record"))
+                    *[time.get(f.name, F.col(f"_doc.{f.name}")).alias(f.name) for f in schema.fields],
+                    F.when(F.col(col).isNotNull(), F.coalesce(F.col("_doc._corrupt_record"), F.when(no_time, F.col(col))))
                     .alias("_corrupt_record")))
 
 

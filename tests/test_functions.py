@@ -70,6 +70,15 @@ def test_payment_ids_of_clear_and_refund(spark):
     assert sorted(ids.values()) == ["", "", "c1", "u2"]
 
 
+def test_documents_carry_rfc3339_times(spark):
+    doc = ('{"id":"f1","user_id":"u","scooter_id":"s","zone_id":"z","price_per_minute":1,"price_unlock":2,'
+           '"deposit":3,"expires_at":"%s"}')
+    df = spark.createDataFrame([(doc % t,) for t in ("2024-01-01T03:00:00.5+03:00", "soon")], "value string")
+    good, bad = payloads.decode_offers(df).collect()
+    assert (good.expires_at, good.created_at, good._corrupt_record) == (dt.datetime(2024, 1, 1, 0, 0, 0, 500000), None, None)
+    assert bad.expires_at is None and bad._corrupt_record == doc % "soon"
+
+
 def test_rfc3339_roundtrip(spark):
     df = spark.createDataFrame([("2024-01-01T10:00:00.123456789Z",),
                                 ("2024-01-01T10:00:00+03:00",), ("garbage",)], "s string")
