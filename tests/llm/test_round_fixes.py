@@ -1,9 +1,12 @@
-"""Ids beyond a wavelet matrix's bits, and the language sample's plan."""
+"""Ids beyond a wavelet matrix's bits, the language sample's plan, and packed phrases."""
+
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from ridelake.llm import langid
+from ridelake.llm import collocations, langid
 from ridelake.llm.wavelet import WaveletMatrix
 
 
@@ -45,3 +48,18 @@ def test_too_many_labels_are_refused(workers, monkeypatch):
     rows = workers.createDataFrame([("ein Text", "de"), ("a text", "en")], "text string, lang string")
     with pytest.raises(ValueError, match="labels"):
         langid.train(rows)
+
+
+def test_packed_phrases_come_back_with_their_counts():
+    langs = ["en", "a\tb\n", ""]
+    rng = np.random.default_rng(5)
+    rows = [(int(rng.integers(0, 4)), int(rng.integers(0, 3)), f"w{rng.integers(0, 20)} é漢{rng.integers(0, 3)}", 1 + i % 3)
+            for i in range(3000)] + [(1, 2, "", 7), (1, 2, "", 5)]
+    held = [collocations._held(np.array([b << 32 | c for b, c, _, _ in part]), pa.array([p for _, _, p, _ in part]),
+                               np.array([f for *_, f in part])) for part in (rows[:1000], rows[1000:])]
+    want = Counter()
+    for bucket, code, phrase, f in rows:
+        want[bucket, langs[code], phrase] += f
+    got = {(sent["bucket"], r["lang"], r["phrase"]): r["f"]
+           for sent in collocations._sent(held, langs).to_pylist() for r in collocations._read(sent).to_pylist()}
+    assert got == dict(want)
