@@ -13,8 +13,8 @@ import re
 import struct
 
 # Bound of each of the two generations of the per-worker cache (segments);
-# when the younger is full the older is dropped.
-CACHE_SEGMENTS = 300_000
+# when the younger is full the older is dropped.  An entry takes about 200 bytes.
+CACHE_SEGMENTS = 600_000
 
 _SPACED = re.compile("[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
 # White space beyond ASCII, and separators that some engines count as such:
@@ -63,6 +63,7 @@ class SegmentEncoder:
         self.model = self.tokenizer.model
         self.spaces = spaces
         self.alphabet = byte_alphabet()
+        self.space = self.alphabet[ord(" ")]
         # by segment: after a space, and at the start of a text or a run
         self.after = _Segments(self, " " if spaces else "", {})
         self.bare = _Segments(self, "", {})
@@ -76,7 +77,11 @@ class SegmentEncoder:
         """Ids of a plain word, by the merge model alone."""
         if not self.spaces:
             word = word.lower()
-        piece = "".join(map(self.alphabet.__getitem__, (lead + word).encode()))
+        if word.isascii():
+            # letters of ASCII stand for themselves
+            piece = self.space + word if lead else word
+        else:
+            piece = "".join(map(self.alphabet.__getitem__, (lead + word).encode()))
         ids = [t.id for t in self.model.tokenize(piece)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
@@ -103,14 +108,23 @@ class _Segments(dict):
         self.encoder, self.lead, self.older = encoder, lead, older
 
     def bounded(self) -> _Segments:
-        return self if len(self) < CACHE_SEGMENTS else _Segments(self.encoder, self.lead, dict(self))
+        if len(self) < CACHE_SEGMENTS:
+            return self
+        self.older = {}
+        return _Segments(self.encoder, self.lead, self)
 
     def __missing__(self, part: str) -> bytes:
         ids = self.older.get(part)
         if ids is None:
             plain = _PLAIN.fullmatch(part)
             if not plain:
-                ids = self.encoder._library([self.lead + part])[0]
+                lines = part.split("\n")
+                if len(lines) > 1 and all(map(_PLAIN.fullmatch, lines)):
+                    # a line end between two words is a pre-token of its own
+                    ids = self.encoder.mark("\n").join(
+                        [self[lines[0]], *map(self.encoder.bare.__getitem__, lines[1:])])
+                else:
+                    ids = self.encoder._library([self.lead + part])[0]
             elif plain[2]:
                 ids = self[plain[1]] + self.encoder.mark(plain[2])
             else:
