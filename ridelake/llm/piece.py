@@ -20,19 +20,23 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
+from operator import add
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Bound of each of the two generations of the per-worker cache (segments);
-# when the younger is full the older is dropped.
-CACHE_SEGMENTS = 300_000
+# when the younger is full the older is dropped.  An entry takes about 250 bytes.
+CACHE_SEGMENTS = 600_000
 # Longest segment the cache keeps.
 CACHE_CHARS = 256
 # Texts are handed to the library in groups of about so many characters.
 _CHECK_CHARS = 1 << 20
+# Up to so many symbols the agenda is a plain list, longer ones use a heap.
+_LISTED = 48
+_NO_PIECE = float("-inf")
 _MARK = "▁"
 _SEGMENT = re.compile(f"{_MARK}*[^{_MARK}]+|{_MARK}+")
 
@@ -49,6 +53,7 @@ class PieceEncoder:
                    for i in range(size)]
         self.pieces = {self.library.id_to_piece(i): (i, self.library.get_score(i))
                        for i in range(size) if not special[i]}
+        self.scores = {p: score for p, (_, score) in self.pieces.items()}
         self.bytes = [self.library.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.end = self.library.eos_id()
         if any(self.library.is_unused(i) for i in range(size)):
@@ -59,6 +64,34 @@ class PieceEncoder:
 
     def merged(self, symbols: str) -> tuple[int, ...]:
         """Ids of one segment."""
+        part = self._listed(symbols) if len(symbols) <= _LISTED else self._heaped(symbols)
+        out: list[int] = []
+        for p in part:
+            found = self.pieces.get(p)
+            if found:
+                out.append(found[0])
+            else:
+                out += [self.bytes[b] for b in p.encode()]
+        return tuple(out)
+
+    def _listed(self, symbols: str) -> list[str]:
+        """Merged parts; the agenda holds the score of every two neighbours,
+        and the best is searched for."""
+        score = self.scores.get
+        part = list(symbols)
+        agenda = list(map(score, map(add, part, part[1:]), repeat(_NO_PIECE)))
+        while agenda and (best := max(agenda)) != _NO_PIECE:
+            i = agenda.index(best)
+            joint = part[i] = part[i] + part.pop(i + 1)
+            del agenda[i]
+            if i < len(agenda):
+                agenda[i] = score(joint + part[i + 1], _NO_PIECE)
+            if i:
+                agenda[i - 1] = score(part[i - 1] + joint, _NO_PIECE)
+        return part
+
+    def _heaped(self, symbols: str) -> list[str]:
+        """The same with a heap, for long segments."""
         pieces, push, pop = self.pieces, heapq.heappush, heapq.heappop
         part: list[str] = list(symbols)
         n = len(part)
@@ -80,12 +113,7 @@ class PieceEncoder:
             right = before[left]
             if right >= 0 and (wider := part[right] + joint) in pieces:
                 push(agenda, (-pieces[wider][1], right, left, wider))
-        out: list[int] = []
-        for p in part:
-            if p:
-                found = self.pieces.get(p)
-                out += [found[0]] if found else [self.bytes[b] for b in p.encode()]
-        return tuple(out)
+        return [p for p in part if p]
 
     def ids(self, text: str) -> list[int]:
         plain = self.library.normalize(text)
@@ -94,7 +122,8 @@ class PieceEncoder:
         if not self.cuts:
             return [*self.merged(plain), self.end]
         if len(self.cache) > CACHE_SEGMENTS:
-            self.cache = _Segments(self, dict(self.cache))
+            self.cache.older = {}
+            self.cache = _Segments(self, self.cache)
         if _MARK * 2 in plain:
             parts = _SEGMENT.findall(plain)
         else:
@@ -114,19 +143,14 @@ class _Segments(dict):
     def __missing__(self, segment: str) -> tuple[int, ...]:
         ids = self.older.get(segment)
         if ids is None:
-            joined, parts, end = self.encoder.side_by_side, [], len(segment)
-            for i in range(len(segment) - 1, 0, -1):
-                if segment[i - 1:i + 1] not in joined:
-                    parts.append(segment[i:end])
-                    end = i
-                    if end <= CACHE_CHARS and segment[:end] in self:
-                        break
-            if parts:
-                # what is left has no cuts or is kept, so this goes one level deep
-                parts.append(segment[:end])
-                ids = tuple(chain.from_iterable(map(self.__getitem__, reversed(parts))))
-            else:
+            joined = self.encoder.side_by_side
+            if joined.issuperset(map(add, segment, segment[1:])):
                 ids = self.encoder.merged(segment)
+            else:
+                cuts = [i for i, x in enumerate(map(add, segment, segment[1:]), 1) if x not in joined]
+                # the parts have no cuts, so this goes one level deep
+                ids = tuple(chain.from_iterable(
+                    [self[segment[i:j]] for i, j in zip([0, *cuts], [*cuts, len(segment)])]))
         if len(segment) <= CACHE_CHARS:
             self[segment] = ids
         return ids
