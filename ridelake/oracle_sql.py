@@ -521,6 +521,14 @@ SELECT ts, method, path, status_code, duration_ms, {ROUTE_SQL} AS route,
   nullif(regexp_extract(path, '^/orders/([^/]+)', 1), '') AS path_order_id, user_id
 FROM request_log WHERE event = 'request_complete'"""
 
+CONTAINER_LOG_RECORDS = with_standins("request_log") + """
+SELECT ts, CASE WHEN status_code >= 400 THEN 'stderr' ELSE 'stdout' END AS stream, method, path, status_code,
+  duration_ms, user_id
+FROM request_log WHERE event = 'request_complete' AND event_id % 19 <> 0"""
+
+DAILY_LOG_READBACK = with_standins("request_log") + """
+SELECT strftime(ts, '%Y-%m-%d') AS day, ts, event_id, method, path, status_code FROM request_log"""
+
 def _violations(table: str, checks: dict[str, str]) -> str:
     return " UNION ALL ".join(
         f"SELECT '{k}' AS rule, CAST(coalesce(sum(CASE WHEN {v} THEN 1 ELSE 0 END), 0) AS BIGINT) AS violations FROM {table}"
@@ -1000,6 +1008,8 @@ ORACLE: dict[str, str] = {
     "error_rate_alerts": ERROR_RATE_ALERTS,
     "log_tail": LOG_TAIL,
     "request_complete_records": REQUEST_COMPLETE_RECORDS,
+    "container_log_records": CONTAINER_LOG_RECORDS,
+    "daily_log_readback": DAILY_LOG_READBACK,
     "order_lookup": ORDER_LOOKUP,
     "user_order_history": USER_HISTORY,
     "latest_order_per_offer": LATEST_ORDER_PER_OFFER,

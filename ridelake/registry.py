@@ -340,6 +340,28 @@ def request_complete_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                     logfmt.path_order_id(F.col("path")).alias("path_order_id"), "user_id")
 
 
+def container_log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """request_complete records out of container log files; some lines of
+    the files are no envelopes."""
+    log = si.request_log(spark, sf_dir)
+    time = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    stream = F.when(F.col("status_code") >= 400, "stderr").otherwise("stdout")
+    line = F.to_json(F.struct(F.col("log_line").alias("log"), stream.alias("stream"), time.alias("time")))
+    path = scratch_dir(spark, f"container-logs-{uuid.uuid4().hex[:12]}")
+    log.select(F.when(F.col("event_id") % 19 == 0, "no envelope").otherwise(line).alias("value")).write.text(path)
+    r = logs.parse_request_complete(logs.read_container_logs(spark, path))
+    return r.select(F.col("envelope_time").cast("timestamp_ntz").alias("ts"), "stream", "method", "path",
+                    "status_code", "duration_ms", "user_id")
+
+
+def daily_log_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log in its daily layout, read back with each row's day."""
+    path = scratch_dir(spark, f"daily-log-{uuid.uuid4().hex[:12]}")
+    columns = ["ts", "event_id", "method", "path", "status_code"]
+    logs.write_daily(si.request_log(spark, sf_dir).select(*columns), path)
+    return spark.read.parquet(path).select(F.date_format("date", "yyyy-MM-dd").alias("day"), *columns)
+
+
 def request_start_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request-start records with query string and order id."""
     return logs.request_start_records(si.request_starts(spark, sf_dir))
@@ -784,6 +806,8 @@ QUERIES: dict[str, Query] = {
     "error_rate_alerts": error_rate_alerts,
     "log_tail": log_tail,
     "request_complete_records": request_complete_records,
+    "container_log_records": container_log_records,
+    "daily_log_readback": daily_log_readback,
     "order_lookup": order_lookup,
     "user_order_history": user_order_history,
     "latest_order_per_offer": latest_order_per_offer,
