@@ -62,7 +62,7 @@ class WaveletMatrix:
         for shift in range(bits - 1, -1, -1):
             bit = (level >> shift & 1).astype(bool)
             planes.append(np.packbits(bit))
-            level = np.concatenate([level[~bit], level[bit]])
+            level = np.concatenate([level.compress(~bit), level.compress(bit)])
         return cls(len(ids), planes)
 
     def to_bytes(self) -> bytes:
