@@ -90,7 +90,9 @@ def order_cache_replay(creates: DataFrame, reads: DataFrame, finishes: DataFrame
           .unionByName(reads.select("order_id", "ts", *order_cols).withColumn("kind", F.lit(2))))
     known = orders.select(F.col("id").alias("_e_id"), F.col("created_at").alias("_e_created"))
     ev = ev.join(known, ev["order_id"] == known["_e_id"], "left")
-    exists = F.col("_e_id").isNotNull() & (F.col("_e_created") <= F.col("ts"))
+    ev = ev.withColumn("_exists", F.col("_e_id").isNotNull() & (F.col("_e_created") <= F.col("ts"))) \
+        .drop("_e_id", "_e_created")
+    exists = F.col("_exists")
     ch = ttl_chain(ev, ["order_id"], "ts", ["kind"] + order_cols, ttl_seconds,
                    eligible=(F.col("kind") == 2) & exists, force=F.col("kind") < 2)
     result = (F.when(~exists, "ABSENT").when(F.col("is_anchor"), "MISS")

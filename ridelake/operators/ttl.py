@@ -76,12 +76,21 @@ def ttl_chain(df: DataFrame, keys: list[str], ts: str, order_cols: list[str],
     full = F.col("_t_us") + F.lit(ttl_us)
     base = base.withColumn("_t_end", full if end is None else F.least(
         F.greatest(F.coalesce(epoch_micros(end), full), F.col("_t_us")), full))
+    # cut lineage: the rows are read by the chain and by the coverage
+    base = materialize(base, "ttl-rows")
     ident = keys + ["_t_us"] + order_cols
     order = [F.col("_t_us")] + [F.col(c) for c in order_cols]
     kb = keys + ["_t_b"]
 
-    chain = base.where(F.col("_t_el") | F.col("_t_force")).select(
-        *keys, "_t_b", "_t_us", *order_cols, "_t_force", "_t_end")
+    # an end that follows from the time is not carried: then all passes over
+    # the chain below read the same shuffle of its rows
+    own_end = [] if end is None else ["_t_end"]
+    # (nor are rows without a key or time, which no join below finds again)
+    found = F.col("_t_el") | F.col("_t_force")
+    for c in kb:
+        found = found & F.col(c).isNotNull()
+    chain = base.where(found).select(
+        *keys, "_t_b", "_t_us", *order_cols, "_t_force", *own_end)
 
     # 1. one window pass inside (key, bucket): gap to the previous row, and a
     #    running count of the starts it forces (the bucket's first row is
@@ -112,7 +121,8 @@ def ttl_chain(df: DataFrame, keys: list[str], ts: str, order_cols: list[str],
           .withColumn("_t_start", F.when(F.col("_t_rnb") == 1, F.col("_t_fst") == 1)
                       .otherwise(F.col("_t_inner")))
           .withColumn("_t_seg", F.col("_t_before") + F.col("_t_fst") + F.col("_t_cs"))
-          .select(*keys, "_t_b", "_t_us", *order_cols, "_t_start", "_t_seg", "_t_end"))
+          .select(*keys, "_t_b", "_t_us", *order_cols, "_t_start", "_t_seg",
+                  full.alias("_t_end") if end is None else "_t_end"))
 
     # 3. segment extent decides easy vs dense
     ks = keys + ["_t_seg"]
@@ -136,8 +146,9 @@ def ttl_chain(df: DataFrame, keys: list[str], ts: str, order_cols: list[str],
         flags = flags.unionByName(_dense_anchors(large, keys, order_cols, ttl_us, b_us, ident))
 
     # 5. coverage for every row (chain rows and observers) from the latest anchor
-    allrows = base.join(flags, ident, "left").withColumn(
-        "is_anchor", F.coalesce(F.col("_t_anchor"), F.lit(False))).drop("_t_anchor")
+    # (written once: the running maximum and the bucket summary both read them)
+    allrows = materialize(base.join(flags, ident, "left").withColumn(
+        "is_anchor", F.coalesce(F.col("_t_anchor"), F.lit(False))).drop("_t_anchor"), "ttl-anchors")
     # chain order first: of several anchors at one instant the last counts
     carried = [F.col(c).alias(f"carry_{c}") for c in carry or []]
     anc = F.when(F.col("is_anchor"), F.struct(
