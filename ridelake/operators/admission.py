@@ -66,7 +66,21 @@ def admit_orders(requests: DataFrame, offers: DataFrame, tiebreak: list[str],
         F.col("scooter_id").alias("_o_scooter"), F.col("expires_at").alias("_o_expires"),
         F.col("price_per_minute").alias("_o_ppm"), F.col("price_unlock").alias("_o_unlock"),
         F.col("deposit").alias("_o_deposit"))
-    j = requests.join(o, requests["offer_id"] == o["_o_id"], "left")
+    # Joins and claims go by ``_offer``, never null: the planner then adds no
+    # null filter to one use of the requests only, and both read one shuffle.
+    j = requests.withColumn("_offer", F.coalesce(F.col("offer_id"), F.lit("")))
+    named = F.col("offer_id").isNotNull()
+    if existing_orders is not None:
+        known = existing_orders.select(F.col("id").alias("_p_id")).distinct().withColumn("_was", F.lit(True))
+        j = j.join(known, j["order_id"] == known["_p_id"], "left").drop("_p_id").fillna(False, ["_was"])
+    else:
+        j = j.withColumn("_was", F.lit(False))
+    j = j.join(o, (j["_offer"] == o["_o_id"]) & named, "left")
+    if used_offers is not None:
+        used = used_offers.select(F.col("offer_id").alias("_p_offer")).distinct().withColumn("_used", F.lit(True))
+        j = j.join(used, (j["_offer"] == used["_p_offer"]) & named, "left").drop("_p_offer").fillna(False, ["_used"])
+    else:
+        j = j.withColumn("_used", F.lit(False))
     j = j.withColumn("_k", _key(ts, tiebreak))
     persist_ok = F.coalesce(F.col(persist_col), F.lit(True)) if persist_col else F.lit(True)
     hold_ok = F.coalesce(F.col(hold_col), F.lit(False))
@@ -79,13 +93,6 @@ def admit_orders(requests: DataFrame, offers: DataFrame, tiebreak: list[str],
     offer_check = (F.when(F.col("_o_id").isNull(), "OFFER_NOT_FOUND")
                    .when(F.col(ts) > F.col("_o_expires"), "OFFER_EXPIRED")
                    .when(F.col("user_id") != F.col("_o_owner"), "INVALID_USER"))
-    for flag, col, known, key in (("_was", "order_id", existing_orders, "id"),
-                                  ("_used", "offer_id", used_offers, "offer_id")):
-        if known is None:
-            j = j.withColumn(flag, F.lit(False))
-        else:
-            ids = known.select(F.col(key).alias("_p_key")).distinct().withColumn(flag, F.lit(True))
-            j = j.join(ids, j[col] == ids["_p_key"], "left").drop("_p_key").fillna(False, [flag])
     j = (j.withColumn("_reject", reject).withColumn("_ocheck", offer_check)
          .withColumn("_valid", F.col("_reject").isNull() & F.col("_ocheck").isNull()
                      & ~F.col("_was") & ~F.col("_used"))
@@ -95,11 +102,13 @@ def admit_orders(requests: DataFrame, offers: DataFrame, tiebreak: list[str],
     # W02 follows from the same row: outside conflict components an order id
     # names a single offer, so the only row that can have created it is that
     # offer's first claim -- created when its hold (and persist) succeeded.
-    first = (j.where("_valid").groupBy(F.col("offer_id").alias("_f_offer"))
-             .agg(F.min(F.struct(F.col("_k").alias("k"), F.col("order_id").alias("order_id"),
-                                 (F.col("_hold_ok") & F.col("_persist_ok")).alias("ok")))
-                  .alias("_f")))
-    j = j.join(first, j["offer_id"] == first["_f_offer"], "left").drop("_f_offer")
+    # The condition stands inside the aggregate, not before it: both uses of
+    # ``j`` then read the same shuffle of the requests, written once.
+    claim = F.struct(F.col("_k").alias("k"), F.col("order_id").alias("order_id"),
+                     (F.col("_hold_ok") & F.col("_persist_ok")).alias("ok"))
+    first = (j.groupBy(F.col("_offer").alias("_f_offer"))
+             .agg(F.min(F.when(F.col("_valid"), claim)).alias("_f")))
+    j = j.join(first, j["_offer"] == first["_f_offer"], "left").drop("_f_offer")
     j = j.withColumn("_first", F.col("_valid") & (F.col("_k") == F.col("_f.k")))
     dup = (F.col("_f.ok") & (F.col("_f.order_id") == F.col("order_id"))
            & (F.col("_f.k") < F.col("_k")))
@@ -107,7 +116,7 @@ def admit_orders(requests: DataFrame, offers: DataFrame, tiebreak: list[str],
     j = j.withColumn("_dup", F.col("_was") | F.coalesce(dup, F.lit(False)))
     linked = _linked_offers(requests)
     if linked is not None:
-        j = _linked_claims(j, linked)
+        j = _linked_claims(j, linked, _key(ts, tiebreak))
     outcome = (F.when(F.col("_reject").isNotNull(), F.col("_reject"))
                .when(F.col("_dup"), "DUPLICATE")
                .when(F.col("_ocheck").isNotNull(), F.col("_ocheck"))
@@ -132,7 +141,7 @@ def _finish(out: DataFrame) -> DataFrame:
             .withColumnRenamed("_o_unlock", "offer_price_unlock")
             .withColumnRenamed("_o_deposit", "offer_deposit")
             .drop("_o_id", "_o_owner", "_o_expires", "_k", "_reject", "_ocheck", "_valid",
-                  "_hold_ok", "_persist_ok", "_f", "_first", "_dup", "_was", "_used"))
+                  "_hold_ok", "_persist_ok", "_f", "_first", "_dup", "_was", "_used", "_offer"))
 
 
 def _linked_offers(requests: DataFrame) -> DataFrame | None:
@@ -149,8 +158,9 @@ def _linked_offers(requests: DataFrame) -> DataFrame | None:
     return named.join(multi, "order_id", "left_semi").select("offer_id").distinct()
 
 
-def _linked_claims(j: DataFrame, linked: DataFrame) -> DataFrame:
-    """``_first`` and ``_dup`` of the requests of linked offers.
+def _linked_claims(j: DataFrame, linked: DataFrame, key: Column) -> DataFrame:
+    """``_first`` and ``_dup`` of the requests of linked offers; ``key`` is
+    their ``_k``, made anew from the request where it is read, not written.
 
     A valid request that is the earliest undecided one of its offer and of its
     order id is a claim, whatever comes later: nothing undecided can make its
@@ -162,8 +172,10 @@ def _linked_claims(j: DataFrame, linked: DataFrame) -> DataFrame:
     and end, as the earliest request of all is always decided."""
     ids = linked.select(F.col("offer_id").alias("_l_offer"), F.lit(True).alias("_linked"))
     marked = materialize(
-        j.join(ids, j["offer_id"] == ids["_l_offer"], "left").drop("_l_offer")
+        j.join(ids, j["_offer"] == ids["_l_offer"], "left")
+        .drop("_l_offer", "_offer", "_k", "_f", "_o_id", "_o_owner", "_o_expires")
         .fillna(False, ["_linked"]).withColumn("_rid", F.monotonically_increasing_id()), "admission-linked")
+    marked = marked.withColumn("_k", key)
     left = materialize(marked.where(F.col("_linked") & F.col("_valid")).select(
         "_rid", "offer_id", "order_id", F.struct("_k", "_rid").alias("_at"),
         (F.col("_hold_ok") & F.col("_persist_ok")).alias("_ok")), "admission-undecided")

@@ -41,11 +41,10 @@ def payment_results(outcomes: DataFrame) -> DataFrame:
                           (F.col("charge.ok") == 1).alias("charge_ok"),
                           (F.col("unhold.ok") == 1).alias("unhold_result"),
                           F.col("charge.txn").alias("charge_txn_id"), F.col("unhold.txn").alias("unhold_txn_id"))
-    return (outcomes.groupBy("order_id").pivot("op", ["hold", "charge", "unhold"])
-            .agg(F.max(F.col("success").cast("int")))
-            .select("order_id", (F.col("hold") == 1).alias("hold_ok"),
-                    (F.col("charge") == 1).alias("charge_ok"),
-                    (F.col("unhold") == 1).alias("unhold_result")))
+    # one aggregation by order: pivot() would shuffle by (order, operation) first
+    best = lambda op: F.max(F.when(F.col("op") == op, F.col("success").cast("int"))) == 1
+    return outcomes.groupBy("order_id").agg(best("hold").alias("hold_ok"), best("charge").alias("charge_ok"),
+                                            best("unhold").alias("unhold_result"))
 
 
 def finish_rides(orders: DataFrame, requests: DataFrame, payments: DataFrame,
@@ -57,19 +56,25 @@ def finish_rides(orders: DataFrame, requests: DataFrame, payments: DataFrame,
         F.col("status").alias("_o_status"), F.col("start_time").alias("_o_start"),
         F.col("created_at").alias("_o_created"), F.col("price_per_minute").alias("_o_ppm"),
         F.col("price_unlock").alias("_o_unlock"), F.col("deposit").alias("_o_deposit"))
-    j = requests.join(o, requests["order_id"] == o["_o_id"], "left")
+    # joined by a key that is never null: no null filter tells the uses of the
+    # requests below apart, and they read one shuffle
+    j = requests.withColumn("_order", F.coalesce(F.col("order_id"), F.lit("")))
+    named = F.col("order_id").isNotNull()
+    j = j.join(o, (j["_order"] == o["_o_id"]) & named, "left")
     j = j.withColumn("_k", F.struct(F.col(ts).alias("_k0"), *[F.col(c) for c in tiebreak]))
     reject = (F.when(F.coalesce(F.col("order_id"), F.lit("")) == "", "ORDER_ID_REQUIRED")
               .when(F.col("_o_id").isNull() | (F.col(ts) < F.col("_o_created")),
                     "ORDER_NOT_FOUND")
               .when(F.col("_o_status") != "ACTIVE", "ORDER_NOT_ACTIVE"))
     j = j.withColumn("_reject", reject)
-    first = (j.where(F.col("_reject").isNull()).groupBy(F.col("order_id").alias("_w_order"))
-             .agg(F.min("_k").alias("_w_key")))
-    j = j.join(first, j["order_id"] == first["_w_order"], "left").drop("_w_order")
+    # conditional, so that both uses of ``j`` read one shuffle of the requests
+    first = (j.groupBy(F.col("_order").alias("_w_order"))
+             .agg(F.min(F.when(F.col("_reject").isNull(), F.col("_k"))).alias("_w_key")))
+    j = j.join(first, j["_order"] == first["_w_order"], "left").drop("_w_order")
     win = F.col("_reject").isNull() & (F.col("_k") == F.col("_w_key"))
     pay = payment_results(payments).withColumnRenamed("order_id", "_p_order")
-    j = j.withColumn("_win", win).join(pay, F.col("order_id") == pay["_p_order"], "left")
+    j = j.withColumn("_win", win).join(
+        pay, (F.col("_order") == pay["_p_order"]) & named, "left")
     secs = billing.ride_seconds(F.col("_o_start"), F.col(ts))
     total = billing.ride_total(secs, F.col("_o_ppm"), F.col("_o_unlock"), F.lit(thr))
     charge_ok = F.coalesce(F.col("charge_ok"), F.lit(False))

@@ -175,8 +175,7 @@ def orders_after_finish(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _published_finish(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     """Folder of the orders published by month, before (version 1) and after
     (version 2) the finishes of the months they touch."""
-    orders, done = _finished(spark, sf_dir)
-    done = materialize(done, "finished")
+    _, orders, done, _, _ = _world(spark, sf_dir)
     root = scratch_dir(spark, f"orders-by-month-{uuid.uuid4().hex[:12]}")
     partitions.publish(orders, root, "1", "created_at", partitions.MONTH)
     finish.publish_finish(spark, root, "1", "2", done, partitions.MONTH)
@@ -385,17 +384,32 @@ def order_documents_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.null_to_zero(read.drop("_present"), ["price_per_minute", "price_unlock", "deposit", "current_amount"])
 
 
-def _world(spark: SparkSession, sf_dir: str):
+# What orders, ledger and metrics read of an admitted request and of a finish.
+_ADMITTED_COLUMNS = ["order_id", "user_id", "offer_id", "requested_at", "outcome", "offer_scooter_id",
+                     "offer_price_per_minute", "offer_price_unlock", "offer_deposit"]
+_FINISHED_COLUMNS = ["order_id", "requested_at", "outcome", "duration_seconds", "total_amount", "charge_ok",
+                     "unhold_ok", "order_user_id", "order_deposit"]
+
+
+def _world(spark: SparkSession, sf_dir: str, all_outcomes: bool = False, order_cols: list[str] | None = None):
     """Orders snapshot after finishes and the full ledger (HOLD + CLEAR + REFUND).
 
     Admission and finish outcomes feed several outputs (orders, ledger,
     metrics), so both are written once to the checkpoint folder and read back
-    instead of being recomputed per consumer."""
-    admitted = materialize(_admitted(spark, sf_dir), "admitted")
+    instead of being recomputed per consumer.  Written are the rows that change
+    something (orders created, rides closed) and the columns read later: with
+    ``all_outcomes`` the refused order requests too, with ``order_cols`` the
+    tie-break of the requests."""
+    tb = order_cols or []
+    admitted = _admitted(spark, sf_dir)
+    if not all_outcomes:
+        admitted = admitted.where(F.col("outcome") == "CREATED")
+    admitted = materialize(admitted.select(*_ADMITTED_COLUMNS, *tb), "admitted")
     orders = admission.created_orders(admitted)
-    done = materialize(finish.finish_rides(orders, si.finish_requests(spark, sf_dir),
-                                           si.payment_outcomes(spark, sf_dir),
-                                           si.ORDER_REQUEST_TIEBREAK), "finished")
+    done = finish.finish_rides(orders, si.finish_requests(spark, sf_dir),
+                               si.payment_outcomes(spark, sf_dir), si.ORDER_REQUEST_TIEBREAK)
+    done = materialize(done.where(F.col("outcome").isin("FINISHED", "PAYMENT_FAILED"))
+                       .select(*_FINISHED_COLUMNS, *tb), "finished")
     ledger = admission.hold_ledger_rows(admitted).unionByName(finish.finish_ledger(done))
     return admitted, orders, done, finish.apply_finish(orders, done), ledger
 
@@ -441,7 +455,7 @@ def per_user_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def business_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Offers, orders, active rides, payment errors, revenue."""
-    admitted, _, _, snap, ledger = _world(spark, sf_dir)
+    admitted, _, _, snap, ledger = _world(spark, sf_dir, all_outcomes=True)
     return metrics.business_counters(offer_creation(spark, sf_dir), admitted, snap, ledger)
 
 
@@ -453,8 +467,8 @@ def conversion_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cache(spark: SparkSession, sf_dir: str) -> DataFrame:
-    admitted, orders, done, _, _ = _world(spark, sf_dir)
     tb = si.ORDER_REQUEST_TIEBREAK
+    admitted, orders, done, _, _ = _world(spark, sf_dir, order_cols=tb)
     creates = admitted.where(F.col("outcome") == "CREATED").select(
         "order_id", F.col("requested_at").alias("ts"), *tb)
     fins = done.where(F.col("outcome").isin("FINISHED", "PAYMENT_FAILED")).select(
@@ -483,6 +497,8 @@ def _rotated(spark: SparkSession, sf_dir: str, runs: int = 1):
     back, and the hot tables it leaves; ``runs`` over one repeat it, as a retry
     does."""
     _, _, _, snap, ledger = _world(spark, sf_dir)
+    # read by every run, by its archive and by the hot tables
+    snap = materialize(snap, "snapshot")
     root = scratch_dir(spark, f"archive-{uuid.uuid4().hex[:12]}")
     hot = {}
     for _ in range(runs):
@@ -723,14 +739,14 @@ def admission_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     req, offs = si.order_requests(spark, sf_dir), si.offers(spark, sf_dir)
     lo, hi = req.agg(F.min("requested_at"), F.max("requested_at")).first()
     late = F.col("requested_at") >= F.lit(lo + (hi - lo) / 2).cast("timestamp_ntz")
-    first = materialize(admission.admit_orders(req.where(~late), offs, si.ORDER_REQUEST_TIEBREAK), "day-one")
+    out = ["order_id", "offer_id", "user_id", "requested_at", "hold_success", *si.ORDER_REQUEST_TIEBREAK,
+           "outcome", "http_status"]
+    first = materialize(admission.admit_orders(req.where(~late), offs, si.ORDER_REQUEST_TIEBREAK).select(*out), "day-one")
     second = admission.admit_orders(
         req.where(late), offs, si.ORDER_REQUEST_TIEBREAK,
         existing_orders=first.where("outcome = 'CREATED'").select(F.col("order_id").alias("id")),
         used_offers=admission.claimed_offers(first))
-    return first.unionByName(second).select(
-        "order_id", "offer_id", "user_id", "requested_at", "hold_success", *si.ORDER_REQUEST_TIEBREAK,
-        "outcome", "http_status")
+    return first.unionByName(second.select(*out))
 
 
 def admission_shared_order_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
