@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
@@ -96,8 +96,9 @@ def order_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         read_table(spark, sf_dir, "orders", spread=True))
 
 
-def order_requests_from_lineitem(li: DataFrame, orders: DataFrame) -> DataFrame:
-    """Order requests from line items (batch or streaming) and static orders."""
+def order_requests_from_lineitem(li: DataFrame, orders: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """Order requests from line items (batch or streaming) and static orders;
+    ``carry`` names columns of the line items to keep."""
     o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     return j.select(
@@ -111,7 +112,7 @@ def order_requests_from_lineitem(li: DataFrame, orders: DataFrame) -> DataFrame:
             F.lit(0), F.lit(0), F.lit(0), (70 * F.col("l_linenumber")).cast("decimal(18,6)")))
         .alias("requested_at"),
         (F.col("l_returnflag") != "R").alias("hold_success"),
-        *ORDER_REQUEST_TIEBREAK,
+        *ORDER_REQUEST_TIEBREAK, *(carry or []),
     )
 
 
@@ -119,9 +120,17 @@ def order_requests_with_persist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order requests plus a storage outcome per request (``persisted`` false
     for line items with line status 'O')."""
     li = read_table(spark, sf_dir, "lineitem", spread=True)
-    req = order_requests_from_lineitem(li, read_table(spark, sf_dir, "orders", spread=True))
-    st = li.select(*ORDER_REQUEST_TIEBREAK, (F.col("l_linestatus") != "O").alias("persisted"))
-    return req.join(st, ORDER_REQUEST_TIEBREAK, "left")
+    # every line item meets the storage outcomes of all of its key (none, where
+    # a part of the key is null): one shuffle of the line items by that key
+    whole = F.lit(True)
+    for c in ORDER_REQUEST_TIEBREAK:
+        whole = whole & F.col(c).isNotNull()
+    outcome = F.struct((F.col("l_linestatus") != "O").alias("persisted"))
+    stored = F.collect_list(F.when(whole, outcome)).over(Window.partitionBy(*ORDER_REQUEST_TIEBREAK))
+    met = li.withColumn("_stored", stored).select(*li.columns, F.explode_outer("_stored").alias("_s"))
+    met = met.select(*li.columns, F.col("_s.persisted").alias("persisted"))
+    req = order_requests_from_lineitem(met, read_table(spark, sf_dir, "orders", spread=True), ["persisted"])
+    return req.select(*ORDER_REQUEST_TIEBREAK, *[c for c in req.columns if c not in ORDER_REQUEST_TIEBREAK])
 
 
 def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
