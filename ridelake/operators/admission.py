@@ -52,6 +52,31 @@ def _key(ts: str, tiebreak: list[str]) -> Column:
     return F.struct(F.col(ts).alias("_k0"), *[F.col(c) for c in tiebreak])
 
 
+def _offer_columns(offers: DataFrame) -> DataFrame:
+    return offers.select(
+        F.col("id").alias("_o_id"), F.col("user_id").alias("_o_owner"),
+        F.col("scooter_id").alias("_o_scooter"), F.col("expires_at").alias("_o_expires"),
+        F.col("price_per_minute").alias("_o_ppm"), F.col("price_unlock").alias("_o_unlock"),
+        F.col("deposit").alias("_o_deposit"))
+
+
+def _reject(requests: DataFrame) -> Column:
+    """the first check of the body that a request fails."""
+    corrupt = (F.col("_corrupt_record").isNotNull() if "_corrupt_record" in requests.columns
+               else F.lit(False))
+    return (F.when(corrupt, "INVALID_BODY")
+            .when(_blank(F.col("order_id")), "ORDER_ID_REQUIRED")
+            .when(_blank(F.col("offer_id")), "OFFER_ID_REQUIRED")
+            .when(_blank(F.col("user_id")), "USER_ID_REQUIRED"))
+
+
+def _offer_check(ts: str) -> Column:
+    """what is wrong with the offer a request names."""
+    return (F.when(F.col("_o_id").isNull(), "OFFER_NOT_FOUND")
+            .when(F.col(ts) > F.col("_o_expires"), "OFFER_EXPIRED")
+            .when(F.col("user_id") != F.col("_o_owner"), "INVALID_USER"))
+
+
 def admit_orders(requests: DataFrame, offers: DataFrame, tiebreak: list[str],
                  ts: str = "requested_at", hold_col: str = "hold_success",
                  persist_col: str | None = None, existing_orders: DataFrame | None = None,
@@ -61,11 +86,7 @@ def admit_orders(requests: DataFrame, offers: DataFrame, tiebreak: list[str],
 
     ``existing_orders`` (``id``): orders stored before the batch, whose ids are
     duplicates; ``used_offers`` (``offer_id``): offers claimed before it."""
-    o = offers.select(
-        F.col("id").alias("_o_id"), F.col("user_id").alias("_o_owner"),
-        F.col("scooter_id").alias("_o_scooter"), F.col("expires_at").alias("_o_expires"),
-        F.col("price_per_minute").alias("_o_ppm"), F.col("price_unlock").alias("_o_unlock"),
-        F.col("deposit").alias("_o_deposit"))
+    o = _offer_columns(offers)
     # Joins and claims go by ``_offer``, never null: the planner then adds no
     # null filter to one use of the requests only, and both read one shuffle.
     j = requests.withColumn("_offer", F.coalesce(F.col("offer_id"), F.lit("")))
@@ -84,16 +105,7 @@ def admit_orders(requests: DataFrame, offers: DataFrame, tiebreak: list[str],
     j = j.withColumn("_k", _key(ts, tiebreak))
     persist_ok = F.coalesce(F.col(persist_col), F.lit(True)) if persist_col else F.lit(True)
     hold_ok = F.coalesce(F.col(hold_col), F.lit(False))
-    corrupt = (F.col("_corrupt_record").isNotNull() if "_corrupt_record" in requests.columns
-               else F.lit(False))
-    reject = (F.when(corrupt, "INVALID_BODY")
-              .when(_blank(F.col("order_id")), "ORDER_ID_REQUIRED")
-              .when(_blank(F.col("offer_id")), "OFFER_ID_REQUIRED")
-              .when(_blank(F.col("user_id")), "USER_ID_REQUIRED"))
-    offer_check = (F.when(F.col("_o_id").isNull(), "OFFER_NOT_FOUND")
-                   .when(F.col(ts) > F.col("_o_expires"), "OFFER_EXPIRED")
-                   .when(F.col("user_id") != F.col("_o_owner"), "INVALID_USER"))
-    j = (j.withColumn("_reject", reject).withColumn("_ocheck", offer_check)
+    j = (j.withColumn("_reject", _reject(requests)).withColumn("_ocheck", _offer_check(ts))
          .withColumn("_valid", F.col("_reject").isNull() & F.col("_ocheck").isNull()
                      & ~F.col("_was") & ~F.col("_used"))
          .withColumn("_hold_ok", hold_ok).withColumn("_persist_ok", persist_ok))
@@ -127,19 +139,49 @@ def admit_orders(requests: DataFrame, offers: DataFrame, tiebreak: list[str],
     return _finish(j.withColumn("outcome", outcome))
 
 
+CLAIMED = ("CREATED", "PAYMENT_HOLD_FAILED", "PERSIST_FAILED")
+
+
+def offer_claims(requests: DataFrame, offers: DataFrame, tiebreak: list[str], columns: list[str],
+                 ts: str = "requested_at", hold_col: str = "hold_success") -> DataFrame:
+    """``columns`` of the rows of ``admit_orders`` that claim an offer, written
+    once: the requests are shuffled by offer alone, those that no offer allows
+    drop out as they meet the offers, and of the others the first per offer stays
+    (with those of an equal key).
+
+    Where no order id claims two offers and no offer has two first claims, those
+    claims hold whatever the other requests name: by induction in time no
+    creation before one has its order id.  Else ``admit_orders`` decides, unless
+    no order id names several offers."""
+    o = _offer_columns(offers)
+    j = requests.where(_reject(requests).isNull()).join(o, requests["offer_id"] == o["_o_id"])
+    turn = F.rank().over(Window.partitionBy("offer_id").orderBy(ts, *tiebreak))
+    first = j.where(_offer_check(ts).isNull()).withColumn("_turn", turn).where(F.col("_turn") == 1)
+    outcome = F.when(~F.coalesce(F.col(hold_col), F.lit(False)), "PAYMENT_HOLD_FAILED").otherwise("CREATED")
+    tied = F.count(F.lit(1)).over(Window.partitionBy("offer_id")) > 1
+    first = first.withColumn("_tied", tied).withColumn("outcome", outcome)
+    made = materialize(first.withColumnsRenamed(_RENAMED).select(*columns, "_tied"), "claims")
+    odd = made.groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"), F.max("_tied").alias("_t")).where("_n > 1 or _t")
+    if odd.limit(1).count() and _linked_offers(requests) is not None:
+        every = admit_orders(requests, offers, tiebreak, ts, hold_col)
+        return materialize(every.where(F.col("outcome").isin(*CLAIMED)).select(*columns), "claims")
+    return made.drop("_tied")
+
+
 def claimed_offers(admitted: DataFrame) -> DataFrame:
     """``offer_id`` of every offer a batch claimed (also where the hold or the
     storing failed afterwards): the next batch's ``used_offers``."""
-    return admitted.where(F.col("outcome").isin("CREATED", "PAYMENT_HOLD_FAILED", "PERSIST_FAILED")) \
+    return admitted.where(F.col("outcome").isin(*CLAIMED)) \
         .select("offer_id").distinct()
 
 
+_RENAMED = {"_o_scooter": "offer_scooter_id", "_o_ppm": "offer_price_per_minute",
+            "_o_unlock": "offer_price_unlock", "_o_deposit": "offer_deposit"}
+
+
 def _finish(out: DataFrame) -> DataFrame:
     return (out.withColumn("http_status", status_code(F.col("outcome"), ORDER_CREATE_STATUS))
-            .withColumnRenamed("_o_scooter", "offer_scooter_id")
-            .withColumnRenamed("_o_ppm", "offer_price_per_minute")
-            .withColumnRenamed("_o_unlock", "offer_price_unlock")
-            .withColumnRenamed("_o_deposit", "offer_deposit")
+            .withColumnsRenamed(_RENAMED)
             .drop("_o_id", "_o_owner", "_o_expires", "_k", "_reject", "_ocheck", "_valid",
                   "_hold_ok", "_persist_ok", "_f", "_first", "_dup", "_was", "_used", "_offer"))
 

@@ -17,7 +17,7 @@ updated orders snapshot and ``ledger_rollup`` the per-order pivot (A15).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -50,23 +50,14 @@ def payment_results(outcomes: DataFrame) -> DataFrame:
 def finish_rides(orders: DataFrame, requests: DataFrame, payments: DataFrame,
                  tiebreak: list[str], configs: DataFrame | None = None,
                  ts: str = "requested_at") -> DataFrame:
-    thr = resolve_configs(configs, orders.sparkSession)["incomplete_ride_threshold_seconds"]
-    o = orders.select(
-        F.col("id").alias("_o_id"), F.col("user_id").alias("_o_user"),
-        F.col("status").alias("_o_status"), F.col("start_time").alias("_o_start"),
-        F.col("created_at").alias("_o_created"), F.col("price_per_minute").alias("_o_ppm"),
-        F.col("price_unlock").alias("_o_unlock"), F.col("deposit").alias("_o_deposit"))
+    o = _order_columns(orders)
     # joined by a key that is never null: no null filter tells the uses of the
     # requests below apart, and they read one shuffle
     j = requests.withColumn("_order", F.coalesce(F.col("order_id"), F.lit("")))
     named = F.col("order_id").isNotNull()
     j = j.join(o, (j["_order"] == o["_o_id"]) & named, "left")
     j = j.withColumn("_k", F.struct(F.col(ts).alias("_k0"), *[F.col(c) for c in tiebreak]))
-    reject = (F.when(F.coalesce(F.col("order_id"), F.lit("")) == "", "ORDER_ID_REQUIRED")
-              .when(F.col("_o_id").isNull() | (F.col(ts) < F.col("_o_created")),
-                    "ORDER_NOT_FOUND")
-              .when(F.col("_o_status") != "ACTIVE", "ORDER_NOT_ACTIVE"))
-    j = j.withColumn("_reject", reject)
+    j = j.withColumn("_reject", _reject(ts))
     # conditional, so that both uses of ``j`` read one shuffle of the requests
     first = (j.groupBy(F.col("_order").alias("_w_order"))
              .agg(F.min(F.when(F.col("_reject").isNull(), F.col("_k"))).alias("_w_key")))
@@ -75,6 +66,43 @@ def finish_rides(orders: DataFrame, requests: DataFrame, payments: DataFrame,
     pay = payment_results(payments).withColumnRenamed("order_id", "_p_order")
     j = j.withColumn("_win", win).join(
         pay, (F.col("_order") == pay["_p_order"]) & named, "left")
+    return _billed(j, requests.columns, configs, ts)
+
+
+def close_rides(orders: DataFrame, requests: DataFrame, payments: DataFrame,
+                tiebreak: list[str], configs: DataFrame | None = None,
+                ts: str = "requested_at") -> DataFrame:
+    """The rows of ``finish_rides`` whose call closes a ride (FINISHED or
+    PAYMENT_FAILED), in one pass: a call without an order to close drops out as
+    it meets the orders, and of the others the first per order stays (with those
+    of an equal key)."""
+    o = _order_columns(orders)
+    j = requests.join(o, requests["order_id"] == o["_o_id"]).withColumn("_reject", _reject(ts))
+    turn = F.rank().over(Window.partitionBy("order_id").orderBy(ts, *tiebreak))
+    won = j.where(F.col("_reject").isNull()).withColumn("_turn", turn).where(F.col("_turn") == 1)
+    pay = payment_results(payments).withColumnRenamed("order_id", "_p_order")
+    won = won.withColumn("_win", F.lit(True)).join(pay, won["order_id"] == pay["_p_order"], "left")
+    return _billed(won, requests.columns, configs, ts)
+
+
+def _order_columns(orders: DataFrame) -> DataFrame:
+    return orders.select(
+        F.col("id").alias("_o_id"), F.col("user_id").alias("_o_user"),
+        F.col("status").alias("_o_status"), F.col("start_time").alias("_o_start"),
+        F.col("created_at").alias("_o_created"), F.col("price_per_minute").alias("_o_ppm"),
+        F.col("price_unlock").alias("_o_unlock"), F.col("deposit").alias("_o_deposit"))
+
+
+def _reject(ts: str) -> Column:
+    """why a finish call finds no active order."""
+    return (F.when(F.coalesce(F.col("order_id"), F.lit("")) == "", "ORDER_ID_REQUIRED")
+            .when(F.col("_o_id").isNull() | (F.col(ts) < F.col("_o_created")), "ORDER_NOT_FOUND")
+            .when(F.col("_o_status") != "ACTIVE", "ORDER_NOT_ACTIVE"))
+
+
+def _billed(j: DataFrame, columns: list[str], configs: DataFrame | None, ts: str) -> DataFrame:
+    """The outcome of every call, those that close a ride billed."""
+    thr = resolve_configs(configs, j.sparkSession)["incomplete_ride_threshold_seconds"]
     secs = billing.ride_seconds(F.col("_o_start"), F.col(ts))
     total = billing.ride_total(secs, F.col("_o_ppm"), F.col("_o_unlock"), F.lit(thr))
     charge_ok = F.coalesce(F.col("charge_ok"), F.lit(False))
@@ -83,9 +111,9 @@ def finish_rides(orders: DataFrame, requests: DataFrame, payments: DataFrame,
     outcome = (F.when(F.col("_reject").isNotNull(), F.col("_reject"))
                .when(~F.col("_win"), "ORDER_NOT_ACTIVE").otherwise(status))
     w = F.col("_win")
-    txn_ids = [F.when(w, F.col(c)).alias(c) for c in TXN_ID_COLUMNS if c in pay.columns]
+    txn_ids = [F.when(w, F.col(c)).alias(c) for c in TXN_ID_COLUMNS if c in j.columns]
     return j.select(
-        *requests.columns,
+        *columns,
         outcome.alias("outcome"),
         status_code(outcome, FINISH_STATUS).alias("http_status"),
         F.when(w, secs).alias("duration_seconds"),

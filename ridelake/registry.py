@@ -391,25 +391,30 @@ _FINISHED_COLUMNS = ["order_id", "requested_at", "outcome", "duration_seconds",
                      "unhold_ok", "order_user_id", "order_deposit"]
 
 
-def _world(spark: SparkSession, sf_dir: str, all_outcomes: bool = False, order_cols: list[str] | None = None):
+def _world(spark: SparkSession, sf_dir: str, all_outcomes: bool = False, order_cols: list[str] | None = None,
+           claims: bool = False):
     """Orders snapshot after finishes and the full ledger (HOLD + CLEAR + REFUND).
 
     Admission and finish outcomes feed several outputs (orders, ledger,
     metrics), so both are written once to the checkpoint folder and read back
     instead of being recomputed per consumer.  Written are the rows that change
-    something (orders created, rides closed) and the columns read later: with
-    ``all_outcomes`` the refused order requests too, with ``order_cols`` the
-    tie-break of the requests."""
+    something (offers claimed, rides closed) and the columns read later.  The
+    admitted requests are the orders created, with ``claims`` the claims whose
+    hold failed too, with ``all_outcomes`` every request; ``order_cols`` are
+    columns of the requests to keep."""
     tb = order_cols or []
-    admitted = _admitted(spark, sf_dir)
-    if not all_outcomes:
-        admitted = admitted.where(F.col("outcome") == "CREATED")
-    admitted = materialize(admitted.select(*_ADMITTED_COLUMNS, *tb), "admitted")
+    columns = [*_ADMITTED_COLUMNS, *tb]
+    if all_outcomes:
+        admitted = materialize(_admitted(spark, sf_dir).select(*columns), "admitted")
+    else:
+        admitted = admission.offer_claims(si.order_requests(spark, sf_dir), si.offers(spark, sf_dir),
+                                          si.ORDER_REQUEST_TIEBREAK, columns)
+        if not claims:
+            admitted = admitted.where(F.col("outcome") == "CREATED")
     orders = admission.created_orders(admitted)
-    done = finish.finish_rides(orders, si.finish_requests(spark, sf_dir),
-                               si.payment_outcomes(spark, sf_dir), si.ORDER_REQUEST_TIEBREAK)
-    done = materialize(done.where(F.col("outcome").isin("FINISHED", "PAYMENT_FAILED"))
-                       .select(*_FINISHED_COLUMNS, *tb), "finished")
+    done = finish.close_rides(orders, si.finish_requests(spark, sf_dir),
+                              si.payment_outcomes(spark, sf_dir), si.ORDER_REQUEST_TIEBREAK)
+    done = materialize(done.select(*_FINISHED_COLUMNS, *tb), "finished")
     ledger = admission.hold_ledger_rows(admitted).unionByName(finish.finish_ledger(done))
     return admitted, orders, done, finish.apply_finish(orders, done), ledger
 
@@ -455,7 +460,7 @@ def per_user_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def business_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Offers, orders, active rides, payment errors, revenue."""
-    admitted, _, _, snap, ledger = _world(spark, sf_dir, all_outcomes=True)
+    admitted, _, _, snap, ledger = _world(spark, sf_dir, claims=True)
     return metrics.business_counters(offer_creation(spark, sf_dir), admitted, snap, ledger)
 
 
