@@ -741,7 +741,8 @@ def admission_with_persist_failures(spark: SparkSession, sf_dir: str) -> DataFra
 def admission_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W01/W02 with state from before the batch: the later half of the log is
     admitted after the earlier one, whose orders and claimed offers it reads."""
-    req, offs = si.order_requests(spark, sf_dir), si.offers(spark, sf_dir)
+    # read by the cut and by both days, by the search for shared order ids and by admission
+    req, offs = materialize(si.order_requests(spark, sf_dir), "requests"), si.offers(spark, sf_dir)
     lo, hi = req.agg(F.min("requested_at"), F.max("requested_at")).first()
     late = F.col("requested_at") >= F.lit(lo + (hi - lo) / 2).cast("timestamp_ntz")
     out = ["order_id", "offer_id", "user_id", "requested_at", "hold_success", *si.ORDER_REQUEST_TIEBREAK,
