@@ -145,27 +145,48 @@ CLAIMED = ("CREATED", "PAYMENT_HOLD_FAILED", "PERSIST_FAILED")
 def offer_claims(requests: DataFrame, offers: DataFrame, tiebreak: list[str], columns: list[str],
                  ts: str = "requested_at", hold_col: str = "hold_success") -> DataFrame:
     """``columns`` of the rows of ``admit_orders`` that claim an offer, written
-    once: the requests are shuffled by offer alone, those that no offer allows
-    drop out as they meet the offers, and of the others the first per offer stays
-    (with those of an equal key).
+    once: only the first request of a user for an offer is shuffled (with those
+    of an equal key), by offer and user, and meets the offers of that owner.
+    That loses no claim: an offer that a user's first request finds expired has
+    expired for the later ones.
+
+    Where an offer has no owner any user may claim it, and where two owners share
+    an offer id they compete: then all requests meet the offers by offer alone,
+    and of those allowed the first per offer stays.
 
     Where no order id claims two offers and no offer has two first claims, those
     claims hold whatever the other requests name: by induction in time no
     creation before one has its order id.  Else ``admit_orders`` decides, unless
     no order id names several offers."""
+    def written(first: DataFrame, by: list[str]) -> DataFrame:
+        outcome = F.when(~F.coalesce(F.col(hold_col), F.lit(False)), "PAYMENT_HOLD_FAILED").otherwise("CREATED")
+        first = first.withColumn("_mates", F.count(F.lit(1)).over(Window.partitionBy(*by))).withColumn("outcome", outcome)
+        return materialize(first.withColumnsRenamed(_RENAMED).select(*columns, "_mates"), "claims")
+
+    def turn(by: list[str]) -> Column:
+        return F.rank().over(Window.partitionBy(*by).orderBy(ts, *tiebreak))
+
     o = _offer_columns(offers)
-    j = requests.where(_reject(requests).isNull()).join(o, requests["offer_id"] == o["_o_id"])
-    turn = F.rank().over(Window.partitionBy("offer_id").orderBy(ts, *tiebreak))
-    first = j.where(_offer_check(ts).isNull()).withColumn("_turn", turn).where(F.col("_turn") == 1)
-    outcome = F.when(~F.coalesce(F.col(hold_col), F.lit(False)), "PAYMENT_HOLD_FAILED").otherwise("CREATED")
-    tied = F.count(F.lit(1)).over(Window.partitionBy("offer_id")) > 1
-    first = first.withColumn("_tied", tied).withColumn("outcome", outcome)
-    made = materialize(first.withColumnsRenamed(_RENAMED).select(*columns, "_tied"), "claims")
-    odd = made.groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"), F.max("_tied").alias("_t")).where("_n > 1 or _t")
+    sound, allowed = requests.where(_reject(requests).isNull()), _offer_check(ts).isNull()
+    made = None
+    if not offers.where(F.col("user_id").isNull()).limit(1).count():
+        by = ["offer_id", "user_id"]
+        first = sound.withColumn("_turn", turn(by)).where(F.col("_turn") == 1)
+        met = first.join(o, (first["offer_id"] == o["_o_id"]) & (first["user_id"] == o["_o_owner"]))
+        made = written(met.where(allowed), by)
+        # an offer with more rows than any one user's claim of it has two claimants
+        rivals = made.groupBy("offer_id").agg(F.count(F.lit(1)).alias("_n"), F.max("_mates").alias("_m")).where("_n > _m")
+        if rivals.limit(1).count():
+            made = None
+    if made is None:
+        met = sound.join(o, sound["offer_id"] == o["_o_id"]).where(allowed)
+        made = written(met.withColumn("_turn", turn(["offer_id"])).where(F.col("_turn") == 1), ["offer_id"])
+    odd = (made.groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"), F.max("_mates").alias("_m"))
+           .where("_n > 1 or _m > 1"))
     if odd.limit(1).count() and _linked_offers(requests) is not None:
         every = admit_orders(requests, offers, tiebreak, ts, hold_col)
         return materialize(every.where(F.col("outcome").isin(*CLAIMED)).select(*columns), "claims")
-    return made.drop("_tied")
+    return made.drop("_mates")
 
 
 def claimed_offers(admitted: DataFrame) -> DataFrame:
