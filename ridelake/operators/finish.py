@@ -24,6 +24,8 @@ from .. import schemas
 from ..functions import billing, pricing
 from ..functions.status import FINISH_STATUS, status_code
 from ..plans import partitions
+from ..plans.broadcast import broadcast_if_small
+from ..plans.materialize import materialize
 from ..sources.tables import resolve_configs
 
 # Ids of the charge and of the release, where the payment feed has them.
@@ -76,13 +78,44 @@ def close_rides(orders: DataFrame, requests: DataFrame, payments: DataFrame,
     PAYMENT_FAILED), in one pass: a call without an order to close drops out as
     it meets the orders, and of the others the first per order stays (with those
     of an equal key)."""
+    return _billed(_closing(orders, requests, payments, tiebreak, ts), requests.columns, configs, ts)
+
+
+def closed_rides(orders: DataFrame, requests: DataFrame, payments: DataFrame, tiebreak: list[str],
+                 columns: list[str], configs: DataFrame | None = None, ts: str = "requested_at") -> DataFrame:
+    """``columns`` of ``close_rides``, written once, where none of them tells the
+    calls of one order and time apart: the calls are shuffled as order id and
+    time alone.  Which calls at an order's closing time are of one key is decided
+    anew with the tie-break columns, for the orders that have several."""
+    calls = requests.select("order_id", ts)
+    mates = F.count(F.lit(1)).over(Window.partitionBy("order_id"))
+    won = _closing(orders, calls, payments, [], ts, {"_mates": mates})
+    made = materialize(_billed(won, [*calls.columns, "_mates"], configs, ts).select(*columns, "_mates"), "finished")
+    several = made.where("_mates > 1").select(F.col("order_id").alias("_s_order")).distinct()
+    made = made.where("_mates = 1").drop("_mates")
+    if not several.limit(1).count():
+        return made
+    several = broadcast_if_small(several)
+
+    def of_several(df: DataFrame, key: str) -> DataFrame:
+        return df.join(several, df[key] == several["_s_order"], "left_semi")
+
+    again = close_rides(of_several(orders, "id"), of_several(requests, "order_id"), of_several(payments, "order_id"),
+                        tiebreak, configs, ts)
+    return made.unionByName(materialize(again.select(*columns), "finished-tied"))
+
+
+def _closing(orders: DataFrame, requests: DataFrame, payments: DataFrame, tiebreak: list[str], ts: str,
+             over_first: dict[str, Column] | None = None) -> DataFrame:
+    """The first calls of active orders with what the payment feed says;
+    ``over_first`` are columns to work out from those first calls."""
     o = _order_columns(orders)
     j = requests.join(o, requests["order_id"] == o["_o_id"]).withColumn("_reject", _reject(ts))
     turn = F.rank().over(Window.partitionBy("order_id").orderBy(ts, *tiebreak))
     won = j.where(F.col("_reject").isNull()).withColumn("_turn", turn).where(F.col("_turn") == 1)
+    won = won.withColumns({"_win": F.lit(True), **(over_first or {})})
     pay = payment_results(payments).withColumnRenamed("order_id", "_p_order")
-    won = won.withColumn("_win", F.lit(True)).join(pay, won["order_id"] == pay["_p_order"], "left")
-    return _billed(won, requests.columns, configs, ts)
+    return won.join(pay, won["order_id"] == pay["_p_order"], "left")
 
 
 def _order_columns(orders: DataFrame) -> DataFrame:

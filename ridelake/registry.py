@@ -412,9 +412,12 @@ def _world(spark: SparkSession, sf_dir: str, all_outcomes: bool = False, order_c
         if not claims:
             admitted = admitted.where(F.col("outcome") == "CREATED")
     orders = admission.created_orders(admitted)
-    done = finish.close_rides(orders, si.finish_requests(spark, sf_dir),
-                              si.payment_outcomes(spark, sf_dir), si.ORDER_REQUEST_TIEBREAK)
-    done = materialize(done.select(*_FINISHED_COLUMNS, *tb), "finished")
+    calls, payments = si.finish_requests(spark, sf_dir), si.payment_outcomes(spark, sf_dir)
+    if tb:
+        done = finish.close_rides(orders, calls, payments, si.ORDER_REQUEST_TIEBREAK)
+        done = materialize(done.select(*_FINISHED_COLUMNS, *tb), "finished")
+    else:
+        done = finish.closed_rides(orders, calls, payments, si.ORDER_REQUEST_TIEBREAK, _FINISHED_COLUMNS)
     ledger = admission.hold_ledger_rows(admitted).unionByName(finish.finish_ledger(done))
     return admitted, orders, done, finish.apply_finish(orders, done), ledger
 
