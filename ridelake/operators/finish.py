@@ -224,10 +224,11 @@ def publish_finish(spark, root: str, old: str, new: str, finished: DataFrame,
 
 def ledger_rollup(ledger: DataFrame) -> DataFrame:
     """Per order, amount and status of each transaction type (explicit pivot)."""
-    p = (ledger.groupBy("order_id").pivot("transaction_type", schemas.TXN_TYPES)
-         .agg(F.sum("amount").cast("long").alias("amount"), F.max("status").alias("status")))
-    return p.select("order_id", *[F.col(f"{t}_{m}").alias(f"{t.lower()}_{m}")
-                                  for t in schemas.TXN_TYPES for m in ("amount", "status")])
+    # one aggregation by order: pivot() would shuffle by (order, type) first
+    of = lambda t, c: F.when(F.col("transaction_type") == t, F.col(c))
+    return ledger.groupBy("order_id").agg(*[c for t in schemas.TXN_TYPES for c in (
+        F.sum(of(t, "amount")).cast("long").alias(f"{t.lower()}_amount"),
+        F.max(of(t, "status")).alias(f"{t.lower()}_status"))])
 
 
 def ride_billing_summary(rides: DataFrame, threshold: int = billing.DEFAULT_INCOMPLETE_RIDE_SECONDS
