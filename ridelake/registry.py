@@ -668,13 +668,19 @@ def latency_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
         for p, c in zip(probs, names)])
 
 
+# Orders of one bucket, about.
+_BUCKET_ORDERS = 100_000
+
+
 def orders_with_ledger_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders and their ledger totals joined from bucketed tables,
     without a shuffle of either."""
-    _, _, _, snap, ledger = _world(spark, sf_dir)
+    admitted, _, _, snap, ledger = _world(spark, sf_dir)
+    # one task sorts, writes and joins a bucket, so their number grows with the orders
+    buckets = max(8, -(-admitted.count() // _BUCKET_ORDERS))
     with_key = snap.select("id", "user_id", "status", "total_amount")
-    left = layout.bucketed(with_key, "id", 8)
-    right = layout.bucketed(ledger.select("order_id", "transaction_type", "amount"), "order_id", 8)
+    left = layout.bucketed(with_key, "id", buckets)
+    right = layout.bucketed(ledger.select("order_id", "transaction_type", "amount"), "order_id", buckets)
     return layout.ledger_totals(left, right)
 
 
