@@ -129,6 +129,24 @@ def test_pieces_of_long_unbroken_segments():
     assert all(len(k) <= piece.CACHE_CHARS for k in encoder.cache)
 
 
+def test_new_segments_are_merged_together(monkeypatch):
+    """Words met for the first time are not merged one by one."""
+    rng = random.Random(9)
+    chars = "aaeeinorst" * 9 + "BZ9.,-'é\n漢👩ß\x00"
+    words = list({"".join(rng.choice(chars) for _ in range(rng.randint(1, 14))) for _ in range(6000)})
+    encoder, alone = piece.PieceEncoder(P.path("piece_bpe_32k.model")), []
+    merged = piece.PieceEncoder.merged
+    monkeypatch.setattr(piece.PieceEncoder, "merged", lambda self, s: alone.append(s) or merged(self, s))
+    text = " ".join(words)
+    assert encoder.ids(text) == encoder.library.encode(text, add_eos=True)
+    assert len(alone) < len(words) / 20
+    # met again, and after the younger generation was dropped to the older
+    monkeypatch.setattr(piece, "CACHE_SEGMENTS", 10)
+    again = [" ".join(words[k::7]) for k in range(7)]
+    for _ in range(2):
+        assert [encoder.ids(t) for t in again] == encoder.library.encode(again, add_eos=True)
+
+
 def test_pieces_equal_the_library(edges, empty, small):
     model = P.path("piece_bpe_32k.model")
     encoder = piece.PieceEncoder(model)
