@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from ..functions import pricing
 from ..functions.status import ORDER_CREATE_STATUS, status_code
 from ..plans.components import components
-from ..plans.materialize import materialize
+from ..plans.materialize import has_rows, materialize
 
 # Rounds before components are looked for, and the most requests of a
 # component that one task decides.
@@ -169,21 +169,21 @@ def offer_claims(requests: DataFrame, offers: DataFrame, tiebreak: list[str], co
     o = _offer_columns(offers)
     sound, allowed = requests.where(_reject(requests).isNull()), _offer_check(ts).isNull()
     made = None
-    if not offers.where(F.col("user_id").isNull()).limit(1).count():
+    if not has_rows(offers.where(F.col("user_id").isNull())):
         by = ["offer_id", "user_id"]
         first = sound.withColumn("_turn", turn(by)).where(F.col("_turn") == 1)
         met = first.join(o, (first["offer_id"] == o["_o_id"]) & (first["user_id"] == o["_o_owner"]))
         made = written(met.where(allowed), by)
         # an offer with more rows than any one user's claim of it has two claimants
         rivals = made.groupBy("offer_id").agg(F.count(F.lit(1)).alias("_n"), F.max("_mates").alias("_m")).where("_n > _m")
-        if rivals.limit(1).count():
+        if has_rows(rivals):
             made = None
     if made is None:
         met = sound.join(o, sound["offer_id"] == o["_o_id"]).where(allowed)
         made = written(met.withColumn("_turn", turn(["offer_id"])).where(F.col("_turn") == 1), ["offer_id"])
     odd = (made.groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"), F.max("_mates").alias("_m"))
            .where("_n > 1 or _m > 1"))
-    if odd.limit(1).count() and _linked_offers(requests) is not None:
+    if has_rows(odd) and _linked_offers(requests) is not None:
         every = admit_orders(requests, offers, tiebreak, ts, hold_col)
         return materialize(every.where(F.col("outcome").isin(*CLAIMED)).select(*columns), "claims")
     return made.drop("_mates")
@@ -216,7 +216,7 @@ def _linked_offers(requests: DataFrame) -> DataFrame | None:
     multi = (named.select("order_id", "offer_id").distinct()
              .groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"))
              .where(F.col("_n") > 1).select("order_id"))
-    if multi.limit(1).count() == 0:
+    if not has_rows(multi):
         return None
     return named.join(multi, "order_id", "left_semi").select("offer_id").distinct()
 

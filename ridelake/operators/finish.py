@@ -25,7 +25,7 @@ from ..functions import billing, pricing
 from ..functions.status import FINISH_STATUS, status_code
 from ..plans import partitions
 from ..plans.broadcast import broadcast_if_small
-from ..plans.materialize import materialize
+from ..plans.materialize import has_rows, materialize
 from ..sources.tables import resolve_configs
 
 # Ids of the charge and of the release, where the payment feed has them.
@@ -93,7 +93,7 @@ def closed_rides(orders: DataFrame, requests: DataFrame, payments: DataFrame, ti
     made = materialize(_billed(won, [*calls.columns, "_mates"], configs, ts).select(*columns, "_mates"), "finished")
     several = made.where("_mates > 1").select(F.col("order_id").alias("_s_order")).distinct()
     made = made.where("_mates = 1").drop("_mates")
-    if not several.limit(1).count():
+    if not has_rows(several):
         return made
     several = broadcast_if_small(several)
 

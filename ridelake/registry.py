@@ -142,7 +142,9 @@ def hold_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _finished(spark: SparkSession, sf_dir: str):
-    orders = admission.created_orders(_admitted(spark, sf_dir))
+    # written once: the finish reads the orders for the first calls and for all
+    # calls, with other columns, and the snapshot reads them again
+    orders = materialize(admission.created_orders(_admitted(spark, sf_dir)), "orders")
     done = finish.finish_rides(orders, si.finish_requests(spark, sf_dir),
                                si.payment_outcomes(spark, sf_dir), si.ORDER_REQUEST_TIEBREAK)
     return orders, done
