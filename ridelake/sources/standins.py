@@ -17,6 +17,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..plans.materialize import shuffles_dropped
 from ..session import scratch_dir
 from .tables import read_table
 
@@ -334,13 +335,15 @@ def arriving_files(df: DataFrame, name: str, arrival: Column, parts: int = 4) ->
     path = scratch_dir(spark, f"arriving-{name}-{uuid.uuid4().hex[:12]}")
     part = F.coalesce(arrival.cast("int"), F.lit(0))
     numbered = df.withColumn("_part", F.least(F.greatest(part, F.lit(0)), F.lit(parts - 1)))
-    numbered.write.partitionBy("_part").parquet(f"{path}-parts")
+    with shuffles_dropped(spark):
+        numbered.write.partitionBy("_part").parquet(f"{path}-parts")
     split = spark.read.schema(numbered.schema).parquet(f"{path}-parts")
     most = max((r["count"] for r in split.groupBy("_part").count().collect()), default=0)
     files = max(1, -(-most // ARRIVING_FILE_ROWS))
     arrived = spark.read.schema(df.schema)
     for k in range(parts):
-        split.where(F.col("_part") == k).drop("_part").repartition(files).write.mode("append").parquet(path)
+        with shuffles_dropped(spark):
+            split.where(F.col("_part") == k).drop("_part").repartition(files).write.mode("append").parquet(path)
         for _ in range(files * (k + 1) - len(arrived.parquet(path).inputFiles())):
             spark.createDataFrame([], df.schema).coalesce(1).write.mode("append").parquet(path)
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
@@ -348,7 +351,8 @@ def arriving_files(df: DataFrame, name: str, arrival: Column, parts: int = 4) ->
 
 def in_quarters(df: DataFrame, ts: str) -> Column:
     """Arrival in time order: the quarter of the time span a row lies in."""
-    lo, hi = df.agg(F.min(ts), F.max(ts)).first()
+    with shuffles_dropped(df.sparkSession):
+        lo, hi = df.agg(F.min(ts), F.max(ts)).first()
     if lo is None:
         return F.lit(0)
     cuts = [lo + (hi - lo) * k / 4 for k in (1, 2, 3)]

@@ -6,6 +6,7 @@ from test_shuffle_once import T0, _plan, _shuffles, _tables
 
 from ridelake import registry
 from ridelake.plans.materialize import has_rows, materialize
+from ridelake.streaming import jobs
 
 
 def _shuffle_files(spark):
@@ -35,3 +36,19 @@ def test_finish_reads_admitted_orders_once(spark, tmp_dir):
     plan = _plan(snap)
     assert "o_custkey" not in plan and _shuffles(plan, "_order") == 0
     assert [(r.id, r.status, r.finish_time) for r in snap.collect()] == [("order-1-1", "FINISHED", day)]
+
+
+def test_intake_keeps_its_state_on_disk(spark, tmp_dir):
+    src, root, schema = f"{tmp_dir}/req", f"{tmp_dir}/job", "order_id string, requested_at timestamp_ntz, seq int, note string"
+    parts = [[("a", T0, 2, "x"), ("a", T0, 1, "y"), ("b", None, 5, None), ("", T0, 3, "z"), (None, T0, 4, None)],
+             [("a", T0 - dt.timedelta(days=1), 0, "late"), ("c", T0, 6, None), ("", T0, 7, None)]]
+    for rows in parts:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    out = jobs.stream_order_intake(stream, ["seq"], root=root)
+    assert spark.conf.get(key) == before and out.columns == stream.columns
+    assert sorted(r.seq for r in out.collect()) == [1, 3, 4, 5, 6, 7]
+    with open(f"{root}/_checkpoint/offsets/0") as f:
+        assert "RocksDBStateStoreProvider" in f.read()
