@@ -213,17 +213,19 @@ def _linked_offers(requests: DataFrame) -> DataFrame | None:
     named = requests.where(~_blank(F.col("order_id")) & ~_blank(F.col("offer_id")))
     # two hash aggregations (distinct pairs, then pairs per order id): exact,
     # and no string min/max, which would force a sort-based aggregation
-    multi = (named.select("order_id", "offer_id").distinct()
-             .groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"))
+    pairs = materialize(named.select("order_id", "offer_id").distinct(), "admission-pairs")
+    multi = (pairs.groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"))
              .where(F.col("_n") > 1).select("order_id"))
     if not has_rows(multi):
         return None
-    return named.join(multi, "order_id", "left_semi").select("offer_id").distinct()
+    # written: the requests meet them twice, for the claims and for the outcomes
+    return materialize(pairs.join(multi, "order_id", "left_semi").select("offer_id").distinct(), "admission-linked-offers")
 
 
 def _linked_claims(j: DataFrame, linked: DataFrame, key: Column) -> DataFrame:
     """``_first`` and ``_dup`` of the requests of linked offers; ``key`` is
-    their ``_k``, made anew from the request where it is read, not written.
+    their ``_k``, made anew from the request where it is read, neither written
+    nor shuffled with it.
 
     A valid request that is the earliest undecided one of its offer and of its
     order id is a claim, whatever comes later: nothing undecided can make its
@@ -238,9 +240,8 @@ def _linked_claims(j: DataFrame, linked: DataFrame, key: Column) -> DataFrame:
         j.join(ids, j["_offer"] == ids["_l_offer"], "left")
         .drop("_l_offer", "_offer", "_k", "_f", "_o_id", "_o_owner", "_o_expires")
         .fillna(False, ["_linked"]).withColumn("_rid", F.monotonically_increasing_id()), "admission-linked")
-    marked = marked.withColumn("_k", key)
     left = materialize(marked.where(F.col("_linked") & F.col("_valid")).select(
-        "_rid", "offer_id", "order_id", F.struct("_k", "_rid").alias("_at"),
+        "_rid", "offer_id", "order_id", F.struct(key.alias("_k"), "_rid").alias("_at"),
         (F.col("_hold_ok") & F.col("_persist_ok")).alias("_ok")), "admission-undecided")
     rounds = []
     while left.limit(1).count() > 0:
@@ -249,12 +250,13 @@ def _linked_claims(j: DataFrame, linked: DataFrame, key: Column) -> DataFrame:
             rounds.append(folded)
             if left.limit(1).count() == 0:
                 break
-        by_offer = left.groupBy("offer_id").agg(F.min("_at").alias("_by_offer"))
+        # the earliest of each offer, aggregated with its columns, meets that of its order id
+        by_offer = (left.groupBy("offer_id").agg(F.min(F.struct("_at", "order_id", "_ok")).alias("_head"))
+                    .select("offer_id", "_head.*"))
         by_order = left.groupBy("order_id").agg(F.min("_at").alias("_by_order"))
         claims = materialize(
-            left.join(by_offer, "offer_id").join(by_order, "order_id")
-            .where((F.col("_at") == F.col("_by_offer")) & (F.col("_at") == F.col("_by_order")))
-            .select(*left.columns), "admission-claims")
+            by_offer.join(by_order, "order_id").where(F.col("_at") == F.col("_by_order"))
+            .select(F.col("_at._rid").alias("_rid"), "offer_id", "order_id", "_at", "_ok"), "admission-claims")
         rounds.append(claims)
         left = materialize(left.join(claims.select("offer_id"), "offer_id", "left_anti")
                            .join(claims.where("_ok").select("order_id"), "order_id", "left_anti")
@@ -263,9 +265,12 @@ def _linked_claims(j: DataFrame, linked: DataFrame, key: Column) -> DataFrame:
     for part in rounds:
         claims = claims.unionByName(part)
     created = claims.where("_ok").select("order_id", F.col("_at").alias("_made"))
-    marked = (marked.join(claims.select("_rid", F.lit(True).alias("_claim")), "_rid", "left")
+    # only requests that could claim look for their claim, by their number
+    able = F.col("_linked") & F.col("_valid")
+    marked = (marked.where(able).join(claims.select("_rid", F.lit(True).alias("_claim")), "_rid", "left")
+              .unionByName(marked.where(~able).withColumn("_claim", F.lit(None).cast("boolean")))
               .join(created, "order_id", "left"))
-    dup = F.col("_was") | F.coalesce(F.col("_made") < F.struct("_k", "_rid"), F.lit(False))
+    dup = F.col("_was") | F.coalesce(F.col("_made") < F.struct(key.alias("_k"), F.col("_rid")), F.lit(False))
     return (marked.withColumn("_first", F.when(F.col("_linked"), F.col("_claim").isNotNull())
                               .otherwise(F.col("_first")))
             .withColumn("_dup", F.when(F.col("_linked"), dup).otherwise(F.col("_dup")))

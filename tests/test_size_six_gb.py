@@ -2,9 +2,12 @@
 import datetime as dt
 
 from pyspark.sql import functions as F
-from test_shuffle_once import T0, _plan, _shuffles, _tables
+from test_claims import OFFER, REQUEST
+from test_order_world_size import _spied
+from test_shuffle_once import T0, _plan, _shuffles, _tables, _written
 
 from ridelake import registry
+from ridelake.operators import admission
 from ridelake.plans.materialize import has_rows, materialize
 from ridelake.streaming import jobs
 
@@ -52,3 +55,22 @@ def test_intake_keeps_its_state_on_disk(spark, tmp_dir):
     assert sorted(r.seq for r in out.collect()) == [1, 3, 4, 5, 6, 7]
     with open(f"{root}/_checkpoint/offsets/0") as f:
         assert "RocksDBStateStoreProvider" in f.read()
+
+
+def test_shared_order_ids_read_requests_once(spark, tmp_dir, monkeypatch):
+    req = _written(spark, tmp_dir, "req", [
+        ("o1", "f1", "u", T0, True, 1), ("o2", "f1", "u", T0, True, 2), ("o1", "f2", "u", T0, True, 3), ("o2", "f2", "u", T0, False, 4),
+        ("o2", "f3", "u", T0, True, 5), ("o9", "f4", "u", T0, True, 6), ("o9", "f4", "u", T0, True, 7), ("o1", "f0", "u", T0, True, 8),
+        ("", "f1", "u", T0, True, 9)], REQUEST)
+    offers = _written(spark, tmp_dir, "offers", [(f"f{k}", "u", "s", T0, 1, 2, 3) for k in (1, 2, 3, 4)], OFFER)
+    plans = _spied(monkeypatch, admission)
+    out = admission.admit_orders(req, offers, ["seq"])
+    # the linked offers are found in the pairs, not in the requests again
+    assert plans["admission-pairs"].count("FileScan") == 1
+    assert "requested_at" not in plans["admission-linked-offers"] and "hold_success" not in plans["admission-linked-offers"]
+    # requests that cannot claim are not shuffled to look for their claim, nor any with its key beside its columns
+    plan = _plan(out)
+    assert "Union" in plan and "_k#" not in plan
+    assert {r.seq: r.outcome for r in out.collect()} == {
+        1: "CREATED", 2: "OFFER_ALREADY_USED", 3: "DUPLICATE", 4: "PAYMENT_HOLD_FAILED", 5: "CREATED", 6: "CREATED", 7: "DUPLICATE",
+        8: "DUPLICATE", 9: "ORDER_ID_REQUIRED"}
